@@ -127,11 +127,11 @@ class Words:
     raw: all bytes; starts, ends: of each word, in bytes; first: n_docs + 1 offsets of the documents' words.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, breaks: np.ndarray | None = None):
         raw, offsets = utf8(column)
         self.raw = _LOWER[raw] if lower else raw
         n_docs = len(offsets) - 1
-        ink = ~_SPACE[raw]
+        ink = ~(_SPACE if breaks is None else breaks)[raw]
         edge = np.zeros(len(raw) + 1, bool)
         edge[offsets] = True
         before = np.empty_like(ink)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, media, packing, sharding, substring
+from . import ann, bpe, html, jaccard, media, packing, sharding, substring, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_token_matrix": packing.op2_token_matrix,
     "op3_substring_dedup": substring.op3_substring_dedup,
+    "op4_nearest_neighbours": ann.op4_nearest_neighbours,
     "op5_media_columns": media.op5_media_columns,
     "op6_bpe": bpe.op6_bpe,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_html_extraction": html.op9_html_extraction,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
