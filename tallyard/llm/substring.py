@@ -142,7 +142,11 @@ def read_fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
 
 
 def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Windows whose selected fingerprint is in the document's ``hits``: h, h2 (of the words), doc_id, start."""
+    """Windows whose selected fingerprint is in the document's ``hits``: h, h2 (of the words), doc_id, start, later.
+
+    later: an equal window stands earlier within the same slice of rows, so that this one repeats for certain. Its
+    h is then arbitrary: of a hot passage, only one window a slice has to meet the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
@@ -158,15 +162,21 @@ def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
             ids = b.column("doc_id").cast(pa.int64()).to_numpy()
             one = gram_hashes(words.hashes(0), window, 1)
             two = gram_hashes(words.hashes(1), window, 2)
+            order = np.lexsort((at, ids[doc], two[at], one[at]))
+            at, doc = at[order], doc[order]
+            h, h2 = one[at], two[at]
+            later = np.zeros(len(at), bool)
+            later[1:] = (h[1:] == h[:-1]) & (h2[1:] == h2[:-1])
+            h[later] = mix(h[later] + np.arange(1, int(later.sum()) + 1).astype(np.uint64) ^ ids[doc[later]].astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(one[at].view(np.int64), pa.int64()), pa.array((two[at] >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32()),
-                    pa.array(ids[doc], pa.int64()), pa.array(at - words.first[doc], pa.int32()),
+                    pa.array(h.view(np.int64), pa.int64()), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32()),
+                    pa.array(ids[doc], pa.int64()), pa.array(at - words.first[doc], pa.int32()), pa.array(later),
                 ],
-                names=["h", "h2", "doc_id", "start"],
+                names=["h", "h2", "doc_id", "start", "later"],
             )
 
-    return hit_docs.select("doc_id", "text", "hits").mapInArrow(run, "h long, h2 int, doc_id long, start int")
+    return hit_docs.select("doc_id", "text", "hits").mapInArrow(run, "h long, h2 int, doc_id long, start int, later boolean")
 
 
 def _cut(marked: DataFrame, window: int) -> DataFrame:
@@ -230,8 +240,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     found = _windows(hit_docs, window, gram)
     same_words = Window.partitionBy("h", "h2")
     later = (
-        found.withColumn("first", F.min(F.struct("doc_id", "start")).over(same_words))
-        .where(F.struct("doc_id", "start") > F.col("first"))
+        found.withColumn("first", F.min(F.when(~F.col("later"), F.struct("doc_id", "start"))).over(same_words))
+        .where(F.col("later") | (F.struct("doc_id", "start") > F.col("first")))
         .groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     )
     return known, hit_docs.select("doc_id", "text").join(later, "doc_id")
