@@ -306,7 +306,7 @@ query("g4_sweep", f"SELECT kind, cast(count(*) FILTER (WHERE {_SAL} >= 0.0009765
 _TO = "CASE event_type WHEN 'click' THEN 'evidence' WHEN 'view' THEN 'review' WHEN 'purchase' THEN 'locked' WHEN 'error' THEN 'rejected' ELSE 'evidence' END"
 _ACTOR = "CASE WHEN event_id % 9 = 0 THEN '' ELSE 'u' || (event_id % 5) END"
 _OPEN = "SELECT user_id AS claim_id, 'u' || (user_id % 5) AS opened_by FROM (SELECT DISTINCT user_id FROM events)"
-_MOVES = f"SELECT user_id AS claim_id, event_id AS seq, ts AS "at", {_TO} AS to_status, {_ACTOR} AS actor FROM events"
+_MOVES = f"SELECT user_id AS claim_id, event_id AS seq, ts AS moved_at, {_TO} AS to_status, {_ACTOR} AS actor FROM events"
 
 
 def _opened(w):
@@ -317,12 +317,12 @@ def _moves(w):
     return w.table("events").select(F.col("user_id").alias("claim_id"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), F.expr(_TO).alias("to_status"), F.expr(_ACTOR.replace("'u' || (event_id % 5)", "concat('u', event_id % 5)")).alias("actor"))
 
 
-_STATES = f"SELECT claim_id, opened_by, to_status AS status, CASE WHEN to_status = 'locked' THEN actor END AS locked_by, "at" AS changed_at FROM ({_OPEN}) JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY "at" DESC, seq DESC) AS n FROM ({_MOVES})) USING (claim_id) WHERE n = 1"
+_STATES = f"SELECT claim_id, opened_by, to_status AS status, CASE WHEN to_status = 'locked' THEN actor END AS locked_by, moved_at AS changed_at FROM ({_OPEN}) JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY moved_at DESC, seq DESC) AS n FROM ({_MOVES})) USING (claim_id) WHERE n = 1"
 query("g5_claims", _STATES)(lambda w: governance.claim_states(_opened(w), _moves(w)))
 query(
     "g6_illegal",
     f"""SELECT claim_id, seq, before, to_status, actor, rule FROM (SELECT *, CASE WHEN (before, to_status) NOT IN ({", ".join(f"('{a}', '{b}')" for a, b in governance.TRANSITIONS)}) THEN 'ILLEGAL_STEP' WHEN to_status = 'locked' AND trim(actor) = '' THEN 'ANONYMOUS_LOCK' WHEN to_status = 'locked' AND actor = opened_by THEN 'FOUR_EYES' END AS rule
-    FROM (SELECT *, coalesce(lag(to_status) OVER (PARTITION BY claim_id ORDER BY "at", seq), 'open') AS before FROM ({_MOVES})) JOIN ({_OPEN}) USING (claim_id)) WHERE rule IS NOT NULL""",
+    FROM (SELECT *, coalesce(lag(to_status) OVER (PARTITION BY claim_id ORDER BY moved_at, seq), 'open') AS before FROM ({_MOVES})) JOIN ({_OPEN}) USING (claim_id)) WHERE rule IS NOT NULL""",
 )(lambda w: governance.illegal_transitions(_opened(w), _moves(w)))
 query(
     "g7_lock_gate",
@@ -332,7 +332,7 @@ _Q = "trim(regexp_replace(lower(text), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))"
 query("g8_coverage", f"SELECT substr(sha256({_Q}), 1, 12) AS question_hash, {_Q} AS normalized_question, count(*) AS request_count, min(turn) AS first_requested_at, max(turn) AS last_requested_at, array_to_string(list_sort(list(DISTINCT CASE WHEN conv_id % 2 = 0 THEN 'no_model' ELSE 'no_data' END)), ',') AS reasons FROM conversations WHERE role = 'user' GROUP BY 1, 2")(
     lambda w: governance.coverage_queue(w.table("conversations").where("role = 'user'").select(F.col("text").alias("question"), F.expr("CASE WHEN conv_id % 2 = 0 THEN 'no_model' ELSE 'no_data' END").alias("reason"), F.col("turn").alias("at")))
 )
-query("g9_audit_trail", "SELECT event_id AS id, ts AS "at", event_type AS outcome FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")(
+query("g9_audit_trail", "SELECT event_id AS id, ts AS \"at\", event_type AS outcome FROM events ORDER BY ts DESC, event_id DESC LIMIT 100")(
     lambda w: governance.audit_trail(w.table("events").select(F.col("event_id").alias("id"), F.col("ts").alias("at"), F.col("event_type").alias("outcome")), 100)
 )
 query("g9_outcomes", "SELECT event_type AS outcome, count(*) AS n FROM events GROUP BY 1")(lambda w: governance.outcome_counts(w.table("events").select(F.col("event_type").alias("outcome"))))
