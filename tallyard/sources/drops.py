@@ -39,9 +39,12 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """name, path, bytes, file_hash (SHA-256) and content of each file."""
+    """name, bytes, file_hash (SHA-256) and content of each file, empty ones (which scans pass over) included."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("file_hash"), "content")
+    listed = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in files.inputFiles()], "name string")
+    found = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "content")
+    content = F.coalesce("content", F.lit(b""))
+    return listed.join(found, "name", "left").select("name", F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content"))
 
 
 def read_raw(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8", columns: list[str] | None = None) -> DataFrame:
@@ -85,7 +88,7 @@ def header_drift(expected: Column, actual: Column, allow_additive: bool = False)
 
 def header_of(content: Column, delimiter: Column) -> Column:
     """Column names in the first line of a file's content."""
-    line = F.regexp_replace(F.split(F.decode(content, F.lit("UTF-8")), "\n", 2)[0], "^\\uFEFF|\r$", "")
+    line = F.regexp_replace(F.split(F.decode(content, "UTF-8"), "\n", 2)[0], "^\\uFEFF|\r$", "")
     return F.transform(F.split(line, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E"))), F.trim)
 
 
