@@ -135,9 +135,9 @@ def fit(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", html_co
 
     Without labelled pages, words outside of links and dropped elements score alike and every tag costs as much.
     """
-    labelled = pages.where(F.lower(F.col(html_col)).contains("<article"))
-    chosen = labelled.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = labelled.join(F.broadcast(chosen), F.col(id_col) == F.col("id"), "left_semi").select(F.col(html_col).alias("html"))
+    labelled = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.lower("html").contains("<article"))
+    chosen = labelled.select("id").orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = labelled.join(F.broadcast(chosen), "id", "left_semi").select("html")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
