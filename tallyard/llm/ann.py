@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id"
             rough = scan(book, packed, q[a : a + 64])
             best = np.argpartition(-rough, rerank, axis=1)[:, :rerank] if len(x) > rerank else np.tile(np.arange(len(x)), (len(rough), 1))
             for k_, rows_ in enumerate(best):
-                d = np.sqrt(((x[rows_] - q[a + k_]) ** 2).sum(axis=1))
+                d = np.sqrt(np.cumsum((x[rows_] - q[a + k_]) ** 2, axis=1)[:, -1])  # summed from left to right
                 sizes = at[rows_ + 1] - at[rows_]
                 ids = np.concatenate([flat[at[r] : at[r + 1]] for r in rows_])
                 score = np.repeat(d, sizes)

@@ -17,4 +17,30 @@ QUERIES = {
     "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+_VECTORS = "SELECT vec_id, embedding::double[] AS v FROM embeddings WHERE embedding IS NOT NULL AND list_bool_or(list_transform(embedding, lambda x: x <> 0)) AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+
+SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT w.doc_id, count(g.p) AS n_removed, string_agg(CASE WHEN g.p IS NULL THEN w.w END, ' ' ORDER BY w.p) AS rest FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p GROUP BY 1)
+SELECT d.doc_id, cast(len(ws) AS bigint) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+""",
+    # the exact neighbours: on small tables the search finds all of them
+    "op4_nearest_neighbours": f"""
+SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM (
+SELECT q.vec_id AS query_id, e.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (e.v[i] - q.v[i]) * (e.v[i] - q.v[i])), lambda s, x: s + x)) AS score
+FROM ({_VECTORS}) q JOIN ({_VECTORS}) e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 100 = 0)) WHERE rank <= 10
+""",
+    "op10_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS i FROM d)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+l AS MATERIALIZED (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) m ON m.a = d.doc_id
+""",
+}
