@@ -9,6 +9,7 @@ Only labels of training documents are learnt from; language, source and ids neve
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from .common import Words, mix, ranges, text_slices
 WINDOW, STRIDE = 32, 16
 #: Bound of the training sample: so many documents of either label, chosen by a hash of the id; of each, so many
 #: windows (the first, and others at random) take part in an epoch.
-SAMPLE, SAMPLE_WINDOWS = 2500, 64
+SAMPLE, SAMPLE_WINDOWS = 1500, 48
 WORD_ROWS, CHAR_ROWS, DIM, HIDDEN = 1 << 16, 1 << 15, 4, 8
 INPUT = 3 * DIM
 
@@ -40,9 +41,8 @@ for _a, _z in ((48, 58), (65, 91), (97, 123)):
 
 
 def distinct_words(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Code of each word; and of each distinct word its row of the word table, its trigrams' rows and their numbers."""
-    hashes = text.hashes()
-    codes, distinct = pd.factorize(hashes)
+    """Code of each word; and of each distinct word its hash, its trigrams' rows and their numbers."""
+    codes, distinct = pd.factorize(text.hashes())
     one = np.empty(len(distinct), np.int64)
     one[codes[::-1]] = np.arange(len(codes))[::-1]
     size = text.ends[one] - text.starts[one]
@@ -52,7 +52,58 @@ def distinct_words(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     padded[ranges(head + 1, size)] = text.raw[ranges(text.starts[one], size)]
     grams = mix(padded[:-2] | (padded[1:-1] << np.uint64(8)) | (padded[2:] << np.uint64(16))) if len(padded) > 2 else np.zeros(0, np.uint64)
     rows = (grams[ranges(head, size)] % np.uint64(CHAR_ROWS)).astype(np.int64)
-    return codes, (distinct % np.uint64(WORD_ROWS)).astype(np.int64), rows, size
+    return codes, distinct, rows, size
+
+
+def word_row(distinct: np.ndarray) -> np.ndarray:
+    return (distinct % np.uint64(WORD_ROWS)).astype(np.int64)
+
+
+@dataclass
+class Corpus:
+    """Coded words of a sample of texts: codes, numbers of words of each text; rows and trigrams of distinct words."""
+
+    codes: np.ndarray
+    counts: np.ndarray
+    word_rows: np.ndarray
+    gram_rows: np.ndarray
+    sizes: np.ndarray
+
+
+def read_corpus(column: pa.Array) -> Corpus:
+    """Codes a sample slice by slice, so that only its words, not its bytes, are held as numbers at once."""
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    parts = []
+    for b in text_slices(iter([batch])):
+        text = Text(b.column("text"))
+        parts.append((text.counts, *distinct_words(text)))
+    if not parts:
+        return Corpus(*(np.zeros(0, np.int64) for _ in range(5)))
+    which, distinct = pd.factorize(np.concatenate([p[2] for p in parts]))
+    one = np.empty(len(distinct), np.int64)
+    one[which[::-1]] = np.arange(len(which))[::-1]
+    sizes = np.concatenate([p[4] for p in parts])
+    head = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    grams = np.concatenate([p[3] for p in parts])[ranges(head[one], sizes[one])]
+    shift = np.cumsum([0, *(len(p[2]) for p in parts)])
+    codes = np.concatenate([which[p[1] + k] for p, k in zip(parts, shift, strict=False)])
+    return Corpus(codes, np.concatenate([p[0] for p in parts]), word_row(distinct), grams, sizes[one])
+
+
+def log_odds(corpus: Corpus, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log odds of the label given each row of the word and the trigram table, from documents that hold it."""
+    out = []
+    head = np.concatenate([[0], np.cumsum(corpus.sizes)[:-1]])
+    ends = np.cumsum(corpus.counts)
+    for size, grams in ((WORD_ROWS, False), (CHAR_ROWS, True)):
+        n = np.zeros((2, size), np.int64)
+        for label, a, z in zip(toxic.tolist(), (ends - corpus.counts).tolist(), ends.tolist(), strict=True):
+            words = np.unique(corpus.codes[a:z])
+            rows = corpus.gram_rows[ranges(head[words], corpus.sizes[words])] if grams else corpus.word_rows[words]
+            n[label, np.unique(rows)] += 1
+        odds = np.log((n[1] + 0.5) / (toxic.sum() + 1)) - np.log((n[0] + 0.5) / ((1 - toxic).sum() + 1))
+        out.append(np.where(n.sum(axis=0) > 1, odds, 0).astype(np.float32))
+    return out[0], out[1]
 
 
 def windows_of(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,26 +234,14 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = 6, batch: int = 128
     each toxic text teaches by its highest window, each clean one by its highest and one more.
     """
     net, rng = Network(seed), np.random.default_rng(seed)
-    text = Text(column)
-    codes, word_rows, gram_rows, sizes = distinct_words(text)
-    doc_of = text.doc_of()
+    corpus = read_corpus(column)
+    codes, word_rows, gram_rows, sizes = corpus.codes, corpus.word_rows, corpus.gram_rows, corpus.sizes
     if not len(toxic) or not len(codes) or toxic.min() == toxic.max():
         net.p["bias"][:] = -3 if not len(toxic) or toxic.min() == 0 else 3
         net.p["w"][:] = 0
         return net
-    for name, rows, doc in (("word", word_rows[codes], doc_of), ("char", None, None)):
-        if rows is None:  # a document's distinct trigrams
-            pairs = np.unique(doc_of * len(word_rows) + codes)
-            d, w = pairs // len(word_rows), pairs % len(word_rows)
-            head = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            rows, doc = gram_rows[ranges(head[w], sizes[w])], np.repeat(d, sizes[w])
-        table = net.p[name]
-        pairs = np.unique(doc * len(table) + rows)
-        row, label = pairs % len(table), toxic[pairs // len(table)]
-        n1, n0 = np.bincount(row[label == 1], minlength=len(table)), np.bincount(row[label == 0], minlength=len(table))
-        odds = np.log((n1 + 0.5) / (toxic.sum() + 1)) - np.log((n0 + 0.5) / ((1 - toxic).sum() + 1))
-        table[:, 0] = np.where(n1 + n0 > 1, odds, 0)
-    doc, start, size = windows_of(text.counts, text.first)
+    net.p["word"][:, 0], net.p["char"][:, 0] = log_odds(corpus, toxic)
+    doc, start, size = windows_of(corpus.counts, np.concatenate([[0], np.cumsum(corpus.counts)]))
     order = np.lexsort((rng.random(len(doc)), doc))
     place = np.empty(len(doc), np.int64)
     place[order] = np.arange(len(doc)) - np.repeat(np.searchsorted(doc, np.arange(len(toxic))), np.bincount(doc, minlength=len(toxic)))
@@ -215,7 +254,7 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = 6, batch: int = 128
     for epoch in range(epochs):
         features, strongest = net.features(word_rows, gram_rows, sizes)
         if epoch:
-            score = net.score_windows(features, codes, start, size)
+            score = net.score_windows(features, codes, start, size, chunk=1024)
         else:
             strength = np.append(features[:, 0] + 2 * features[:, 2 * DIM], 0)
             wide = np.where(np.arange(WINDOW)[None, :] < size[:, None], codes[np.minimum(start[:, None] + np.arange(WINDOW), len(codes) - 1)], len(features))
@@ -257,8 +296,8 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = 6, batch: int = 128
 def score_column(net: Network, column: pa.Array) -> np.ndarray:
     """The score of each whole text: that of its highest window; an empty one's is that of an empty window."""
     text = Text(column)
-    codes, word_rows, gram_rows, sizes = distinct_words(text)
-    features, _ = net.features(word_rows, gram_rows, sizes)
+    codes, distinct, gram_rows, sizes = distinct_words(text)
+    features, _ = net.features(word_row(distinct), gram_rows, sizes)
     doc, start, size = windows_of(text.counts, text.first)
     logit = net.score_windows(features, codes, start, size)
     top = np.full(len(text.counts), -np.inf)
