@@ -41,10 +41,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """name, bytes, file_hash (SHA-256) and content of each file, empty ones (which scans pass over) included."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    listed = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in files.inputFiles()], "name string")
-    found = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "content")
+    # a folder's files may share their names with another's: told apart by folder and name
+    listed = spark.createDataFrame([("/".join(path.rsplit("/", 2)[-2:]),) for path in files.inputFiles()], "place string")
+    found = files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("place"), "content")
     content = F.coalesce("content", F.lit(b""))
-    return listed.join(found, "name", "left").select("name", F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content"))
+    return listed.join(found, "place", "left").select(F.regexp_extract("place", r"([^/]+)$", 1).alias("name"), F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content"))
 
 
 def read_raw(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8", columns: list[str] | None = None) -> DataFrame:
