@@ -198,3 +198,15 @@ def test_grants_deny_unknown(spark):
     docs = spark.sql("SELECT 1 AS doc_id, array('analyst') AS allow UNION ALL SELECT 2, array('ann') UNION ALL SELECT 3, array()")
     people = spark.sql("SELECT * FROM VALUES ('ann', array('analyst')), ('bob', NULL) AS t(principal, roles)")
     assert {tuple(r) for r in governance.granted_documents(docs, people).collect()} == {("ann", 1), ("ann", 2)}
+
+
+def test_jdbc_scan_behind_a_watermark(spark, tmp_path):
+    """Spark's own embedded database stands in for a source; the watermark reaches its SQL."""
+    from tallyard.sources.extracts import read_jdbc
+
+    url, driver = "jdbc:derby:memory:erp;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    spark.range(10).withColumn("stamp", F.col("id") * 10).write.format("jdbc").options(url=url, driver=driver, dbtable="orders").save()
+    options = {"url": url, "driver": driver, "dbtable": "orders", "partitionColumn": "id", "lowerBound": "0", "upperBound": "10", "numPartitions": "3"}
+    rows = read_jdbc(spark, options, "stamp", 50)
+    assert sorted(r.id for r in rows.collect()) == [6, 7, 8, 9]
+    assert "GreaterThan(stamp,50)" in rows._jdf.queryExecution().executedPlan().toString().replace("STAMP", "stamp")
