@@ -101,7 +101,7 @@ def home_branches(invoices: DataFrame) -> DataFrame:
 
 def kpi_growth(invoices: DataFrame, locations: DataFrame, rounded: bool = True) -> DataFrame:
     """Shares of revenue at home branches, of branches owned before the window, and of the rest (unknown ones too)."""
-    places = F.broadcast(locations.select("location_key", "owned_since"))
+    places = locations.select("location_key", "owned_since")
     owned = F.coalesce(F.col("owned_since") < F.col("window_start"), F.lit(False))
     # one row for each customer and branch is all that the shares need
     parts = invoices.groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r")).join(home_branches(invoices), "customer_key").join(places, "location_key", "left")

@@ -1,7 +1,7 @@
 """The dimensional model: crosswalks, dimensions, reference tables and facts.
 
-Inner joins drop what has no key, silently; ``quality.row_parity`` reports it. Dimensions of places and dates are
-small by nature and broadcast; master data joins are left to the optimizer, which checks sizes at run time.
+Inner joins drop what has no key, silently; ``quality.row_parity`` reports it. Joins carry no hints: the optimizer
+broadcasts a dimension only if its size, checked at run time, is below the limit, and splits hot keys otherwise.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def dim_location(branches: DataFrame) -> DataFrame:
 
 def dim_salesperson(salespeople: DataFrame, xwalk: DataFrame, locations: DataFrame) -> DataFrame:
     keyed = _keyed(salespeople, xwalk, "salesperson_code", "canonical_salesperson_key", "salesperson_key")
-    places = F.broadcast(locations.select("location_key", F.col("branch_code").alias("home_branch")))
+    places = locations.select("location_key", F.col("branch_code").alias("home_branch"))
     return keyed.join(places, "home_branch", "left").withColumn("home_location_key", F.coalesce("location_key", sk("home_branch"))).drop("location_key")
 
 

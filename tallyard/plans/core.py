@@ -67,7 +67,7 @@ def _(w):
     coa = model.ref_coa_mapping(w.coa)
     used = w.gl_entries.select("account", "entry_date", "journal_no")
     on = (F.col("account") == F.col("source_gl_account")) & F.col("entry_date").between(F.col("effective_start_date"), F.col("effective_end_date"))
-    return F.broadcast(coa).join(used, on, "left").groupBy("source_gl_account", "target_consolidated_account", "effective_start_date", "active_flag").agg(F.count("journal_no").alias("entries"))
+    return coa.join(used, on, "left").groupBy("source_gl_account", "target_consolidated_account", "effective_start_date", "active_flag").agg(F.count("journal_no").alias("entries"))
 
 
 query("c14_price_list", "SELECT item_key, item_no, uom, list_price, date '2020-01-01' AS effective_start_date, date '9999-12-31' AS effective_end_date FROM dim_item WHERE list_price IS NOT NULL")(
@@ -156,7 +156,7 @@ query("b16_margin_answer", "SELECT category, cast(sum(gross_margin_amount) AS de
 query("b16_gmroi_answer", "SELECT gmroi, window_end FROM k8 ORDER BY window_end DESC LIMIT 1")(lambda w: marts.kpi_headline(w.facts, rounded=False).select("gmroi", "window_end").orderBy(F.desc("window_end")).limit(1))
 query("b17_row_security", f"SELECT viewer, count(*) AS n, {REV} FROM fact_invoice f JOIN dim_location l ON f.location_key = l.location_key JOIN (SELECT 'north' AS viewer, region AS entitled FROM branches WHERE region < 'B' GROUP BY 2 UNION ALL SELECT 'all', region FROM branches GROUP BY 2) e ON l.region = e.entitled GROUP BY 1")(
     lambda w: bi.secured(
-        w.fact_invoice.join(F.broadcast(w.dim_location.select("location_key", "region")), "location_key"),
+        w.fact_invoice.join(w.dim_location.select("location_key", "region"), "location_key"),
         w.branches.where("region < 'B'").select(F.lit("north").alias("viewer"), "region").distinct().unionByName(w.branches.select(F.lit("all").alias("viewer"), "region").distinct()), ["region"],
     ).groupBy("viewer").agg(F.count(F.lit(1)).alias("n"), marts.total("revenue_amount").alias("revenue"))
 )

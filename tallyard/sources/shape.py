@@ -51,7 +51,7 @@ def _items(lake: Lake) -> DataFrame:
 
 def _customers(lake: Lake) -> DataFrame:
     places = lake.table("nation").join(lake.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return lake.table("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+    return lake.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         f"'{SOURCE}' AS source_system", "concat('C-', c_custkey) AS customer_no", "c_name AS customer_name", "c_mktsegment AS customer_class", "'NET30' AS terms",
         "cast(cast(c_acctbal as decimal(18,2)) as decimal(18,4)) AS credit_limit", "concat('No. ', c_custkey) AS address1", "n_name AS city", "r_name AS state",
         "lpad(cast(c_custkey as string), 8, '0') AS postal_code",
