@@ -5,8 +5,10 @@
 2. All sets are laid out in one global order: n-grams that very many documents hold come last, the others by hash.
    Two sets that link must share at least l n-grams within their first n - ceil(t n) + l (the l-prefix); these
    are the only ones that are shuffled. Documents with too few shared ones can't link to any other and drop out.
-3. The rest falls into candidate groups (components over shared prefix n-grams; no link leaves one). Each group's
-   whole sets meet in a task; a group above ``block`` documents is cut into blocks, and each pair of blocks meets.
+3. Of those left, the whole sets are counted: a document must share ceil(t n) of its n-grams with others. Then the
+   rarest come first in the order, and documents that share one of their first n - ceil(t n) + 1 n-grams are in
+   one candidate group (components; no link leaves one). Each group's whole sets meet in a task; a group above
+   ``block`` documents is cut into blocks, and each pair of blocks meets.
 4. In a task, T-occurrence search finds the links: a query's short inverted lists are merged, the documents that
    occur in enough of them are looked for in its long lists by binary search, and those that reach the required
    overlap are compared exactly. Documents already known to be connected to the largest component are not queried.
@@ -24,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, materialize, mix, ranges, text_slices
+from .common import Words, gram_hashes, materialize, mix, one_row_per_id, ranges, text_slices
 from .components import connected_components
 
 #: An n-gram is put last in the order if more than one in HOT documents holds it; at most HOT times the mean size
 #: of a set can be such, which bounds what is broadcast.
 HOT = 400
 #: Extra length of the prefix, in percent of the set.
-EXTRA = 5
+EXTRA = 10
 #: Documents whose whole sets meet in one task.
 BLOCK = 3000
 
@@ -123,6 +125,20 @@ def _sets(docs: DataFrame, gram: int, lower: bool) -> DataFrame:
     return docs.select(*rest, "text").mapInArrow(run, schema)
 
 
+def _grams(sets: DataFrame) -> DataFrame:
+    """h, doc_id: the n-grams of whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("doc_id").to_numpy()
+            for a in range(0, b.num_rows, 256):
+                part = b.column("grams").slice(a, 256).to_pylist()
+                n = np.array([len(g) // 8 for g in part], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(part), np.int64)), pa.array(np.repeat(ids[a : a + 256], n))], names=["h", "doc_id"])
+
+    return sets.select("doc_id", "grams").mapInArrow(run, "h long, doc_id long")
+
+
 class Links:
     """Union-find; the root of a component is its smallest member."""
 
@@ -236,10 +252,10 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
     """Components of documents that link: Jaccard similarity of their n-gram sets of at least ``percent`` / 100.
 
     Returns doc_id, n_shingles and component_id (smallest doc_id reachable, itself included). Null and wordless
-    texts have empty sets and link with nothing; documents of equal sets link; doc_id is taken as unique and not
-    null (a repeated id counts as one document); other columns are ignored; an empty table gives an empty result.
+    texts have empty sets and link with nothing; documents of equal sets link. Rows without an id are left out; an id
+    that repeats counts once, with its smallest text; other columns are ignored; an empty table gives an empty result.
     """
-    docs = docs.select("doc_id", "text")
+    docs = one_row_per_id(docs)
     read = materialize(_read_sets(docs, gram, lower), "set-keys")
     n_docs = read.count()
     hot_rows = (
@@ -249,7 +265,7 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
         .where(F.col("c") * HOT > n_docs).select("h")
     )
     hot = np.sort(np.array([r[0] for r in hot_rows.collect()], np.int64).view(np.uint64))
-    classes = read.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("rep"))
+    classes = materialize(read.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("rep")), "first-of-sets")
     known = materialize(read.select("doc_id", "n", "key_a", "key_b").join(classes, ["key_a", "key_b", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "set-classes")
 
     by_gram, by_doc = Window.partitionBy("h"), Window.partitionBy("doc_id")
@@ -266,9 +282,17 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
             .withColumn("have", F.count(F.lit(1)).over(by_doc)).where("have >= need").drop("have")
         )
         shared = materialize(shared, f"shared-grams-{turn}")
-    stars = shared.withColumn("b", F.min("doc_id").over(by_gram)).select(F.col("doc_id").alias("a"), "b").distinct()
-    groups = connected_components(stars)
-    groups = materialize(groups.withColumn("part", F.lit(0)), "candidate-groups")
+    survivors = shared.select("doc_id").distinct()
+    sets = materialize(_sets(docs.join(survivors, "doc_id"), gram, lower), "candidate-sets")
+    counted = _grams(sets).withColumn("holders", F.count(F.lit(1)).over(by_gram))
+    enough = F.count_if(F.col("holders") > 1).over(by_doc) >= F.ceil(F.lit(percent) * F.col("n") / 100)
+    rarest = F.row_number().over(by_doc.orderBy("holders", "h"))
+    prefix = (
+        counted.withColumn("n", F.count(F.lit(1)).over(by_doc)).withColumn("enough", enough).where("enough")
+        .withColumn("place", rarest).where((F.col("place") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1) & (F.col("holders") > 1))
+    )
+    stars = prefix.withColumn("b", F.min("doc_id").over(by_gram)).select(F.col("doc_id").alias("a"), "b").distinct()
+    groups = materialize(connected_components(stars), "candidate-groups")
     # groups above the block size (fewer than documents / block of them) are cut into blocks, and each two meet
     large = groups.groupBy("root").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > block).select("root", F.ceil(F.col("m") / (block / 2)).cast("int").alias("k"))
     cut = groups.join(large, "root", "left").withColumn("k", F.coalesce("k", F.lit(1)))
@@ -280,8 +304,7 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
         )
     )
     cut = cut.select(F.col("node").alias("doc_id"), "root", pairs.alias("pairs"))
-    sets = materialize(_sets(docs.join(cut, "doc_id"), gram, lower), "candidate-sets")
-    blocks = sets.select("doc_id", "root", F.explode("pairs").alias("p"), "grams").select("doc_id", "root", "p.i", "p.j", "grams")
+    blocks = sets.join(cut, "doc_id").select("doc_id", "root", F.explode("pairs").alias("p"), "grams").select("doc_id", "root", "p.i", "p.j", "grams")
     found = _search(blocks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j"), percent)
     roots = connected_components(found)
     return known.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -290,9 +313,9 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
 
 
 def keep_first_of_groups(docs: DataFrame, gram: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
-    """All columns of the documents that are the first of their group of linked ones."""
-    found = linked_components(docs, gram, percent, lower).where("doc_id = component_id").select("doc_id")
-    return docs.join(found, "doc_id", "left_semi")
+    """All columns of the documents that are the first of their group of linked ones; rows without an id stay."""
+    others = linked_components(docs, gram, percent, lower).where("doc_id <> component_id").select("doc_id")
+    return docs.join(others, "doc_id", "left_anti")
 
 
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
