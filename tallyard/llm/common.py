@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dir: str | None = None
 _for_exit: set[int] = set()
@@ -49,6 +50,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_row_per_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text: rows without an id left out; of rows that repeat an id, the smallest text that isn't null."""
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    repeated = rows.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else rows
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about SLICE_BYTES of text each, so that a task's arrays stay bounded."""
     for batch in batches:

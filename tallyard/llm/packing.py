@@ -212,7 +212,7 @@ def packed_sequences(docs: DataFrame, method: Callable = best_fit_decreasing, vo
             row = b"".join(ids[members])
             position = np.zeros(capacity, "<u4")
             position[: ends[-1]] = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-            rows.append(((int(pdf["g"].iloc[0]) << 40) + rank, row + bytes(4 * capacity - len(row)), int(ends[-1]), doc[members].tolist(), piece[members].tolist(), start[members].tolist(), [0, *ends.tolist()], position.tobytes()))
+            rows.append(((int(pdf["g"].iloc[0]) << 40) + rank, row + bytes(4 * capacity - len(row)), int(ends[-1]), [None if pd.isna(d) else int(d) for d in doc[members]], piece[members].tolist(), start[members].tolist(), [0, *ends.tolist()], position.tobytes()))
         return pd.DataFrame(rows, columns=["sequence_id", "ids", "n_tokens", "doc_ids", "pieces", "starts", "cu_seqlens", "positions"])
 
     schema = "sequence_id long, ids binary, n_tokens int, doc_ids array<long>, pieces array<int>, starts array<long>, cu_seqlens array<int>, positions binary"

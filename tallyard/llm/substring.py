@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, materialize, mix, ranges, scratch_path, text_slices
+from .common import Words, gram_hashes, materialize, mix, one_row_per_id, ranges, scratch_path, text_slices
 
 WINDOW, GRAM = 20, 8
 
@@ -208,7 +208,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     documents with repeated windows, their texts and starts (doc_id, text, starts).
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = one_row_per_id(docs)
     read = materialize(read_fingerprints(docs, window, gram), "fingerprints")
     # documents of the same words: the first stands for all
     same = read.groupBy("text_key").agg(F.min("doc_id").alias("rep"))
@@ -251,9 +251,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     """Removes every word covered by a window of ``window`` words that also starts earlier.
 
     Earlier: in a document of smaller doc_id, or before in the same one; windows are judged on the input. Returns
-    doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the kept words joined by one space; a text
-    without removed words keeps its own spacing there). A null or empty text has no words; doc_id is taken as
-    unique and not null; other columns of ``docs`` are ignored; an empty table gives an empty result.
+    doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept: the kept words joined by one space, or null where
+    nothing was removed and the text stays as it is. A null or empty text has no words. Rows without an id are left
+    out; an id that repeats counts once, with its smallest text. Other columns of ``docs`` are ignored; an empty
+    table gives an empty result.
     """
     known, marked = repeated_windows(docs, window, gram, batches)
     cut = _cut(marked, window)
@@ -261,17 +262,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
         cut = cut.drop("kept")
     out = known.join(cut.withColumnRenamed("kept_sha256", "sha_after"), "doc_id", "left")
     copy = (F.col("doc_id") != F.col("rep")) & (F.col("n_words") >= window)
-    result = out.select(
+    return out.select(
         "doc_id", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("sha_after", "kept_sha256")).alias("kept_sha256"),
-        *(["kept"] if with_text else []),
+        *([F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept")] if with_text else []),
     )
-    if not with_text:
-        return result
-    return result.join(docs.select("doc_id", "text"), "doc_id").withColumn(
-        "kept", F.when(F.col("n_removed") == 0, F.col("text")).when(F.col("n_removed") == F.col("n_words"), F.lit("")).otherwise(F.col("kept"))
-    ).drop("text")
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
