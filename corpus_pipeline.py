@@ -24,13 +24,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words that windows of 20 words repeat from earlier ones; documents that lose all words go."""
-    cut = substring.dedup_substrings(docs, with_text=True)
-    kept = cut.where("n_removed = 0 OR n_removed < n_words").select("doc_id", F.col("kept").alias("left_text"), "n_removed")
-    text = F.when(F.col("n_removed") > 0, F.col("left_text")).otherwise(F.col("text"))
-    joined = docs.join(kept, "doc_id")
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("left_text").cast("long")).otherwise(F.col("n_chars"))
-    return joined.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    """Texts without the words that windows of 20 words repeat from earlier ones; documents that lose all words go.
+
+    A text without removed words, and a row without an id, stays as it is.
+    """
+    cut = substring.dedup_substrings(docs, with_text=True).where("n_removed > 0")
+    cut = cut.select("doc_id", F.struct("kept", "n_removed", "n_words").alias("__cut"))
+    joined = docs.join(cut, "doc_id", "left").where("__cut IS NULL OR __cut.n_removed < __cut.n_words")
+    changed, kept = F.col("__cut").isNotNull(), F.col("__cut.kept")
+    new = {"text": F.when(changed, kept).otherwise(F.col("text")), "n_chars": F.when(changed, F.char_length(kept).cast("long")).otherwise(F.col("n_chars"))}
+    return joined.withColumns(new).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
