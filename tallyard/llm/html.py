@@ -24,13 +24,14 @@ SAMPLE, CONTEXTS = 1000, 5000
 #: Elements that don't end a block, that have no end tag, and whose content isn't markup.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|select|object"
+RAW = "script|style|textarea|title|noscript|template|iframe"
 
-#: Elements and words of class, id or role that are never main text.
-DROPPED = frozenset("nav aside footer form button menu dialog head fieldset figure".split())
+#: Elements and words of class, id or role that are never main text; the last also where they stand in an article.
+DROPPED = frozenset("nav aside footer form button menu dialog head fieldset select svg math canvas object".split())
+PAGE_NAMES = frozenset("header masthead".split())
 DROPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement adbox banner promo promotion sponsor sponsored sidebar side menu nav navbar navigation breadcrumb breadcrumbs "
-    "footer header masthead comment comments reply replies respond disqus notice cookie cookies consent popup modal newsletter subscribe share sharing social related form search widget".split()
+    "ad ads advert adverts advertisement adbox banner promo promotion sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
+    "comment comments reply replies respond disqus notice notices cookie cookies consent popup modal newsletter subscribe share sharing social related widget".split()
 )
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S | re.I)
@@ -96,7 +97,8 @@ def tokens(page: str) -> list[Token]:
                     stack.pop()
                 names = [p for g in _NAMES.findall(m[4]) for p in _PART.findall((g[0] or g[1] or g[2]).lower())] if m[4] else []
                 _, _, dropped, article = stack[-1] if stack else ("", "", False, False)
-                bad = name in DROPPED or (name == "header" and not article) or (name not in ("html", "body", "main", "article") and not DROPPED_NAMES.isdisjoint(names))
+                bad = name in DROPPED or (name not in ("html", "body", "main", "article") and not DROPPED_NAMES.isdisjoint(names))
+                bad = bad or (not article and (name == "header" or not PAGE_NAMES.isdisjoint(names)))
                 stack.append((name, name + ("." + names[0] if names else ""), dropped or bad, article or name == "article"))
             inside = bool(stack) and stack[-1][3]
             out.append(Token(None, name, block, False, inside))

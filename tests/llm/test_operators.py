@@ -513,3 +513,9 @@ def test_region_is_the_best_contiguous_one():
 def test_text_column_types():
     raw, ends = bpe.utf8(pa.array(["é", None, ""], pa.string()).slice(1))
     assert len(raw) == 0 and ends.tolist() == [0, 0, 0]
+
+
+def test_html_keeps_what_belongs_to_the_article():
+    page = "<body><div class='site-header'>Site name</div><article><header class='entry-header'><h1>Title here</h1></header><figure><figcaption>A caption stays</figcaption></figure><p>Text with <svg>drawn</svg> words and more words</p><div class='notice'>Closed</div><p>End of it all</p></article></body>"
+    weights = html.Weights({"div.site": 1e-4}, {}, word=1.0, tag=0.05)
+    assert html.extract(page, weights) == "Title here\nA caption stays\nText with\nwords and more words\nEnd of it all"
