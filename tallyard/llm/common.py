@@ -18,7 +18,7 @@ _own_dir: str | None = None
 _for_exit: set[int] = set()
 
 #: Bytes of text that a task turns into arrays at once; a single longer text is taken whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -99,12 +99,12 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i below n at least."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << int(n).bit_length())
+        size = -(-n // (1 << 18)) * (1 << 18)
         pair = []
         for b in (base, pow(base, -1, 1 << 64)):
             p, step = np.ones(1, np.uint64), b
             while len(p) < size:
-                p = np.concatenate([p, p * np.uint64(step)])
+                p = np.concatenate([p, p[: size - len(p)] * np.uint64(step)])
                 step = step * step % (1 << 64)
             pair.append(p)
         have = _powers[base] = (pair[0], pair[1])

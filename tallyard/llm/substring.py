@@ -162,11 +162,10 @@ def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
             ids = b.column("doc_id").cast(pa.int64()).to_numpy()
             one = gram_hashes(words.hashes(0), window, 1)
             two = gram_hashes(words.hashes(1), window, 2)
-            order = np.lexsort((at, ids[doc], two[at], one[at]))
-            at, doc = at[order], doc[order]
             h, h2 = one[at], two[at]
+            order = np.lexsort((at, ids[doc], h2, h))
             later = np.zeros(len(at), bool)
-            later[1:] = (h[1:] == h[:-1]) & (h2[1:] == h2[:-1])
+            later[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
             h[later] = mix(h[later] + np.arange(1, int(later.sum()) + 1).astype(np.uint64) ^ ids[doc[later]].astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -211,7 +210,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     docs = one_row_per_id(docs)
     read = materialize(read_fingerprints(docs, window, gram), "fingerprints")
     # documents of the same words: the first stands for all
-    same = read.groupBy("text_key").agg(F.min("doc_id").alias("rep"))
+    same = materialize(read.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first-of-words")
     known = materialize(
         read.select("doc_id", "n_words", "kept_sha256", "text_key").join(same, "text_key").select("doc_id", "n_words", "kept_sha256", "rep"), "documents-of-words"
     )
