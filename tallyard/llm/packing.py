@@ -24,6 +24,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Bytes of text for each packing group: about 10 million tokens, 10,000 sequences.
 GROUP_BYTES = 24 << 20
+#: The same where a group holds the ids themselves, and so both matrices of its sequences.
+MATRIX_GROUP_BYTES = 6 << 20
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -187,7 +189,7 @@ def pack_pieces(docs: DataFrame, method: Callable = sum_of_squares, vocabulary:
     return _grouped(pieces(docs, vocabulary, capacity, end_id), groups).applyInPandas(pack, schema)
 
 
-def packed_sequences(docs: DataFrame, method: Callable = best_fit_decreasing, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def packed_sequences(docs: DataFrame, method: Callable = best_fit_decreasing, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_bytes: int = MATRIX_GROUP_BYTES) -> DataFrame:
     """Packed training rows, one per sequence: the real output of the packer.
 
     sequence_id; ids (binary: capacity little-endian unsigned 32-bit ids, zero behind n_tokens), n_tokens;
