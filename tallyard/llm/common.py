@@ -47,7 +47,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes tables that :func:`materialize` wrote, once all that is made of them is written itself."""
+    for df in frames:
+        remove_path(df.sparkSession, df.scratch)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def one_row_per_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = materialize(large, "large-star")
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = materialize(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
+        old, e = e, materialize(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
+        discard(old, large)
         now = _state(e)
         if now == before:
             break

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, materialize, mix, one_row_per_id, ranges, text_slices
+from .common import Words, discard, gram_hashes, materialize, mix, one_row_per_id, ranges, text_slices
 from .components import connected_components
 
 #: An n-gram is put last in the order if more than one in HOT documents holds it; at most HOT times the mean size
@@ -268,6 +268,7 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
     classes = materialize(read.where("n > 0").groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("rep")), "first-of-sets")
     known = materialize(read.select("doc_id", "n", "key_a", "key_b").join(classes, ["key_a", "key_b", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "set-classes")
 
+    discard(read, classes)
     by_gram, by_doc = Window.partitionBy("h"), Window.partitionBy("doc_id")
     rows = _prefixes(docs, hot, gram, percent, lower)
     reps = known.where("n > 0 AND doc_id = rep").select("doc_id")
@@ -277,13 +278,16 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
         "shared-grams",
     )
     for turn in range(2):  # who shares too little drops out; then its n-grams may be shared no more
+        before = shared
         shared = (
             shared.withColumn("holders", F.count(F.lit(1)).over(by_gram)).where("holders > 1").drop("holders")
             .withColumn("have", F.count(F.lit(1)).over(by_doc)).where("have >= need").drop("have")
         )
         shared = materialize(shared, f"shared-grams-{turn}")
+        discard(before)
     survivors = shared.select("doc_id").distinct()
     sets = materialize(_sets(docs.join(survivors, "doc_id"), gram, lower), "candidate-sets")
+    discard(shared)
     counted = _grams(sets).withColumn("holders", F.count(F.lit(1)).over(by_gram))
     enough = F.count_if(F.col("holders") > 1).over(by_doc) >= F.ceil(F.lit(percent) * F.col("n") / 100)
     rarest = F.row_number().over(by_doc.orderBy("holders", "h"))

@@ -20,13 +20,14 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, materialize, mix, one_row_per_id, ranges, scratch_path, text_slices
+from .common import Words, discard, gram_hashes, materialize, mix, one_row_per_id, ranges, remove_path, scratch_path, text_slices
 
 WINDOW, GRAM = 20, 8
 
@@ -42,12 +43,14 @@ class FingerprintIndex:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"fingerprints_{uuid.uuid4().hex[:12]}"
         self.runs: list[str] = []
+        self.paths: dict[str, str] = {}
         self.made = 0
 
     def _write(self, fps: DataFrame) -> str:
         table = f"{self.name}_{self.made}"
         self.made += 1
-        fps.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", scratch_path(self.spark, table)).format("parquet").saveAsTable(table)
+        self.paths[table] = scratch_path(self.spark, table)
+        fps.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", self.paths[table]).format("parquet").saveAsTable(table)
         return table
 
     def repeated(self, batch: DataFrame) -> DataFrame:
@@ -74,6 +77,7 @@ class FingerprintIndex:
     def drop(self) -> None:
         for run in self.runs:
             self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+            remove_path(self.spark, self.paths.pop(run))
         self.runs = []
 
 
@@ -221,7 +225,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     cuts = [c for c in (known.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else [])]
     edges = [None, *sorted({int(c) for c in cuts}), None]
     index = FingerprintIndex(spark, max_runs)
-    hits = in_doc.distinct()
+    parts = [in_doc]
     for low, high in zip(edges[:-1], edges[1:], strict=True):
         part = flat
         if low is not None:
@@ -229,13 +233,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
         if high is not None:
             part = part.where(F.col("doc_id") < high)
         batch = part.groupBy("fp").agg((F.count(F.lit(1)) > 1).alias("twice"))
-        hits = hits.unionByName(materialize(index.repeated(batch), "repeated"))
+        parts.append(materialize(index.repeated(batch), "repeated"))
         if high is not None:
             index.append(batch)
     index.drop()
-    hits = hits.distinct()
+    hits = reduce(DataFrame.unionByName, parts).distinct()
     wanted = flat.join(hits, "fp").groupBy("doc_id").agg(F.collect_list("fp").alias("hits"))
     hit_docs = materialize(docs.join(wanted, "doc_id"), "documents-with-repeats")
+    discard(read, same, flat, *parts)
     found = _windows(hit_docs, window, gram)
     same_words = Window.partitionBy("h", "h2")
     later = (
