@@ -8,7 +8,7 @@ Only labels of training documents are learnt from; language, source and ids neve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from .common import Words, mix, ranges, text_slices
 
 WINDOW, STRIDE = 32, 16
-#: Bound of the training sample: so many documents of either label, chosen by a hash of the id; of each, so many
-#: windows (the first, and others at random) take part in an epoch.
-SAMPLE, SAMPLE_WINDOWS = 1500, 48
+#: Bound of the training sample: so many documents of either label, chosen by a hash of the id; all their windows take part.
+SAMPLE = 1500
+#: Windows that training looks at in one go.
+CHUNK = 1 << 15
 WORD_ROWS, CHAR_ROWS, DIM, HIDDEN = 1 << 16, 1 << 15, 4, 8
 INPUT = 3 * DIM
 
@@ -106,15 +107,41 @@ def log_odds(corpus: Corpus, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1]
 
 
-def windows_of(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, first word and number of words of every window; one without words for a text without any."""
-    n = np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1)
-    doc = np.repeat(np.arange(len(counts)), n)
-    place = ranges(np.zeros(len(n), np.int64), n)
-    start = np.minimum(place * STRIDE, np.maximum(counts[doc] - WINDOW, 0))
+def n_windows(counts: np.ndarray) -> np.ndarray:
+    """Number of windows of each text; one without words for a text without any."""
+    return np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1)
+
+
+def windows_at(index: np.ndarray, n: np.ndarray, counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first word and number of words of the windows with these places in the line of all texts' windows."""
+    ends = np.cumsum(n)
+    doc = np.searchsorted(ends, index, side="right")
+    start = np.minimum((index - (ends - n)[doc]) * STRIDE, np.maximum(counts[doc] - WINDOW, 0))
     return doc, first[doc] + start, np.minimum(counts[doc] - start, WINDOW)
 
 
+def windows_of(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first word and number of words of every window."""
+    n = n_windows(counts)
+    return windows_at(np.arange(n.sum()), n, counts, first)
+
+
+def highest(score: Callable[[np.ndarray, np.ndarray], np.ndarray], n: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Place of each text's window of the highest score, the earliest of equal ones; all windows are scored, a chunk at a time."""
+    top, best = np.full(len(n), -np.inf), np.cumsum(n) - n
+    total = int(n.sum())
+    for a in range(0, total, CHUNK):
+        index = np.arange(a, min(a + CHUNK, total))
+        doc, start, size = windows_at(index, n, counts, first)
+        found = score(start, size)
+        order = np.lexsort((-found, doc))
+        docs, heads = np.unique(doc, return_index=True)
+        at = order[heads]
+        better = found[at] > top[docs]
+        top[docs[better]], best[docs[better]] = found[at[better]], index[at[better]]
+    return best
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -241,40 +268,38 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = 6, batch: int = 128
         net.p["w"][:] = 0
         return net
     net.p["word"][:, 0], net.p["char"][:, 0] = log_odds(corpus, toxic)
-    doc, start, size = windows_of(corpus.counts, np.concatenate([[0], np.cumsum(corpus.counts)]))
-    order = np.lexsort((rng.random(len(doc)), doc))
-    place = np.empty(len(doc), np.int64)
-    place[order] = np.arange(len(doc)) - np.repeat(np.searchsorted(doc, np.arange(len(toxic))), np.bincount(doc, minlength=len(toxic)))
-    kept = np.flatnonzero(place < SAMPLE_WINDOWS)
-    doc, start, size = doc[kept], start[kept], size[kept]
+    first = np.concatenate([[0], np.cumsum(corpus.counts)[:-1]])
+    n = n_windows(corpus.counts)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     steps = np.arange(WINDOW)[:, None]
-    heads = np.searchsorted(doc, np.arange(len(toxic)))
     for epoch in range(epochs):
         features, strongest = net.features(word_rows, gram_rows, sizes)
-        if epoch:
-            score = net.score_windows(features, codes, start, size, chunk=1024)
-        else:
-            strength = np.append(features[:, 0] + 2 * features[:, 2 * DIM], 0)
-            wide = np.where(np.arange(WINDOW)[None, :] < size[:, None], codes[np.minimum(start[:, None] + np.arange(WINDOW), len(codes) - 1)], len(features))
-            score = strength[wide].max(axis=1)
-        best = np.lexsort((-score, doc))[heads]
-        other = heads + rng.integers(0, np.diff(np.append(heads, len(doc))))
+        strength = np.append(features[:, 0] + 2 * features[:, 2 * DIM], 0)
+
+        def by_words(start: np.ndarray, size: np.ndarray, strength: np.ndarray = strength) -> np.ndarray:
+            at = np.minimum(start[:, None] + np.arange(WINDOW), len(codes) - 1)
+            return strength[np.where(np.arange(WINDOW) < size[:, None], codes[at], len(strength) - 1)].max(axis=1)
+
+        def by_network(start: np.ndarray, size: np.ndarray, features: np.ndarray = features) -> np.ndarray:
+            return net.score_windows(features, codes, start, size, chunk=1024)
+
+        best = highest(by_network if epoch else by_words, n, corpus.counts, first)
+        other = np.cumsum(n) - n + rng.integers(0, n)
         clean = np.flatnonzero(toxic == 0)
         picked = np.unique(np.concatenate([best, other[clean]]))
         rng.shuffle(picked)
         for a in range(0, len(picked), batch):
-            at = picked[a : a + batch]
-            mask = steps < size[None, at]
-            word = np.where(mask, codes[np.where(mask, start[None, at] + steps, 0)], 0)
+            doc, start, size = windows_at(picked[a : a + batch], n, corpus.counts, first)
+            mask = steps < size[None, :]
+            word = np.where(mask, codes[np.where(mask, start[None, :] + steps, 0)], 0)
             used, local = np.unique(word, return_inverse=True)
             local = local.reshape(word.shape)
             grams = ranges(np.concatenate([[0], np.cumsum(sizes)[:-1]])[used], sizes[used])
             feats, strongest = net.features(word_rows[used], gram_rows[grams], sizes[used])
             logit, tape = net.forward(feats[local] * mask[:, :, None], mask, keep=True)
-            y = toxic[doc[at]]
-            d_logit = ((_sigmoid(logit) - y) / len(at)).astype(np.float32)
+            y = toxic[doc]
+            d_logit = ((_sigmoid(logit) - y) / len(doc)).astype(np.float32)
             g, d_x = net.backward(tape, d_logit)
             d_feat = np.zeros_like(feats)
             np.add.at(d_feat, local.ravel(), (d_x * mask[:, :, None]).reshape(-1, INPUT))

@@ -443,6 +443,25 @@ def test_toxicity_without_labels(spark):
     assert not toxicity.toxicity(frame(spark, []), lab).collect()
 
 
+def test_toxicity_learns_from_all_windows_of_a_long_text(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("lmnoprstaeiou") for _ in range(rng.randint(2, 7))) for _ in range(900)]
+    texts = [[rng.choice(words) for _ in range(n)] for n in (3800, 3800, 40, 0, 3800)]
+    toxic = np.array([1, 0, 0, 0, 1])
+    texts[0][3000] = texts[4][1700] = "zorgback"
+    counts = np.array([len(w) for w in texts])
+    _, start, _ = toxicity.windows_of(counts, np.cumsum(counts) - counts)
+    seen, taught = [], []
+    score, forward = toxicity.Network.score_windows, toxicity.Network.forward
+    monkeypatch.setattr(toxicity, "CHUNK", 100, raising=False)
+    monkeypatch.setattr(toxicity.Network, "score_windows", lambda net, f, c, start, size, **k: seen.extend(start.tolist()) or score(net, f, c, start, size, **k))
+    monkeypatch.setattr(toxicity.Network, "forward", lambda net, x, mask, keep=False, **k: (taught.append(x.shape[1]) if keep else None) or forward(net, x, mask, keep, **k))
+    toxicity.train(pa.array([" ".join(w) for w in texts]), toxic, epochs=3)
+    assert len(start) > 3 * 236 and sorted(seen) == sorted(2 * start.tolist())
+    # of each text its highest window, of a clean one perhaps another
+    assert len(taught) == 3 and all(len(texts) <= n <= len(texts) + 3 for n in taught)
+
+
 def test_gradients():
     """The backward pass against finite differences."""
     net = toxicity.Network(3)
