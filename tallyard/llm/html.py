@@ -26,16 +26,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|textarea|title|noscript|template|iframe"
 
-#: Elements and words of class, id or role that are never main text; the last also where they stand in an article.
-DROPPED = frozenset("nav aside footer form button menu dialog head fieldset select svg math canvas object".split())
+#: Elements that are never main text, and ones that are unless they hold it: an article or main element, or most of a page's words.
+DROPPED = frozenset("nav aside footer button menu dialog head select svg canvas object".split())
+FORMS = frozenset("form fieldset".split())
+#: Whole names of class, id or role that are never main text; the first only outside of an article.
 PAGE_NAMES = frozenset("header masthead".split())
-DROPPED_NAMES = frozenset(
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
+DROPPED_NAMES = COMMENT_NAMES | frozenset(
     "ad ads advert adverts advertisement adbox banner promo promotion sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
-    "comment comments reply replies respond disqus notice notices cookie cookies consent popup modal newsletter subscribe share sharing social related widget".split()
+    "notice notices cookie cookies consent popup modal newsletter subscribe share sharing social related widget".split()
 )
+#: Of these, names that also stand on main text: in an article they drop only what merely groups, and never most of a page's words.
+AMBIGUOUS = frozenset("reply replies banner promotion sponsor sidebar menu navigation notice notices share sharing social related widget".split())
+GROUPS = frozenset("div section ul ol li".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S | re.I)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAMES = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
@@ -59,15 +65,24 @@ class Token:
 
 
 def tokens(page: str) -> list[Token]:
-    """Texts and tags of a page in order; broken markup is read as browsers mostly do, never refused."""
+    """Texts and tags of a page in order; broken markup is read as browsers mostly do, never refused.
+
+    An element that holds an article or main element isn't dropped, whatever its names; comments after an article are,
+    even where each is an article, and so are articles in a nav, an aside and the like.
+    """
     out: list[Token] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, context, dropped, article
+    stack: list[tuple[str, str, tuple[int, ...], bool]] = []  # name, context, numbers of the elements that drop it, article
+    kinds: list[str] = []  # of each element that drops: element, comment, name, wide (unless most of the page's words are in it)
+    causes: list[tuple[int, ...]] = []  # of each token
+    kept: set[int] = set()  # elements that turned out to hold main text
     block = links = at = 0
+    article_seen = False
 
     def add(text: str) -> None:
         if text.strip():
-            _, context, dropped, article = stack[-1] if stack else ("", "", False, False)
-            out.append(Token(text, context + "/a" * (links > 0), block, dropped, article))
+            _, context, dropped, article = stack[-1] if stack else ("", "", (), False)
+            out.append(Token(text, context + "/a" * (links > 0), block, False, article))
+            causes.append(dropped)
         elif out and out[-1].text is not None and text:
             out[-1].text += " "
 
@@ -95,19 +110,54 @@ def tokens(page: str) -> list[Token]:
                     stack.pop()
                 elif name == "li" and stack and stack[-1][0] == "li":
                     stack.pop()
-                names = [p for g in _NAMES.findall(m[4]) for p in _PART.findall((g[0] or g[1] or g[2]).lower())] if m[4] else []
-                _, _, dropped, article = stack[-1] if stack else ("", "", False, False)
-                bad = name in DROPPED or (name not in ("html", "body", "main", "article") and not DROPPED_NAMES.isdisjoint(names))
-                bad = bad or (not article and (name == "header" or not PAGE_NAMES.isdisjoint(names)))
-                stack.append((name, name + ("." + names[0] if names else ""), dropped or bad, article or name == "article"))
+                values = [(g[0] or g[1] or g[2]).lower() for g in _NAMES.findall(m[4])] if m[4] else []
+                names = [p for v in values for p in _PART.findall(v)]
+                _, _, dropped, article = stack[-1] if stack else ("", "", (), False)
+                kind = _kind(name, {w for v in values for w in v.split()}, article)
+                if kind:
+                    dropped = (*dropped, len(kinds))
+                    kinds.append(kind)
+                elif name == "main" or (name == "article" and not article):
+                    kept.update(k for k in dropped if name == "main" or not (kinds[k] == "element" or (kinds[k] == "comment" and article_seen)))
+                    article_seen |= name == "article"
+                stack.append((name, name + ("." + names[0] if names else ""), dropped, article or name == "article"))
             inside = bool(stack) and stack[-1][3]
             out.append(Token(None, name, block, False, inside))
+            causes.append(())
         elif name == "br":
             add("\n")
     add(page[at:])
+    if kinds:
+        words = [0] * len(kinds)
+        total = 0
+        for t, dropped in zip(out, causes, strict=True):
+            if t.text is not None:
+                n = len(t.text.split())
+                total += n
+                for k in dropped:
+                    words[k] += n
+        kept.update(k for k, kind in enumerate(kinds) if kind == "wide" and 2 * words[k] > total)
+        for t, dropped in zip(out, causes, strict=True):
+            t.dropped = not kept.issuperset(dropped)
     return out
 
 
+def _kind(name: str, names: set[str], article: bool) -> str:
+    """How an element drops what it holds (see ``tokens``); empty if it doesn't."""
+    if name in DROPPED:
+        return "element"
+    if name in FORMS:
+        return "wide"
+    if name in ("html", "body", "main", "article"):
+        return ""
+    hit = names & DROPPED_NAMES
+    if article and name not in GROUPS:
+        hit -= AMBIGUOUS
+    if hit:
+        return "wide" if hit <= AMBIGUOUS else "comment" if hit & COMMENT_NAMES else "name"
+    return "name" if not article and (name == "header" or names & PAGE_NAMES) else ""
+
+
 def region(line: list[Token], weights: Weights) -> tuple[int, int]:
     """The maximum-scoring subsequence as token indices [from, to); empty if nothing scores half a word."""
     best, span, total, begin = 0.5, (0, 0), 0.0, 0

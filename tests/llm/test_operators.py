@@ -538,3 +538,23 @@ def test_html_keeps_what_belongs_to_the_article():
     page = "<body><div class='site-header'>Site name</div><article><header class='entry-header'><h1>Title here</h1></header><figure><figcaption>A caption stays</figcaption></figure><p>Text with <svg>drawn</svg> words and more words</p><div class='notice'>Closed</div><p>End of it all</p></article></body>"
     weights = html.Weights({"div.site": 1e-4}, {}, word=1.0, tag=0.05)
     assert html.extract(page, weights) == "Title here\nA caption stays\nText with\nwords and more words\nEnd of it all"
+
+
+def test_html_drops_nothing_that_holds_the_article(spark):
+    text = "Some words of the article that stand here"
+    around = ["<form id='aspnetForm'>{}</form>", "<div class='layout has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class='social-feed'>{}</div>", "<div class='layout sidebar'>{}</div>", "<div id='widget'><div><main>{}</main></div></div>"]
+    pages = [a.format(f"<article><p>{text}</p></article>") for a in around]
+    pages += ["<form id='aspnetForm'><div class='navbar'>One</div><div><p>" + f"{text} " * 4 + "</p></div></form>"]
+    inner = ["<p class='related-work'>Earlier work is this</p>", "<table class='menu'><tr><td>Soup of the day</td></tr></table>", "<math><mi>x</mi></math>", "<p class='social'>People meet here</p>"]
+    pages += [f"<article><p>{text}</p>{i}<p>{text}</p></article>" for i in inner]
+    comments = "<ol class='comments'><li><article><p>Reader says no</p></article></li></ol>"
+    pages += [f"<article><p>{text}</p>{comments}</article>", f"<article><p>{text}</p></article>{comments}", f"<article><p>{text}</p><div class='social'>Share it</div><form>Send me</form></article>"]
+    df = spark.createDataFrame([(k, "u", f"<html><body>{p}</body></html>") for k, p in enumerate(pages)], "page_id long, url string, html string")
+    weights = html.Weights({}, {}, word=1.0, tag=0.05)
+    got = {r.page_id: r.text for r in html.extract_main_text(df, weights).collect()}
+    assert [got[k] for k in range(6)] == [text] * 6
+    assert got[6] == " ".join([text] * 4)
+    assert [got[k] for k in range(7, 11)] == [f"{text}\n{i}\n{text}" for i in ("Earlier work is this", "Soup of the day", "x", "People meet here")]
+    assert [got[k] for k in range(11, 14)] == [text] * 3
+    # the weights are learnt with these articles as main text too
+    assert html.fit(df.where("page_id < 6")).words["p"] > 0.9
