@@ -14,14 +14,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranges, span_hashes, text_slices, utf8
+from .common import Rows, WordNumbers, ranges, text_slices, utf8
 
 #: Distinct words remembered by a worker before it starts anew.
 CACHE = 1_000_000
@@ -100,36 +99,6 @@ def byte_alphabet() -> list[str]:
     return [table[b] for b in range(256)]
 
 
-class Rows:
-    """Growing list of id lists, stored flat."""
-
-    def __init__(self) -> None:
-        self.flat, self.ends, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    def __len__(self) -> int:
-        return self.n
-
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        used = int(self.ends[self.n])
-        while len(self.flat) < used + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.ends) <= self.n + len(sizes):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[used : used + len(ids)] = ids
-        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = used + np.cumsum(sizes)
-        self.n += len(sizes)
-
-    def take(self, rows: np.ndarray, special: np.ndarray | None = None, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these rows, one after another, and their numbers; at the places ``special`` one value each instead."""
-        starts = self.ends[rows]
-        sizes = self.ends[rows + 1] - starts
-        if special is None or not len(special):
-            return self.flat[ranges(starts, sizes)], sizes
-        starts, sizes = starts.copy(), sizes.copy()
-        starts[special], sizes[special] = len(self.flat) + np.arange(len(special)), 1
-        return np.concatenate([self.flat, values])[ranges(starts, sizes)], sizes
-
-
 class Bpe:
     """Encoder and decoder for one vocabulary file (JSON of a byte-level BPE model)."""
 
@@ -160,8 +129,7 @@ class Bpe:
         self._reset()
 
     def _reset(self) -> None:
-        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of known words, sorted by hash
-        self.word_ids = Rows()
+        self.known, self.word_ids = WordNumbers(), Rows()  # known words, and the ids of each by its number
 
     def merge_words(self, raw: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all words (their bytes one after another, and how many each has), and how many ids each has.
@@ -212,29 +180,17 @@ class Bpe:
 
     def encode_flat(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts raw[offsets[k]:offsets[k + 1]] (UTF-8), special tokens' strings taken as text; n + 1 offsets."""
-        if len(self.hashes) > CACHE:
+        if len(self.known) > CACHE:
             self._reset()
         starts = word_starts(raw, offsets)
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(raw))
-        codes, distinct = pd.factorize(span_hashes(raw, starts, ends))
-        at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
-        known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
-        rows = np.empty(len(distinct), np.int64)
-        rows[known] = self.rows[at[known]]
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            one = np.empty(len(distinct), np.int64)
-            one[codes[::-1]] = np.arange(len(codes))[::-1]  # a place where each occurs
-            one = one[fresh]
-            rows[fresh] = len(self.word_ids) + np.arange(len(fresh))
-            self.word_ids.add(*self.merge_words(raw[ranges(starts[one], ends[one] - starts[one])], ends[one] - starts[one]))
-            both = np.concatenate([self.hashes, np.sort(distinct[fresh])])
-            order = np.argsort(both, kind="stable")
-            self.rows = np.concatenate([self.rows, rows[fresh][np.argsort(distinct[fresh])]])[order]
-            self.hashes = both[order]
-        ids, sizes = self.word_ids.take(rows[codes])
+        numbers, new = self.known.of(raw, starts, ends)
+        if len(new):
+            size = ends[new] - starts[new]
+            self.word_ids.add(*self.merge_words(raw[ranges(starts[new], size)], size))
+        ids, sizes = self.word_ids.take(numbers)
         return ids, np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,13 @@ SLICE_BYTES = 2 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The shared folder of the cluster (``spark.checkpoint.dir``); where it is unset, a temporary one, on a local master only."""
     global _own_dir
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
@@ -70,6 +73,21 @@ def one_row_per_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else rows
 
 
+def numbered_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """The rows with a long of their own in the order of id (null last) and text; and the name of that column.
+
+    It is the id itself where no row lacks or repeats one. Otherwise the rows are sorted and written with their numbers.
+    """
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
+    if ids.where("id IS NULL OR count > 1").isEmpty():
+        return docs.withColumn(key, F.col(id_col).cast("long")), key
+    ordered = docs.orderBy(F.col(id_col).cast("long").asc_nulls_last(), F.col(text_col).asc_nulls_last())
+    return materialize(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered-rows"), key
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about SLICE_BYTES of text each, so that a task's arrays stay bounded."""
     for batch in batches:
@@ -104,24 +122,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n at least."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = -(-n // (1 << 18)) * (1 << 18)
-        pair = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p, step = np.ones(1, np.uint64), b
-            while len(p) < size:
-                p = np.concatenate([p, p[: size - len(p)] * np.uint64(step)])
-                step = step * step % (1 << 64)
-            pair.append(p)
-        have = _powers[base] = (pair[0], pair[1])
-    return have
+_GOLDEN = 0x9E3779B97F4A7C15
+_SEEDS = (0x2545F4914F6CDD1D, 0xC2B2AE3D27D4EB4F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -133,13 +135,116 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each raw[starts[k]:ends[k]], from running sums of a polynomial modulo 2**64."""
-    power, inverse = _power_tables(_BASES[which], len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw + np.uint64(1)) * power[: len(raw)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(which))
+def lanes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each raw[starts[k]:ends[k]] as 64-bit numbers, the last one filled up with zeros; and how many each has."""
+    counts = (ends - starts + 7) >> 3
+    at = ranges(starts, counts, 8)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    values = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))[at]
+    left = np.repeat(ends, counts) - at
+    short = np.flatnonzero(left < 8)
+    values[short] &= (np.uint64(1) << (left[short].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+    return values, counts
+
+
+def lane_hashes(values: np.ndarray, counts: np.ndarray, sizes: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span's lanes: each lane is mixed with its place before they are added up.
+
+    Spans of the same size up to eight bytes never share one.
+    """
+    if not len(counts):
+        return np.zeros(0, np.uint64)
+    heads = np.cumsum(counts) - counts
+    place = mix(np.arange(int(counts.max()), dtype=np.uint64) * np.uint64(_GOLDEN) + np.uint64(_SEEDS[which]))
+    mixed = mix(values ^ place[np.arange(len(values)) - np.repeat(heads, counts)])
+    return mix(np.add.reduceat(mixed, heads) + sizes.astype(np.uint64) * np.uint64(_GOLDEN) + np.uint64(which))
+
+
+class Rows:
+    """Growing list of number lists, stored flat."""
+
+    def __init__(self, kind: type = np.int64) -> None:
+        self.flat, self.ends, self.n = np.zeros(1 << 16, kind), np.zeros(1 << 14, np.int64), 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        used = int(self.ends[self.n])
+        while len(self.flat) < used + len(values):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.ends) <= self.n + len(sizes):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[used : used + len(values)] = values
+        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.n += len(sizes)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers in these rows, one row after another, and how many each has."""
+        starts = self.ends[rows]
+        sizes = self.ends[rows + 1] - starts
+        return self.flat[ranges(starts, sizes)], sizes
+
+
+class WordNumbers:
+    """Numbers words from 0 in the order they come: two have the same number if and only if their bytes are the same.
+
+    Hashes only find the word to compare with; words whose hash an unlike word has taken are told apart in a dict.
+    """
+
+    def __init__(self) -> None:
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by hash
+        self.lanes, self.sizes = Rows(np.uint64), Rows()
+        self.unlike: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.lanes)
+
+    def of(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each word raw[starts[k]:ends[k]]; and where new words stand, in the order of their numbers."""
+        values, counts = lanes(raw, starts, ends)
+        sizes = ends - starts
+        codes, distinct = pd.factorize(self._hash(values, counts, sizes))
+        at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
+        numbers = np.empty(len(distinct), np.int64)
+        numbers[known] = self.number[at[known]]
+        fresh = np.flatnonzero(~known)
+        one = np.empty(len(distinct), np.int64)
+        one[codes[::-1]] = np.arange(len(codes))[::-1]  # the first place where each occurs
+        new = one[fresh]
+        heads = np.cumsum(counts) - counts
+        if len(fresh):
+            numbers[fresh] = len(self) + np.arange(len(fresh))
+            self.lanes.add(values[ranges(heads[new], counts[new])], counts[new])
+            self.sizes.add(sizes[new], np.ones(len(new), np.int64))
+            order = np.argsort(distinct[fresh])
+            place = np.searchsorted(self.hashes, distinct[fresh][order])
+            self.hashes = np.insert(self.hashes, place, distinct[fresh][order])
+            self.number = np.insert(self.number, place, numbers[fresh][order])
+        found = numbers[codes]
+        alike = self.sizes.flat[found] == sizes
+        have, _ = self.lanes.take(found[alike])
+        differs = have != (values if alike.all() else values[np.repeat(alike, counts)])
+        if differs.any():
+            owner = np.repeat(np.flatnonzero(alike), counts[alike])
+            alike[owner[differs]] = False
+        if not alike.all():
+            more = []
+            for k in np.flatnonzero(~alike).tolist():
+                word = raw[starts[k] : ends[k]].tobytes()
+                if word not in self.unlike:
+                    self.unlike[word] = len(self)
+                    self.lanes.add(values[heads[k] : heads[k] + counts[k]], counts[k : k + 1])
+                    self.sizes.add(sizes[k : k + 1], np.ones(1, np.int64))
+                    more.append(k)
+                found[k] = self.unlike[word]
+            new = np.concatenate([new, np.array(more, np.int64)])
+        return found, new
+
+    @staticmethod
+    def _hash(values: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return lane_hashes(values, counts, sizes)
 
 
 class Words:
@@ -171,7 +276,7 @@ class Words:
 
     def hashes(self, which: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes; which: 0 or 1, two independent ones."""
-        return span_hashes(self.raw, self.starts, self.ends, which)
+        return lane_hashes(*lanes(self.raw, self.starts, self.ends), self.ends - self.starts, which)
 
 
 def gram_hashes(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
@@ -181,14 +286,16 @@ def gram_hashes(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     r = np.uint64(0xD6E8FEB86659FD93)
     out = np.zeros(len(h) - n + 1, np.uint64)
     for j in range(n):
-        out = out * r + h[j : len(h) - n + 1 + j]
-    return mix(out + np.uint64((salt + n) * 0x9E3779B97F4A7C15 % (1 << 64)))
+        out ^= h[j : len(h) - n + 1 + j]
+        out *= r
+        out ^= out >> np.uint64(32)
+    return mix(out + np.uint64((salt + n) * _GOLDEN % (1 << 64)))
 
 
-def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Concatenated arange(s, s + c) of each pair."""
+def ranges(starts: np.ndarray, counts: np.ndarray, step: int = 1) -> np.ndarray:
+    """Concatenated s, s + step, ... of c numbers for each pair (s, c)."""
     total = int(counts.sum())
     if not total:
         return np.zeros(0, np.int64)
-    shift = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
-    return np.arange(total, dtype=np.int64) + shift
+    shift = np.repeat(starts - step * (np.cumsum(counts) - counts), counts)
+    return np.arange(0, total * step, step, dtype=np.int64) + shift

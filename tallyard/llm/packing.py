@@ -12,7 +12,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +50,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
             doc, piece, start, length, crc, raw = [], [], [], [], [], []
             flat, offsets = bpe.encode_column(b.column("text"))
             flat, last = flat.astype("<u4").tobytes(), int(end_id).to_bytes(4, "little")
-            for k, i in enumerate(b.column("doc_id").to_pylist()):
+            for k, i in enumerate(b.column("doc_id").cast(pa.int64()).to_pylist()):
                 ids = flat[4 * offsets[k] : 4 * offsets[k + 1]] + last
                 for p, (s, n) in enumerate(cuts(len(ids) // 4, capacity)):
                     part = ids[4 * s : 4 * (s + n)]
@@ -167,26 +166,29 @@ def _grouped(parts: DataFrame, groups: int) -> DataFrame:
     return parts.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")).groupBy("g")
 
 
+def _in_order(t: pa.Table) -> pa.Table:
+    """Pieces in a fixed order, those without an id last; ids stay in Arrow, where a null changes no other value."""
+    return t.combine_chunks().sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "length", "ids_crc32")])
+
+
 def pack_pieces(docs: DataFrame, method: Callable = sum_of_squares, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Packs all documents into sequences of at most ``capacity`` tokens; one row per piece.
 
-    Null and empty texts are one end token; repeated rows are packed as often as they come; an empty table gives
-    an empty result. sequence_id is group * 2**40 + bin; offsets are gapless from 0 in each sequence.
+    Null and empty texts are one end token; texts of any length are cut, never shortened; repeated rows are packed as
+    often as they come, and rows without an id like any other; other columns are ignored; an empty table gives an
+    empty result. sequence_id is group * 2**40 + bin; offsets are gapless from 0 in each sequence.
     """
     groups = group_count(docs, group_bytes)
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "start"], kind="stable", ignore_index=True)
-        bins, offsets = method(pdf["length"].to_numpy(np.int64), capacity)
-        return pd.DataFrame(
-            {
-                "doc_id": pdf["doc_id"], "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"].astype("int64"),
-                "ids_crc32": pdf["ids_crc32"], "sequence_id": (int(pdf["g"].iloc[0]) << 40) + bins, "offset": offsets,
-            }
-        )
+    def pack(t: pa.Table) -> pa.Table:
+        t = _in_order(t)
+        bins, offsets = method(t["length"].to_numpy().astype(np.int64), capacity)
+        t = t.set_column(t.schema.get_field_index("length"), "length", t["length"].cast(pa.int64()))
+        placed = t.append_column("sequence_id", pa.array((t["g"][0].as_py() << 40) + bins)).append_column("offset", pa.array(offsets))
+        return placed.select(["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return _grouped(pieces(docs, vocabulary, capacity, end_id), groups).applyInPandas(pack, schema)
+    return _grouped(pieces(docs, vocabulary, capacity, end_id), groups).applyInArrow(pack, schema)
 
 
 def packed_sequences(docs: DataFrame, method: Callable = best_fit_decreasing, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, group_bytes: int = MATRIX_GROUP_BYTES) -> DataFrame:
@@ -195,30 +197,40 @@ def packed_sequences(docs: DataFrame, method: Callable = best_fit_decreasing, vo
     sequence_id; ids (binary: capacity little-endian unsigned 32-bit ids, zero behind n_tokens), n_tokens;
     doc_ids, pieces, starts of its segments in order; cu_seqlens (cumulative segment lengths from 0);
     positions (binary like ids: token positions that restart at 0 with each segment). Overlong documents are cut
-    losslessly: doc_ids, pieces and starts say where each segment belongs.
+    losslessly: doc_ids, pieces and starts say where each segment belongs. Null and empty texts are one end token;
+    rows that repeat or lack an id are packed like any other (a null among doc_ids); other columns are ignored; an
+    empty table gives an empty result.
     """
     groups = group_count(docs, group_bytes)
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "start"], kind="stable", ignore_index=True)
-        lengths = pdf["length"].to_numpy(np.int64)
+    def pack(t: pa.Table) -> pa.Table:
+        t = _in_order(t)
+        lengths = t["length"].to_numpy().astype(np.int64)
         bins, offsets = method(lengths, capacity)
         order = np.lexsort((offsets, bins))
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(bins[order]) > 0]))
-        ids = pdf["ids"].to_numpy()
-        doc, piece, start = (pdf[c].to_numpy() for c in ("doc_id", "piece", "start"))
-        rows = []
-        for rank, members in enumerate(np.split(order, heads[1:])):
-            sizes = lengths[members]
-            ends = np.cumsum(sizes)
-            row = b"".join(ids[members])
+        t, lengths, bins = t.take(pa.array(order)), lengths[order], bins[order]
+        heads = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+        ends = np.append(heads[1:], len(bins))
+        parts = t["ids"].to_pylist()
+        ids, positions, sums, used = [], [], [], []
+        for a, z in zip(heads.tolist(), ends.tolist(), strict=True):
+            sizes = lengths[a:z]
+            to = np.cumsum(sizes)
+            row = b"".join(parts[a:z])
+            ids.append(row + bytes(4 * capacity - len(row)))
             position = np.zeros(capacity, "<u4")
-            position[: ends[-1]] = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-            rows.append(((int(pdf["g"].iloc[0]) << 40) + rank, row + bytes(4 * capacity - len(row)), int(ends[-1]), [None if pd.isna(d) else int(d) for d in doc[members]], piece[members].tolist(), start[members].tolist(), [0, *ends.tolist()], position.tobytes()))
-        return pd.DataFrame(rows, columns=["sequence_id", "ids", "n_tokens", "doc_ids", "pieces", "starts", "cu_seqlens", "positions"])
+            position[: to[-1]] = np.arange(to[-1]) - np.repeat(to - sizes, sizes)
+            positions.append(position.tobytes())
+            sums.append([0, *to.tolist()])
+            used.append(int(to[-1]))
+        segments = pa.array(np.append(heads, len(bins)), pa.int32())
+        lists = [pa.ListArray.from_arrays(segments, t[c].combine_chunks()) for c in ("doc_id", "piece", "start")]
+        number = pa.array((t["g"][0].as_py() << 40) + np.arange(len(heads)))
+        columns = [number, pa.array(ids, pa.binary()), pa.array(used, pa.int32()), *lists, pa.array(sums, pa.list_(pa.int32())), pa.array(positions, pa.binary())]
+        return pa.table(columns, names=["sequence_id", "ids", "n_tokens", "doc_ids", "pieces", "starts", "cu_seqlens", "positions"])
 
     schema = "sequence_id long, ids binary, n_tokens int, doc_ids array<long>, pieces array<int>, starts array<long>, cu_seqlens array<int>, positions binary"
-    return _grouped(pieces(docs, vocabulary, capacity, end_id, with_ids=True), groups).applyInPandas(pack, schema)
+    return _grouped(pieces(docs, vocabulary, capacity, end_id, with_ids=True), groups).applyInArrow(pack, schema)
 
 
 def write_packed(docs: DataFrame, path: str, **options) -> None:

@@ -1,18 +1,22 @@
 """Substring deduplication with a log-structured index of fingerprints.
 
-The whole job, for windows of ``window`` words (20) over all documents in the order of their ids:
-
-1. Every document is read once. Equal texts are reduced to the first of them. In each window one run of ``gram``
-   words (8) is selected, that of the smallest hash: equal windows select equal runs, so a repeated window always
-   repeats a selected fingerprint, and there is only one fingerprint for some seven words.
-2. The documents come in batches by id. The fingerprints of a batch are merge-joined with the sorted, immutable
-   runs of the index (bucketed by fingerprint, so the runs aren't shuffled again); those found there, or twice in
-   the batch, are repeated. Then the batch becomes a new run; when there are too many, they are compacted into one.
-3. Only the windows of repeated fingerprints are verified: their words' 96-bit fingerprints, of all documents,
-   are grouped, and each but the first occurrence is marked. This makes the result exact, not a sketch.
-4. Documents with marked windows lose the words these cover.
-
-Copies and hot passages never meet as pairs: all steps group by fingerprint, and keep one row per occurrence.
+A batch of documents is deduplicated against all that the index has taken in before, and within itself, for windows
+of ``window`` words (20):
+
+1. Every document of the batch is read once. Equal texts are reduced to the first of them. In each window one run of
+   ``gram`` words (8) is selected, that of the smallest hash: equal windows select equal runs, so a repeated window
+   always repeats a selected fingerprint, and there is only one fingerprint for some seven words.
+2. The fingerprints of the batch are merge-joined with the sorted, immutable runs of the index (bucketed by
+   fingerprint, so the runs aren't shuffled). Those found there, or twice in the batch, are repeated.
+3. Only windows of repeated fingerprints are verified, by a 128-bit cryptographic digest of their words: with each
+   other, with the digests of windows that earlier batches repeated (runs too), and with the windows of the one
+   earlier document that held a fingerprint alone until now, whose text the index keeps. History isn't read again
+   otherwise, and the result is exact, not a sketch.
+4. Documents with repeated windows lose the words these cover. The batch's fingerprints and digests become new runs;
+   when there are too many, they are compacted into one.
+
+A table without history is cut into batches by id that pass through an index of their own. Copies and hot passages
+never meet as pairs: all steps group by fingerprint or digest, and keep one row per occurrence.
 """
 
 from __future__ import annotations
@@ -27,58 +31,79 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, discard, gram_hashes, materialize, mix, one_row_per_id, ranges, remove_path, scratch_path, text_slices
+from .common import Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, remove_path, scratch_path, text_slices
 
 WINDOW, GRAM = 20, 8
+#: Rows of a run in a bucket: more make more buckets than there are shuffle partitions.
+BUCKET_ROWS = 4_000_000
 
 
 class FingerprintIndex:
-    """Log-structured set of fingerprints: sorted immutable runs, merge-joined with each batch, compacted by and by.
+    """Log-structured index of windows seen, kept in a folder that all executors share; opened anew, it goes on.
 
-    A run is a table of distinct fingerprints in the shared folder, bucketed and sorted by fingerprint.
+    Sorted immutable runs, bucketed by their first column and compacted when there are more than max_runs (of texts,
+    max_texts) of a kind:
+    fps (fp, doc_id: the only holder so far, null once the fingerprint repeats), windows (digest of each distinct window
+    of repeated fingerprints) and texts (of each document taken in, but copies). The newest ``state-*`` table lists
+    the runs that count, so that a batch that fails leaves the index as it was.
     """
 
-    def __init__(self, spark: SparkSession, max_runs: int = 2):
-        self.spark, self.max_runs = spark, max_runs
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = f"fingerprints_{uuid.uuid4().hex[:12]}"
-        self.runs: list[str] = []
-        self.paths: dict[str, str] = {}
-        self.made = 0
-
-    def _write(self, fps: DataFrame) -> str:
-        table = f"{self.name}_{self.made}"
-        self.made += 1
-        self.paths[table] = scratch_path(self.spark, table)
-        fps.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", self.paths[table]).format("parquet").saveAsTable(table)
-        return table
-
-    def repeated(self, batch: DataFrame) -> DataFrame:
-        """The fingerprints of ``batch`` (fp, twice: more than once in the batch) that some run or the batch itself repeats."""
-        found = batch
-        for k, run in enumerate(self.runs):
-            found = found.join(self.spark.table(run).select("fp", F.lit(True).alias(f"in_{k}")).hint("merge"), "fp", "left")
-        seen = F.col("twice")
-        for k in range(len(self.runs)):
-            seen = seen | F.coalesce(F.col(f"in_{k}"), F.lit(False))
-        return found.where(seen).select("fp")
-
-    def append(self, batch: DataFrame) -> None:
-        """Adds a batch of distinct fingerprints as a new run, and compacts if there are more than max_runs."""
-        self.runs.append(self._write(batch.select("fp")))
-        if len(self.runs) > self.max_runs:
-            every = self.spark.table(self.runs[0])
-            for run in self.runs[1:]:
-                every = every.unionByName(self.spark.table(run))
-            merged = self._write(every.distinct())
-            self.drop()
-            self.runs = [merged]
-
-    def drop(self) -> None:
-        for run in self.runs:
-            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
-            remove_path(self.spark, self.paths.pop(run))
-        self.runs = []
+    KINDS = {"fps": "fp long, doc_id long", "windows": "digest binary", "texts": "doc_id long, text string"}
+
+    def __init__(self, spark: SparkSession, path: str, max_runs: int = 4, max_texts: int = 16):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.most = {"fps": max_runs, "windows": max_runs, "texts": max_texts}
+        self.tag = f"index_{uuid.uuid4().hex[:12]}"
+        self.runs: dict[str, list[str]] = {k: [] for k in self.KINDS}
+        self.buckets: dict[str, int] = {}
+        where = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/state-*/_SUCCESS"))
+        self.state = max((int(f.getPath().getParent().getName()[6:]) for f in done or []), default=0)
+        if self.state:
+            for kind, run, n in spark.read.parquet(f"{self.path}/state-{self.state}").orderBy("place").select("kind", "run", "buckets").collect():
+                first = self.KINDS[kind].split()[0]
+                spark.sql(f"CREATE TABLE {self.tag}_{run} ({self.KINDS[kind].replace('long', 'bigint')}) USING parquet CLUSTERED BY ({first}) SORTED BY ({first}) INTO {n} BUCKETS LOCATION '{self.path}/{run}'")
+                self.runs[kind].append(run)
+                self.buckets[run] = n
+
+    def tables(self, kind: str) -> list[DataFrame]:
+        return [self.spark.table(f"{self.tag}_{run}") for run in self.runs[kind]]
+
+    def write(self, kind: str, rows: DataFrame, count: int = 0) -> str:
+        """Writes a run of about so many rows; it counts once :meth:`commit` has named it."""
+        run, first = f"{kind}_{uuid.uuid4().hex[:12]}", self.KINDS[kind].split()[0]
+        n = self.buckets[run] = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-count // BUCKET_ROWS))
+        rows.repartition(n, first).write.bucketBy(n, first).sortBy(first).option("path", f"{self.path}/{run}").format("parquet").saveAsTable(f"{self.tag}_{run}")
+        return run
+
+    def commit(self, new: dict[str, str]) -> None:
+        """Takes in the new runs, compacts kinds that have too many, and only then removes what isn't needed."""
+        old = []
+        for kind, run in new.items():
+            self.runs[kind].append(run)
+            if len(self.runs[kind]) > self.most[kind]:
+                every = reduce(DataFrame.unionByName, self.tables(kind))
+                if kind == "fps":  # once repeated, always repeated
+                    every = every.groupBy("fp").agg(F.when(F.count("doc_id") == F.count(F.lit(1)), F.min("doc_id")).alias("doc_id"))
+                elif kind == "windows":
+                    every = every.distinct()
+                merged = self.write(kind, every, every.count() if kind == "fps" else sum(self.buckets[r] for r in self.runs[kind]))
+                old += self.runs[kind]
+                self.runs[kind] = [merged]
+        rows = [(k, r, self.buckets[r]) for k, runs in self.runs.items() for r in runs]
+        self.state += 1
+        named = self.spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "place int, kind string, run string, buckets int")
+        named.coalesce(1).write.parquet(f"{self.path}/state-{self.state}")
+        remove_path(self.spark, f"{self.path}/state-{self.state - 1}")
+        for run in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tag}_{run}")
+            remove_path(self.spark, f"{self.path}/{run}")
+
+    def close(self) -> None:
+        """Takes the runs out of the session's catalog; their files stay."""
+        for run in self.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tag}_{run}")
 
 
 def _selected(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +129,7 @@ def _selected(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndar
 
 def read_fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """One row per document: doc_id, n_words, kept_sha256 of all its words, text_key, fps (distinct selected
-    fingerprints), twice (those selected at more than one place)."""
+    fingerprints) and twice (of each, whether it is selected at more than one place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
@@ -136,20 +161,33 @@ def read_fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
                 [
                     b.column("doc_id").cast(pa.int64()), pa.array(words.counts, pa.int64()), pa.array(sha, pa.string()), pa.array(key, pa.binary()),
                     pa.ListArray.from_arrays(ends(doc), pa.array(fp.view(np.int64), pa.int64())),
-                    pa.ListArray.from_arrays(ends(doc[twice]), pa.array(fp[twice].view(np.int64), pa.int64())),
+                    pa.ListArray.from_arrays(ends(doc), pa.array(twice)),
                 ],
                 names=["doc_id", "n_words", "kept_sha256", "text_key", "fps", "twice"],
             )
 
-    schema = "doc_id long, n_words long, kept_sha256 string, text_key binary, fps array<long>, twice array<long>"
+    schema = "doc_id long, n_words long, kept_sha256 string, text_key binary, fps array<long>, twice array<boolean>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _plain(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes in which one space stands between two words, and where words start and end there."""
+    starts, ends = words.starts, words.ends
+    gap = starts[1:] - ends[:-1]
+    if ((gap == 0) | ((gap == 1) & (words.raw[ends[:-1]] == 32))).all():
+        return words.raw, starts, ends
+    sizes = ends - starts
+    to = np.cumsum(sizes + 1) - sizes - 1
+    raw = np.full(int((sizes + 1).sum()), 32, np.uint8)
+    raw[ranges(to, sizes)] = words.raw[ranges(starts, sizes)]
+    return raw, to, to + sizes
+
+
 def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Windows whose selected fingerprint is in the document's ``hits``: h, h2 (of the words), doc_id, start, later.
+    """Windows whose selected fingerprint is in the document's ``hits``: digest (of the words), doc_id, start, later.
 
     later: an equal window stands earlier within the same slice of rows, so that this one repeats for certain. Its
-    h is then arbitrary: of a hot passage, only one window a slice has to meet the others.
+    digest is then arbitrary: of a hot passage, only one window a slice has to meet the others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,22 +202,18 @@ def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
             chosen = np.flatnonzero(np.isin(fps[places] ^ salt(doc), wanted))
             at, doc = starts[chosen], doc[chosen]
             ids = b.column("doc_id").cast(pa.int64()).to_numpy()
-            one = gram_hashes(words.hashes(0), window, 1)
-            two = gram_hashes(words.hashes(1), window, 2)
-            h, h2 = one[at], two[at]
-            order = np.lexsort((at, ids[doc], h2, h))
+            raw, begin, end = _plain(words)
+            raw, digest = raw.tobytes(), hashlib.blake2b
+            spans = zip(begin[at].tolist(), end[at + window - 1].tolist(), strict=True)
+            d = np.frombuffer(b"".join([digest(raw[a:z], digest_size=16).digest() for a, z in spans]), np.uint64).reshape(-1, 2).copy()
+            order = np.lexsort((at, ids[doc], d[:, 1], d[:, 0]))
             later = np.zeros(len(at), bool)
-            later[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
-            h[later] = mix(h[later] + np.arange(1, int(later.sum()) + 1).astype(np.uint64) ^ ids[doc[later]].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h.view(np.int64), pa.int64()), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32()),
-                    pa.array(ids[doc], pa.int64()), pa.array(at - words.first[doc], pa.int32()), pa.array(later),
-                ],
-                names=["h", "h2", "doc_id", "start", "later"],
-            )
+            later[order[1:]] = (d[order[1:]] == d[order[:-1]]).all(axis=1)
+            d[later, 0] = mix(d[later, 0] + np.arange(1, int(later.sum()) + 1).astype(np.uint64) ^ ids[doc[later]].astype(np.uint64))
+            digests = pa.Array.from_buffers(pa.binary(), len(d), [None, pa.py_buffer(np.arange(0, 16 * len(d) + 1, 16, dtype=np.int32)), pa.py_buffer(d.tobytes())])
+            yield pa.RecordBatch.from_arrays([digests, pa.array(ids[doc], pa.int64()), pa.array(at - words.first[doc], pa.int32()), pa.array(later)], names=["digest", "doc_id", "start", "later"])
 
-    return hit_docs.select("doc_id", "text", "hits").mapInArrow(run, "h long, h2 int, doc_id long, start int, later boolean")
+    return hit_docs.select("doc_id", "text", "hits").mapInArrow(run, "digest binary, doc_id long, start int, later boolean")
 
 
 def _cut(marked: DataFrame, window: int) -> DataFrame:
@@ -204,63 +238,61 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
     return marked.select("doc_id", "text", "starts").mapInArrow(run, "doc_id long, n_removed long, kept_sha256 string, kept string")
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = 3, max_runs: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Finds all windows that repeat an earlier one.
+def repeated_windows(index: FingerprintIndex, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep: bool = True) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Finds all windows of a batch that repeat one of the index or an earlier one of the batch.
 
-    Returns the documents (doc_id, n_words, kept_sha256, rep: first document of the same words) and, for first
-    documents with repeated windows, their texts and starts (doc_id, text, starts).
+    Returns the documents (doc_id, n_words, kept_sha256, rep: first document of the batch with the same words) and, for
+    first documents with repeated windows, their texts and starts (doc_id, text, starts); keep: also the runs to commit.
     """
-    spark = docs.sparkSession
-    docs = one_row_per_id(docs)
     read = materialize(read_fingerprints(docs, window, gram), "fingerprints")
     # documents of the same words: the first stands for all
     same = materialize(read.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first-of-words")
     known = materialize(
         read.select("doc_id", "n_words", "kept_sha256", "text_key").join(same, "text_key").select("doc_id", "n_words", "kept_sha256", "rep"), "documents-of-words"
     )
-    reps = known.where("doc_id = rep").select("doc_id")
-    fps = read.where(F.size("fps") > 0).select("doc_id", "fps", "twice").join(reps, "doc_id", "left_semi")
-    flat = materialize(fps.select("doc_id", F.explode("fps").alias("fp")), "fingerprint-rows")
-    in_doc = materialize(fps.select(F.explode("twice").alias("fp")), "fingerprints-twice")
-    cuts = [c for c in (known.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else [])]
-    edges = [None, *sorted({int(c) for c in cuts}), None]
-    index = FingerprintIndex(spark, max_runs)
-    parts = [in_doc]
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        part = flat
-        if low is not None:
-            part = part.where(F.col("doc_id") >= low)
-        if high is not None:
-            part = part.where(F.col("doc_id") < high)
-        batch = part.groupBy("fp").agg((F.count(F.lit(1)) > 1).alias("twice"))
-        parts.append(materialize(index.repeated(batch), "repeated"))
-        if high is not None:
-            index.append(batch)
-    index.drop()
-    hits = reduce(DataFrame.unionByName, parts).distinct()
+    firsts = known.where((F.col("doc_id") == F.col("rep")) & (F.col("n_words") >= window)).select("doc_id")
+    fps = read.select("doc_id", F.arrays_zip("fps", "twice").alias("fps")).join(firsts, "doc_id", "left_semi")
+    flat = materialize(fps.select("doc_id", F.explode("fps").alias("x")).select("doc_id", F.col("x.fps").alias("fp"), F.col("x.twice").alias("twice")), "fingerprint-rows")
+    old_texts = index.tables("texts")
+    new = {"texts": index.write("texts", docs.join(firsts, "doc_id", "left_semi"))}
+    texts = index.spark.table(f"{index.tag}_{new['texts']}")
+
+    # merge-join with the runs: of each fingerprint, whether it is there, and its only holder
+    found = flat.groupBy("fp").agg(((F.count(F.lit(1)) > 1) | F.bool_or("twice")).alias("twice"), F.min("doc_id").alias("doc_id"))
+    runs = index.tables("fps")
+    for k, run in enumerate(runs):
+        found = found.join(run.select("fp", F.col("doc_id").alias(f"holder_{k}"), F.lit(True).alias(f"in_{k}")).hint("merge"), "fp", "left")
+    here = [F.coalesce(F.col(f"in_{k}"), F.lit(False)) for k in range(len(runs))]
+    old = reduce(lambda a, b: a | b, here, F.lit(False))
+    spread = reduce(lambda a, b: a | b, [x & F.col(f"holder_{k}").isNull() for k, x in enumerate(here)], F.lit(False))
+    holder = F.coalesce(*(F.col(f"holder_{k}") for k in range(len(runs))), F.lit(None).cast("long"))
+    found = materialize(found.select("fp", "twice", "doc_id", old.alias("old"), spread.alias("spread"), holder.alias("holder")), "fingerprints-found")
+
+    hits = materialize(found.where("twice OR old").select("fp"), "fingerprints-repeated")
     wanted = flat.join(hits, "fp").groupBy("doc_id").agg(F.collect_list("fp").alias("hits"))
-    hit_docs = materialize(docs.join(wanted, "doc_id"), "documents-with-repeats")
-    discard(read, same, flat, *parts)
-    found = _windows(hit_docs, window, gram)
-    same_words = Window.partitionBy("h", "h2")
-    later = (
-        found.withColumn("first", F.min(F.when(~F.col("later"), F.struct("doc_id", "start"))).over(same_words))
-        .where(F.col("later") | (F.struct("doc_id", "start") > F.col("first")))
-        .groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
-    )
-    return known, hit_docs.select("doc_id", "text").join(later, "doc_id")
-
-
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = 3, with_text: bool = False) -> DataFrame:
-    """Removes every word covered by a window of ``window`` words that also starts earlier.
-
-    Earlier: in a document of smaller doc_id, or before in the same one; windows are judged on the input. Returns
-    doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept: the kept words joined by one space, or null where
-    nothing was removed and the text stays as it is. A null or empty text has no words. Rows without an id are left
-    out; an id that repeats counts once, with its smallest text. Other columns of ``docs`` are ignored; an empty
-    table gives an empty result.
-    """
-    known, marked = repeated_windows(docs, window, gram, batches)
+    windows = _windows(texts.join(wanted, "doc_id"), window, gram).withColumn("side", F.lit(1))
+    if old_texts:
+        asked = materialize(found.where("old AND NOT spread").groupBy(F.col("holder").alias("doc_id")).agg(F.collect_list("fp").alias("hits")), "holders")
+        parts = [_windows(t.join(asked, "doc_id"), window, gram).where("NOT later").withColumn("side", F.lit(0)) for t in old_texts]
+        windows = reduce(DataFrame.unionByName, parts, windows)
+    for k, run in enumerate(index.tables("windows")):
+        windows = windows.join(run.withColumn(f"in_{k}", F.lit(True)).hint("merge"), "digest", "left")
+    seen = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"in_{k}"), F.lit(False)) for k in range(len(index.runs["windows"]))], F.lit(False))
+    place = F.row_number().over(Window.partitionBy("digest").orderBy("side", "doc_id", "start"))
+    judged = windows.withColumn("again", seen | F.col("later") | (place > 1))
+    if keep:
+        judged = materialize(judged.select("side", "doc_id", "start", "again", F.when(~F.col("again"), F.col("digest")).alias("digest")), "windows-judged")
+    later = materialize(judged.where("side = 1 AND again").groupBy("doc_id").agg(F.collect_list("start").alias("starts")), "windows-repeated")
+    if keep:
+        fresh = found.where("NOT spread").select("fp", F.when(~(F.col("twice") | F.col("old")), F.col("doc_id")).alias("doc_id"))
+        new["fps"] = index.write("fps", fresh, found.count())
+        new["windows"] = index.write("windows", judged.where("digest IS NOT NULL").select("digest"))
+        discard(judged)
+    discard(read, same, flat, found, hits)
+    return known, texts.join(later, "doc_id"), new
+
+
+def _result(known: DataFrame, marked: DataFrame, window: int, with_text: bool) -> DataFrame:
     cut = _cut(marked, window)
     if not with_text:
         cut = cut.drop("kept")
@@ -274,5 +306,65 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ba
     )
 
 
+def dedup_batch(index: FingerprintIndex, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:
+    """Removes every word covered by a window that a document of the index holds, or that starts earlier in the batch.
+
+    Result and awkward rows as in :func:`dedup_substrings`; documents of the index come before the batch, whatever
+    their ids. Afterwards the index has taken the batch in; it must always be used with the same window and gram.
+    """
+    known, marked, new = repeated_windows(index, one_row_per_id(docs), window, gram)
+    out = materialize(_result(known, marked, window, with_text), "deduplicated")
+    index.commit(new)
+    return out
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = 3, with_text: bool = False) -> DataFrame:
+    """Removes every word covered by a window of ``window`` words that also starts earlier.
+
+    Earlier: in a document of smaller doc_id, or before in the same one; windows are judged on the input. Returns
+    doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept: the kept words joined by one space, or null where
+    nothing was removed and the text stays as it is. A null or empty text has no words. Rows without an id are left
+    out; an id that repeats counts once, with its smallest text. Other columns of ``docs`` are ignored; an empty
+    table gives an empty result.
+    """
+    docs = one_row_per_id(docs)
+    cuts = docs.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
+    edges = [None, *sorted({int(c) for c in cuts}), None]
+    index = FingerprintIndex(docs.sparkSession, scratch_path(docs.sparkSession, "index"), 1, batches)
+    parts = []
+    try:
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            part = docs
+            if low is not None:
+                part = part.where(F.col("doc_id") >= low)
+            if high is not None:
+                part = part.where(F.col("doc_id") < high)
+            *frames, new = repeated_windows(index, part, window, gram, keep=high is not None)
+            parts.append(frames)
+            if high is not None:
+                index.commit(new)
+    finally:
+        index.close()
+    known, marked = (reduce(DataFrame.unionByName, frames) for frames in zip(*parts, strict=True))
+    return _result(known, marked, window, with_text)
+
+
+def drop_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` without the words of repeated windows, n_chars set anew; rows that lose all words go.
+
+    Earlier rows are those of smaller doc_id (null last), then text; so rows without an id, or with one that repeats,
+    are documents of their own. A text without removed words stays as it is; an empty table gives an empty result.
+    """
+    rows, key = numbered_rows(docs)
+    cut = dedup_substrings(rows.select(F.col(key).alias("doc_id"), "text"), window, gram, with_text=True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias(key), F.struct("kept", "n_removed", "n_words").alias(f"{key}_cut"))
+    kept = F.col(f"{key}_cut.kept")
+    joined = rows.join(cut, key, "left").where(f"{key}_cut IS NULL OR {key}_cut.n_removed < {key}_cut.n_words")
+    new = {"text": F.coalesce(kept, F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(kept.isNotNull(), F.char_length(kept).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return joined.withColumns(new).select(*docs.columns)
+
+
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -360,15 +360,29 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 if the score is at least 0.5) of every document."""
+    """doc_id, held_out, score and predicted (1 if the score is at least 0.5) of every row of ``docs``.
+
+    Null texts count as empty; whole texts of any length are scored; rows that repeat or lack an id are scored like any
+    other; other columns are ignored; an empty table gives an empty result. Without usable labels nothing is toxic.
+    """
     scored = score_documents(docs, fit(docs, labels))
     return scored.select("doc_id", is_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of the documents that aren't predicted toxic, those without an id included."""
-    rejected = toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    """All columns of the rows whose own text isn't predicted toxic, whatever their ids; null and empty texts are scored too.
+
+    Rows stay in the tasks that read them. Repeated rows fare alike; an empty table gives an empty result.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels).p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Network.__new__(Network)
+        model.p = shared.value
+        for b in text_slices(batches):
+            yield b.filter(pa.array(score_column(model, b.column("text")) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -263,13 +263,34 @@ def test_substring_awkward_rows(spark):
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 0, 0), (2, 1, 0), (3, 0, 0)]
 
 
-def test_index_compacts(spark):
-    index = substring.FingerprintIndex(spark, max_runs=1)
-    fps = lambda *x: spark.createDataFrame([(v, False) for v in x], "fp long, twice boolean")
-    for part in (fps(1, 2), fps(2, 3), fps(4)):
-        index.append(part)
-    assert len(index.runs) == 1 and sorted(r.fp for r in index.repeated(fps(2, 3, 9)).collect()) == [2, 3]
-    index.drop()
+@pytest.mark.parametrize("max_runs", [1, 9])
+def test_index_goes_on_with_later_batches(spark, tmp_path, max_runs):
+    """Batches that come one after another, each with the index opened anew, give what one call over all of them does."""
+    rows = corpus(4) + [(1000 + i, t) for i, t in corpus(4)[:30]]
+    want, got = brute_substrings(rows), {}
+    for k in range(0, len(rows), 30):
+        index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index", max_runs, 2)
+        assert all(len(r) <= index.most[k] for k, r in index.runs.items()) and index.state == k // 30
+        for r in substring.dedup_batch(index, frame(spark, rows[k : k + 30], True), with_text=True).collect():
+            got[r.doc_id] = (r.n_words, r.n_removed, r.kept_sha256)
+        index.close()
+    assert got == {i: w[:3] for i, w in want.items()}
+    assert not spark.catalog.tableExists(f"{index.tag}_{index.runs['fps'][0]}")
+
+
+def test_failed_batch_leaves_the_index(spark, tmp_path, monkeypatch):
+    index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
+    first, second = [(1, "a " * 30)], [(2, "b " * 30)]
+    substring.dedup_batch(index, frame(spark, first))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(index, "commit", lambda new: (_ for _ in ()).throw(RuntimeError))
+        substring.dedup_batch(index, frame(spark, second))
+    index.close()
+    index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
+    assert index.state == 1
+    assert [(r.n_words, r.n_removed) for r in substring.dedup_batch(index, frame(spark, [(3, "b " * 20)])).collect()] == [(20, 0)]
+    assert [(r.n_words, r.n_removed) for r in substring.dedup_batch(index, frame(spark, [(4, "a " * 20)])).collect()] == [(20, 20)]
+    index.close()
 
 
 # ---- Jaccard join -----------------------------------------------------------------------------------------------
@@ -558,3 +579,70 @@ def test_html_drops_nothing_that_holds_the_article(spark):
     assert [got[k] for k in range(11, 14)] == [text] * 3
     # the weights are learnt with these articles as main text too
     assert html.fit(df.where("page_id < 6")).words["p"] > 0.9
+
+
+# ---- words whose weak hashes collide ----------------------------------------------------------------------------
+
+
+def twins(n):
+    """Two unlike strings of n letters that agree under every polynomial hash modulo 2**64 with an odd base."""
+    line = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in line), "".join("ba"[b] for b in line)
+
+
+@pytest.mark.parametrize("n", [1024, 8192])
+def test_unlike_words_stay_apart(spark, n):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(VOCABULARY), bpe.Bpe(VOCABULARY)
+    one, two = twins(n)
+    texts = [one, two, f"{one} {two}", f"{two} x {one}"]
+    ids, ends = own.encode_batch(texts)
+    for k, t in enumerate(texts):
+        assert ids[ends[k] : ends[k + 1]].tolist() == library.encode(t, add_special_tokens=False).ids
+        assert own.decode(ids[ends[k] : ends[k + 1]]) == t
+    rows = [(k, " ".join([w] * 24)) for k, w in enumerate((one, two))] + [(2, f"{one} " * 12 + f"{two} " * 12), (3, f"{two} " * 12 + f"{one} " * 12)]
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.dedup_substrings(frame(spark, rows)).collect()} == {i: w[:3] for i, w in brute_substrings(rows).items()}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(frame(spark, rows)).collect()} == brute_components(rows)
+
+
+def test_colliding_hashes_change_nothing(monkeypatch):
+    """With one hash for all words, bytes still tell them apart, in one call and over several."""
+    from tallyard.llm import common
+
+    monkeypatch.setattr(common.WordNumbers, "_hash", staticmethod(lambda values, counts, sizes: np.zeros(len(counts), np.uint64)))
+    numbers, seen = common.WordNumbers(), {}
+    for text in ("a bb a ccccccccccc bb", "bb d ccccccccccx a ccccccccccc", "ccccccccccx d e"):
+        words = common.Words(pa.array([text]))
+        got, new = numbers.of(words.raw, words.starts, words.ends)
+        fresh = []
+        for k, w in enumerate(text.split()):
+            if w not in seen:
+                seen[w] = len(seen)
+                fresh.append(k)
+            assert got[k] == seen[w]
+        assert new.tolist() == fresh and len(numbers) == len(seen)
+
+
+def test_exact_sets_number_by_words():
+    texts = ["a b c d e", "b c d e a b c d", "a b", "a b", "a", "", None, "a b c d e"]
+    sets = jaccard.exact_sets(pa.array(texts), 4, True)
+    assert [len(s) for s in sets] == [2, 5, 1, 1, 1, 0, 0, 2]
+    assert sets[0].tolist() == sets[7].tolist() and len(np.intersect1d(sets[0], sets[1])) == 2 and sets[2].tolist() == sets[3].tolist() != sets[4].tolist()
+
+
+# ---- ids ----------------------------------------------------------------------------------------------------------
+
+
+def test_large_ids_beside_nulls(spark):
+    rows = [(9007199254740993, "a b c"), (9007199254740995, "d e " * 40), (None, "f g"), (None, None), (9007199254740993, "other text of the same id"), (-9223372036854775808, "")]
+    df = frame(spark, rows, True)
+    got = packing.pack_pieces(df, capacity=32).collect()
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(i for i, _ in rows)
+    packed = packing.packed_sequences(df, capacity=32).collect()
+    assert Counter(d for r in packed for d, p in zip(r.doc_ids, r.pieces, strict=True) if p == 0) == Counter(i for i, _ in rows)
+    assert sum(r.n_tokens for r in packed) == sum(r.length for r in got)
+    assert not packing.packed_sequences(frame(spark, [])).collect()
+    coded = {r.doc_id for r in bpe.round_trip_digests(df).collect()}
+    assert coded == {i for i, _ in rows} == {r.doc_id for r in bpe.encode_column(df).collect()}
+    assert {r.doc_id for r in media.stored_features(df).collect()} == coded

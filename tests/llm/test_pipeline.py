@@ -82,3 +82,22 @@ def test_stages_on_rows_without_ids_and_empty_tables(spark, folder):
         got = stage(spark, odd, folder)
         assert got.columns == odd.columns and got.count() == 4, name
     assert not corpus_pipeline.STAGES[3][1](spark, empty, folder).collect()
+
+
+def test_stages_decide_by_row(spark, folder):
+    """Ids that repeat with other texts, rows without an id, copies of either, and ids above 2**53."""
+    big = 2**53 + 1
+    long = " ".join(f"z{k}" for k in range(60))
+    near = long.replace("z7 ", "y ")
+    rows = [(2, "aaa"), (2, "zzz entirely different text"), (big, long), (big + 1, near), (None, long), (None, "only here"), (2, "aaa"), (None, "q " + " ".join(f"z{k}" for k in range(20, 45)) + " r")]
+    docs = frame(spark, rows, extra=True)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, folder).select("doc_id", "text").collect()
+    assert Counter(map(tuple, kept)) == Counter([(2, "aaa"), (2, "zzz entirely different text"), (big, long), (None, "only here"), rows[-1]])
+    cut = corpus_pipeline.drop_repeated_passages(spark, docs, folder)
+    rest = {(None, "only here"): 1, (None, "q r"): 1, (2, "aaa"): 2, (2, "zzz entirely different text"): 1, (big, long): 1, (big + 1, " ".join(near.split()[:8])): 1}
+    assert Counter(map(tuple, cut.select("doc_id", "text").collect())) == rest
+    assert all(r.n_chars == len(r.text) for r in cut.collect())
+    toxic = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").where("text LIKE '%qwixx%'").limit(1).collect()]
+    mixed = frame(spark, [(i, t) for i, t in rows_of(spark.read.parquet(f"{folder}/documents.parquet")).items()] + [(9001, toxic[0]), (9001, "clean words"), (None, toxic[0]), (None, "clean words")])
+    left = corpus_pipeline.drop_toxic(spark, mixed, folder).where("doc_id IS NULL OR doc_id = 9001").collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter([(9001, "clean words"), (None, "clean words")])
