@@ -1,39 +1,37 @@
 """A corpus pipeline: toxicity filter, near-duplicate removal, substring deduplication, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor, whose output was written as
-Parquet and read again. All but the last return the columns of documents.
+Parquet and read again. All but the last return the columns of documents, and whatever other columns came with them.
+
+Decisions are about rows: rows without an id, or with one that others have too, are judged by their own texts, and come
+in the order of id (null last), then text. Null and empty texts pass all filters; texts are whole, however long; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyard.llm import jaccard, packing, substring, toxicity
 from tallyard.llm.common import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network doesn't reject; it learns from the labels of the documents at hand."""
+    """Rows whose text the network doesn't reject; it learns from the labels of the documents at hand."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group linked by five-word shingles at a Jaccard similarity of 0.8."""
+    """The first row of each group linked by five-word shingles at a Jaccard similarity of 0.8; wordless texts stay."""
     return jaccard.keep_first_of_groups(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words that windows of 20 words repeat from earlier ones; documents that lose all words go.
+    """Texts without the words that windows of 20 words repeat from earlier rows; rows that lose all words go.
 
-    A text without removed words, and a row without an id, stays as it is.
+    A text without removed words stays as it is.
     """
-    cut = substring.dedup_substrings(docs, with_text=True).where("n_removed > 0")
-    cut = cut.select("doc_id", F.struct("kept", "n_removed", "n_words").alias("__cut"))
-    joined = docs.join(cut, "doc_id", "left").where("__cut IS NULL OR __cut.n_removed < __cut.n_words")
-    changed, kept = F.col("__cut").isNotNull(), F.col("__cut.kept")
-    new = {"text": F.when(changed, kept).otherwise(F.col("text")), "n_chars": F.when(changed, F.char_length(kept).cast("long")).otherwise(F.col("n_chars"))}
-    return joined.withColumns(new).select(*docs.columns)
+    return substring.drop_repeated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
