@@ -24,6 +24,7 @@ SAMPLE = 8192
 #: Entries of the index, and queries, that meet in a task; entries of a block that are reranked exactly.
 BLOCK, QUERIES, RERANK = 16384, 1024, 384
 PAIR = 2
+FOUND = "query_id long, vec_id long, score double"
 
 
 @dataclass
@@ -127,12 +128,11 @@ def scan(book: Codebook, packed: np.ndarray, queries: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id, v of the vectors that take part: not null or zero, all components finite, of the most frequent length."""
+    """id, v of the vectors that take part: not null or zero, all components finite."""
     v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & v.isNotNull() & fine)
-    top = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).select("n")
-    return rows.join(F.broadcast(top), F.size("v") == F.col("n")).drop("n").dropDuplicates(["id", "v"])
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    return rows.where(F.col("id").isNotNull() & v.isNotNull() & fine).dropDuplicates(["id", "v"])
 
 
 def index_vectors(vectors: DataFrame, k: int) -> DataFrame:
@@ -148,18 +148,26 @@ def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id"
 
     Returns query_id, rank (from 1), vec_id and score (Euclidean distance in double precision), nearest first, ties
     to the smaller id. Rows that don't take part (see :func:`usable`) neither ask nor are found; exact repeats of a
-    row count once; with fewer than k others, all are returned; an empty table gives an empty result.
+    row count once; with fewer than k others, all are returned; an empty table gives an empty result. Vectors of
+    different lengths have no distance: each length is searched by itself, with centres of its own.
     """
-    schema = "query_id long, vec_id long, score double"
     rows = materialize(usable(vectors, id_col, vector_col), "vectors")
+    found = rows.sparkSession.createDataFrame([], FOUND)
+    for (length,) in rows.groupBy(F.size("v").alias("n")).count().orderBy("n").select("n").toLocalIterator():
+        part = rows.where(F.size("v") == length)
+        queries = part.where(query_where)
+        if not queries.isEmpty():
+            found = found.unionByName(_search(part, queries, k, rerank))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(rows: DataFrame, queries: DataFrame, k: int, rerank: int) -> DataFrame:
+    """Candidates (query_id, vec_id, score) among vectors of one length: the k best of each block of the index."""
     index = materialize(index_vectors(rows, k), "distinct-vectors")
     n = index.count()
-    queries = rows.where(query_where)
     n_queries = queries.count()
     sample = index.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
-    if not sample:
-        empty = rows.sparkSession.createDataFrame([], schema)
-        return empty.select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
     book = fit_codebook(np.array(sample))
     blocks, chunks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
 
@@ -198,9 +206,7 @@ def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id"
     coded = materialize(index.mapInArrow(encode, "v array<double>, ids array<long>, code binary"), "coded-vectors")
     left = coded.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     right = queries.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(search, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(search, FOUND)
 
 
 def op4_nearest_neighbours(spark, sf_dir: str) -> DataFrame:

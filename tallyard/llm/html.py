@@ -24,7 +24,7 @@ SAMPLE, CONTEXTS = 1000, 5000
 #: Elements that don't end a block, that have no end tag, and whose content isn't markup.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|noscript|template|iframe"
+RAW = frozenset("script style textarea title noscript template iframe".split())
 
 #: Elements that are never main text, and ones that are unless they hold it: an article or main element, or most of a page's words.
 DROPPED = frozenset("nav aside footer button menu dialog head select svg canvas object".split())
@@ -40,6 +40,18 @@ DROPPED_NAMES = COMMENT_NAMES | frozenset(
 AMBIGUOUS = frozenset("reply replies banner promotion sponsor sidebar menu navigation notice notices share sharing social related widget".split())
 GROUPS = frozenset("div section ul ol li".split())
 
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
+_NAMES = frozenset("header masthead".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
+DROPPED_NAMES = COMMENT_NAMES | frozenset(
+    "ad ads advert adverts advertisement adbox banner promo promotion sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
+    "notice notices cookie cookies consent popup modal newsletter subscribe share sharing social related widget".split()
+)
+#: Of these, names that also stand on main text: in an article they drop only what merely groups, and never most of a page's words.
+AMBIGUOUS = frozenset("reply replies banner promotion sponsor sidebar menu navigation notice notices share sharing social related widget".split())
+GROUPS = frozenset("div section ul ol li".split())
+
 _TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S | re.I)
 _NAMES = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -64,6 +76,49 @@ class Token:
     article: bool
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Where each tag, comment or raw element begins and ends, its name (of others: empty), if it closes, its attributes.
+
+    One scan forward: a quote that nothing ends is seen once, and from there on quotes count as any character. A tag
+    that the page breaks off in ends with the page.
+    """
+    at, quoting, end = 0, True, len(page)
+    while (begin := page.find("<", at)) >= 0:
+        m = _TAG.match(page, begin)
+        if m is None:
+            if page.startswith("<!--", begin):
+                to = page.find("-->", begin + 4)
+                at = end if to < 0 else to + 3
+            elif page[begin + 1 : begin + 2] in ("!", "?"):
+                to = page.find(">", begin)
+                at = end if to < 0 else to + 1
+            else:  # a lesser-than sign
+                at = begin + 1
+                continue
+            yield begin, at, "", False, ""
+            continue
+        to = m.end()
+        while quoting:
+            to = _UNQUOTED.match(page, to).end()
+            if to == end or page[to] == ">":
+                break
+            to = page.find(page[to], to + 1) + 1
+            quoting = to > 0
+        if not quoting or to >= end:
+            quoting = False
+            to = page.find(">", m.end())
+            if to < 0:
+                yield begin, end, "", False, ""
+                return
+        name, at = m[2].lower(), to + 1
+        if name in RAW and not m[1]:
+            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = close.end() if close else end
+            yield begin, at, "", False, name
+        else:
+            yield begin, at, name, bool(m[1]), page[m.end() : to]
+
+
 def tokens(page: str) -> list[Token]:
     """Texts and tags of a page in order; broken markup is read as browsers mostly do, never refused.
 
@@ -75,6 +130,7 @@ def tokens(page: str) -> list[Token]:
     kinds: list[str] = []  # of each element that drops: element, comment, name, wide (unless most of the page's words are in it)
     causes: list[tuple[int, ...]] = []  # of each token
     kept: set[int] = set()  # elements that turned out to hold main text
+    opened: Counter = Counter()  # names in the stack
     block = links = at = 0
     article_seen = False
 
@@ -86,15 +142,12 @@ def tokens(page: str) -> list[Token]:
         elif out and out[-1].text is not None and text:
             out[-1].text += " "
 
-    for m in _TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        name = (m[3] or "").lower()
+    for begin, end, name, closing, attributes in markup(page):
+        add(page[at:begin])
+        at = end
         if not name:
-            if m[1]:
-                block += 1
+            block += bool(attributes)  # a raw element
             continue
-        closing = bool(m[2])
         if name == "a":
             links = 0 if closing else 1
         if name not in INLINE:
@@ -102,15 +155,14 @@ def tokens(page: str) -> list[Token]:
             links = 0
             names: list[str] = []
             if closing:
-                depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
-                if depth is not None:
-                    del stack[depth:]
+                if opened[name]:
+                    while opened[name] and stack[-1][0] != name:
+                        opened[stack.pop()[0]] -= 1
+                    opened[stack.pop()[0]] -= 1
             elif name not in VOID:
-                if stack and stack[-1][0] == "p":
-                    stack.pop()
-                elif name == "li" and stack and stack[-1][0] == "li":
-                    stack.pop()
-                values = [(g[0] or g[1] or g[2]).lower() for g in _NAMES.findall(m[4])] if m[4] else []
+                if stack and (stack[-1][0] == "p" or stack[-1][0] == name == "li"):
+                    opened[stack.pop()[0]] -= 1
+                values = [(g[0] or g[1] or g[2]).lower() for g in _NAMES.findall(attributes)] if attributes else []
                 names = [p for v in values for p in _PART.findall(v)]
                 _, _, dropped, article = stack[-1] if stack else ("", "", (), False)
                 kind = _kind(name, {w for v in values for w in v.split()}, article)
@@ -120,6 +172,7 @@ def tokens(page: str) -> list[Token]:
                 elif name == "main" or (name == "article" and not article):
                     kept.update(k for k in dropped if name == "main" or not (kinds[k] == "element" or (kinds[k] == "comment" and article_seen)))
                     article_seen |= name == "article"
+                opened[name] += 1
                 stack.append((name, name + ("." + names[0] if names else ""), dropped, article or name == "article"))
             inside = bool(stack) and stack[-1][3]
             out.append(Token(None, name, block, False, inside))
@@ -219,7 +272,8 @@ def fit(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", html_co
 def extract_main_text(pages: DataFrame, weights: Weights | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text (empty if none) and n_chars (code points) of every page; null html counts as empty.
 
-    Repeated rows give repeated results; other columns are ignored; an empty table gives an empty result.
+    Repeated rows give repeated results, rows without an id like any other; pages of any length are read whole, in time
+    that grows with it; other columns are ignored; an empty table gives an empty result.
     """
     learned = fit(pages, id_col=id_col, html_col=html_col) if weights is None else weights
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]

@@ -43,6 +43,8 @@ BLOCK = 3000
 SALTS, MANY = 64, 1 << 40
 #: Mean number of n-grams from which on a part holds fewer documents; documents of a large group that meet all its parts.
 LONG, PIVOTS = 2000, 16
+#: Mean number of n-grams that a search task holds, unless one group's part has more.
+TASK_GRAMS = 250_000
 
 
 def set_of_column(column: pa.Array, gram: int, lower: bool, twice: bool = False) -> tuple[np.ndarray, ...]:
@@ -247,7 +249,7 @@ def divide_skip(sets: list[np.ndarray], percent: int, asking: np.ndarray | None
     return np.array([links.root(i) for i in range(m)])
 
 
-def _search(blocks: DataFrame, gram: int, percent: int, lower: bool) -> DataFrame:
+def _search(blocks: DataFrame, gram: int, percent: int, lower: bool, tasks: int) -> DataFrame:
     """Stars (a: document, b: smallest document it is connected to) of each (root, i, j).
 
     Rows: root, i, j, doc_id, text, asks (null: every document does) and known (connected ones share it; null: none).
@@ -282,7 +284,8 @@ def _search(blocks: DataFrame, gram: int, percent: int, lower: bool) -> DataFram
         if held:
             yield solve(held)
 
-    rows = blocks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    # a number of tasks that follows the work: adaptive execution would merge small partitions that take long
+    rows = blocks.repartition(tasks, "root", "i", "j").sortWithinPartitions("root", "i", "j")
     return rows.select("root", "i", "j", "doc_id", "text", "asks", "known").mapInArrow(run, "a long, b long")
 
 
@@ -297,11 +300,12 @@ def _links(texts: DataFrame, groups: DataFrame, gram: int, percent: int, lower:
     large = materialize(size.withColumn("k", parts).where("k > 1").select("root", "k"), "large-groups")
     part = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     members = groups.join(large, "root", "left").withColumn("k", F.coalesce("k", F.lit(1))).withColumn("i", part)
+    tasks = 1 + (groups.agg(F.sum("n")).first()[0] or 0) // TASK_GRAMS
     row = lambda df: df.select(F.col("node").alias("doc_id"), "root", "i", "j", "asks", "known")
     none = {"j": F.lit(0), "asks": F.lit(None).cast("boolean"), "known": F.lit(None).cast("long")}
     first = row(members.withColumns(none))
     if large.isEmpty():
-        return _search(texts.join(first, "doc_id"), gram, percent, lower)
+        return _search(texts.join(first, "doc_id"), gram, percent, lower, tasks)
 
     members = materialize(members, "group-members")
     inside = members.where("k > 1")
@@ -310,7 +314,7 @@ def _links(texts: DataFrame, groups: DataFrame, gram: int, percent: int, lower:
     others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda x: x != F.col("i"))
     spread = pivots.withColumn("i", F.explode(others)).withColumns(none)
     first = row(members.withColumns(none)).unionByName(row(spread))
-    stars = materialize(_search(texts.join(first, "doc_id"), gram, percent, lower), "stars")
+    stars = materialize(_search(texts.join(first, "doc_id"), gram, percent, lower, tasks), "stars")
     have = connected_components(stars.join(inside.select(F.col("node").alias("a")), "a", "left_semi"))
     inside = materialize(inside.join(have.select("node", F.col("root").alias("known")), "node", "left").withColumn("known", F.coalesce("known", "node")), "members-so-far")
     counts = inside.groupBy("root", "known").agg(F.count(F.lit(1)).alias("c"))
@@ -321,7 +325,7 @@ def _links(texts: DataFrame, groups: DataFrame, gram: int, percent: int, lower:
     asks = asking.join(turns, "root").withColumn("j", F.pmod(F.xxhash64("node", F.lit(2)), F.col("turns")).cast("int")).withColumn("i", every_part).withColumn("asks", F.lit(True))
     answers = inside.join(turns, "root").withColumn("j", every_turn).withColumn("asks", F.lit(False))
     second = row(asks).unionByName(row(answers))
-    return stars.unionByName(_search(texts.join(second, "doc_id"), gram, percent, lower))
+    return stars.unionByName(_search(texts.join(second, "doc_id"), gram, percent, lower, tasks))
 
 
 def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower: bool = True, block: int = BLOCK) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Words, mix, ranges, text_slices
@@ -22,6 +22,8 @@ from .common import Words, mix, ranges, text_slices
 WINDOW, STRIDE = 32, 16
 #: Bound of the training sample: so many documents of either label, chosen by a hash of the id; all their windows take part.
 SAMPLE = 1500
+#: Bound of the sample's bytes for either label: the first texts by that hash that stay below it, and one at least.
+SAMPLE_BYTES = 24 << 20
 #: Windows that training looks at in one go.
 CHUNK = 1 << 15
 WORD_ROWS, CHAR_ROWS, DIM, HIDDEN = 1 << 16, 1 << 15, 4, 8
@@ -334,15 +336,22 @@ def is_held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
-    """Trains on at most ``sample`` documents of either label, of those that aren't held out, chosen by a hash of the id."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network:
+    """Trains on at most ``sample`` documents of either label, of those that aren't held out, chosen by a hash of the id.
+
+    The sample's texts, which the driver takes in, are bounded in bytes too. An id that repeats counts once, with its
+    smallest text.
+    """
     usable = labels.where("toxic IN (0, 1)").where(~is_held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = None
     for label in (0, 1):
         part = usable.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").toArrow()
-    rows = rows.sort_by("doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    before = F.sum(size).over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("before") == 0) | (F.col("before") + size <= sample_bytes))
+    rows = rows.select("doc_id", "text", "toxic").toArrow().sort_by("doc_id")
     return train(rows["text"].combine_chunks(), np.array(rows["toxic"].to_pylist(), np.int64))
 
 

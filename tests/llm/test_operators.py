@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -408,6 +409,29 @@ def test_nearest(spark):
     assert hit >= 0.95 * 10 * got["query_id"].nunique()
 
 
+def test_nearest_of_each_length(spark, monkeypatch):
+    """Vectors of three lengths, over several blocks and chunks, against all pairs of a length; four-bit codes choose."""
+    monkeypatch.setattr(ann, "BLOCK", 700)
+    monkeypatch.setattr(ann, "QUERIES", 10)
+    rng = np.random.default_rng(6)
+    rows, at = {}, 0
+    for dim, n in ((12, 3000), (5, 900), (3, 1)):
+        for v in rng.standard_normal((n, dim)).round(2):
+            rows[at] = v
+            at += 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(df, F.col("id") % 100 == 0, rerank=60).collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    hit, asked = 0, [q for q in rows if q % 100 == 0 and len(rows[q]) > 3]
+    assert set(got) == set(asked) and len(asked) == 39
+    for q in asked:
+        best = sorted((float(np.sqrt(((rows[i] - rows[q]) ** 2).sum())), i) for i in rows if i != q and len(rows[i]) == len(rows[q]))[:10]
+        assert all(len(rows[i]) == len(rows[q]) for _, i in got[q])
+        hit += len({i for _, i in best} & {i for _, i in got[q]})
+    assert hit >= 0.95 * 10 * len(asked)
+
+
 def test_nearest_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert not ann.nearest(spark.createDataFrame([], schema), F.col("id") >= 0).collect()
@@ -646,3 +670,41 @@ def test_large_ids_beside_nulls(spark):
     coded = {r.doc_id for r in bpe.round_trip_digests(df).collect()}
     assert coded == {i for i, _ in rows} == {r.doc_id for r in bpe.encode_column(df).collect()}
     assert {r.doc_id for r in media.stored_features(df).collect()} == coded
+
+
+# ---- HTML: time, and quality on held-out pages --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("part", ['<p a="', "<p a='\"", '<p a="> <b c=\'>', "<script ", "<div>", "</p>", "<div></p>", "<!--", "<", '<a title="x>y">w</a> '])
+def test_html_reads_broken_pages_in_linear_time(part):
+    began = time.time()
+    html.extract("<div>text " + part * (1_000_000 // len(part)), html.Weights())
+    assert time.time() - began < 30  # a second or so; the bound leaves room for a busy machine
+
+
+def test_html_tags_and_quotes():
+    page = "<div title='a > b'>one 1 < 2 <b>two</b></div><!-- <p>no</p> --><p data-x=\"it's\">three<p>four <i class=x>five</i><script>if (a<b) '</p>'</script> six<br/>seven<div class='open"
+    assert html.extract(page, html.Weights(word=1.0, tag=0.01)) == "one 1 < 2 two\nthree\nfour five\nsix seven"
+
+
+def test_html_quality_on_held_out_pages(spark):
+    """Precision and recall in words, on layouts that the fit hasn't seen; a third of the pages have no article element."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    links = lambda n: "".join(f"<li><a href='/{k}'>{text(2)}</a></li>" for k in range(n))
+    pages, truth = [], {}
+    for k in range(240):
+        main = [f"<p>{text(rng.randint(15, 60))}</p>" for _ in range(rng.randint(2, 8))]
+        truth[k] = Counter(" ".join(x[3:-4] for x in main).split())
+        body = "".join(main)
+        wrap = ["<article>{}</article>", "<div class='layout no-sidebar'><article><div class='post'>{}</div></article></div>", "<div class='content'>{}</div>"][k % 3]
+        page = f"<nav><ul>{links(8)}</ul></nav><div class='top'><ul>{links(5)}</ul></div>" + wrap.format(body) + f"<div class='related'><ul>{links(6)}</ul></div><aside><p>{text(12)}</p></aside><footer><p>{text(8)}</p></footer>"
+        pages.append((k, "u", f"<html><body>{('<form id=f>' + page + '</form>') if k % 4 == 0 else page}</body></html>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    weights = html.fit(df.where("page_id < 120"))
+    got = {r.page_id: Counter(r.text.split()) for r in html.extract_main_text(df.where("page_id >= 120").unionByName(df.where("page_id = 200")), weights).collect()}
+    assert len(got) == 120
+    hit = sum((got[k] & truth[k]).total() for k in got)
+    precision, recall = hit / sum(c.total() for c in got.values()), hit / sum(truth[k].total() for k in got)
+    assert precision > 0.97 and recall > 0.97, (precision, recall)
