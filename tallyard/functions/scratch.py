@@ -7,17 +7,19 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: str | None = None
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The shared folder of the cluster (``spark.checkpoint.dir``); where it is unset, a temporary one, on a local master only."""
     global _own_dir
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
@@ -30,3 +32,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder once, for queries that would evaluate it several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

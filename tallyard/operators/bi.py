@@ -22,9 +22,15 @@ def monthly_revenue_by_region(invoices: DataFrame, locations: DataFrame) -> Data
 
 
 def inventory_position_latest(snapshots: DataFrame) -> DataFrame:
-    """Positions at the last snapshot date, the most valuable item first."""
-    last = snapshots.agg(F.max("snapshot_date").alias("snapshot_date"))
-    return snapshots.join(F.broadcast(last), "snapshot_date").groupBy("item_key").agg(F.sum("on_hand_qty").alias("on_hand_qty"), total("inventory_value").alias("inventory_value")).orderBy(F.desc("inventory_value"), "item_key")
+    """Positions at the last snapshot date, the most valuable item first.
+
+    Each item's sums at its own last date, of which those at the last date of all stay; both come of one exchange.
+    """
+    by_day = snapshots.groupBy("item_key", "snapshot_date").agg(F.sum("on_hand_qty").alias("on_hand_qty"), total("inventory_value").alias("inventory_value"))
+    by_item = by_day.groupBy("item_key").agg(F.max(F.struct("snapshot_date", "on_hand_qty", "inventory_value")).alias("x"))
+    last = by_item.agg(F.max("x.snapshot_date").alias("last"))
+    latest = by_item.crossJoin(F.broadcast(last)).where("x.snapshot_date = last")
+    return latest.select("item_key", "x.on_hand_qty", "x.inventory_value").orderBy(F.desc("inventory_value"), "item_key")
 
 
 def invoice_branch(invoices: DataFrame, locations: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import one_row, ratio, total
+from ..functions.scratch import written
 
 #: Digits shown, half away from zero.
 DIGITS = {
@@ -29,6 +30,14 @@ def _final(mart: DataFrame, rounded: bool) -> DataFrame:
     return shown(mart) if rounded else mart
 
 
+def invoice_grain(invoices: DataFrame) -> DataFrame:
+    """Invoice lines summed by customer, branch, invoice and date: all that the marts need of them, in one pass.
+
+    The sums stay exact, so every mart gives the same of this frame as of the lines.
+    """
+    return invoices.groupBy("customer_key", "location_key", "invoice_no", "invoice_date").agg(*(total(c).alias(c) for c in ("revenue_amount", "cogs_amount", "gross_margin_amount")))
+
+
 def invoice_totals(invoices: DataFrame) -> DataFrame:
     """Everything that five marts need of the invoice lines, in one pass."""
     return invoices.agg(
@@ -60,20 +69,17 @@ def active_lines(lines: DataFrame) -> DataFrame:
 
 
 def kpi_service(lines: DataFrame, rounded: bool = True) -> DataFrame:
-    """Line and order service levels; on-time is over fully shipped orders, on-time-in-full over all."""
-    active = active_lines(lines)
-    by_line = active.agg(
-        ratio(F.sum(F.least("filled_qty", "ordered_qty")), F.sum("ordered_qty")).alias("line_fill_rate"), ratio(F.count_if("is_backordered"), F.count(F.lit(1))).alias("backorder_rate"),
-        F.count(F.lit(1)).alias("active_lines"),
+    """Line and order service levels, from one aggregation by order; on-time is over shipped orders, on-time-in-full over all."""
+    orders = active_lines(lines).groupBy("order_no").agg(
+        F.min(F.col("is_line_complete").cast("int")).alias("complete"), F.min(F.col("is_on_time").cast("int")).alias("on_time"), F.bool_and(F.col("shipped_date").isNotNull()).alias("shipped"),
+        F.sum(F.least("filled_qty", "ordered_qty")).alias("filled"), F.sum("ordered_qty").alias("ordered"), F.count_if("is_backordered").alias("backordered"), F.count(F.lit(1)).alias("lines"),
     )
-    orders = active.groupBy("order_no").agg(
-        F.min(F.col("is_line_complete").cast("int")).alias("complete"), F.min(F.col("is_on_time").cast("int")).alias("on_time"), F.bool_and(F.col("shipped_date").isNotNull()).alias("shipped")
-    )
-    by_order = orders.agg(
-        ratio(F.sum("complete"), F.count(F.lit(1))).alias("order_fill_rate"), ratio(F.sum(F.when(F.col("shipped"), F.col("on_time"))), F.count_if("shipped")).alias("on_time_delivery_rate"),
-        ratio(F.count_if(F.expr("shipped AND complete = 1 AND on_time = 1")), F.count(F.lit(1))).alias("otif_rate"), F.count(F.lit(1)).alias("active_orders"),
+    mart = orders.agg(
+        ratio(F.sum("filled"), F.sum("ordered")).alias("line_fill_rate"), ratio(F.sum("complete"), F.count(F.lit(1))).alias("order_fill_rate"),
+        ratio(F.sum(F.when(F.col("shipped"), F.col("on_time"))), F.count_if("shipped")).alias("on_time_delivery_rate"),
+        ratio(F.count_if(F.expr("shipped AND complete = 1 AND on_time = 1")), F.count(F.lit(1))).alias("otif_rate"), ratio(F.sum("backordered"), F.sum("lines")).alias("backorder_rate"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("active_lines"), F.count(F.lit(1)).alias("active_orders"),
     )
-    mart = one_row(by_line, by_order).select("line_fill_rate", "order_fill_rate", "on_time_delivery_rate", "otif_rate", "backorder_rate", "active_lines", "active_orders")
     return _final(mart, rounded)
 
 
@@ -134,10 +140,14 @@ def kpi_productivity(invoices: DataFrame, locations: DataFrame, rounded: bool =
 
 
 def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
-    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes."""
-    i = facts["invoices"]
+    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
+
+    Each fact table is read once: the invoices and the inventory values are summed and written for the marts that share them.
+    """
+    i = written(invoice_grain(facts["invoices"]), "invoice-grain")
+    inventory = written(facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value")), "inventory-by-date")
     marts = one_row(
-        kpi_inventory(i, facts["inventory"], False), kpi_service(facts["sales"], False), kpi_finance(i, facts["inventory"], facts["gl"], facts["closes"], False), kpi_growth(i, facts["locations"], False),
+        kpi_inventory(i, inventory, False), kpi_service(facts["sales"], False), kpi_finance(i, inventory, facts["gl"], facts["closes"], False), kpi_growth(i, facts["locations"], False),
         kpi_purchasing(facts["purchases"], False), kpi_productivity(i, facts["locations"], False), kpi_window(i),
     )
     return _final(marts.select(*KPIS, "window_start", "window_end", "window_days"), rounded)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scratch import written
 from ..operators import bi, marts, model
 from .oracle import SK
 from .registry import query
@@ -82,24 +83,24 @@ query("c19_gl", "SELECT * FROM fact_gl")(lambda w: w.fact_gl)
 query("k1_window", "SELECT * FROM w")(lambda w: marts.kpi_window(w.fact_invoice))
 query("k2_inventory", "SELECT * FROM k2")(lambda w: marts.kpi_inventory(w.fact_invoice, w.fact_inventory, rounded=False))
 query("k3_service", "SELECT * FROM k3")(lambda w: marts.kpi_service(w.fact_sales, rounded=False))
-query("k4_finance", "SELECT * FROM k4")(lambda w: marts.kpi_finance(w.fact_invoice, w.fact_inventory, w.fact_gl, w.close_calendar, rounded=False))
-query("k5_growth", "SELECT * FROM k5")(lambda w: marts.kpi_growth(w.fact_invoice, w.dim_location, rounded=False))
+query("k4_finance", "SELECT * FROM k4")(lambda w: (lambda f: marts.kpi_finance(written(marts.invoice_grain(f["invoices"]), "invoice-grain"), f["inventory"], f["gl"], f["closes"], rounded=False))(w.facts))
+query("k5_growth", "SELECT * FROM k5")(lambda w: marts.kpi_growth(written(marts.invoice_grain(w.fact_invoice), "invoice-grain"), w.dim_location, rounded=False))
 query("k6_purchasing", "SELECT * FROM k6")(lambda w: marts.kpi_purchasing(w.fact_purchase, rounded=False))
-query("k7_productivity", "SELECT * FROM k7")(lambda w: marts.kpi_productivity(w.fact_invoice, w.dim_location, rounded=False))
+query("k7_productivity", "SELECT * FROM k7")(lambda w: marts.kpi_productivity(written(marts.invoice_grain(w.fact_invoice), "invoice-grain"), w.dim_location, rounded=False))
 query("k8_headline", "SELECT * FROM k8")(lambda w: marts.kpi_headline(w.facts, rounded=False))
 
 
-@query("k9_mirror", "SELECT gmroi, inventory_turns, line_fill_rate, gross_margin_pct, vendor_fill_rate, avg_ticket FROM k8")
+@query("k9_mirror", "SELECT * FROM k8")
 def _(w):
     """The headline straight from staging, keyed by natural codes: no crosswalk, so it cross-checks the model."""
-    lines = lambda df, key: df.withColumn(key, F.lit("same"))
-    plain = {n: lines(d, "source_system") for n, d in (("sales", w.sales_order_lines), ("inv", w.invoice_lines), ("po", w.purchase_order_lines), ("snap", w.inventory_snapshots))}
-    inv = plain["inv"].selectExpr("invoice_no", "invoice_date", "customer_no AS customer_key", "branch_code AS location_key", "cast(cast(invoiced_qty as int) * unit_price as decimal(29,4)) AS revenue_amount",
+    w = w.kept()
+    invoices = w.invoice_lines.selectExpr("invoice_no", "invoice_date", "customer_no AS customer_key", "md5(branch_code) AS location_key", "cast(cast(invoiced_qty as int) * unit_price as decimal(29,4)) AS revenue_amount",
         "cast(cast(invoiced_qty as int) * unit_cost as decimal(29,4)) AS cogs_amount", "cast(cast(invoiced_qty as int) * (unit_price - unit_cost) as decimal(30,4)) AS gross_margin_amount")
-    sales = plain["sales"].selectExpr("*", "coalesce(shipped_date <= promised_date, false) AS is_on_time", "filled_qty >= ordered_qty AS is_line_complete", "filled_qty < ordered_qty AND cancelled_qty < ordered_qty AS is_backordered")
-    po = plain["po"].selectExpr("ordered_qty", "received_qty", "cast(cast(received_qty as int) * (unit_cost_actual - unit_cost_standard) as decimal(30,4)) AS ppv_amount", "cast(cast(received_qty as int) * unit_cost_standard as decimal(29,4)) AS received_standard_amount")
-    rows = marts.one_row(marts.kpi_inventory(inv, plain["snap"], False), marts.kpi_service(sales, False), marts.invoice_totals(inv), marts.kpi_purchasing(po, False), marts.kpi_productivity(inv, w.branches, False))
-    return rows.select("gmroi", "inventory_turns", "line_fill_rate", marts.ratio("gross_margin", "revenue").alias("gross_margin_pct"), "vendor_fill_rate", "avg_ticket")
+    sales = w.sales_order_lines.selectExpr("*", "coalesce(shipped_date <= promised_date, false) AS is_on_time", "filled_qty >= ordered_qty AS is_line_complete", "filled_qty < ordered_qty AND cancelled_qty < ordered_qty AS is_backordered")
+    purchases = w.purchase_order_lines.selectExpr("ordered_qty", "received_qty", "cast(cast(received_qty as int) * (unit_cost_actual - unit_cost_standard) as decimal(30,4)) AS ppv_amount", "cast(cast(received_qty as int) * unit_cost_standard as decimal(29,4)) AS received_standard_amount")
+    ledger = w.gl_entries.selectExpr("CASE account WHEN '1100' THEN 'GRP-1100' WHEN '2000' THEN 'GRP-2000' END AS consolidated_account", "debit_amt - credit_amt AS net_amount")
+    locations = w.branches.selectExpr("md5(branch_code) AS location_key", "owned_since", "fte_count")
+    return marts.kpi_headline({"invoices": invoices, "sales": sales, "purchases": purchases, "inventory": w.inventory_snapshots, "gl": ledger, "locations": locations, "closes": w.close_calendar}, rounded=False)
 
 
 REV = "cast(sum(revenue_amount) AS decimal(38,4)) AS revenue"

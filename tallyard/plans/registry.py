@@ -27,7 +27,9 @@ class Warehouse(Lake):
 
     @property
     def facts(self) -> dict[str, DataFrame]:
-        return {"invoices": self.fact_invoice, "sales": self.fact_sales, "purchases": self.fact_purchase, "inventory": self.fact_inventory, "gl": self.fact_gl, "locations": self.dim_location, "closes": self.close_calendar}
+        """All facts over lines that are written once."""
+        w = self.kept()
+        return {"invoices": w.fact_invoice, "sales": w.fact_sales, "purchases": w.fact_purchase, "inventory": w.fact_inventory, "gl": w.fact_gl, "locations": w.dim_location, "closes": w.close_calendar}
 
 
 _MODEL = {

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import written
+
 SOURCE = "dealer_one"
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -24,6 +26,12 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def kept(self) -> Lake:
+        """The same lake with its joined lines written once: for queries that make several entities of them."""
+        out = type(self)(self.spark, self.dir)
+        out._built["lines"] = written(self.lines.select(*_LINE_COLUMNS), "lines")
+        return out
+
     def __getattr__(self, name: str) -> DataFrame:
         make = _RULES.get(name)
         if make is None:
@@ -92,6 +100,10 @@ def _lines(lake: Lake) -> DataFrame:
     )
 
 
+#: Columns of the lines that the entities are made of.
+_LINE_COLUMNS = ["l_orderkey", "line_no", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "o_custkey", "o_orderstatus", "od", "qty", "disc", "tax", "item_no", "unit_cost", "list_price", "supplier_branch", "branch_code"]
+
+
 def _sales_order_lines(lake: Lake) -> DataFrame:
     return (
         lake.lines.withColumn("ordered_qty", F.expr("cast(CASE WHEN l_returnflag = 'R' THEN qty + 3 ELSE qty END as bigint)"))
@@ -147,24 +159,20 @@ def _gl_entries(lake: Lake) -> DataFrame:
         F.sum(F.expr("cast(received_qty as int) * unit_cost_actual")).cast("decimal(18,2)").cast("decimal(18,4)").alias("x")
     )
 
-    def journal(df: DataFrame, prefix: str, key: str, days: int, debit: str, credit: str, what: str) -> DataFrame:
-        number = f"concat('{prefix}-', {key})" if prefix in ("JS", "JC") else f"concat('{prefix}-', {key}, '-', d, '-', branch_code)"
-        return df.selectExpr(
-            f"'{SOURCE}' AS source_system", f"{number} AS journal_no", f"date_add(d, {days}) AS entry_date", "branch_code",
-            f"explode(array(struct(cast(1 as bigint) AS line_no, '{debit}' AS account, x AS debit_amt, cast(0 as decimal(18,4)) AS credit_amt), "
-            f"struct(cast(2 as bigint) AS line_no, '{credit}' AS account, cast(0 as decimal(18,4)) AS debit_amt, x AS credit_amt))) AS e", f"'{what}' AS description",
-        ).select("source_system", "journal_no", "e.line_no", "entry_date", "branch_code", "e.account", "description", "e.debit_amt", "e.credit_amt")
-
-    parts = [
-        journal(sales, "JS", "l_orderkey", 0, "1100", "4000", "sale"),
-        journal(sales.where("l_orderkey % 5 <> 0"), "JC", "l_orderkey", 30, "1010", "1100", "receipt"),
-        journal(bills, "JB", "l_suppkey", 0, "1200", "2000", "bill"),
-        journal(bills.where("l_suppkey % 5 <> 0"), "JP", "l_suppkey", 30, "2000", "1010", "payment"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def entries(df: DataFrame, number: str, legs: list[tuple[str, str, int, str, str, str]]) -> DataFrame:
+        """Two lines of each leg (prefix, condition, days after d, debit, credit, description), from one pass over df."""
+        line = "struct('{0}' AS prefix, date_add(d, {2}) AS entry_date, '{5}' AS description, cast(%d as bigint) AS line_no, '{%d}' AS account, %s AS debit_amt, %s AS credit_amt)"
+        zero = "cast(0 as decimal(18,4))"
+        pair = f"array({line % (1, 3, 'x', zero)}, {line % (2, 4, zero, 'x')})"
+        lines = ", ".join(f"IF({leg[1]}, {pair.format(*leg)}, array())" for leg in legs)
+        rows = df.selectExpr("*", f"explode(concat({lines})) AS e")
+        return rows.selectExpr(
+            f"'{SOURCE}' AS source_system", f"concat(e.prefix, '-', {number}) AS journal_no", "e.line_no", "e.entry_date", "branch_code", "e.account", "e.description", "e.debit_amt", "e.credit_amt"
+        )
+
+    return entries(sales, "l_orderkey", [("JS", "true", 0, "1100", "4000", "sale"), ("JC", "l_orderkey % 5 <> 0", 30, "1010", "1100", "receipt")]).unionByName(
+        entries(bills, "l_suppkey, '-', d, '-', branch_code", [("JB", "true", 0, "1200", "2000", "bill"), ("JP", "l_suppkey % 5 <> 0", 30, "2000", "1010", "payment")])
+    )
 
 
 COA_ROWS = """
