@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scratch import written
 from ..operators import bi, marts, model
 from .oracle import SK
 from .registry import query
@@ -83,10 +82,10 @@ query("c19_gl", "SELECT * FROM fact_gl")(lambda w: w.fact_gl)
 query("k1_window", "SELECT * FROM w")(lambda w: marts.kpi_window(w.fact_invoice))
 query("k2_inventory", "SELECT * FROM k2")(lambda w: marts.kpi_inventory(w.fact_invoice, w.fact_inventory, rounded=False))
 query("k3_service", "SELECT * FROM k3")(lambda w: marts.kpi_service(w.fact_sales, rounded=False))
-query("k4_finance", "SELECT * FROM k4")(lambda w: (lambda f: marts.kpi_finance(written(marts.invoice_grain(f["invoices"]), "invoice-grain"), f["inventory"], f["gl"], f["closes"], rounded=False))(w.facts))
-query("k5_growth", "SELECT * FROM k5")(lambda w: marts.kpi_growth(written(marts.invoice_grain(w.fact_invoice), "invoice-grain"), w.dim_location, rounded=False))
+query("k4_finance", "SELECT * FROM k4")(lambda w: (lambda f: marts.kpi_finance(marts.narrow(f["invoices"]), f["inventory"], f["gl"], f["closes"], rounded=False))(w.facts))
+query("k5_growth", "SELECT * FROM k5")(lambda w: marts.kpi_growth(marts.narrow(w.fact_invoice), w.dim_location, rounded=False))
 query("k6_purchasing", "SELECT * FROM k6")(lambda w: marts.kpi_purchasing(w.fact_purchase, rounded=False))
-query("k7_productivity", "SELECT * FROM k7")(lambda w: marts.kpi_productivity(written(marts.invoice_grain(w.fact_invoice), "invoice-grain"), w.dim_location, rounded=False))
+query("k7_productivity", "SELECT * FROM k7")(lambda w: marts.kpi_productivity(marts.narrow(w.fact_invoice), w.dim_location, rounded=False))
 query("k8_headline", "SELECT * FROM k8")(lambda w: marts.kpi_headline(w.facts, rounded=False))
 
 

@@ -33,9 +33,9 @@ class Warehouse(Lake):
 
 
 _MODEL = {
-    "xwalk_customer": lambda w: model.crosswalk(w.customers, "customer_no", "customer"),
-    "xwalk_item": lambda w: model.crosswalk(w.items, "item_no", "item"),
-    "xwalk_vendor": lambda w: model.crosswalk(w.vendors, "vendor_no", "vendor"),
+    "xwalk_customer": lambda w: w.bounded(model.crosswalk(w.customers, "customer_no", "customer"), "customer"),
+    "xwalk_item": lambda w: w.bounded(model.crosswalk(w.items, "item_no", "item"), "part"),
+    "xwalk_vendor": lambda w: w.bounded(model.crosswalk(w.vendors, "vendor_no", "vendor"), "supplier"),
     "xwalk_salesperson": lambda w: model.crosswalk(w.salespeople, "salesperson_code", "salesperson"),
     "dim_customer": lambda w: model.dim_customer(w.customers, w.xwalk_customer),
     "dim_item_category": lambda w: model.dim_item_category(w.items),

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.scratch import written
 
 SOURCE = "dealer_one"
+#: Size of a table's files up to which its keys are broadcast: some ten million rows, 100 MB in memory.
+BROADCAST_BYTES = 16 << 20
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -26,6 +28,15 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def bounded(self, df: DataFrame, table: str) -> DataFrame:
+        """``df``, keys of one row of ``table`` each, to be broadcast if that table's files stay below BROADCAST_BYTES.
+
+        Otherwise the optimizer decides. Without it, small facts may be broadcast to a single task over the keys.
+        """
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.dir}/{table}.parquet")
+        size = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
     def kept(self) -> Lake:
         """The same lake with its joined lines written once: for queries that make several entities of them."""
         out = type(self)(self.spark, self.dir)
