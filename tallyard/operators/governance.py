@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 FLOOR = 2.0**-10
 
-#: Allowed transitions of a claim.
-TRANSITIONS = [("open", "evidence"), ("open", "rejected"), ("evidence", "review"), ("evidence", "rejected"), ("review", "locked"), ("review", "evidence"), ("review", "rejected")]
+#: The steps of a claim, as status, action, next status. Locked, rejected and withdrawn are final.
+STEPS = [
+    ("draft", "submit", "submitted"), ("draft", "withdraw", "withdrawn"), ("submitted", "start_review", "under_review"), ("submitted", "withdraw", "withdrawn"),
+    ("under_review", "approve", "approved"), ("under_review", "reject", "rejected"), ("under_review", "withdraw", "withdrawn"), ("approved", "lock", "locked"),
+]
 
-#: Words that no submitted query may contain, and functions that read or write files.
-FORBIDDEN = ["INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "CREATE", "TRUNCATE", "GRANT", "REVOKE", "COPY", "ATTACH", "DETACH", "PRAGMA", "INSTALL", "LOAD", "EXPORT", "IMPORT", "CALL", "SET", "VACUUM", "MERGE", "REPLACE"]
-FILE_FUNCTIONS = ["READ_CSV", "READ_CSV_AUTO", "READ_PARQUET", "READ_JSON", "READ_TEXT", "READ_BLOB", "GLOB", "PARQUET_SCAN"]
+#: Half-lives of the kinds of signals, in seconds.
+HALF_LIVES = {"reconciliation_run": 43200.0, "tombstone_batch": 21600.0, "key_scan_missing": 86400.0, "exception_disposition": 172800.0}
+
+#: Words that no submitted query may contain, and table functions that it may not call.
+FORBIDDEN = ["ALTER", "ATTACH", "CALL", "CHECKPOINT", "COPY", "CREATE", "DELETE", "DETACH", "DROP", "EXPORT", "GRANT", "IMPORT", "INSERT", "INSTALL", "LOAD", "MERGE", "PRAGMA", "RESET", "REVOKE", "SET", "TRUNCATE", "UPDATE", "USE", "VACUUM"]
+TABLE_FUNCTIONS = ["read_csv", "read_csv_auto", "read_parquet", "parquet_scan", "read_json", "read_json_auto", "read_blob", "glob", "sqlite_scan", "postgres_scan", "mysql_scan", "httpfs", "delta_scan", "iceberg_scan"]
 
 
 def signal_id(kind: Column, subject: Column, payload: Column) -> Column:
@@ -21,8 +27,15 @@ def signal_id(kind: Column, subject: Column, payload: Column) -> Column:
 
 
 def post(signals: DataFrame) -> DataFrame:
-    """One row per signal: posting is idempotent, the latest emission holds."""
-    return signals.groupBy("signal_id", "kind", "subject", "half_life_seconds").agg(F.max("emitted_at").alias("emitted_at"))
+    """One row per signal: posting is idempotent; the latest emission holds, with its half-life."""
+    return signals.groupBy("signal_id", "kind", "subject").agg(
+        F.max_by("half_life_seconds", F.struct("emitted_at", "half_life_seconds")).alias("half_life_seconds"), F.max("emitted_at").alias("emitted_at")
+    )
+
+
+def half_life(kind: Column) -> Column:
+    """The half-life of a kind of signal in seconds; null for unknown kinds."""
+    return F.create_map(*(F.lit(x) for pair in HALF_LIVES.items() for x in pair))[kind]
 
 
 def salience(emitted_at: Column, half_life_seconds: Column, now: Column) -> Column:
@@ -46,22 +59,33 @@ def swept(signals: DataFrame, now: Column) -> DataFrame:
 
 
 def claim_states(opened: DataFrame, transitions: DataFrame) -> DataFrame:
-    """Current state of each claim (claim_id, opened_by), and who locked it, from its transitions in order."""
+    """Current state of each claim (claim_id, opened_by), and the person that confirmed its lock, from its transitions in order."""
     w = Window.partitionBy("claim_id").orderBy(F.desc("at"), F.desc("seq"))
-    last = transitions.withColumn("n", F.row_number().over(w)).where("n = 1").select("claim_id", "to_status", "actor", "at")
-    state = F.coalesce("to_status", F.lit("open"))
-    return opened.join(last, "claim_id", "left").select("claim_id", "opened_by", state.alias("status"), F.when(state == "locked", F.col("actor")).alias("locked_by"), F.col("at").alias("changed_at"))
+    last = transitions.withColumn("n", F.row_number().over(w)).where("n = 1").select("claim_id", "to_status", "confirmed_by", "at")
+    state = F.coalesce("to_status", F.lit("draft"))
+    return opened.join(last, "claim_id", "left").select("claim_id", "opened_by", state.alias("status"), F.when(state == "locked", F.col("confirmed_by")).alias("locked_by"), F.col("at").alias("changed_at"))
 
 
-def illegal_transitions(opened: DataFrame, transitions: DataFrame, allowed: list[tuple[str, str]] = TRANSITIONS) -> DataFrame:
-    """Transitions that break a rule, with the first rule broken: a wrong step, an anonymous lock, or one's own claim locked."""
+def illegal_transitions(opened: DataFrame, transitions: DataFrame, steps: list[tuple[str, str, str]] = STEPS) -> DataFrame:
+    """Ledger lines that break a rule, with the first one broken.
+
+    UNKNOWN_CLAIM (none opened), ILLEGAL_STEP, UNNAMED_ACTOR, FOUR_EYES (who opened a claim approves or locks it),
+    ANONYMOUS_LOCK (nobody confirms a lock), SELF_CONFIRMED (the actor does). Names are compared without regard to case
+    and outer spaces. transitions: claim_id, seq, at, action, to_status, actor, confirmed_by.
+    """
     spark = transitions.sparkSession
-    legal = F.broadcast(spark.createDataFrame(allowed, "before string, to_status string").withColumn("legal", F.lit(True)))
+    legal = F.broadcast(spark.createDataFrame(steps, "before string, action string, to_status string").withColumn("legal", F.lit(True)))
     w = Window.partitionBy("claim_id").orderBy("at", "seq")
-    rows = transitions.withColumn("before", F.coalesce(F.lag("to_status").over(w), F.lit("open"))).join(legal, ["before", "to_status"], "left").join(opened.select("claim_id", "opened_by"), "claim_id", "left")
-    locks = F.col("to_status") == "locked"
-    rule = F.when(F.col("legal").isNull(), "ILLEGAL_STEP").when(locks & (F.coalesce(F.trim("actor"), F.lit("")) == ""), "ANONYMOUS_LOCK").when(locks & (F.col("actor") == F.col("opened_by")), "FOUR_EYES")
-    return rows.withColumn("rule", rule).where("rule IS NOT NULL").select("claim_id", "seq", "before", "to_status", "actor", "rule")
+    claims = opened.select("claim_id", "opened_by", F.lit(True).alias("known"))
+    rows = transitions.withColumn("before", F.coalesce(F.lag("to_status").over(w), F.lit("draft"))).join(legal, ["before", "action", "to_status"], "left").join(claims, "claim_id", "left")
+    name = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
+    locks = F.col("action") == "lock"
+    rule = (
+        F.when(F.col("known").isNull(), "UNKNOWN_CLAIM").when(F.col("legal").isNull(), "ILLEGAL_STEP").when(name("actor") == "", "UNNAMED_ACTOR")
+        .when(F.col("action").isin("approve", "lock") & (name("actor") == name("opened_by")), "FOUR_EYES")
+        .when(locks & (name("confirmed_by") == ""), "ANONYMOUS_LOCK").when(locks & (name("confirmed_by") == name("actor")), "SELF_CONFIRMED")
+    )
+    return rows.withColumn("rule", rule).where("rule IS NOT NULL").select("claim_id", "seq", "before", "action", "to_status", "actor", "rule")
 
 
 def lock_gate(states: DataFrame, requests: DataFrame) -> DataFrame:
@@ -108,16 +132,17 @@ def broken_entries(ledger: DataFrame) -> DataFrame:
 
 
 def sql_policy(log: DataFrame, column: str = "sql") -> DataFrame:
-    """The verdict on each submitted text: OK, EMPTY, MULTIPLE_STATEMENTS, NOT_SELECT, FORBIDDEN_KEYWORD or FILE_FUNCTION.
+    """The verdict on each submitted text: OK, EMPTY, MULTIPLE_STATEMENTS, NOT_SELECT, FILE_FUNCTION or FORBIDDEN_KEYWORD.
 
-    Quoted strings and comments don't count; words are whole words, so created_at isn't CREATE.
+    Comments don't count, quoted strings do. Words are whole runs of letters and underscores, so created_at isn't CREATE;
+    a function is refused only where it is called, so a column may be named glob.
     """
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col(column), r"'(?:[^']|'')*'", "''"), r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")
-    text = F.regexp_replace(F.trim(F.regexp_replace(bare, r"\s+", " ")), r"[; ]+$", "")
-    words = F.regexp_extract_all(F.upper(text), F.lit(r"([A-Z_][A-Z0-9_]*)"), 1)
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")
+    text = F.regexp_replace(bare, r"^\s+|\s+$", "")
+    words = F.regexp_extract_all(F.upper(text), F.lit(r"([A-Z_]+)"), 1)
     verdict = (
-        F.when(F.coalesce(text, F.lit("")) == "", "EMPTY").when(text.contains(";"), "MULTIPLE_STATEMENTS").when(~F.upper(text).rlike(r"^\(?\s*(SELECT|WITH)\b"), "NOT_SELECT")
-        .when(F.arrays_overlap(words, F.array(*map(F.lit, FORBIDDEN))), "FORBIDDEN_KEYWORD").when(F.arrays_overlap(words, F.array(*map(F.lit, FILE_FUNCTIONS))), "FILE_FUNCTION").otherwise("OK")
+        F.when(text == "", "EMPTY").when(F.regexp_replace(text, r";+$", "").contains(";"), "MULTIPLE_STATEMENTS").when(~text.rlike(r"(?i)^(select|with)\b"), "NOT_SELECT")
+        .when(text.rlike(rf"(?i)\b({'|'.join(TABLE_FUNCTIONS)})\s*\("), "FILE_FUNCTION").when(F.arrays_overlap(words, F.array(*map(F.lit, FORBIDDEN))), "FORBIDDEN_KEYWORD").otherwise("OK")
     )
     return log.withColumn("verdict", verdict)
 
@@ -164,19 +189,18 @@ def post_verify(hits: DataFrame, queries: DataFrame, grants_now: DataFrame) -> D
 
 
 def hashed_bag(docs: DataFrame, dims: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Hashed bag of words: per document an array of ``dims`` token counts, the bucket from the token's SHA-256.
+    """Hashed bag of words: per row an array of ``dims`` token counts, the bucket from the token's SHA-256.
 
-    dims must be a power of two up to 256, for which the 8th byte of the digest alone decides.
+    dims must be a power of two up to 256, for which the 8th byte of the digest alone decides. Null and empty texts
+    give zeros. Each text is counted where it is read: nothing is shuffled.
     """
     if dims not in (2, 4, 8, 16, 32, 64, 128, 256):
         raise ValueError("dims must be a power of two up to 256")
-    tokens = docs.select(id_col, F.explode(F.split(F.trim(F.lower(F.col(text_col))), r"[ \t\n\r\f\x0B]+")).alias("token")).where("token <> ''")
-    # digest each distinct token of the corpus once
-    counts = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
-    bucket = F.pmod(F.conv(F.substring(F.sha2("token", 256), 15, 2), 16, 10).cast("int"), F.lit(dims))
-    sums = counts.groupBy(id_col, bucket.alias("bucket")).agg(F.sum("n").alias("n"))
-    filled = sums.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("m"))
-    return filled.select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0)).cast("long")).alias("vector"))
+    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[ \t\n\r\f\x0B]+"), lambda t: t != "")
+    buckets = F.transform(tokens, lambda t: F.pmod(F.conv(F.substring(F.sha2(t, 256), 15, 2), 16, 10).cast("int"), F.lit(dims)))
+    rows = docs.select(id_col, buckets.alias("b"))
+    count = lambda i: (F.size("b") - F.size(F.array_remove("b", i))).cast("long")
+    return rows.select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), count).alias("vector"))
 
 
 def retrieval_outcomes(queries: DataFrame, verified: DataFrame) -> DataFrame:

@@ -62,17 +62,23 @@ def evaluation_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("cases"), F.count_if("correct").alias("correct"), F.max("latency_ms").alias("max_latency_ms"))
 
 
-def badge(headline: DataFrame, computed_now: Column, kpis: list[str] = KPIS) -> DataFrame:
-    """MOCK if a KPI is null, LIVE if computed now, else CACHE."""
+def badge(evidence: DataFrame, kpis: list[str] = KPIS) -> DataFrame:
+    """Where the headline's values come from: LIVE, CACHE, or MOCK wherever that isn't proven.
+
+    evidence: the headline's columns, and live, cached and mock (booleans; null: unknown). A real tier needs its own
+    flag true, the other two unknown, and no KPI missing.
+    """
     lacking = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in kpis))
-    return headline.select(F.when(lacking, "MOCK").when(computed_now, "LIVE").otherwise("CACHE").alias("badge"))
+    only = lambda c, *others: F.coalesce(F.col(c), F.lit(False)) & reduce(lambda a, b: a & b, (F.col(o).isNull() for o in others))
+    tier = F.when(lacking, "MOCK").when(only("cached", "live", "mock"), "CACHE").when(only("live", "cached", "mock"), "LIVE").otherwise("MOCK")
+    return evidence.withColumn("badge", tier)
 
 
 def answer_score(answers: DataFrame) -> DataFrame:
-    """40 points for executed SQL, 30 for a source named, 30 for a value in range; finance needs 100, others 70.
+    """40 points for SQL that passed the guardrails, 30 for a result of at least one row, 30 for parity with a golden case.
 
-    answers: domain, executed, sourced, in_range (booleans; null counts as no).
+    answers: domain, guarded, row_count, in_tolerance (null counts as no); finance needs 100, others 70.
     """
-    points = lambda c, n: F.when(F.coalesce(F.col(c), F.lit(False)), n).otherwise(0)
-    scored = answers.withColumn("score", points("executed", 40) + points("sourced", 30) + points("in_range", 30))
+    points = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
+    scored = answers.withColumn("score", points(F.col("guarded"), 40) + points(F.col("row_count") >= 1, 30) + points(F.col("in_tolerance"), 30))
     return scored.withColumn("floor", F.when(F.col("domain") == "finance", 100).otherwise(70)).withColumn("accepted", F.col("score") >= F.col("floor"))

@@ -108,6 +108,19 @@ def escalations(runs: DataFrame, limit: float = 0.005, streak: int = 3) -> DataF
     return over.withColumn("escalate", (F.min("over").over(w) == 1) & (F.count(F.lit(1)).over(w) == streak)).drop("over")
 
 
+def variance_escalations(one: DataFrame, two: DataFrame, limit: float = 0.01) -> DataFrame:
+    """Entities (entity, n) whose counts in a source and in the warehouse differ by more than ``limit`` of the source's."""
+    both = one.withColumnRenamed("n", "n_source").join(two.withColumnRenamed("n", "n_warehouse"), "entity", "full").na.fill(0, ["n_source", "n_warehouse"])
+    variance = F.when(F.col("n_source") == F.col("n_warehouse"), F.lit(0.0)).otherwise(F.coalesce(ratio(F.abs(F.col("n_source") - F.col("n_warehouse")), "n_source"), F.lit(1.0)))
+    return both.withColumn("variance", variance).where(F.col("variance") > limit)
+
+
+def grain_drift(df: DataFrame, grain: list[str], table: str) -> DataFrame:
+    """The declared grain of a table, as catalog drift, if rows repeat it: actual_type says how many values do."""
+    twice = df.groupBy(*grain).count().where("count > 1").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    return twice.select(F.lit(table).alias("table"), F.lit("+".join(grain)).alias("column"), F.lit("unique").alias("type"), F.col("n").cast("string").alias("actual_type"), F.lit("grain").alias("problem"))
+
+
 def catalog_drift(declared: DataFrame, actual: StructType, table: str) -> DataFrame:
     """Declared columns (table, column, type) against a table's schema: missing, retyped or undeclared ones."""
     spark = declared.sparkSession

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.keys import natural_id
-from ..operators import governance, marts, metrics, quality, reconcile
+from ..operators import governance, marts, metrics, model, quality, reconcile
 from ..sources import drops, extracts
 from ..sources.schemas import entity_schema
+from ..sources.shape import SOURCE
 from .registry import query
 
 LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -49,14 +50,14 @@ def _(w):
     return drops.gate(manifest, files, parsed, n.select("name", F.lit(False).alias("drift"))).select("name", "reason_code")
 
 
-_HASHED = "SELECT event_id, event_type AS source_id, sha256(props) AS file_hash, ts FROM events"
+_HASHED = "SELECT event_id, cast(user_id AS varchar) AS source_id, sha256(props) AS file_hash, ts FROM events"
 query("i11_new_files", f"WITH f AS ({_HASHED}) SELECT event_id, source_id, file_hash FROM f WHERE (source_id, file_hash) NOT IN (SELECT (source_id, file_hash) FROM f WHERE event_id % 3 = 0) AND event_id % 3 <> 0")(
     lambda w: (lambda f: drops.new_files(f.where("event_id % 3 <> 0").select("event_id", "source_id", "file_hash"), f.where("event_id % 3 = 0").select("source_id", "file_hash", F.lit("PROMOTED").alias("status"))))(
-        w.table("events").select("event_id", F.col("event_type").alias("source_id"), F.sha2("props", 256).alias("file_hash"))
+        w.table("events").select("event_id", F.col("user_id").cast("string").alias("source_id"), F.sha2("props", 256).alias("file_hash"))
     )
 )
 query("i12_first_receipt", f"WITH f AS ({_HASHED}) SELECT source_id, file_hash, min(struct_pack(t := ts, i := event_id)).i AS event_id FROM f GROUP BY 1, 2")(
-    lambda w: drops.first_receipt(w.table("events").select("event_id", F.col("event_type").alias("source_id"), F.lit("b").alias("batch_id"), F.lit("f").alias("file_name"), F.sha2("props", 256).alias("file_hash"), F.struct("ts", "event_id").alias("processed_at"), F.lit("PROMOTED").alias("status")))
+    lambda w: drops.first_receipt(w.table("events").select("event_id", F.col("user_id").cast("string").alias("source_id"), F.lit("b").alias("batch_id"), F.lit("f").alias("file_name"), F.sha2("props", 256).alias("file_hash"), F.struct("ts", "event_id").alias("processed_at"), F.lit("PROMOTED").alias("status")))
     .select("source_id", "file_hash", "event_id")
 )
 query(
@@ -78,17 +79,17 @@ query("i10_malformed", "SELECT cast(count(*) FILTER (WHERE l_orderkey % 11 <> 0)
     )
 )
 query("i18_projection", "SELECT o_orderkey AS order_no, o_orderdate AS order_date, NULL::varchar AS branch_code FROM orders")(
-    lambda w: extracts.project(w.table("orders"), {"order_no": "o_orderkey", "order_date": "o_orderdate", "branch_code": "absent"}).withColumn("branch_code", F.col("branch_code").cast("string"))
+    lambda w: extracts.project(w.table("orders"), {"order_no": "o_orderkey", "order_date": "o_orderdate", "branch_code": "absent"}, {"branch_code": "string"})
 )
 query("i19_incremental", "SELECT event_id, ts FROM events WHERE event_id > 5000")(lambda w: extracts.incremental(w.table("events").select("event_id", "ts"), "event_id", 5000))
 query("i20_watermark_text", "SELECT max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS watermark FROM events")(
     lambda w: extracts.next_watermark_text(w.table("events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("t")), "t")
 )
 _T = "CASE WHEN event_id % 2 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '.5Z' ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '.250Z' END"
-query("i21_watermark_instant", f"SELECT event_type, max_by({_T}, struct_pack(a := date_trunc('second', ts), b := CASE WHEN event_id % 2 = 0 THEN 500 ELSE 250 END)) AS watermark, cast(0 AS bigint) AS unreadable FROM events GROUP BY 1")(
-    lambda w: w.table("events")
-    .select("event_type", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 2 == 0, ".5Z").otherwise(".250Z")).alias("t"))
-    .groupBy("event_type").agg(F.max_by("t", F.try_to_timestamp("t")).alias("watermark"), F.count_if(F.col("t").isNotNull() & F.try_to_timestamp("t").isNull()).alias("unreadable"))
+query("i21_watermark_instant", f"SELECT event_type, CASE WHEN event_type <> 'error' THEN max_by({_T}, struct_pack(a := date_trunc('second', ts), b := CASE WHEN event_id % 2 = 0 THEN 500 ELSE 250 END)) END AS watermark, cast(count(*) FILTER (WHERE event_type = 'error' AND event_id % 5 = 0) AS bigint) AS unreadable FROM events GROUP BY 1")(
+    lambda w: extracts.next_watermark_instant(
+        w.table("events").select("event_type", F.when(F.expr("event_type = 'error' AND event_id % 5 = 0"), "soon").otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 2 == 0, ".5Z").otherwise(".250Z"))).alias("t")), "t", ["event_type"]
+    )
 )
 query("i22_watermark_by_type", "SELECT event_type AS type, cast(greatest(max(event_id), CASE WHEN event_type = 'click' THEN 999999 ELSE 5 END) AS varchar) AS watermark FROM events GROUP BY event_type UNION ALL SELECT 'return', '7'")(
     lambda w: extracts.next_watermark_by_type(
@@ -112,8 +113,8 @@ query("i27_flatten_lines", "SELECT l_orderkey AS order_no, l_linenumber AS line_
         "lines", {"order_no": "l_orderkey"}, {"line_no": "n", "item": "p"}, "line_no",
     )
 )
-query("i28_union_scoped", "SELECT c_custkey, 'north' AS company_id FROM customer WHERE c_nationkey < 5 UNION ALL SELECT c_custkey, 'south' FROM customer WHERE c_nationkey > 20")(
-    lambda w: extracts.union_scoped({"north": w.table("customer").where("c_nationkey < 5").select("c_custkey"), "south": w.table("customer").where("c_nationkey > 20").select("c_custkey")})
+query("i28_union_scoped", "SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN 'north' ELSE 'south' END AS company_id FROM customer")(
+    lambda w: extracts.union_scoped({"north": w.table("customer").where("c_nationkey < 12").select("c_custkey"), "south": w.table("customer").where("c_nationkey >= 12").select("c_custkey")})
 )
 query("i29_scoped", "SELECT c_custkey FROM customer WHERE c_nationkey IN (1, 2, 3) AND c_mktsegment = 'BUILDING'")(lambda w: extracts.scoped_to(w.table("customer"), c_nationkey=[1, 2, 3], c_mktsegment="BUILDING").select("c_custkey"))
 query("i30_soft_delete", "SELECT l_orderkey, l_partkey FROM lineitem WHERE coalesce(nullif(l_returnflag, 'N'), 'x') <> 'R'")(
@@ -208,7 +209,9 @@ query("q2_unique", f"SELECT 'unique:lineitem.l_orderkey+l_linenumber' AS check_n
 query("q3_relationship", f"SELECT 'relationship:sales.customer' AS check_name, {_OK} FROM (SELECT count(*) AS failing_rows FROM sales_order_lines WHERE cast(substr(customer_no, 3) AS bigint) % 17 = 0)")(
     lambda w: quality.relationship(w.sales_order_lines, "customer_no", w.customers.where(F.col("postal_code").cast("bigint") % 17 != 0), "customer_no", "sales.customer")
 )
-query("q4_unmapped", "SELECT account, count(*) AS lines FROM fact_gl WHERE consolidated_account IS NULL GROUP BY 1")(lambda w: quality.unmapped_accounts(w.fact_gl))
+query("q4_unmapped", "SELECT account, count(*) AS lines FROM gl_entries WHERE account = '1010' OR (account = '1200' AND entry_date < date '1998-01-01') GROUP BY 1")(
+    lambda w: quality.unmapped_accounts(model.fact_gl_transaction(w.gl_entries, model.ref_coa_mapping(w.coa).where("target_consolidated_account NOT IN ('GRP-1010', 'GRP-1200')"), SOURCE))
+)
 query("q5_orders_vs_invoices", "SELECT * FROM (SELECT order_no, filled, coalesce(invoiced, 0) AS invoiced FROM (SELECT order_no, cast(sum(filled_qty) AS bigint) AS filled FROM fact_sales WHERE shipped_date IS NOT NULL AND cancelled_qty = 0 GROUP BY 1) LEFT JOIN (SELECT order_no, cast(sum(invoiced_qty) AS bigint) AS invoiced FROM fact_invoice WHERE line_no <> 5 GROUP BY 1) USING (order_no)) WHERE abs(filled - invoiced) > 0.001")(
     lambda w: quality.orders_vs_invoices(w.fact_sales, w.fact_invoice.where("line_no <> 5"))
 )
@@ -236,22 +239,61 @@ query(
 )(lambda w: quality.escalations(w.table("events").groupBy(F.col("user_id").alias("source_id"), F.to_date("ts").alias("run_no")).agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("value") > 50).alias("quarantined")), 0.5))
 
 
-@query("q15_catalog_drift", "SELECT 'items' AS \"table\", 'list_price' AS \"column\", 'decimal(38,9)' AS type, 'decimal(18,4)' AS actual_type, 'retyped' AS problem FROM (SELECT count(*) FROM part) UNION ALL SELECT 'items', 'p_partkey', NULL, 'bigint', 'undeclared'")
+query("q14_variance", "SELECT entity, n_source, n_warehouse, abs(n_source - n_warehouse)::double / n_source::double AS variance FROM (SELECT event_type AS entity, count(*) AS n_source, cast(count(*) FILTER (WHERE NOT (event_id % 50 = 0 AND value > 20) AND event_type <> 'view') AS bigint) AS n_warehouse FROM events GROUP BY 1) WHERE abs(n_source - n_warehouse)::double / n_source::double > 0.01")(
+    lambda w: (lambda e: quality.variance_escalations(e.groupBy("entity").agg(F.count(F.lit(1)).alias("n")), e.where("NOT (event_id % 50 = 0 AND value > 20) AND entity <> 'view'").groupBy("entity").agg(F.count(F.lit(1)).alias("n"))))(
+        w.table("events").select(F.col("event_type").alias("entity"), "event_id", "value")
+    )
+)
+
+
+@query(
+    "q15_catalog_drift",
+    """SELECT 'items' AS "table", 'list_price' AS "column", 'decimal(38,9)' AS type, 'decimal(18,4)' AS actual_type, 'retyped' AS problem UNION ALL SELECT 'items', 'p_partkey', NULL, 'bigint', 'undeclared'
+    UNION ALL SELECT * FROM (SELECT 'lineitem', 'l_orderkey+l_linenumber', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) WHERE n <> '0'
+    UNION ALL SELECT * FROM (SELECT 'orders', 'o_custkey', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) WHERE n <> '0'
+    UNION ALL SELECT * FROM (SELECT 'items', 'item_no', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM items GROUP BY item_no HAVING count(*) > 1)) WHERE n <> '0'""",
+)
 def _(w):
-    """The declared columns of items against the frame that the tables give; one type is declared otherwise."""
+    """The declared columns of items against the frame that the tables give, and the declared grain of three tables."""
     rows = [("items", f.name, "decimal(38,9)" if f.name == "list_price" else f.dataType.simpleString()) for f in entity_schema("items")] + [("items", "source_system", "string")]
-    return quality.catalog_drift(w.spark.createDataFrame(rows, "table string, column string, type string"), w.items.schema, "items")
+    drift = quality.catalog_drift(w.spark.createDataFrame(rows, "table string, column string, type string"), w.items.schema, "items")
+    for name, frame, grain in (("lineitem", w.table("lineitem"), ["l_orderkey", "l_linenumber"]), ("orders", w.table("orders"), ["o_custkey"]), ("items", w.items, ["item_no"])):
+        drift = drift.unionByName(quality.grain_drift(frame, grain, name))
+    return drift
+
+
+#: The declared many-to-one relationships: child, its column, parent, its key.
+RELATIONSHIPS = [
+    ("dim_item", "item_category_key", "dim_item_category", "item_category_key"), ("dim_ship_to", "customer_key", "dim_customer", "customer_key"), ("fact_inventory", "item_key", "dim_item", "item_key"),
+    ("fact_invoice", "customer_key", "dim_customer", "customer_key"), ("fact_invoice", "item_key", "dim_item", "item_key"), ("fact_purchase", "vendor_key", "dim_vendor", "vendor_key"),
+    ("fact_purchase", "item_key", "dim_item", "item_key"), ("fact_sales", "customer_key", "dim_customer", "customer_key"), ("fact_sales", "item_key", "dim_item", "item_key"),
+]
 
 
-query("q17_many_to_one", f"SELECT n AS check_name, {_OK} FROM (SELECT 'unique:invoice.item.item_key' AS n, 0 AS failing_rows FROM (SELECT count(*) FROM fact_invoice) UNION ALL SELECT 'relationship:invoice.item', 0)")(
-    lambda w: quality.many_to_one(w.fact_invoice, "item_key", w.dim_item, "item_key", "invoice.item")
+def _kept_parents(table: str) -> str:
+    """All rows of a dimension but those with a key that begins with 0: so that some relationships fail."""
+    return f"(SELECT * FROM {table} WHERE {table[4:]}_key NOT LIKE '0%')"
+
+
+_MANY = " UNION ALL ".join(
+    f"SELECT 'unique:{c}.{p}.{k}' AS n, (SELECT count(*) FROM (SELECT 1 FROM {_kept_parents(p)} GROUP BY {k} HAVING count(*) > 1)) AS failing_rows UNION ALL SELECT 'relationship:{c}.{p}', (SELECT count(*) FROM {c} WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {k} FROM {_kept_parents(p)}))"
+    for c, col, p, k in RELATIONSHIPS
+)
+
+
+@query("q17_many_to_one", f"SELECT n AS check_name, {_OK} FROM ({_MANY})")
+def _(w):
+    w, out = w.kept(), None
+    for child, column, parent, key in RELATIONSHIPS:
+        kept = getattr(w, parent).where(~F.col(f"{parent[4:]}_key").startswith("0"))
+        checks = quality.many_to_one(getattr(w, child), column, kept, key, f"{child}.{parent}")
+        out = checks if out is None else out.unionByName(checks)
+    return out
+
+
+query("q18_stale", "SELECT source_id, entity, updated_at, age_hours FROM (SELECT user_id AS source_id, event_type AS entity, max(ts) AS updated_at, date_diff('microsecond', max(ts), timestamp '2024-02-01 00:00:00') / 3.6e9::double AS age_hours FROM events GROUP BY 1, 2) WHERE age_hours > 72")(
+    lambda w: quality.stale(w.table("events").select(F.col("user_id").alias("source_id"), F.col("event_type").alias("entity"), F.col("ts").alias("updated_at")), F.expr("timestamp '2024-02-01 00:00:00'"), 72)
 )
-@query("q18_stale", "SELECT source_id, entity, updated_at, age_hours FROM (SELECT user_id AS source_id, event_type AS entity, max(ts) AS updated_at, date_diff('microsecond', max(ts), (SELECT max(ts) FROM events)) / 3.6e9::double AS age_hours FROM events GROUP BY 1, 2) WHERE age_hours > 24")
-def _stale(w):
-    events = w.table("events")
-    last = events.groupBy("user_id", "event_type").agg(F.max("ts").alias("updated_at")).crossJoin(F.broadcast(events.agg(F.max("ts").alias("now"))))
-    age = (F.unix_micros(F.col("now").cast("timestamp")) - F.unix_micros(F.col("updated_at").cast("timestamp"))) / F.lit(3.6e9)
-    return last.select(F.col("user_id").alias("source_id"), F.col("event_type").alias("entity"), "updated_at", age.alias("age_hours")).where("age_hours > 24")
 
 
 # ---- metrics ----------------------------------------------------------------------------------------------------
@@ -268,29 +310,32 @@ query("m7_parity", f"SELECT metric, unit, abs(value - expected) <= tolerance OR
     lambda w: (lambda g: metrics.parity(g.select("metric", F.expr("CASE WHEN unit = 'percent' THEN expected * 100 WHEN unit = 'days' THEN expected + 1 ELSE expected END").alias("value")), g).select("metric", "unit", "passed"))(metrics.golden_cases(marts.kpi_headline(w.facts, rounded=False)))
 )
 _ANSWER = "'about ' || format('{:,}', length(text)) || ' characters'"
-query("m8_scored_answers", "SELECT conv_id, turn, cast(length(text) AS double) AS value, length(text) > 99 AS correct FROM conversations WHERE role = 'user'")(
+query("m8_scored_answers", "SELECT conv_id, turn, cast(length(text) AS double) AS value, length(text) > 99 AS correct FROM conversations WHERE role = 'assistant'")(
     lambda w: metrics.score_answers(
-        w.table("conversations").where("role = 'user'").select("conv_id", "turn", F.when(F.char_length("text") > 99, "long").otherwise("short").alias("metric"), F.concat(F.lit("about "), F.format_number(F.char_length("text"), 0), F.lit(" characters")).alias("answer"), F.lit(1).alias("latency_ms")),
+        w.table("conversations").where("role = 'assistant'").select("conv_id", "turn", F.when(F.char_length("text") > 99, "long").otherwise("short").alias("metric"), F.concat(F.lit("about "), F.format_number(F.char_length("text"), 0), F.lit(" characters")).alias("answer"), F.lit(1).alias("latency_ms")),
         w.spark.sql("SELECT * FROM VALUES ('long', 'usd', 0D, 1e9D), ('short', 'usd', -10D, 5D) AS t(metric, unit, expected, tolerance)"),
     ).select("conv_id", "turn", "value", "correct")
 )
 query("m9_summary", "SELECT count(*) AS cases, cast(count(*) FILTER (WHERE value > 50) AS bigint) AS correct, max(event_id) AS max_latency_ms FROM events")(
     lambda w: metrics.evaluation_summary(w.table("events").select((F.col("value") > 50).alias("correct"), F.col("event_id").alias("latency_ms")))
 )
-query("m10_badge", "SELECT CASE WHEN gmroi IS NULL THEN 'MOCK' ELSE 'LIVE' END AS badge FROM k8")(lambda w: metrics.badge(marts.kpi_headline(w.facts, rounded=False), F.lit(True)))
-query("m11_answer_score", "SELECT event_id, s AS score, s >= CASE WHEN event_type = 'purchase' THEN 100 ELSE 70 END AS accepted FROM (SELECT event_id, event_type, CASE WHEN value > 10 THEN 40 ELSE 0 END + CASE WHEN value > 40 THEN 30 ELSE 0 END + CASE WHEN value > 70 THEN 30 ELSE 0 END AS s FROM events)")(
-    lambda w: metrics.answer_score(w.table("events").select("event_id", F.when(F.col("event_type") == "purchase", "finance").otherwise("other").alias("domain"), (F.col("value") > 10).alias("executed"), (F.col("value") > 40).alias("sourced"), (F.col("value") > 70).alias("in_range"))).select("event_id", "score", "accepted")
+_EVIDENCE = [("a", True, None, None), ("b", None, True, None), ("c", None, None, None), ("d", True, True, None), ("e", True, None, False), ("f", None, True, True), ("g", False, True, None)]
+query("m10_badge", "SELECT t.served, CASE WHEN gmroi IS NULL THEN 'MOCK' ELSE t.badge END AS badge FROM k8, (VALUES ('a', 'LIVE'), ('b', 'CACHE'), ('c', 'MOCK'), ('d', 'MOCK'), ('e', 'MOCK'), ('f', 'MOCK'), ('g', 'MOCK')) AS t(served, badge)")(
+    lambda w: metrics.badge(marts.kpi_headline(w.facts, rounded=False).crossJoin(F.broadcast(w.spark.createDataFrame(_EVIDENCE, "served string, live boolean, cached boolean, mock boolean")))).select("served", "badge")
+)
+query("m11_answer_score", "SELECT event_id, s AS score, s >= CASE WHEN event_type = 'purchase' THEN 100 ELSE 70 END AS accepted FROM (SELECT event_id, event_type, CASE WHEN value > 10 THEN 40 ELSE 0 END + CASE WHEN user_id % 4 >= 1 THEN 30 ELSE 0 END + CASE WHEN value > 70 THEN 30 ELSE 0 END AS s FROM events)")(
+    lambda w: metrics.answer_score(w.table("events").select("event_id", F.when(F.col("event_type") == "purchase", "finance").otherwise("other").alias("domain"), (F.col("value") > 10).alias("guarded"), (F.col("user_id") % 4).alias("row_count"), (F.col("value") > 70).alias("in_tolerance"))).select("event_id", "score", "accepted")
 )
-
 # ---- governance -------------------------------------------------------------------------------------------------
 
-_HALF = "CASE event_type WHEN 'click' THEN 43200 WHEN 'error' THEN 21600 WHEN 'view' THEN 86400 ELSE 172800 END"
-_SIG = f"""SELECT substr(sha256('{{"kind":"' || event_type || '","payload":"' || (user_id % 7) || '","subject":"' || user_id || '"}}'), 1, 16) AS signal_id, event_type AS kind, cast(user_id AS varchar) AS subject, {_HALF} AS half_life_seconds, max(ts) AS emitted_at FROM events GROUP BY ALL"""
+_KIND = "CASE event_type WHEN 'click' THEN 'reconciliation_run' WHEN 'error' THEN 'tombstone_batch' WHEN 'view' THEN 'key_scan_missing' ELSE 'exception_disposition' END"
+_SIG = f"""SELECT substr(sha256('{{"kind":"' || kind || '","payload":"' || (user_id % 7) || '","subject":"' || user_id || '"}}'), 1, 16) AS signal_id, kind, cast(user_id AS varchar) AS subject,
+    CASE kind WHEN 'reconciliation_run' THEN 43200 WHEN 'tombstone_batch' THEN 21600 WHEN 'key_scan_missing' THEN 86400 ELSE 172800 END::double AS half_life_seconds, max(ts) AS emitted_at FROM (SELECT *, {_KIND} AS kind FROM events) GROUP BY ALL"""
 
 
 def _signals(w):
-    e = w.table("events").withColumn("subject", F.col("user_id").cast("string")).withColumn("payload", (F.col("user_id") % 7).cast("string"))
-    return governance.post(e.select(governance.signal_id(F.col("event_type"), F.col("subject"), F.col("payload")).alias("signal_id"), F.col("event_type").alias("kind"), "subject", F.expr(_HALF).alias("half_life_seconds"), F.col("ts").alias("emitted_at")))
+    e = w.table("events").withColumns({"subject": F.col("user_id").cast("string"), "payload": (F.col("user_id") % 7).cast("string"), "kind": F.expr(_KIND)})
+    return governance.post(e.select(governance.signal_id(F.col("kind"), F.col("subject"), F.col("payload")).alias("signal_id"), "kind", "subject", governance.half_life(F.col("kind")).alias("half_life_seconds"), F.col("ts").alias("emitted_at")))
 
 
 _NOW = "timestamp '{}'"
@@ -298,36 +343,42 @@ query("g1_signals", _SIG)(_signals)
 _AT = "2024-02-01 00:00:00"
 _SAL = f"pow(0.5::double, greatest(0, date_diff('microsecond', emitted_at, timestamp '{_AT}')) / 1e6::double / half_life_seconds)"
 query("g2_salience", f"SELECT signal_id, {_SAL} AS salience FROM ({_SIG})")(lambda w: _signals(w).select("signal_id", governance.salience(F.col("emitted_at"), F.col("half_life_seconds"), F.expr(_NOW.format(_AT))).alias("salience")))
-query("g3_read", f"SELECT signal_id, kind, subject FROM ({_SIG}) WHERE kind IN ('click', 'view') AND {_SAL} >= 0.001")(
-    lambda w: governance.read_signals(_signals(w), F.expr(_NOW.format(_AT)), ["click", "view"], 0.001).select("signal_id", "kind", "subject")
+query("g3_read", f"SELECT signal_id, kind, subject FROM ({_SIG}) WHERE kind IN ('reconciliation_run', 'key_scan_missing') AND {_SAL} >= 0.001")(
+    lambda w: governance.read_signals(_signals(w), F.expr(_NOW.format(_AT)), ["reconciliation_run", "key_scan_missing"], 0.001).select("signal_id", "kind", "subject")
 )
 query("g4_sweep", f"SELECT kind, cast(count(*) FILTER (WHERE {_SAL} >= 0.0009765625) AS bigint) AS kept, cast(count(*) FILTER (WHERE {_SAL} < 0.0009765625) AS bigint) AS dropped FROM ({_SIG}) GROUP BY 1")(lambda w: governance.swept(_signals(w), F.expr(_NOW.format(_AT))))
 
-_TO = "CASE event_type WHEN 'click' THEN 'evidence' WHEN 'view' THEN 'review' WHEN 'purchase' THEN 'locked' WHEN 'error' THEN 'rejected' ELSE 'evidence' END"
-_ACTOR = "CASE WHEN event_id % 9 = 0 THEN '' ELSE 'u' || (event_id % 5) END"
-_OPEN = "SELECT user_id AS claim_id, 'u' || (user_id % 5) AS opened_by FROM (SELECT DISTINCT user_id FROM events)"
-_MOVES = f"SELECT user_id AS claim_id, event_id AS seq, ts AS moved_at, {_TO} AS to_status, {_ACTOR} AS actor FROM events"
+_ACTION = "CASE event_id % 6 WHEN 0 THEN 'submit' WHEN 1 THEN 'start_review' WHEN 2 THEN 'approve' WHEN 3 THEN 'lock' WHEN 4 THEN 'reject' ELSE 'withdraw' END"
+_TO = "CASE event_id % 6 WHEN 0 THEN 'submitted' WHEN 1 THEN 'under_review' WHEN 2 THEN 'approved' WHEN 3 THEN 'locked' WHEN 4 THEN 'rejected' ELSE 'withdrawn' END"
+_ACTOR = "CASE WHEN event_id % 35 = 0 THEN ' ' ELSE 'U' || (event_id % 5) END"
+_CONFIRMED = "CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 < 3 THEN ' u' || (event_id % 5) ELSE 'v' END"
+_OPEN = "SELECT user_id AS claim_id, 'u' || (user_id % 5) AS opened_by FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 10 <> 9"
+_MOVES = f"SELECT user_id AS claim_id, event_id AS seq, ts AS moved_at, {_ACTION} AS action, {_TO} AS to_status, {_ACTOR} AS actor, {_CONFIRMED} AS confirmed_by FROM events"
 
 
 def _opened(w):
-    return w.table("events").select(F.col("user_id").alias("claim_id")).distinct().withColumn("opened_by", F.expr("concat('u', claim_id % 5)"))
+    return w.table("events").select(F.col("user_id").alias("claim_id")).distinct().where("claim_id % 10 <> 9").withColumn("opened_by", F.expr("concat('u', claim_id % 5)"))
 
 
 def _moves(w):
-    return w.table("events").select(F.col("user_id").alias("claim_id"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), F.expr(_TO).alias("to_status"), F.expr(_ACTOR.replace("'u' || (event_id % 5)", "concat('u', event_id % 5)")).alias("actor"))
+    text = {"action": _ACTION, "to_status": _TO, "actor": _ACTOR, "confirmed_by": _CONFIRMED}
+    return w.table("events").select(F.col("user_id").alias("claim_id"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), *(F.expr(e).alias(c) for c, e in text.items()))
 
 
-_STATES = f"SELECT claim_id, opened_by, to_status AS status, CASE WHEN to_status = 'locked' THEN actor END AS locked_by, moved_at AS changed_at FROM ({_OPEN}) JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY moved_at DESC, seq DESC) AS n FROM ({_MOVES})) USING (claim_id) WHERE n = 1"
+_STATES = f"SELECT claim_id, opened_by, to_status AS status, CASE WHEN to_status = 'locked' THEN confirmed_by END AS locked_by, moved_at AS changed_at FROM ({_OPEN}) JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY moved_at DESC, seq DESC) AS n FROM ({_MOVES})) USING (claim_id) WHERE n = 1"
 query("g5_claims", _STATES)(lambda w: governance.claim_states(_opened(w), _moves(w)))
 query(
     "g6_illegal",
-    f"""SELECT claim_id, seq, before, to_status, actor, rule FROM (SELECT *, CASE WHEN (before, to_status) NOT IN ({", ".join(f"('{a}', '{b}')" for a, b in governance.TRANSITIONS)}) THEN 'ILLEGAL_STEP' WHEN to_status = 'locked' AND trim(actor) = '' THEN 'ANONYMOUS_LOCK' WHEN to_status = 'locked' AND actor = opened_by THEN 'FOUR_EYES' END AS rule
-    FROM (SELECT *, coalesce(lag(to_status) OVER (PARTITION BY claim_id ORDER BY moved_at, seq), 'open') AS before FROM ({_MOVES})) JOIN ({_OPEN}) USING (claim_id)) WHERE rule IS NOT NULL""",
+    f"""SELECT claim_id, seq, before, action, to_status, actor, rule FROM (SELECT *, CASE WHEN opened_by IS NULL THEN 'UNKNOWN_CLAIM'
+        WHEN (before, action) NOT IN (('draft', 'submit'), ('draft', 'withdraw'), ('submitted', 'start_review'), ('submitted', 'withdraw'), ('under_review', 'approve'), ('under_review', 'reject'), ('under_review', 'withdraw'), ('approved', 'lock')) THEN 'ILLEGAL_STEP'
+        WHEN trim(actor) = '' THEN 'UNNAMED_ACTOR' WHEN action IN ('approve', 'lock') AND lower(trim(actor)) = lower(trim(opened_by)) THEN 'FOUR_EYES'
+        WHEN action = 'lock' AND trim(confirmed_by) = '' THEN 'ANONYMOUS_LOCK' WHEN action = 'lock' AND lower(trim(confirmed_by)) = lower(trim(actor)) THEN 'SELF_CONFIRMED' END AS rule
+    FROM (SELECT *, coalesce(lag(to_status) OVER (PARTITION BY claim_id ORDER BY moved_at, seq), 'draft') AS before FROM ({_MOVES})) LEFT JOIN ({_OPEN}) USING (claim_id)) WHERE rule IS NOT NULL""",
 )(lambda w: governance.illegal_transitions(_opened(w), _moves(w)))
 query(
     "g7_lock_gate",
-    f"""SELECT claim_id % 20 AS export_id, bool_and(status = 'locked') AS granted, count(*) AS claims, CASE WHEN bool_and(status = 'locked') THEN sha256('[' || string_agg('{{"claim_id":' || claim_id || ',"status":"' || status || '"}}', ',' ORDER BY claim_id) || ']') END AS content_hash FROM ({_STATES}) GROUP BY 1""",
-)(lambda w: governance.lock_gate(governance.claim_states(_opened(w), _moves(w)), _opened(w).select(F.expr("claim_id % 20").alias("export_id"), "claim_id")))
+    f"""SELECT claim_id // 5 AS export_id, bool_and(status = 'locked') AS granted, count(*) AS claims, CASE WHEN bool_and(status = 'locked') THEN sha256('[' || string_agg('{{"claim_id":' || claim_id || ',"status":"' || status || '"}}', ',' ORDER BY claim_id) || ']') END AS content_hash FROM ({_STATES}) GROUP BY 1""",
+)(lambda w: governance.lock_gate(governance.claim_states(_opened(w), _moves(w)), _opened(w).select(F.expr("claim_id div 5").alias("export_id"), "claim_id")))
 _Q = "trim(regexp_replace(lower(text), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))"
 query("g8_coverage", f"SELECT substr(sha256({_Q}), 1, 12) AS question_hash, {_Q} AS normalized_question, count(*) AS request_count, min(turn) AS first_requested_at, max(turn) AS last_requested_at, array_to_string(list_sort(list(DISTINCT CASE WHEN conv_id % 2 = 0 THEN 'no_model' ELSE 'no_data' END)), ',') AS reasons FROM conversations WHERE role = 'user' GROUP BY 1, 2")(
     lambda w: governance.coverage_queue(w.table("conversations").where("role = 'user'").select(F.col("text").alias("question"), F.expr("CASE WHEN conv_id % 2 = 0 THEN 'no_model' ELSE 'no_data' END").alias("reason"), F.col("turn").alias("at")))
@@ -342,16 +393,19 @@ query("g10_redemptions", "SELECT event_id, CASE WHEN n > 1 THEN 'REPLAY' WHEN va
 query("g11_integrity", "SELECT event_id FROM events WHERE event_id % 50 = 0")(
     lambda w: governance.broken_entries(w.table("events").select("event_id", F.col("props").alias("body"), F.sha2(F.when(F.col("event_id") % 50 == 0, F.concat("props", F.lit(" "))).otherwise(F.col("props")), 256).alias("body_sha256"))).select("event_id")
 )
-_SUBMITTED = "CASE event_id % 6 WHEN 0 THEN 'SELECT created_at FROM t -- DROP' WHEN 1 THEN 'DROP TABLE t' WHEN 2 THEN 'select 1; select 2' WHEN 3 THEN 'WITH a AS (DELETE FROM t) SELECT 1' WHEN 4 THEN 'select * from read_csv(''x'')' ELSE 'select ''drop'' ;' END"
-query("g12_sql_policy", "SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'OK' WHEN 1 THEN 'NOT_SELECT' WHEN 2 THEN 'MULTIPLE_STATEMENTS' WHEN 3 THEN 'FORBIDDEN_KEYWORD' WHEN 4 THEN 'FILE_FUNCTION' ELSE 'OK' END AS verdict FROM events")(
-    lambda w: governance.sql_policy(w.table("events").select("event_id", F.expr(_SUBMITTED.replace("''", "\\'")).alias("sql"))).select("event_id", "verdict")
+_SUBMITTED = [
+    ("SELECT created_at FROM t -- DROP", "OK"), ("DROP TABLE t", "NOT_SELECT"), ("select 1; select 2", "MULTIPLE_STATEMENTS"), ("WITH a AS (DELETE FROM t) SELECT 1", "FORBIDDEN_KEYWORD"), ("select * from read_csv('x')", "FILE_FUNCTION"),
+    ("select 'drop';;", "FORBIDDEN_KEYWORD"), ("select replace(a, 'x', 'y'), glob from t", "OK"), ("select set_at from Iceberg_Scan ('x') /* USE */", "FILE_FUNCTION"), (" -- nothing", "EMPTY"), ("(select 1)", "NOT_SELECT"), ("select 1 from t use", "FORBIDDEN_KEYWORD"),
+]
+query("g12_sql_policy", "SELECT event_id, CASE event_id % 11 " + " ".join(f"WHEN {i} THEN '{v}'" for i, (_, v) in enumerate(_SUBMITTED)) + " END AS verdict FROM events")(
+    lambda w: governance.sql_policy(w.table("events").select("event_id", F.array(*(F.lit(t) for t, _ in _SUBMITTED))[(F.col("event_id") % 11).cast("int")].alias("sql"))).select("event_id", "verdict")
 )
 query("g13_row_cap", "SELECT least(count(*), 5001) AS seen, count(*) > 5000 AS exceeded FROM events")(lambda w: governance.over_cap(w.table("events"), 5000))
 
 _ALLOW = "SELECT vec_id AS doc_id, CASE vec_id % 7 WHEN 0 THEN 'ann' WHEN 1 THEN 'analyst' WHEN 2 THEN 'board' ELSE 'staff' END AS name FROM embeddings"
 _NAMES = "SELECT * FROM (VALUES ('ann', 'ann'), ('ann', 'analyst'), ('bob', 'bob'), ('bob', 'staff'), ('eve', 'eve')) AS p(principal, name)"
 _GRANTS = f"SELECT DISTINCT principal, doc_id FROM ({_ALLOW}) JOIN ({_NAMES}) USING (name)"
-_ASK = "SELECT 'q' || vec_id || p.principal AS query_id, p.principal, embedding AS query FROM embeddings, (VALUES ('ann'), ('bob'), ('eve')) AS p(principal) WHERE vec_id % 100 = 0"
+_ASK = "SELECT 'q' || vec_id || p.principal AS query_id, p.principal, embedding AS query FROM embeddings, (VALUES ('ann'), ('bob'), ('eve')) AS p(principal) WHERE vec_id % 50 = 0"
 
 
 def _grants(w, modulo: int = 7):
@@ -362,7 +416,7 @@ def _grants(w, modulo: int = 7):
 
 def _asked(w):
     people = w.spark.sql("SELECT * FROM VALUES ('ann'), ('bob'), ('eve') AS t(principal)")
-    return w.table("embeddings").where("vec_id % 100 = 0").crossJoin(F.broadcast(people)).select(F.concat(F.lit("q"), "vec_id", "principal").alias("query_id"), "principal", F.col("embedding").alias("query"))
+    return w.table("embeddings").where("vec_id % 50 = 0").crossJoin(F.broadcast(people)).select(F.concat(F.lit("q"), "vec_id", "principal").alias("query_id"), "principal", F.col("embedding").alias("query"))
 
 
 def _hits(w):
@@ -377,8 +431,8 @@ query("g16_post_verify", f"SELECT query_id, principal, doc_id, cast(rank AS int)
 )
 query(
     "g17_hashed_bag",
-    r"""WITH c AS (SELECT doc_id, cast(('0x' || substr(sha256(tok), 15, 2)) AS int) % 64 AS b FROM (SELECT doc_id, unnest(regexp_split_to_array(trim(lower(text)), '[ \t\n\r\f\x0B]+')) AS tok FROM documents) WHERE tok <> ''), s AS (SELECT doc_id, b, count(*) AS n FROM c GROUP BY 1, 2),
-    d AS (SELECT DISTINCT doc_id FROM c) SELECT doc_id, list(coalesce(n, 0) ORDER BY i) AS vector FROM (SELECT d.doc_id, i, n FROM d CROSS JOIN (SELECT unnest(range(64)) AS i) LEFT JOIN s ON s.doc_id = d.doc_id AND s.b = i) GROUP BY 1""",
+    r"""WITH c AS (SELECT doc_id, cast(('0x' || substr(sha256(tok), 15, 2)) AS int) % 64 AS b FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+')) AS tok FROM documents) WHERE tok <> ''), s AS (SELECT doc_id, b, count(*) AS n FROM c GROUP BY 1, 2)
+    SELECT doc_id, list(coalesce(n, 0) ORDER BY i) AS vector FROM (SELECT d.doc_id, i, n FROM documents d CROSS JOIN (SELECT unnest(range(64)) AS i) LEFT JOIN s ON s.doc_id = d.doc_id AND s.b = i) GROUP BY 1""",
 )(lambda w: governance.hashed_bag(w.table("documents")))
 query("g18_outcomes", f"SELECT query_id, CASE WHEN n IS NULL THEN 'NO_GRANTS' WHEN removed > 0 THEN 'POST_VERIFY_REMOVED' ELSE 'EXECUTED' END AS outcome, coalesce(removed, 0) AS removed FROM ({_ASK}) LEFT JOIN (SELECT query_id, count(*) AS n, cast(count(*) FILTER (WHERE doc_id % 5 = 0) AS bigint) AS removed FROM ({_HITS}) GROUP BY 1) USING (query_id)")(
     lambda w: governance.retrieval_outcomes(_asked(w), governance.post_verify(_hits(w), _asked(w), _grants(w).where("doc_id % 5 <> 0")))

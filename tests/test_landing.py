@@ -189,7 +189,11 @@ def test_numbers_in_answers(spark):
 
 
 def test_sql_policy(spark):
-    cases = {"SELECT description FROM t": "OK", "": "EMPTY", "select ';' from t;": "OK", "select 1; drop table t": "MULTIPLE_STATEMENTS", "insert into t values (1)": "NOT_SELECT", "select 1 /* drop */": "OK", "with x as (select 1) select glob('a')": "FILE_FUNCTION"}
+    cases = {
+        "SELECT description FROM t": "OK", "": "EMPTY", "select ';' from t;": "MULTIPLE_STATEMENTS", "select 1; drop table t": "MULTIPLE_STATEMENTS", "insert into t values (1)": "NOT_SELECT", "select 1 /* drop */": "OK",
+        "with x as (select 1) select glob('a')": "FILE_FUNCTION", "select glob from t": "OK", "select replace(a, 'x', 'y') from t": "OK", "select 1 from sqlite_scan('a', 'b')": "FILE_FUNCTION", "select 'reset'": "FORBIDDEN_KEYWORD",
+        "select checkpoint from read_json_auto('a')": "FILE_FUNCTION", "selected": "NOT_SELECT", "WITH": "OK",
+    }
     df = spark.createDataFrame([(k,) for k in cases], "sql string")
     assert {r.sql: r.verdict for r in governance.sql_policy(df).collect()} == cases
 
@@ -210,3 +214,36 @@ def test_jdbc_scan_behind_a_watermark(spark, tmp_path):
     rows = read_jdbc(spark, options, "stamp", 50)
     assert sorted(r.id for r in rows.collect()) == [6, 7, 8, 9]
     assert "GreaterThan(stamp,50)" in rows._jdf.queryExecution().executedPlan().toString().replace("STAMP", "stamp")
+
+
+def test_claim_rules(spark):
+    opened = spark.createDataFrame([(1, "Ann "), (2, "ann")], "claim_id long, opened_by string")
+    steps = [("submit", "submitted", "ann", None), ("start_review", "under_review", "bob", None), ("approve", "approved", " ANN", None), ("lock", "locked", "bob", "cy")]
+    rows = [(1, k, k, *s) for k, s in enumerate(steps)]
+    rows += [(2, 0, 0, "submit", "submitted", " ", None), (2, 1, 1, "approve", "approved", "bob", None), (2, 2, 2, "lock", "locked", "bob", ""), (3, 0, 0, "submit", "submitted", "bob", None)]
+    moves = spark.createDataFrame(rows, "claim_id long, seq long, at long, action string, to_status string, actor string, confirmed_by string")
+    found = {(r.claim_id, r.seq): r.rule for r in governance.illegal_transitions(opened, moves).collect()}
+    assert found == {(1, 2): "FOUR_EYES", (2, 0): "UNNAMED_ACTOR", (2, 1): "ILLEGAL_STEP", (2, 2): "ANONYMOUS_LOCK", (3, 0): "UNKNOWN_CLAIM"}
+    assert {(r.claim_id, r.status, r.locked_by) for r in governance.claim_states(opened, moves).collect()} == {(1, "locked", "cy"), (2, "locked", "")}
+    assert [r.rule for r in governance.illegal_transitions(opened, moves.where("claim_id = 1").withColumn("confirmed_by", F.lit("Bob "))).where("seq = 3").collect()] == ["SELF_CONFIRMED"]
+
+
+def test_signal_with_another_half_life_is_one(spark):
+    rows = spark.sql("SELECT 's' AS signal_id, 'k' AS kind, 'x' AS subject, h AS half_life_seconds, e AS emitted_at FROM VALUES (10D, 1), (20D, 3), (30D, 2) AS t(h, e)")
+    assert [(r.half_life_seconds, r.emitted_at) for r in governance.post(rows).collect()] == [(20.0, 3)]
+
+
+def test_projection_and_marks(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 'D-7'), ('a', 'D-9'), ('b', '9'), ('b', '10') AS t(type, doc)")
+    assert extracts.project(df, {"x": "doc", "y": "none"}, {"y": "int"}).schema.simpleString() == "struct<x:string,y:int>"
+    with pytest.raises(ValueError):
+        extracts.project(df, {"x": "dok"})
+    marks = spark.sql("SELECT * FROM VALUES ('a', 'D-7'), ('b', '9') AS t(type, watermark)")
+    assert {r.doc for r in extracts.scan_by_type(df, "type", "doc", marks).collect()} == {"D-9", "10"}
+    assert tuple(extracts.next_watermark_instant(spark.sql("SELECT * FROM VALUES ('2024-01-01T00:00:00Z'), ('x') AS t(a)"), "a").first()) == (None, 1)
+
+
+def test_empty_text_has_a_vector_of_zeros(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, ''), (2, NULL), (3, 'a  A b') AS t(doc_id, text)")
+    got = {r.doc_id: r.vector for r in governance.hashed_bag(df).collect()}
+    assert got[1] == got[2] == [0] * 64 and sum(got[3]) == 3 and 2 in got[3]
