@@ -165,3 +165,26 @@ def otif_by_branch(lines: DataFrame, locations: DataFrame) -> DataFrame:
 def revenue_by_region_between(invoices: DataFrame, locations: DataFrame, start: str, end: str) -> DataFrame:
     part = invoices.where(F.col("invoice_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return _with(part, locations, "location_key", "region").groupBy("region").agg(total("revenue_amount").alias("revenue"))
+
+
+def days_of_supply(invoices: DataFrame, snapshots: DataFrame, items: DataFrame) -> DataFrame:
+    """Days that the average inventory of each category lasts at the window's rate of sales."""
+    return efficiency_by_category(invoices, snapshots, items).select("category", (F.lit(365.0) / F.nullif("turns", F.lit(0.0))).alias("days_of_supply"))
+
+
+def cash_cycle_by_month(invoices: DataFrame, snapshots: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Days of inventory, sales and payables of each month with invoices, and their cycle, none of them rounded.
+
+    Balances are those at the month's end, from the ledger's start on; inventory is the mean over the month's snapshot
+    dates. A month without snapshots or cost has no cycle. The running sums are over months, which are few.
+    """
+    change = lambda account: F.coalesce(total(F.when(F.col("consolidated_account") == account, F.col("net_amount"))), F.lit(0))
+    sold = invoices.groupBy(F.last_day("invoice_date").alias("month_end")).agg(total("revenue_amount").alias("revenue"), total("cogs_amount").alias("cogs"))
+    books = ledger.groupBy(F.last_day("entry_date").alias("month_end")).agg(change("GRP-1100").alias("ar"), change("GRP-2000").alias("ap"))
+    by_date = snapshots.groupBy("snapshot_date").agg(total("inventory_value").alias("v"))
+    held = by_date.groupBy(F.last_day("snapshot_date").alias("month_end")).agg((F.sum("v").cast("double") / F.count(F.lit(1))).alias("inventory"))
+    so_far = Window.orderBy("month_end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    months = sold.join(books, "month_end", "full").withColumns({c: F.sum(c).over(so_far).cast("decimal(38,4)") for c in ("ar", "ap")}).where("revenue IS NOT NULL").join(held, "month_end", "left")
+    days = F.dayofmonth("month_end").cast("double")
+    rates = months.select("month_end", (F.col("inventory") / F.nullif(F.col("cogs").cast("double"), F.lit(0.0)) * days).alias("dio"), (ratio("ar", "revenue") * days).alias("dso"), (F.abs(ratio("ap", "cogs")) * days).alias("dpo"))
+    return rates.withColumn("cash_conversion_cycle", F.col("dio") + F.col("dso") - F.col("dpo")).orderBy("month_end")

@@ -135,12 +135,12 @@ query("b11_headline", "SELECT gmroi, gross_margin_pct, line_fill_rate, otif_rate
 query("b12_service_by_branch", "SELECT branch_name, count(DISTINCT order_no) AS orders, cast(sum(least(filled_qty, ordered_qty)) AS bigint) AS filled_qty, cast(sum(ordered_qty) AS bigint) AS ordered_qty, cast(sum(least(filled_qty, ordered_qty)) AS double) / nullif(cast(sum(ordered_qty) AS double), 0) AS fill_rate FROM k3_lines f JOIN dim_location l ON f.location_key = l.location_key GROUP BY 1")(
     lambda w: bi.service_by_branch(w.fact_sales, w.dim_location)
 )
-query(
-    "b13_efficiency_by_category",
+_EFFICIENCY = (
     """SELECT i.category, a.avg_inventory, i.cogs_year, i.gm_year / nullif(a.avg_inventory, 0) AS gmroi, i.cogs_year / nullif(a.avg_inventory, 0) AS turns FROM
     (SELECT category, cast(sum(cogs_amount) AS double) * any_value(annualization) AS cogs_year, cast(sum(gross_margin_amount) AS double) * any_value(annualization) AS gm_year FROM fact_invoice f JOIN dim_item d ON f.item_key = d.item_key, w GROUP BY 1) i JOIN
-    (SELECT category, cast(sum(v) AS double) / count(*) AS avg_inventory FROM (SELECT category, snapshot_date, cast(sum(inventory_value) AS decimal(38,4)) AS v FROM fact_inventory f JOIN dim_item d ON f.item_key = d.item_key GROUP BY 1, 2) GROUP BY 1) a ON i.category = a.category""",
-)(lambda w: bi.efficiency_by_category(w.fact_invoice, w.fact_inventory, w.dim_item))
+    (SELECT category, cast(sum(v) AS double) / count(*) AS avg_inventory FROM (SELECT category, snapshot_date, cast(sum(inventory_value) AS decimal(38,4)) AS v FROM fact_inventory f JOIN dim_item d ON f.item_key = d.item_key GROUP BY 1, 2) GROUP BY 1) a ON i.category = a.category"""
+)
+query("b13_efficiency_by_category", _EFFICIENCY)(lambda w: bi.efficiency_by_category(w.fact_invoice, w.fact_inventory, w.dim_item))
 query("b14_chart_spec", "SELECT order_status, count(DISTINCT customer_key) AS customers, cast(max(ordered_qty) AS bigint) AS max_ordered, cast(sum(filled_amount) AS decimal(38,4)) AS filled FROM fact_sales GROUP BY 1 ORDER BY 1 LIMIT 100")(
     lambda w: bi.chart(w.fact_sales, ["order_status"], {"customers": ("COUNT_DISTINCT", "customer_key"), "max_ordered": ("MAX", "ordered_qty"), "filled": ("SUM", "filled_amount")}, 100)
 )
@@ -177,4 +177,13 @@ query(
 query("b18_region_quarter", f"SELECT region, {REV} FROM fact_invoice f JOIN dim_location l ON f.location_key = l.location_key WHERE invoice_date BETWEEN date '1996-01-01' AND date '1996-03-31' GROUP BY 1")(
     lambda w: bi.revenue_by_region_between(w.fact_invoice, w.dim_location, "1996-01-01", "1996-03-31")
 )
-
+query("b18_days_of_supply", f"SELECT category, cast(365 AS double) / nullif(turns, 0) AS days_of_supply FROM ({_EFFICIENCY})")(lambda w: bi.days_of_supply(w.fact_invoice, w.fact_inventory, w.dim_item))
+query("b18_acquired_share", "SELECT acquired_share FROM k5")(lambda w: marts.kpi_growth(marts.narrow(w.fact_invoice), w.dim_location, rounded=False).select("acquired_share"))
+query(
+    "b18_cash_cycle_by_month",
+    """SELECT *, dio + dso - dpo AS cash_conversion_cycle FROM (SELECT month_end, inventory / nullif(cast(cogs AS double), 0) * day(month_end) AS dio, cast(ar AS double) / nullif(cast(revenue AS double), 0) * day(month_end) AS dso, abs(cast(ap AS double) / nullif(cast(cogs AS double), 0)) * day(month_end) AS dpo FROM
+    (SELECT last_day(invoice_date) AS month_end, cast(sum(revenue_amount) AS decimal(38,4)) AS revenue, cast(sum(cogs_amount) AS decimal(38,4)) AS cogs FROM fact_invoice GROUP BY 1) s
+    JOIN (SELECT m, (SELECT cast(sum(net_amount) AS decimal(38,4)) FROM fact_gl WHERE consolidated_account = 'GRP-1100' AND entry_date <= m) AS ar, (SELECT cast(sum(net_amount) AS decimal(38,4)) FROM fact_gl WHERE consolidated_account = 'GRP-2000' AND entry_date <= m) AS ap
+        FROM (SELECT DISTINCT last_day(invoice_date) AS m FROM fact_invoice)) b ON m = month_end
+    LEFT JOIN (SELECT last_day(snapshot_date) AS h, cast(sum(v) AS double) / count(*) AS inventory FROM (SELECT snapshot_date, cast(sum(inventory_value) AS decimal(38,4)) AS v FROM fact_inventory GROUP BY 1) GROUP BY 1) i ON h = month_end)""",
+)(lambda w: (lambda f: bi.cash_cycle_by_month(f["invoices"], f["inventory"], f["gl"]))(w.facts))
