@@ -1,12 +1,14 @@
 """File drops, extracts, sinks and the landing stream on small inline cases."""
 
+import datetime
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyard.operators import governance, marts, metrics, model, quality, reconcile
+from tallyard.operators import bi, governance, marts, metrics, model, quality, reconcile
 from tallyard.sources import drops, extracts
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
 from tallyard.streaming.landing import land_available
@@ -247,3 +249,32 @@ def test_empty_text_has_a_vector_of_zeros(spark):
     df = spark.sql("SELECT * FROM VALUES (1, ''), (2, NULL), (3, 'a  A c') AS t(doc_id, text)")
     got = {r.doc_id: r.vector for r in governance.hashed_bag(df).collect()}
     assert got[1] == got[2] == [0] * 64 and sum(got[3]) == 3 and 2 in got[3]
+
+
+def test_authorized_nearest_in_any_blocks(spark):
+    rng = random.Random(5)
+    vectors = {i: [rng.randint(-3, 3) / 1.0 for _ in range(4)] for i in range(60)} | {60: None, 61: [1.0]}
+    grants = [(p, i) for p, m in (("ann", 1), ("bob", 3), ("eve", 99)) for i in vectors if i % m == 0 and p != "eve"]
+    queries = [(f"{p}{i}", p, vectors[i]) for p in ("ann", "bob", "eve") for i in range(9)] + [("none", "ann", None)]
+    want = set()
+    for q, p, v in queries:
+        near = sorted((-sum(a * b for a, b in zip(vectors[i], v, strict=True)), i) for g, i in grants if g == p and v and len(vectors[i] or ()) == 4)
+        want |= {(q, i, rank) for rank, (_, i) in enumerate(near[:5], 1)}
+    frames = (
+        spark.createDataFrame(list(vectors.items()), "doc_id long, vector array<double>"), spark.createDataFrame(grants, "principal string, doc_id long"),
+        spark.createDataFrame(queries, "query_id string, principal string, query array<double>"),
+    )
+    for docs_block, queries_block in ((2048, 128), (7, 2), (1, 1)):
+        hits = governance.authorized_nearest(*frames, 5, docs_block, queries_block)
+        assert {(r.query_id, r.doc_id, r["rank"]) for r in hits.collect()} == want
+    assert governance.authorized_nearest(frames[0], frames[1].limit(0), frames[2]).count() == 0
+
+
+def test_cash_cycle_carries_balances_over_months(spark):
+    d = datetime.date
+    invoices = spark.createDataFrame([(d(2024, 1, 9), 100, 50), (d(2024, 3, 2), 200, 80)], "invoice_date date, revenue_amount int, cogs_amount int").withColumns({c: F.col(c).cast("decimal(18,4)") for c in ("revenue_amount", "cogs_amount")})
+    ledger = spark.createDataFrame([(d(2024, 1, 9), "GRP-1100", 40), (d(2024, 2, 1), "GRP-1100", 10), (d(2024, 2, 1), "GRP-2000", -16)], "entry_date date, consolidated_account string, net_amount int").withColumn("net_amount", F.col("net_amount").cast("decimal(18,4)"))
+    stock = spark.createDataFrame([(d(2024, 3, 1), 30), (d(2024, 3, 31), 50)], "snapshot_date date, inventory_value int").withColumn("inventory_value", F.col("inventory_value").cast("decimal(18,4)"))
+    january, march = bi.cash_cycle_by_month(invoices, stock, ledger).collect()
+    assert (january.dio, january.dso, january.dpo, january.cash_conversion_cycle) == (None, 0.4 * 31, 0.0, None)
+    assert (march.dio, march.dso, march.dpo) == (0.5 * 31, 0.25 * 31, 0.2 * 31)
