@@ -37,19 +37,6 @@ def _(w):
     return drops.cast_errors(raw, "vendors").select("source_file", "bad_cells")
 
 
-_VERDICTS = "SELECT event_type AS name, CASE WHEN n % 2 = 1 THEN 'ROW_COUNT_MISMATCH' END AS reason_code FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)"
-
-
-@query("i5_gate", _VERDICTS)
-def _(w):
-    """Event types as files: all there and of the right content; odd ones declare one row too many."""
-    n = w.table("events").groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    manifest = n.select("name", F.sha2("name", 256).alias("sha256"), (F.col("n") + F.col("n") % 2).alias("rows"))
-    files = n.select("name", F.lit(1).alias("bytes"), F.sha2("name", 256).alias("file_hash"))
-    parsed = n.select("name", F.col("n").alias("rows_parsed"), F.lit(0).alias("bad_cells"), F.array().cast("array<string>").alias("messages"))
-    return drops.gate(manifest, files, parsed, n.select("name", F.lit(False).alias("drift"))).select("name", "reason_code")
-
-
 _HASHED = "SELECT event_id, cast(user_id AS varchar) AS source_id, sha256(props) AS file_hash, ts FROM events"
 query("i11_new_files", f"WITH f AS ({_HASHED}) SELECT event_id, source_id, file_hash FROM f WHERE (source_id, file_hash) NOT IN (SELECT (source_id, file_hash) FROM f WHERE event_id % 3 = 0) AND event_id % 3 <> 0")(
     lambda w: (lambda f: drops.new_files(f.where("event_id % 3 <> 0").select("event_id", "source_id", "file_hash"), f.where("event_id % 3 = 0").select("source_id", "file_hash", F.lit("PROMOTED").alias("status"))))(

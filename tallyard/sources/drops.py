@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scratch import written
 from .schemas import entity_schema
 
 MANIFEST = T.StructType(
@@ -39,23 +40,43 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """name, bytes, file_hash (SHA-256) and content of each file, empty ones (which scans pass over) included."""
+    """folder (its last part), name, bytes, file_hash (SHA-256) and content of each file, empty ones (which scans pass over) included."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     # a folder's files may share their names with another's: told apart by folder and name
     listed = spark.createDataFrame([("/".join(path.rsplit("/", 2)[-2:]),) for path in files.inputFiles()], "place string")
     found = files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("place"), "content")
     content = F.coalesce("content", F.lit(b""))
-    return listed.join(found, "place", "left").select(F.regexp_extract("place", r"([^/]+)$", 1).alias("name"), F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content"))
+    folder_of, name_of = F.regexp_extract("place", r"^([^/]+)/", 1), F.regexp_extract("place", r"([^/]+)$", 1)
+    return listed.join(found, "place", "left").select(
+        folder_of.alias("folder"), name_of.alias("name"), F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content")
+    )
 
 
 def read_raw(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8", columns: list[str] | None = None) -> DataFrame:
-    """All cells as trimmed strings (blank: null) by the file's header, with source_file and source_row_no (from 1)."""
+    """All cells as trimmed strings (blank: null) by the file's header, with source_file and source_row_no (from 1).
+
+    The cells are written to the shared folder once, so that rows are numbered by the counts of a file's splits and
+    never meet in one task.
+    """
     raw = spark.read.csv(path, header=True, sep=delimiter, encoding=encoding, inferSchema=False, enforceSchema=False)
     cells = raw.columns if columns is None else columns
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
     have = [F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in cells]
-    rows = raw.select(*have, name.alias("source_file"), F.monotonically_increasing_id().alias("_at"))
-    return rows.withColumn("source_row_no", F.row_number().over(Window.partitionBy("source_file").orderBy("_at")).cast("long")).drop("_at")
+    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at")]
+    rows = written(raw.select(*have, *place), "drop-cells")
+    splits = rows.groupBy("_path", "_split").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("_path", "_split", (F.coalesce(before, F.lit(0)) + 1 - F.col("_first")).alias("_offset"))
+    name = F.regexp_extract("_path", r"([^/]+)$", 1)
+    return rows.join(offsets, ["_path", "_split"]).select(*cells, name.alias("source_file"), (F.col("_at") + F.col("_offset")).alias("source_row_no"))
+
+
+def cells_of(files: DataFrame, columns: list[str], delimiter: str = ",") -> DataFrame:
+    """The cells of :func:`read_raw`, by place, of many small files whose content is at hand (name, content); no cell spans lines."""
+    lines = F.split(F.decode("content", "UTF-8"), "\r?\n")
+    lines = F.filter(F.slice(lines, 2, F.size(lines)), lambda x: F.trim(x) != "")
+    rows = files.select(F.col("name").alias("source_file"), F.posexplode(lines).alias("_at", "_line"))
+    row = F.from_csv("_line", ", ".join(f"`{c}` string" for c in columns), {"sep": delimiter})
+    return rows.withColumn("_row", row).select(*(F.nullif(F.trim(F.col("_row")[c]), F.lit("")).alias(c) for c in columns), "source_file", (F.col("_at") + 1).cast("long").alias("source_row_no"))
 
 
 def typed(cell: Column, kind: T.DataType) -> Column:
@@ -87,9 +108,10 @@ def header_drift(expected: Column, actual: Column, allow_additive: bool = False)
     return missing, extra, drift
 
 
-def header_of(content: Column, delimiter: Column) -> Column:
-    """Column names in the first line of a file's content."""
-    line = F.regexp_replace(F.split(F.decode(content, "UTF-8"), "\n", 2)[0], "^\\uFEFF|\r$", "")
+def header_of(content: Column, delimiter: Column, encoding: Column | None = None) -> Column:
+    """Column names in the first line of a file's content, which is in its declared encoding."""
+    text = F.call_function("decode", content, F.lit("UTF-8") if encoding is None else F.upper(encoding))
+    line = F.regexp_replace(F.split(text, "\n", 2)[0], "^\\uFEFF|\r$", "")
     return F.transform(F.split(line, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E"))), F.trim)
 
 
@@ -99,10 +121,11 @@ def cast_errors(raw: DataFrame, entity: str, examples: int = 5) -> DataFrame:
     checks = [f for f in schema if not isinstance(f.dataType, T.StringType)]
     bad = F.array(*(F.when(F.col(f.name).isNotNull() & typed(F.col(f.name), f.dataType).isNull(), F.concat(F.lit("row "), F.col("source_row_no"), F.lit(f": {f.name} is no {f.dataType.simpleString()}"))) for f in checks))
     cells = raw.select("source_file", "source_row_no", F.posexplode(bad).alias("column_no", "message")).where("message IS NOT NULL")
-    first = cells.withColumn("n", F.row_number().over(Window.partitionBy("source_file").orderBy("source_row_no", "column_no")))
-    return first.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("bad_cells"), F.transform(F.array_sort(F.collect_list(F.when(F.col("n") <= examples, F.struct("n", "message")))), lambda x: x["message"]).alias("messages")
-    )
+    # counted apart from the messages, so that both shrink before they are shuffled: by partial counts, and by a limit
+    counts = cells.groupBy("source_file").agg(F.count(F.lit(1)).alias("bad_cells"))
+    first = cells.withColumn("n", F.row_number().over(Window.partitionBy("source_file").orderBy("source_row_no", "column_no"))).where(F.col("n") <= examples)
+    messages = first.groupBy("source_file").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "message"))), lambda x: x["message"]).alias("messages"))
+    return counts.join(messages, "source_file")
 
 
 def gate(manifest: DataFrame, files: DataFrame, parsed: DataFrame, drift: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyard.operators import bi, governance, marts, metrics, model, quality, reconcile
-from tallyard.sources import drops, extracts
+from tallyard.sources import databases, drops, extracts
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
 from tallyard.streaming.landing import land_available
 
@@ -73,6 +73,27 @@ def test_read_drop(spark, tmp_path):
     assert [(r.vendor_no, r.vendor_name, r.terms, r.lead_time_days, r.source_row_no) for r in rows] == [("V1", "Ann", "NET30", 7, 1), ("V2", "Bob", None, 12, 2)]
 
 
+def test_row_numbers_go_on_over_the_splits_of_a_file(spark, tmp_path):
+    """Small splits: every row has its place in its own file, though files lie in several tasks."""
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "vendors.csv").write_text("vendor_no,vendor_name,terms,lead_time_days\n" + "".join(f"{name}{k},x,,{k}\n" for k in range(1, 2001)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = drops.read_raw(spark, f"{tmp_path}/*/vendors.csv").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 4000 and all(r.vendor_no[1:] == str(r.source_row_no) == r.lead_time_days for r in rows)
+
+
+def test_cells_and_headers_of_content(spark):
+    rows = spark.createDataFrame([("f", bytearray("vendor_no|näme\r\n 1 |\r\n\r\n2|é\n".encode())), ("g", bytearray(b""))], "name string, content binary")
+    got = {tuple(r) for r in drops.cells_of(rows, ["vendor_no", "name"], "|").collect()}
+    assert got == {("1", None, "f", 1), ("2", "é", "f", 2)}
+    latin = spark.createDataFrame([(bytearray("näme|b\n".encode("latin-1")), "iso-8859-1"), (bytearray("näme|b\n".encode()), "utf-8")], "content binary, encoding string")
+    assert {tuple(r[0]) for r in latin.select(drops.header_of(F.col("content"), F.lit("|"), F.col("encoding"))).collect()} == {("näme", "b")}
+
+
 def test_messages_and_quarantine(spark, tmp_path):
     write_drop(tmp_path / "d", {"vendors.csv": "vendor_no,vendor_name,terms,lead_time_days\n" + "V,x,y,z\n" * 7})
     raw = drops.read_raw(spark, f"{tmp_path}/d/vendors.csv")
@@ -218,6 +239,16 @@ def test_jdbc_scan_behind_a_watermark(spark, tmp_path):
     assert "GreaterThan(stamp,50)" in rows._jdf.queryExecution().executedPlan().toString().replace("STAMP", "stamp")
 
 
+def test_source_tables():
+    every = {(d, e): databases.source_table(d, e) for d in extracts.DIALECTS for e in COLUMNS}
+    assert len(every) == 99 and all(extracts.identifier(s.table) and extracts.identifier(s.watermark) for s in every.values())
+    assert every["oracle", "gl_entries"] == databases.SourceTable("ORA_GL_ENTRIES", "ENTRY_DATE")
+    assert every["sqlserver", "inventory_snapshots"] == databases.SourceTable("dbo.InventorySnapshots", "SnapshotDate")
+    assert {c for c, _ in every["db2_iseries", "sales_order_lines"].columns} == {f.name for f in entity_schema("sales_order_lines")}
+    with pytest.raises(ValueError, match="no source"):
+        databases.source_table("informix", "nothing")
+
+
 def test_claim_rules(spark):
     opened = spark.createDataFrame([(1, "Ann "), (2, "ann")], "claim_id long, opened_by string")
     steps = [("submit", "submitted", "ann", None), ("start_review", "under_review", "bob", None), ("approve", "approved", " ANN", None), ("lock", "locked", "bob", "cy")]
