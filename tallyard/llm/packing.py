@@ -68,13 +68,14 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def sum_of_squares(lengths: np.ndarray, capacity: int, literal: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each item, longest first, by sum-of-squares packing.
 
     counts[g] is how many open bins have gap g. Of the bins that an item of size s fits into, it goes into one whose
     gap g makes the sum of the squared counts smallest (one bin fewer has gap g, one more has g - s); on a tie, the
     smallest such gap. A new bin is opened only if no open one has room, which keeps the sequences few; a bin that
-    becomes full counts no more.
+    becomes full counts no more. literal: a new bin counts among the choices, and is opened where it alone makes the
+    sum smallest.
     """
     order = np.argsort(-lengths, kind="stable")
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
@@ -91,7 +92,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         change = np.where(here > 0, 2 * (counts[: capacity - s] - here) + 2, never)
         change[0] -= here[0] > 0  # the bin becomes full
         best = int(change.argmin())
-        if change[best] < never:
+        if change[best] < never and not (literal and 2 * counts[capacity - s] + 1 < change[best]):
             gap = s + best
             b = open_bins[gap].pop()
             counts[gap] -= 1

@@ -131,25 +131,30 @@ def test_packing_is_lossless_and_tight(spark, method):
     assert not packing.pack_pieces(frame(spark, [])).collect()
 
 
-def test_sum_of_squares_chooses_the_smallest_sum():
-    """Every placement against all bins that fit, counted anew."""
+@pytest.mark.parametrize("literal", [False, True])
+def test_sum_of_squares_chooses_the_smallest_sum(literal):
+    """Every placement against all bins that fit, and a new one, counted anew."""
     rng = np.random.default_rng(0)
     lengths, capacity = rng.integers(1, 30, 120), 30
-    bins, offsets = packing.sum_of_squares(lengths, capacity)
+    bins, offsets = packing.sum_of_squares(lengths, capacity, literal)
     fill = defaultdict(int)
+    early = 0
     for i in np.argsort(-lengths, kind="stable"):
         def total(b):
-            gaps = Counter(capacity - (v + (lengths[i] if k == b else 0)) for k, v in fill.items())
+            gaps = Counter(capacity - v for v in {**fill, b: fill.get(b, 0) + lengths[i]}.values())
             gaps.pop(0, None)
             return sum(n * n for n in gaps.values())
 
         fits = [b for b in fill if fill[b] + lengths[i] <= capacity]
-        if bins[i] in fill:
+        if literal and lengths[i] < capacity:
+            assert total(bins[i]) == min(map(total, [*fits, -1]))
+        elif fits:
             assert total(bins[i]) == min(map(total, fits))
-        else:
-            assert not fits
+        early += bool(fits) and bins[i] not in fill
+        assert bins[i] in fill or literal or not fits
         assert offsets[i] == fill[bins[i]]
         fill[bins[i]] += int(lengths[i])
+    assert literal == (early > 0)
 
 
 def test_best_fit_takes_the_fullest_bin():
@@ -708,3 +713,158 @@ def test_html_quality_on_held_out_pages(spark):
     hit = sum((got[k] & truth[k]).total() for k in got)
     precision, recall = hit / sum(c.total() for c in got.values()), hit / sum(truth[k].total() for k in got)
     assert precision > 0.97 and recall > 0.97, (precision, recall)
+
+
+# ---- whole operators against plain versions of them -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("cells", [sharding.CELLS, 7])
+def test_shards_are_cut_at_equal_targets(spark, cells):
+    """Every row's shard and slot from a running sum over all rows, in the stated order."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["ab", "cde", "é"]) for _ in range(rng.randint(0, 90))) for _ in range(500)]
+    rows = list(enumerate(texts + texts[:60] + [None, "", "big " * 900])) + [(9000 + k, "hot text " * 9) for k in range(150)] + [(None, "x"), (3, "again")]
+    df, shards = frame(spark, rows), 5
+    hashed = {r.text: r.h for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()}
+    part = {r.doc_id: r.p for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.PARTS)).alias("p")).distinct().collect()}
+    size = lambda t: len((t or "").encode()) + 1
+    total = sum(size(t) for _, t in rows)
+    group = defaultdict(list)
+    for i, t in rows:
+        group[hashed[t]].append((i, t))
+    large = {h for h, g in group.items() if len(g) > 1 and sum(size(t) for _, t in g) * shards * sharding.WHOLE > total}
+    assert large and len(large) < len(group)
+    cell = lambda h: (h >> 53) + 1024 if cells == sharding.CELLS else (h >> 32) % cells
+
+    def place(row):
+        i, t = row
+        h = hashed[t]
+        return cell(h), h in large, h if h in large else 0, part[i] if h in large else 0, h, i is not None, i or 0, size(t), zlib.crc32((t or "").encode())
+
+    want, at, span = [], 0, {}
+    for i, t in sorted(rows, key=place):
+        h = hashed[t]
+        key = (h, len(want)) if h in large else h
+        lo, _ = span.get(key, (at, 0))
+        span[key] = (lo, at + size(t))
+        want.append((i, t, key))
+        at += size(t)
+    shard = [min(shards - 1, sum(span[key]) * shards // (2 * total)) for *_, key in want]
+    first = {s: shard.index(s) for s in set(shard)}
+    expected = Counter((i, size(t), zlib.crc32((t or "").encode()), s, k - first[s]) for k, ((i, t, _), s) in enumerate(zip(want, shard, strict=True)))
+    assert shard == sorted(shard)
+    assert Counter(tuple(r) for r in sharding.shard_by_bytes(df, shards, cells=cells).collect()) == expected
+
+
+def test_toxicity_scores_equal_a_plain_network():
+    """Every window of every text, one step and one number at a time, in Python's own arithmetic."""
+    import math
+    import re
+
+    net = toxicity.Network(3)
+    rng = np.random.default_rng(9)
+    for k, v in net.p.items():
+        net.p[k] = (v + rng.standard_normal(v.shape) * 0.4).astype(np.float32)
+    net.p["word"][:, 0] = rng.standard_normal(toxicity.WORD_ROWS)
+    p = {k: v.astype(float).tolist() for k, v in net.p.items()}
+    words = ["".join(rng.choice(list("abcé")) for _ in range(rng.integers(1, 6))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 31, 32, 33, 49, 130)] + ["...", "A a, A!", None]
+    column = pa.array(texts, pa.string())
+    text = toxicity.Text(column)
+    codes, distinct, grams, sizes = toxicity.distinct_words(text)
+    rows, heads = toxicity.word_row(distinct).tolist(), np.cumsum(sizes) - sizes
+    row_of = {}
+    spelt = [w for t in texts for w in re.findall(r"[a-z0-9\x80-\xff]+", (t or "").encode().lower().decode("latin-1"))]
+    for w, c in zip(spelt, codes.tolist(), strict=True):
+        row_of[w] = (rows[c], grams[heads[c] : heads[c] + sizes[c]].tolist())
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    column_of = lambda m, j: [r[j] for r in m]
+    n = toxicity.HIDDEN
+
+    def vector(word):
+        row, gs = row_of[word]
+        chars = [p["char"][g] for g in gs]
+        return [*p["word"][row], *(sum(c[j] for c in chars) / len(chars) for j in range(toxicity.DIM)), *max(chars, key=lambda c: c[0])]
+
+    def states(d, xs):
+        h, out = [0.0] * n, []
+        for x in xs:
+            gx = [dot(x, column_of(p[f"W{d}"], j)) + p[f"c{d}"][j] for j in range(3 * n)]
+            gh = [dot(h, column_of(p[f"U{d}"], j)) for j in range(3 * n)]
+            z, r = ([sigmoid(gx[j] + gh[j]) for j in range(a, a + n)] for a in (0, n))
+            new = [math.tanh(gx[2 * n + j] + r[j] * gh[2 * n + j]) for j in range(n)]
+            h = [(1 - z[j]) * new[j] + z[j] * h[j] for j in range(n)]
+            out.append(h)
+        return out
+
+    def logit(window):
+        if not window:
+            return p["bias"][0]
+        xs = [vector(w) for w in window]
+        both = [f + b + x for f, b, x in zip(states("f", xs), states("b", xs[::-1])[::-1], xs, strict=True)]
+        s = [dot([math.tanh(dot(v, column_of(p["A"], j)) + p["a"][j]) for j in range(n)], p["v"]) for v in both]
+        e = [math.exp(x - max(s)) for x in s]
+        pooled = [sum(w * v[j] for w, v in zip(e, both, strict=True)) / sum(e) for j in range(len(both[0]))]
+        return dot(pooled, p["w"]) + p["bias"][0]
+
+    got = toxicity.score_column(net, column)
+    for t, score in zip(texts, got, strict=True):
+        ws = re.findall(r"[a-z0-9\x80-\xff]+", (t or "").encode().lower().decode("latin-1"))
+        starts = [*range(0, max(1, len(ws) - toxicity.WINDOW), toxicity.STRIDE)]
+        if len(ws) > toxicity.WINDOW:
+            starts.append(len(ws) - toxicity.WINDOW)
+        assert abs(score - sigmoid(max(logit(ws[a : a + toxicity.WINDOW]) for a in starts))) < 1e-4
+
+
+def test_stored_form_is_a_container_others_can_read(spark):
+    """media_bytes, media_sha256 and feature against a reader that knows no more than nested boxes and the two tables it needs."""
+    import struct
+
+    def walk(data, at, end, path=()):
+        while at < end:
+            size, kind = struct.unpack_from(">I4s", data, at)
+            here = (*path, kind.decode("latin-1"))
+            yield here, data[at + 8 : at + size]
+            if kind in (b"moov", b"trak", b"mdia", b"minf", b"stbl"):
+                yield from walk(data, at + 8, at + size, here)
+            at += size
+
+    rows = [(1, "abc"), (2, None), (3, "é" * 5000), (4, "abc"), (5, "x" * 64)]
+    got = {r.doc_id: r for r in media.stored_features(frame(spark, rows)).collect()}
+    for i, t in rows:
+        stored, r = media.write_media(media.pad((t or "").encode())), got[i]
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        found = {path[-1]: body for path, body in walk(stored, 0, len(stored))}
+        assert list(found)[0] == "ftyp" and found["mdat"] == media.pad((t or "").encode())
+        codec, seconds, samples, keys = r.feature.split("|")
+        rate, span = struct.unpack_from(">II", found["mdhd"], 12)
+        assert found["stsd"][12:16].decode().strip() == codec and f"{span / rate:.2f}" == seconds and int(samples) == struct.unpack_from(">I", found["stsz"], 8)[0]
+        assert b"".join(stored[int(a) : int(a) + int(n)] for a, n in (k.split("+") for k in keys.split(","))) in found["mdat"]
+    assert got[1][1:] == got[4][1:]
+
+
+def test_very_long_and_repeated_rows(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    long = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(250_000))
+    rows = [(1, long), (2, "short text"), (2, "short text"), (3, long), (None, long)]
+    df = frame(spark, rows, True)
+    want = hashlib.sha256(",".join(map(str, Tokenizer.from_file(VOCABULARY).encode(long, add_special_tokens=False).ids)).encode()).hexdigest()
+    coded = bpe.round_trip_digests(df).collect()
+    assert len(coded) == 5 and all((r.ids_sha256 == want) == (r.doc_id != 2) for r in coded)
+    stored = media.stored_features(df).collect()
+    assert {r.payload_sha256 for r in stored if r.doc_id != 2} == {hashlib.sha256(media.pad(long.encode())).hexdigest()} and len(stored) == 5
+    words, labels = toxic_corpus(200)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    marked = toxicity.toxicity(frame(spark, [*words, (1000, long), (1001, long), (1002, long + " zorgback qwixx"), (1000, long)]), lab).collect()
+    score = defaultdict(list)
+    for r in marked:
+        score[r.doc_id].append(r.score)
+    assert len(set(score[1000] + score[1001])) == 1 and len(score[1000]) == 2 and score[1002][0] >= score[1000][0]
+    body = " ".join(["word"] * 300_000)
+    page = PAGE.replace("{more}", f"<p>{body}</p>")
+    pages = spark.createDataFrame([(1, "u", page), (1, "u", page), (2, "v", page), (3, "w", None)], "page_id long, url string, html string")
+    texts = [r.text for r in html.extract_main_text(pages).collect()]
+    assert len(texts) == 4 and sum(t.endswith(body) for t in texts) == 3 and texts.count("") == 1
