@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import one_row, ratio, total
-from ..functions.scratch import written
+from ..functions.scratch import at_once, written
 
 #: Digits shown, half away from zero.
 DIGITS = {
@@ -53,12 +53,23 @@ def average_inventory(snapshots: DataFrame) -> DataFrame:
     return by_date.agg((F.sum("v").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("avg_inventory"))
 
 
-def kpi_inventory(invoices: DataFrame, snapshots: DataFrame, rounded: bool = True) -> DataFrame:
-    both = one_row(invoice_totals(invoices), average_inventory(snapshots))
+def _inventory() -> dict[str, Column]:
+    """Over the totals of invoices and the average inventory."""
     year = lambda c: F.col(c).cast("double") * F.col("annualization") / F.nullif(F.col("avg_inventory"), F.lit(0.0))
     weekly = F.col("cogs").cast("double") / F.col("window_days") * 7
-    mart = both.select("avg_inventory", year("cogs").alias("inventory_turns"), (F.col("avg_inventory") / F.nullif(weekly, F.lit(0.0))).alias("weeks_of_supply"), year("gross_margin").alias("gmroi"))
-    return _final(mart.withColumn("days_inventory_outstanding", F.lit(365.0) / F.nullif("inventory_turns", F.lit(0.0))), rounded)
+    turns = year("cogs")
+    return {
+        "avg_inventory": F.col("avg_inventory"), "inventory_turns": turns, "weeks_of_supply": F.col("avg_inventory") / F.nullif(weekly, F.lit(0.0)), "gmroi": year("gross_margin"),
+        "days_inventory_outstanding": F.lit(365.0) / F.nullif(turns, F.lit(0.0)),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
+def kpi_inventory(invoices: DataFrame, snapshots: DataFrame, rounded: bool = True) -> DataFrame:
+    return _final(one_row(invoice_totals(invoices), average_inventory(snapshots)).select(*_named(_inventory())), rounded)
 
 
 def active_lines(lines: DataFrame) -> DataFrame:
@@ -80,37 +91,44 @@ def kpi_service(lines: DataFrame, rounded: bool = True) -> DataFrame:
     return _final(mart, rounded)
 
 
-def kpi_finance(invoices: DataFrame, snapshots: DataFrame, ledger: DataFrame, closes: DataFrame, rounded: bool = True) -> DataFrame:
-    """Margins and cash cycle; the cycle adds the *rounded* days of inventory to unrounded days of sales and payables."""
+def _books(ledger: DataFrame, closes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Receivables and payables, and the mean days to close."""
     balance = lambda account: total(F.when(F.col("consolidated_account") == account, F.col("net_amount")))
-    books = ledger.agg(balance("GRP-1100").alias("ar"), balance("GRP-2000").alias("ap"))
     close = closes.agg(ratio(F.sum(F.datediff("close_completed_on", "period_end_date")), F.count(F.lit(1))).alias("close_cycle_days"))
-    dio = kpi_inventory(invoices, snapshots, rounded=False).select(F.round("days_inventory_outstanding", 1).alias("dio"))
-    mart = (
-        one_row(invoice_totals(invoices), books, close, dio)
-        .withColumn("dso", ratio("ar", "revenue") * 365)
-        .withColumn("dpo", F.abs(F.col("ap").cast("double")) / F.nullif(F.col("cogs").cast("double"), F.lit(0.0)) * 365)
-        .select(ratio("gross_margin", "revenue").alias("gross_margin_pct"), "revenue", "cogs", "dso", "dpo", "close_cycle_days", (F.col("dio") + F.col("dso") - F.col("dpo")).alias("cash_conversion_cycle"))
-    )
-    return _final(mart, rounded)
+    return ledger.agg(balance("GRP-1100").alias("ar"), balance("GRP-2000").alias("ap")), close
 
 
-def home_branches(invoices: DataFrame) -> DataFrame:
-    """The branch of each customer's highest revenue; of equal ones, the smallest key."""
-    w = Window.partitionBy("customer_key").orderBy(F.desc("r"), "location_key")
-    by_branch = invoices.groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
-    return by_branch.withColumn("n", F.row_number().over(w)).where("n = 1").select("customer_key", F.col("location_key").alias("home_key"))
+def _finance() -> dict[str, Column]:
+    """Over the totals of invoices, the average inventory and the books; the cycle adds the *rounded* days of inventory."""
+    dio = F.round(_inventory()["days_inventory_outstanding"], 1)
+    dso = ratio("ar", "revenue") * 365
+    dpo = F.abs(F.col("ap").cast("double")) / F.nullif(F.col("cogs").cast("double"), F.lit(0.0)) * 365
+    return {
+        "gross_margin_pct": ratio("gross_margin", "revenue"), "revenue": F.col("revenue"), "cogs": F.col("cogs"), "dso": dso, "dpo": dpo, "close_cycle_days": F.col("close_cycle_days"),
+        "cash_conversion_cycle": dio + dso - dpo,
+    }
+
+
+def kpi_finance(invoices: DataFrame, snapshots: DataFrame, ledger: DataFrame, closes: DataFrame, rounded: bool = True) -> DataFrame:
+    """Margins and cash cycle; the cycle adds the *rounded* days of inventory to unrounded days of sales and payables."""
+    both = one_row(invoice_totals(invoices), average_inventory(snapshots), *_books(ledger, closes))
+    return _final(both.select(*_named(_finance())), rounded)
 
 
 def kpi_growth(invoices: DataFrame, locations: DataFrame, rounded: bool = True) -> DataFrame:
-    """Shares of revenue at home branches, of branches owned before the window, and of the rest (unknown ones too)."""
+    """Shares of revenue at home branches, of branches owned before the window, and of the rest (unknown ones too).
+
+    A customer's home is the branch of the highest revenue; of equal ones, the smallest key.
+    """
     places = locations.select("location_key", "owned_since")
     owned = F.coalesce(F.col("owned_since") < F.col("window_start"), F.lit(False))
     # one row for each customer and branch is all that the shares need
-    parts = invoices.groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r")).join(home_branches(invoices), "customer_key").join(places, "location_key", "left")
+    order = F.row_number().over(Window.partitionBy("customer_key").orderBy(F.desc("r"), "location_key"))
+    parts = invoices.where("customer_key IS NOT NULL").groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
+    parts = parts.withColumn("home", (order == 1) & F.col("location_key").isNotNull()).join(places, "location_key", "left")
     parts = parts.crossJoin(F.broadcast(kpi_window(invoices).select("window_start")))
     mart = parts.agg(
-        ratio(F.sum(F.when(F.col("location_key") == F.col("home_key"), F.col("r")).otherwise(0)), F.sum("r")).alias("same_branch_share"),
+        ratio(F.sum(F.when(F.col("home"), F.col("r")).otherwise(0)), F.sum("r")).alias("same_branch_share"),
         ratio(F.sum(F.when(owned, F.col("r")).otherwise(0)), F.sum("r")).alias("organic_share"), ratio(F.sum(F.when(owned, F.lit(0)).otherwise(F.col("r"))), F.sum("r")).alias("acquired_share"),
     )
     return _final(mart, rounded)
@@ -124,28 +142,36 @@ def kpi_purchasing(purchases: DataFrame, rounded: bool = True) -> DataFrame:
     return _final(mart, rounded)
 
 
+def _activity(invoices: DataFrame, locations: DataFrame) -> tuple[DataFrame, ...]:
+    """Numbers of invoices and of days with any, each by a distinct of its own, so that lines aren't expanded; and of people."""
+    many = lambda c, name: invoices.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias(name))
+    return many("invoice_no", "invoices"), many("invoice_date", "active_days"), locations.agg(F.sum("fte_count").alias("fte"))
+
+
+def _productivity() -> dict[str, Column]:
+    """Over the totals of invoices and the counts of :func:`_activity`."""
+    return {
+        "sales_per_fte": F.col("revenue").cast("double") * F.col("annualization") / F.nullif(F.col("fte").cast("double"), F.lit(0.0)), "avg_ticket": ratio("revenue", "invoices"),
+        "orders_per_active_day": ratio("invoices", "active_days"), "invoices": F.col("invoices"), "active_days": F.col("active_days"),
+    }
+
+
 def kpi_productivity(invoices: DataFrame, locations: DataFrame, rounded: bool = True) -> DataFrame:
-    """Two exact distinct counts in two aggregations, so that lines aren't expanded; days come from the invoices."""
-    by_invoice = invoices.groupBy("invoice_no", "invoice_date").agg(F.lit(1).alias("x")).select("invoice_no", "invoice_date")
-    counts = one_row(by_invoice.select("invoice_no").distinct().agg(F.count(F.lit(1)).alias("invoices")), by_invoice.select("invoice_date").distinct().agg(F.count(F.lit(1)).alias("active_days")))
-    people = locations.agg(F.sum("fte_count").alias("fte"))
-    mart = one_row(invoice_totals(invoices), counts, people).select(
-        (F.col("revenue").cast("double") * F.col("annualization") / F.nullif(F.col("fte").cast("double"), F.lit(0.0))).alias("sales_per_fte"), ratio("revenue", "invoices").alias("avg_ticket"),
-        ratio("invoices", "active_days").alias("orders_per_active_day"), "invoices", "active_days",
-    )
-    return _final(mart, rounded)
+    return _final(one_row(invoice_totals(invoices), *_activity(invoices, locations)).select(*_named(_productivity())), rounded)
 
 
 def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
     """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
 
-    Each fact table is read once: the invoices' columns and the inventory values by date are written for the marts that
-    share them.
+    Each fact table is read once, and its aggregates are made once: the invoices' columns and the inventory values by
+    date are written, both at a time, and the KPIs are expressions over one row of all aggregates.
     """
-    i = narrow(facts["invoices"])
-    inventory = written(facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value")), "inventory-by-date")
-    marts = one_row(
-        kpi_inventory(i, inventory, False), kpi_service(facts["sales"], False), kpi_finance(i, inventory, facts["gl"], facts["closes"], False), kpi_growth(i, facts["locations"], False),
-        kpi_purchasing(facts["purchases"], False), kpi_productivity(i, facts["locations"], False), kpi_window(i),
+    by_date = facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"))
+    i, inventory = at_once(by_date.sparkSession, lambda: narrow(facts["invoices"]), lambda: written(by_date, "inventory-by-date"))
+    row = one_row(
+        invoice_totals(i), average_inventory(inventory), *_books(facts["gl"], facts["closes"]), *_activity(i, facts["locations"]), kpi_service(facts["sales"], False),
+        kpi_growth(i, facts["locations"], False), kpi_purchasing(facts["purchases"], False),
     )
-    return _final(marts.select(*KPIS, "window_start", "window_end", "window_days"), rounded)
+    derived = {**_inventory(), **_finance(), **_productivity()}
+    marts = row.select(*(derived.get(k, F.col(k)).alias(k) for k in KPIS), "window_start", "window_end", "window_days")
+    return _final(marts, rounded)

@@ -24,9 +24,12 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:  # reading a schema is a job
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     def bounded(self, df: DataFrame, table: str) -> DataFrame:
         """``df``, keys of one row of ``table`` each, to be broadcast if that table's files stay below BROADCAST_BYTES.
@@ -40,6 +43,7 @@ class Lake:
     def kept(self) -> Lake:
         """The same lake with its joined lines written once: for queries that make several entities of them."""
         out = type(self)(self.spark, self.dir)
+        out._tables = self._tables
         out._built["lines"] = written(self.lines.select(*_LINE_COLUMNS), "lines")
         return out
 
