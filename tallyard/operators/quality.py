@@ -130,6 +130,15 @@ def catalog_drift(declared: DataFrame, actual: StructType, table: str) -> DataFr
     return both.select(F.lit(table).alias("table"), "column", "type", "actual_type", problem.alias("problem")).where("problem IS NOT NULL")
 
 
+def unfilled(frame: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """Declared columns that the table has, each read over all rows in one aggregation; those without any value, as drift."""
+    have = [f for f in frame.schema if f.name in columns]
+    counts = frame.agg(*(F.count(F.col(f.name)).alias(f.name) for f in have))
+    each = F.explode(F.array(*(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n")) for f in have)))
+    rows = counts.select(each.alias("c")).where("c.n = 0")
+    return rows.select(F.lit(table).alias("table"), "c.column", "c.type", F.lit(None).cast("string").alias("actual_type"), F.lit("empty").alias("problem"))
+
+
 def many_to_one(child: DataFrame, column: str, parent: DataFrame, key: str, name: str) -> DataFrame:
     """A declared many-to-one relationship: unique on the one side, and every child found."""
     return unique(parent, [key], name).unionByName(relationship(child, column, parent, key, name))

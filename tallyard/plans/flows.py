@@ -233,19 +233,30 @@ query("q14_variance", "SELECT entity, n_source, n_warehouse, abs(n_source - n_wa
 )
 
 
+#: Entities whose every declared column is read over all rows; the customers' states are emptied first, so that one fails.
+READ = ["items", "customers", "vendors", "invoice_lines"]
+_EMPTY = " ".join(
+    f"UNION ALL SELECT * FROM (SELECT '{e}', '{f.name}', '{f.dataType.simpleString()}', NULL, 'empty') WHERE (SELECT count({'nullif(state, state)' if (e, f.name) == ('customers', 'state') else f.name}) FROM {e}) = 0"
+    for e in READ for f in entity_schema(e)
+)
+
+
 @query(
     "q15_catalog_drift",
     """SELECT 'items' AS "table", 'list_price' AS "column", 'decimal(38,9)' AS type, 'decimal(18,4)' AS actual_type, 'retyped' AS problem UNION ALL SELECT 'items', 'p_partkey', NULL, 'bigint', 'undeclared'
     UNION ALL SELECT * FROM (SELECT 'lineitem', 'l_orderkey+l_linenumber', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) WHERE n <> '0'
     UNION ALL SELECT * FROM (SELECT 'orders', 'o_custkey', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) WHERE n <> '0'
-    UNION ALL SELECT * FROM (SELECT 'items', 'item_no', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM items GROUP BY item_no HAVING count(*) > 1)) WHERE n <> '0'""",
+    UNION ALL SELECT * FROM (SELECT 'items', 'item_no', 'unique', cast(count(*) AS varchar) AS n, 'grain' FROM (SELECT 1 FROM items GROUP BY item_no HAVING count(*) > 1)) WHERE n <> '0' """ + _EMPTY,
 )
 def _(w):
-    """The declared columns of items against the frame that the tables give, and the declared grain of three tables."""
+    """The declared columns of items against the frame that the tables give, the declared grain of three tables, and every declared column of four read."""
     rows = [("items", f.name, "decimal(38,9)" if f.name == "list_price" else f.dataType.simpleString()) for f in entity_schema("items")] + [("items", "source_system", "string")]
     drift = quality.catalog_drift(w.spark.createDataFrame(rows, "table string, column string, type string"), w.items.schema, "items")
     for name, frame, grain in (("lineitem", w.table("lineitem"), ["l_orderkey", "l_linenumber"]), ("orders", w.table("orders"), ["o_custkey"]), ("items", w.items, ["item_no"])):
         drift = drift.unionByName(quality.grain_drift(frame, grain, name))
+    for e in READ:
+        frame = w.customers.withColumn("state", F.nullif("state", F.col("state"))) if e == "customers" else getattr(w, e)
+        drift = drift.unionByName(quality.unfilled(frame, [f.name for f in entity_schema(e)], e))
     return drift
 
 
