@@ -322,6 +322,11 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = 6, batch: int = 128
 
 def score_column(net: Network, column: pa.Array) -> np.ndarray:
     """The score of each whole text: that of its highest window; an empty one's is that of an empty window."""
+    return scores_and_counts(net, column)[0]
+
+
+def scores_and_counts(net: Network, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The score of each whole text and its number of words."""
     text = Text(column)
     codes, distinct, gram_rows, sizes = distinct_words(text)
     features, _ = net.features(word_row(distinct), gram_rows, sizes)
@@ -329,7 +334,7 @@ def score_column(net: Network, column: pa.Array) -> np.ndarray:
     logit = net.score_windows(features, codes, start, size)
     top = np.full(len(text.counts), -np.inf)
     np.maximum.at(top, doc, logit)
-    return _sigmoid(top)
+    return _sigmoid(top), text.counts
 
 
 def is_held_out(doc_id) -> F.Column:
@@ -379,7 +384,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of the rows whose own text isn't predicted toxic, whatever their ids; null and empty texts are scored too.
+    """All columns of the rows whose own text isn't predicted toxic, whatever their ids; texts without words have nothing toxic and stay.
 
     Rows stay in the tasks that read them. Repeated rows fare alike; an empty table gives an empty result.
     """
@@ -389,7 +394,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         model = Network.__new__(Network)
         model.p = shared.value
         for b in text_slices(batches):
-            yield b.filter(pa.array(score_column(model, b.column("text")) < 0.5))
+            score, words = scores_and_counts(model, b.column("text"))
+            yield b.filter(pa.array((score < 0.5) | (words == 0)))
 
     return docs.mapInArrow(run, docs.schema)
 
