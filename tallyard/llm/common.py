@@ -279,6 +279,19 @@ class Words:
         return lane_hashes(*lanes(self.raw, self.starts, self.ends), self.ends - self.starts, which)
 
 
+def single_spaced(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes in which one space stands between two words, and where words start and end there."""
+    starts, ends = words.starts, words.ends
+    gap = starts[1:] - ends[:-1]
+    if ((gap == 0) | ((gap == 1) & (words.raw[ends[:-1]] == 32))).all():
+        return words.raw, starts, ends
+    sizes = ends - starts
+    to = np.cumsum(sizes + 1) - sizes - 1
+    raw = np.full(int((sizes + 1).sum()), 32, np.uint8)
+    raw[ranges(to, sizes)] = words.raw[ranges(starts, sizes)]
+    return raw, to, to + sizes
+
+
 def gram_hashes(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     """The hash of each run of n consecutive entries of h, by start; len(h) - n + 1 of them."""
     if len(h) < n:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, html, jaccard, media, packing, sharding, substring, toxicity
+from . import ann, bpe, codes, html, jaccard, media, packing, sharding, simhash, substring, toxicity, trie
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_html_extraction": html.op9_html_extraction,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 _VECTORS = "SELECT vec_id, embedding::double[] AS v FROM embeddings WHERE embedding IS NOT NULL AND list_bool_or(list_transform(embedding, lambda x: x <> 0)) AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"

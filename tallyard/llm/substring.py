@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, remove_path, scratch_path, text_slices
+from .common import Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, remove_path, scratch_path, single_spaced, text_slices
 
 WINDOW, GRAM = 20, 8
 #: Rows of a run in a bucket: more make more buckets than there are shuffle partitions.
@@ -170,19 +170,6 @@ def read_fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _plain(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes in which one space stands between two words, and where words start and end there."""
-    starts, ends = words.starts, words.ends
-    gap = starts[1:] - ends[:-1]
-    if ((gap == 0) | ((gap == 1) & (words.raw[ends[:-1]] == 32))).all():
-        return words.raw, starts, ends
-    sizes = ends - starts
-    to = np.cumsum(sizes + 1) - sizes - 1
-    raw = np.full(int((sizes + 1).sum()), 32, np.uint8)
-    raw[ranges(to, sizes)] = words.raw[ranges(starts, sizes)]
-    return raw, to, to + sizes
-
-
 def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
     """Windows whose selected fingerprint is in the document's ``hits``: digest (of the words), doc_id, start, later.
 
@@ -202,7 +189,7 @@ def _windows(hit_docs: DataFrame, window: int, gram: int) -> DataFrame:
             chosen = np.flatnonzero(np.isin(fps[places] ^ salt(doc), wanted))
             at, doc = starts[chosen], doc[chosen]
             ids = b.column("doc_id").cast(pa.int64()).to_numpy()
-            raw, begin, end = _plain(words)
+            raw, begin, end = single_spaced(words)
             raw, digest = raw.tobytes(), hashlib.blake2b
             spans = zip(begin[at].tolist(), end[at + window - 1].tolist(), strict=True)
             d = np.frombuffer(b"".join([digest(raw[a:z], digest_size=16).digest() for a, z in spans]), np.uint64).reshape(-1, 2).copy()
