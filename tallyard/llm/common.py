@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -279,6 +280,33 @@ class Words:
         return lane_hashes(*lanes(self.raw, self.starts, self.ends), self.ends - self.starts, which)
 
 
+class WordKeys:
+    """Two 64-bit numbers of each word, from a keyed 128-bit digest (BLAKE2b) of its bytes.
+
+    Digests are made once for each distinct word, which is found by its bytes. Words that share a number can't be
+    constructed without the key, so what is made of them needs no further comparison. Forgets words when there are many.
+    """
+
+    MOST_WORDS, MOST_LANES = 300_000, 2_000_000
+
+    def __init__(self, key: bytes):
+        self.key = key
+        self.clear()
+
+    def clear(self) -> None:
+        self.book, self.digests = WordNumbers(), Rows(np.uint64)
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.book) > self.MOST_WORDS or self.book.lanes.ends[len(self.book)] > self.MOST_LANES:
+            self.clear()
+        number, new = self.book.of(words.raw, words.starts, words.ends)
+        raw, key, digest = words.raw.tobytes(), self.key, hashlib.blake2b
+        spans = zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)
+        made = np.frombuffer(b"".join([digest(raw[a:z], digest_size=16, key=key).digest() for a, z in spans]), np.uint64)
+        self.digests.add(made, np.full(len(new), 2, np.int64))
+        return self.digests.flat[2 * number], self.digests.flat[2 * number + 1]
+
+
 def single_spaced(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes in which one space stands between two words, and where words start and end there."""
     starts, ends = words.starts, words.ends

@@ -14,13 +14,14 @@
    search, and those that reach the required overlap are compared exactly. Documents already known to be connected
    to the largest component are not queried.
 
-Hashes of n-grams choose candidates and classes; whether two texts of a group link is decided by their words. An
-n-gram that very many documents hold counts as shared without being counted, so its holders are spread over tasks.
+Hashes of n-grams (of words' digests under a key of the run) choose candidates, sizes and classes; whether two texts of
+a group link is decided by their words. An n-gram that very many documents hold counts as shared without being counted, so its holders are spread over tasks.
 Links are kept as stars (document, smallest document it is connected to), so no pairs of a group are listed.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordNumbers, Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, text_slices
+from .common import WordKeys, WordNumbers, Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, text_slices
 from .components import connected_components
 
 #: An n-gram is put last in the order if more than one in HOT documents holds it; at most HOT times the mean size
@@ -47,7 +48,7 @@ LONG, PIVOTS = 2000, 16
 TASK_GRAMS = 250_000
 
 
-def set_of_column(column: pa.Array, gram: int, lower: bool, twice: bool = False) -> tuple[np.ndarray, ...]:
+def set_of_column(column: pa.Array, gram: int, lower: bool, keys: WordKeys, twice: bool = False) -> tuple[np.ndarray, ...]:
     """Sorted distinct n-gram hashes of each text, one text after another, and their numbers; twice: a second hash of each.
 
     A text of fewer than ``gram`` words is one n-gram, its whole sequence; one without words has none.
@@ -58,8 +59,10 @@ def set_of_column(column: pa.Array, gram: int, lower: bool, twice: bool = False)
     short = [np.flatnonzero(words.counts == k) for k in range(1, gram)]
     doc = np.concatenate([np.repeat(np.arange(len(n)), n), *short])
 
+    word_keys = keys.of(words)
+
     def hashed(which: int) -> np.ndarray:
-        h = words.hashes(which)
+        h = word_keys[which]
         return np.concatenate([gram_hashes(h, gram)[at], *(gram_hashes(h, k)[words.first[s]] for k, s in enumerate(short, 1) if len(s))])
 
     grams = hashed(0)
@@ -75,12 +78,13 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _read_sets(docs: DataFrame, gram: int, lower: bool) -> DataFrame:
+def _read_sets(docs: DataFrame, gram: int, lower: bool, key: bytes) -> DataFrame:
     """doc_id, n, key_a, key_b of each set; often, often_n: n-grams that repeat among the documents of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of = WordKeys(key)
         for b in text_slices(batches):
-            grams, n, second = set_of_column(b.column("text"), gram, lower, True)
+            grams, n, second = set_of_column(b.column("text"), gram, lower, keys_of, True)
             ends = np.concatenate([[0], np.cumsum(n)])
             total = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h))])[ends] for h in (grams, second)]
             keys = [np.diff(t).view(np.int64) for t in total]
@@ -108,12 +112,13 @@ def _salt(late: np.ndarray, ids: np.ndarray) -> pa.Array:
     return pa.array(np.where(late, 1 + (mix(ids.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0).astype(np.int32))
 
 
-def _prefixes(docs: DataFrame, hot: np.ndarray, gram: int, percent: int, lower: bool) -> DataFrame:
+def _prefixes(docs: DataFrame, hot: np.ndarray, gram: int, percent: int, lower: bool, key: bytes) -> DataFrame:
     """The n-grams of each document's prefix: h, salt, doc_id; and need, the fewest that it must share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of = WordKeys(key)
         for b in text_slices(batches):
-            grams, n = set_of_column(b.column("text"), gram, lower)
+            grams, n = set_of_column(b.column("text"), gram, lower, keys_of)
             doc = np.repeat(np.arange(len(n)), n)
             late = _late(grams, hot)
             if late.any():
@@ -132,12 +137,13 @@ def _prefixes(docs: DataFrame, hot: np.ndarray, gram: int, percent: int, lower:
     return docs.select("doc_id", "text").mapInArrow(run, "h long, salt int, doc_id long, need int")
 
 
-def _grams(docs: DataFrame, hot: np.ndarray, gram: int, lower: bool) -> DataFrame:
+def _grams(docs: DataFrame, hot: np.ndarray, gram: int, lower: bool, key: bytes) -> DataFrame:
     """h, salt, doc_id: the n-grams of whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of = WordKeys(key)
         for b in text_slices(batches):
-            grams, n = set_of_column(b.column("text"), gram, lower)
+            grams, n = set_of_column(b.column("text"), gram, lower, keys_of)
             ids = np.repeat(b.column("doc_id").to_numpy(), n)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), _salt(_late(grams, hot), ids), pa.array(ids)], names=["h", "salt", "doc_id"])
 
@@ -336,7 +342,8 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
     that repeats counts once, with its smallest text; other columns are ignored; an empty table gives an empty result.
     """
     docs = one_row_per_id(docs)
-    read = materialize(_read_sets(docs, gram, lower), "set-keys")
+    key = secrets.token_bytes(32)  # of this run: no text can be made to collide
+    read = materialize(_read_sets(docs, gram, lower, key), "set-keys")
     n_docs = read.count()
     hot_rows = (
         read.where(F.size("often") > 0)
@@ -351,7 +358,7 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
 
     by_gram, by_doc = Window.partitionBy("h", "salt"), Window.partitionBy("doc_id")
     holders = F.when(F.col("salt") > 0, F.lit(MANY)).otherwise(F.count(F.lit(1)).over(by_gram))
-    rows = _prefixes(docs, hot, gram, percent, lower)
+    rows = _prefixes(docs, hot, gram, percent, lower, key)
     reps = known.where("n > 0 AND doc_id = rep").select("doc_id")
     shared = materialize(
         rows.withColumn("holders", holders).where("holders > 1").select("h", "salt", "doc_id", "need")
@@ -369,7 +376,7 @@ def linked_components(docs: DataFrame, gram: int = 4, percent: int = 85, lower:
     survivors = shared.select("doc_id").distinct()
     texts = materialize(docs.join(survivors, "doc_id"), "candidate-texts")
     discard(shared)
-    counted = _grams(texts, hot, gram, lower).withColumn("holders", holders)
+    counted = _grams(texts, hot, gram, lower, key).withColumn("holders", holders)
     enough = F.count_if(F.col("holders") > 1).over(by_doc) >= F.ceil(F.lit(percent) * F.col("n") / 100)
     rarest = F.row_number().over(by_doc.orderBy("holders", "h"))
     prefix = (

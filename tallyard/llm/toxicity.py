@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, mix, ranges, text_slices
+from .common import WordNumbers, Words, mix, ranges, text_slices
 
 WINDOW, STRIDE = 32, 16
 #: Bound of the training sample: so many documents of either label, chosen by a hash of the id; all their windows take part.
@@ -45,9 +45,8 @@ for _a, _z in ((48, 58), (65, 91), (97, 123)):
 
 def distinct_words(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Code of each word; and of each distinct word its hash, its trigrams' rows and their numbers."""
-    codes, distinct = pd.factorize(text.hashes())
-    one = np.empty(len(distinct), np.int64)
-    one[codes[::-1]] = np.arange(len(codes))[::-1]
+    codes, one = WordNumbers().of(text.raw, text.starts, text.ends)
+    distinct = text.hashes()[one]
     size = text.ends[one] - text.starts[one]
     # each word between two marks: _word_
     padded = np.full(int((size + 2).sum()), 95, np.uint64)

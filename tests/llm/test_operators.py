@@ -224,6 +224,65 @@ def test_media_walks_other_layouts():
     assert media.read_samples(data, track) == b"aabbcc" and track.codec == "mp4a" and track.duration / track.timescale == 0.03 and list(track.keys) == [0, 1, 2]
 
 
+def test_media_refuses_hostile_containers(spark):
+    """Deep nesting and huge counts give a row with an error, at once and in little memory."""
+    import struct
+
+    box = media._box
+    deep = b""
+    for _ in range(3000):
+        deep = box(b"moov", deep)
+    stbl = lambda stsz, stsc: box(b"stbl", box(b"stsd", bytes(4), struct.pack(">I", 1), box(b"mp4a", bytes(28))), box(b"stts", bytes(4), struct.pack(">III", 1, 3, 10)), stsc, stsz, box(b"stco", bytes(4), struct.pack(">II", 1, 0)))
+    whole = lambda s: box(b"moov", box(b"trak", box(b"mdia", box(b"mdhd", bytes(4), struct.pack(">IIIII", 0, 0, 1, 3, 0)), box(b"hdlr", bytes(8), b"soun", bytes(13)), box(b"minf", s))))
+    runs = lambda n: box(b"stsc", bytes(4), struct.pack(">IIII", 1, 1, n, 1))
+    huge = [whole(stbl(box(b"stsz", bytes(4), struct.pack(">II", 1, 2**32 - 1)), runs(k))) for k in (3, 2**32 - 1)]
+    rows = [(k, b) for k, b in enumerate([deep, *huge, whole(stbl(box(b"stsz", bytes(4), struct.pack(">II", 5, 3)), runs(3)))])]
+    got = {r.doc_id: r for r in media.media_columns(spark.createDataFrame(rows, "doc_id long, media binary"), "doc_id", "media").collect()}
+    assert all(got[k].error for k in (0, 1, 2)) and got[3].error is None and got[3].n_samples == 3
+
+
+def test_media_of_any_bytes_raises_nothing_but_value_errors():
+    rng = random.Random(0)
+    base = [media.write_media(media.pad(b"abc" * 3000)), fragmented()]
+    for turn in range(10_000):
+        data = bytearray(base[turn % 2])
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(min(len(data), 900))
+            data[at] = rng.choice([0, 1, 255, rng.randrange(256)])
+        if turn % 5 == 0:
+            del data[rng.randrange(len(data)) :]
+        try:
+            for t in media.index_media(bytes(data)):
+                assert len(t.sizes) == len(t.offsets) == len(t.times) and all(0 <= k < len(t.sizes) for k in t.keys)
+        except ValueError:
+            pass
+
+
+def fragmented():
+    """Two fragments of a track: sizes and flags in the run; then sizes by default, and a first sample that is a key one."""
+    import struct
+
+    box = media._box
+    stbl = box(b"stbl", box(b"stsd", bytes(4), struct.pack(">I", 1), box(b"avc1", bytes(28))), *(box(k, bytes(4), struct.pack(">I", 0)) for k in (b"stts", b"stsc", b"stco")), box(b"stsz", bytes(4), struct.pack(">II", 0, 0)))
+    mdia = box(b"mdia", box(b"mdhd", bytes(4), struct.pack(">IIIII", 0, 0, 10, 0, 0)), box(b"hdlr", bytes(8), b"vide", bytes(13)), box(b"minf", stbl))
+    trex = box(b"trex", bytes(4), struct.pack(">IIIII", 7, 1, 5, 4, 0x10000))
+    moov = box(b"moov", box(b"trak", box(b"tkhd", bytes(4), struct.pack(">IIII", 0, 0, 7, 0), bytes(60)), mdia), box(b"mvex", trex))
+    def one(at):
+        run = box(b"trun", struct.pack(">IIi", 0x601, 2, at), struct.pack(">IIII", 3, 0, 2, 0x10000))
+        return box(b"moof", box(b"traf", box(b"tfhd", struct.pack(">II", 0x20000, 7)), run))
+    def two(at):
+        run = box(b"trun", struct.pack(">IIiI", 0x5, 3, at, 0))
+        return box(b"moof", box(b"traf", box(b"tfhd", struct.pack(">III", 0x20008, 7, 20)), run))
+    return moov + one(len(one(0)) + 8) + box(b"mdat", b"aaabb") + two(len(two(0)) + 8) + box(b"mdat", b"ccccddddeeee")
+
+
+def test_media_fragments():
+    data = fragmented()
+    (t,) = media.index_media(data)
+    assert media.read_samples(data, t) == b"aaabbccccddddeeee" and t.sizes.tolist() == [3, 2, 4, 4, 4]
+    assert t.keys.tolist() == [0, 2] and t.times.tolist() == [0, 5, 10, 30, 50] and t.duration == 70
+
+
 def test_media_features(spark):
     rows = corpus() + [(None, "x")]
     got = media.stored_features(frame(spark, rows, True)).toPandas()
@@ -635,6 +694,44 @@ def test_unlike_words_stay_apart(spark, n):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(frame(spark, rows)).collect()} == brute_components(rows)
 
 
+#: Two words whose lanes add up to the same number under the unkeyed hash of `lane_hashes`.
+COLLIDE = ("abcdefghijklmnop", "dzqydoez.~{v)k'^")
+
+
+def test_words_made_to_collide_keep_their_sets(spark):
+    from tallyard.llm import common
+
+    words = common.Words(pa.array([" ".join(COLLIDE)]))
+    assert len(set(words.hashes().tolist())) == 1  # the attack works on the plain hash
+    for numbers in common.WordKeys(b"any key").of(words):
+        assert len(set(numbers.tolist())) == 2
+    rng = random.Random(4)
+    rows = []
+    for _ in range(12):
+        base = [rng.choice([*COLLIDE, "x", "y"]) for _ in range(90)]
+        for _ in range(4):
+            copy = list(base)
+            copy[rng.randrange(90)] = rng.choice(COLLIDE)
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows))
+    want = brute_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_components(frame(spark, rows)).collect()} == want
+    want = brute_components(rows, 5, 80)
+    assert sorted(r.doc_id for r in jaccard.keep_first_of_groups(frame(spark, rows)).collect()) == sorted({root for _, root in want.values()})
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.dedup_substrings(frame(spark, rows)).collect()} == {i: w[:3] for i, w in brute_substrings(rows).items()}
+
+
+def test_word_keys_forget_and_go_on(monkeypatch):
+    from tallyard.llm import common
+
+    texts = [pa.array([" ".join(f"w{k % 7}" for k in range(j, j + 9))]) for j in range(5)]
+    once = [common.WordKeys(b"k").of(common.Words(t)) for t in texts]
+    monkeypatch.setattr(common.WordKeys, "MOST_WORDS", 3)
+    keys = common.WordKeys(b"k")
+    for t, want in zip(texts, once, strict=True):
+        assert [x.tolist() for x in keys.of(common.Words(t))] == [x.tolist() for x in want]
+
+
 def test_colliding_hashes_change_nothing(monkeypatch):
     """With one hash for all words, bytes still tell them apart, in one call and over several."""
     from tallyard.llm import common
