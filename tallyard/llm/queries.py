@@ -22,6 +22,28 @@ QUERIES = {
 
 _VECTORS = "SELECT vec_id, embedding::double[] AS v FROM embeddings WHERE embedding IS NOT NULL AND list_bool_or(list_transform(embedding, lambda x: x <> 0)) AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
 
+def _codes_sql(parts: int = 16, rounds: int = 2) -> str:
+    """Codebooks of ``rounds`` rounds as a chain of common tables; vectors of one length, a multiple of ``parts``."""
+    assign = lambda k: (
+        f"a{k} AS MATERIALIZED (SELECT vec_id, part, any_value(x) AS x, min(struct_pack(d := d, e := e)) AS best FROM (SELECT p.vec_id, p.part, p.x, b.e,"
+        f" list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint AS d FROM p JOIN b{k} b ON b.part = p.part) GROUP BY 1, 2)"
+    )
+    mean = lambda k: (
+        f"b{k + 1} AS MATERIALIZED (SELECT b.part, b.e, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN (SELECT part, e, list(((s - ((s % n) + n) % n) // n)::bigint ORDER BY i) AS x FROM"
+        f" (SELECT part, e, i, sum(v)::bigint AS s, count(*) AS n FROM (SELECT part, best.e AS e, unnest(x) AS v, unnest(range(len(x))) AS i FROM a{k}) GROUP BY 1, 2, 3) GROUP BY 1, 2) m ON m.part = b.part AND m.e = b.e)"
+    )
+    steps = ", ".join(f"{assign(k)}, {mean(k)}" for k in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v FROM embeddings WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+p AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS x FROM (SELECT vec_id, v, unnest(range({parts})) AS part FROM kept)),
+b0 AS MATERIALIZED (SELECT part, x, e FROM (SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e FROM p) WHERE e < 64),
+{steps}, {assign(rounds)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::bigint AS error FROM a{rounds} GROUP BY 1)
+SELECT c.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::bigint AS label_error,
+(SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, e)) FROM b{rounds}) AS codebooks_sha256 FROM coded c JOIN kept k ON k.vec_id = c.vec_id
+"""
+
+
 SQL: dict[str, str] = {
     "op3_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -46,4 +68,23 @@ l AS MATERIALIZED (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, co
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) m ON m.a = d.doc_id
 """,
+    # CRC-32 bit by bit: SQL has no function for it
+    "op11_prefix_trie": r"""
+WITH c AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda ch: ascii(ch)::bigint)),
+  lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+t AS MATERIALIZED (SELECT conv_id, id, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS i FROM (
+  SELECT conv_id, turn, left(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS id, length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT conv_id, count(*) AS n FROM t GROUP BY 1),
+r AS (SELECT c.conv_id, t.i AS d, t.id, t.chars FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 WHERE t.i <= c.h
+  UNION ALL SELECT c.conv_id, t.i - c.h + least(c.h, coalesce(s.n, 0)), t.id, t.chars FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN sizes s ON s.conv_id = c.conv_id - c.conv_id % 100 WHERE t.i > c.h),
+steps AS MATERIALIZED (SELECT conv_id, 0 AS d, 'root' AS k, 0 AS chars FROM c UNION ALL SELECT conv_id, d, sha256(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY d)), chars FROM r),
+paths AS MATERIALIZED (SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY d) AS up, lead(k) OVER (PARTITION BY conv_id ORDER BY d) IS NULL AS last FROM steps),
+n AS MATERIALIZED (SELECT k, any_value(d) AS depth, any_value(up) AS up, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM paths GROUP BY k),
+kids AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY 1),
+under AS (SELECT a, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+  FROM (SELECT DISTINCT x.k AS a, y.k AS b FROM paths x JOIN paths y ON x.conv_id = y.conv_id AND x.d <= y.d) p JOIN n ON n.k = p.b LEFT JOIN kids ON kids.up = p.b GROUP BY a)
+SELECT n.conv_id, n.depth::bigint AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::bigint AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n up ON up.k = n.up LEFT JOIN kids ON kids.up = n.k JOIN under ON under.a = n.k
+""",
+    "op12_vector_codes": _codes_sql(),
 }
