@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: Suffixes in a container that isn't burst.
-CONTAINER = 1000
+CONTAINER = 200
 #: Conversations that end at one node, from which on their ids are sorted and joined in pieces.
 MANY = 10_000
 #: Bytes of an id.
