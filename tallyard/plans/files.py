@@ -25,6 +25,46 @@ def _vendor_drop(w, delimiter: str = ",") -> str:
     return folder
 
 
+def _torn_drop(w, delimiter: str) -> str:
+    """A drop of the parts as spreadsheets write them: cells with line breaks, delimiters and doubled quotes, rows that
+    lack their last cell or have one too many, and blank lines; in files of 500 rows, each with its header."""
+    k = F.col("p_partkey")
+    mark = F.lit('"')
+    quoted = lambda c: F.concat(mark, F.replace(c, mark, F.lit('""')), mark)
+    name = F.concat("p_name", F.when(k % 7 == 0, F.lit('\nsecond "line"')).when(k % 7 == 1, F.lit(f"{delimiter} with é")).otherwise(F.lit("")))
+    line = F.concat(
+        k.cast("string"), F.lit(delimiter), quoted(name), F.lit(delimiter), F.when(k % 5 == 0, quoted(F.concat("p_brand", F.lit('\r\n""')))).otherwise(F.col("p_brand")),
+        F.when(k % 11 == 3, F.lit("")).when(k % 11 == 4, F.lit(f"{delimiter}EA{delimiter}more")).otherwise(F.lit(f"{delimiter}EA")), F.when(k % 13 == 0, F.lit("\n\r\n")).otherwise(F.lit("")),
+    )
+    head = delimiter.join(["part", "name", '"the\nbrand"', "uom"])
+    rows = w.table("part").groupBy(F.expr("p_partkey div 500").alias("file")).agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    path = scratch_path(w.spark, "torn")
+    rows.select("file", F.concat(F.lit(head + "\n"), F.array_join("lines", "\n")).alias("value")).write.partitionBy("file").text(path)
+    return path
+
+
+_TORN_NAME = """p_name || CASE p_partkey % 7 WHEN 0 THEN chr(10) || 'second "line"' WHEN 1 THEN '{} with é' ELSE '' END"""
+_TORN = """SELECT p_partkey AS part, {name} AS name, p_brand || CASE WHEN p_partkey % 5 = 0 THEN chr(13) || chr(10) || '""' ELSE '' END AS brand, CASE WHEN p_partkey % 11 <> 3 THEN 'EA' END AS uom,
+cast(CASE p_partkey % 11 WHEN 3 THEN 3 WHEN 4 THEN 5 ELSE 4 END AS int) AS n_fields, cast(row_number() OVER (PARTITION BY p_partkey // 500 ORDER BY p_partkey) AS bigint) AS source_row_no FROM part"""
+
+
+def _torn_rows(w, delimiter: str):
+    raw = drops.read_raw(w.spark, f"{_torn_drop(w, delimiter)}/*", delimiter, columns=["part", "name", "the\nbrand", "uom"])
+    return raw.withColumn("part", F.col("part").cast("bigint")).withColumnRenamed("the\nbrand", "brand")
+
+
+query("i1_quoted_csv", _TORN.format(name=_TORN_NAME.format(",")))(lambda w: _torn_rows(w, ",").select("part", "name", "brand", "uom", "n_fields", "source_row_no"))
+query("i2_quoted_pipe", _TORN.format(name=_TORN_NAME.format("|")))(lambda w: _torn_rows(w, "|").select("part", "name", "brand", "uom", "n_fields", "source_row_no"))
+
+
+@query("i10_ragged_rows", "SELECT p_partkey AS part, p_partkey % 11 IN (3, 4) OR p_partkey % 17 = 0 AS malformed FROM part")
+def _(w):
+    """Rows of another width than their header, or without their key, are diverted; the others stay."""
+    rows = _torn_rows(w, ",").withColumn("key", F.when(F.col("part") % 17 != 0, F.col("part")))
+    good, malformed = drops.split_malformed(rows, ["key"], F.col("n_fields"), F.col("n_expected"))
+    return good.select("part", F.lit(False).alias("malformed")).unionByName(malformed.select("part", F.lit(True).alias("malformed")))
+
+
 query("i1_typed_csv", _VENDORS)(lambda w: drops.read_drop(w.spark, _vendor_drop(w), "vendors").drop("source_file", "source_row_no"))
 query("i2_pipe_drop", _VENDORS)(lambda w: drops.read_drop(w.spark, _vendor_drop(w, "|"), "vendors", "|").drop("source_file", "source_row_no"))
 query("i8_row_count", "SELECT 'vendors' AS entity, count(*) AS rows_parsed, count(DISTINCT vendor_no) AS keys FROM vendors")(
@@ -55,18 +95,19 @@ def _event_files(w) -> str:
 _CONTENT = "event_type || '-' || (event_id // 1000) || chr(10) || string_agg(props, chr(10) ORDER BY event_id) || chr(10)"
 _GROUPS = "GROUP BY event_type, event_id // 1000"
 query("i4_fingerprint", f"SELECT sha256({_CONTENT}) AS file_hash, cast(strlen({_CONTENT}) AS bigint) AS bytes FROM events {_GROUPS}")(
-    lambda w: drops.fingerprint(w.spark, f"{_event_files(w)}/*", "*.txt").select("file_hash", "bytes")
+    lambda w: drops.fingerprint(w.spark, _event_files(w), "*.txt").select("file_hash", "bytes")
 )
 
 
-@query("i9_quarantine", f"SELECT 'CHECKSUM_MISMATCH' AS reason_code, cast(strlen({_CONTENT}) AS bigint) AS bytes FROM events {_GROUPS} HAVING event_type <> 'view'")
+@query("i9_quarantine", f"SELECT 'CHECKSUM_MISMATCH' AS reason_code, sha256({_CONTENT}) AS content_hash, cast(strlen({_CONTENT}) AS bigint) AS bytes FROM events {_GROUPS} HAVING event_type <> 'view'")
 def _(w):
-    """All files but those of views are refused; files go by their content here, since names repeat over folders."""
-    files = drops.fingerprint(w.spark, f"{_event_files(w)}/*", "*.txt").withColumn("name", F.col("file_hash"))
-    refused = files.where("NOT cast(content AS string) LIKE 'view-%'").select("name", F.lit("b1").alias("batch_id"), F.lit("CHECKSUM_MISMATCH").alias("reason_code"), F.lit(None).cast("string").alias("detail"))
+    """All files but those of views are refused; what is kept of them has the bytes that they had."""
+    files = drops.fingerprint(w.spark, _event_files(w), "*.txt").withColumn("name", F.regexp_replace("folder", "^file=", ""))
+    refused = files.where("name NOT LIKE 'view-%'").select("name", F.lit("b1").alias("batch_id"), F.lit("CHECKSUM_MISMATCH").alias("reason_code"), F.lit(None).cast("string").alias("detail"))
     path = scratch_path(w.spark, "quarantine")
     drops.quarantine(files, refused, path)
-    return w.spark.read.parquet(path).select("reason_code", "bytes")
+    kept = w.spark.read.parquet(path).groupBy("reason_code", "path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "content"))), lambda x: x["content"].cast("string")), "").alias("whole"))
+    return kept.select("reason_code", F.sha2("whole", 256).alias("content_hash"), F.octet_length("whole").cast("long").alias("bytes"))
 
 
 _GATED = """SELECT 'f-' || (event_id // 500) AS name, CASE event_id // 500 % 6 WHEN 1 THEN 'MISSING_FILE' WHEN 2 THEN 'CHECKSUM_MISMATCH' WHEN 3 THEN 'HEADER_SCHEMA_DRIFT' WHEN 4 THEN 'PARSE_ERROR' WHEN 5 THEN 'ROW_COUNT_MISMATCH' END AS reason_code,
@@ -91,11 +132,12 @@ def _(w):
     right = F.sha2(F.concat("value", F.lit("\n")), 256)
     manifest = drop.select("name", F.when(F.col("fault") == 2, F.sha2("name", 256)).otherwise(right).alias("sha256"), (F.col("n") + F.when(F.col("fault") >= 2, 1).otherwise(0)).alias("rows"))
     manifest = manifest.unionByName(w.spark.sql("SELECT 'f-none' AS name, sha2('', 256) AS sha256, 0 AS rows"))
-    files = drops.fingerprint(w.spark, f"{path}/*", "*.txt").withColumn("name", F.regexp_replace("folder", "^file=", ""))
-    raw = drops.cells_of(files, columns)
-    counts = raw.groupBy(F.col("source_file").alias("name")).agg(F.count(F.lit(1)).alias("rows_parsed"))
-    parsed = counts.join(drops.cast_errors(raw, "vendors").withColumnRenamed("source_file", "name"), "name", "left")
-    drift = files.select("name", drops.header_drift(F.array(*map(F.lit, columns)), drops.header_of(F.col("content"), F.lit(",")))[2].alias("drift"))
+    name_of = lambda c: F.regexp_extract(c, "/file=([^/]+)/[^/]+$", 1)
+    files = drops.fingerprint(w.spark, path, "*.txt").withColumn("name", name_of("path"))
+    records = drops.read_records(w.spark, f"{path}/*")
+    raw = drops.raw_cells(records, columns).withColumn("file", name_of("source_path"))
+    parsed = drops.parsed_files(raw, "vendors", "file")
+    drift = drops.headers(records).select(name_of("source_path").alias("name"), drops.header_drift(F.array(*map(F.lit, columns)), F.col("header"))[2].alias("drift"))
     return drops.gate(manifest, files, parsed, drift).select("name", "reason_code", "detail")
 
 
@@ -162,9 +204,8 @@ def _(w):
 @query("q12_manifest_check", f"SELECT event_type || '-' || (event_id // 1000) AS name FROM events {_GROUPS} HAVING event_type = 'view' OR count(*) % 2 = 1")
 def _(w):
     """Files with their own hashes: other bytes are declared of those of views, and another row of those of odd length."""
-    files = drops.fingerprint(w.spark, f"{_event_files(w)}/*", "*.txt").withColumn("name", F.regexp_replace("folder", "^file=", ""))
-    n = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 2  # but for the name and the end
-    counts = files.select("name", n.alias("rows_parsed"))
+    files = drops.fingerprint(w.spark, _event_files(w), "*.txt").withColumn("name", F.regexp_replace("folder", "^file=", ""))
+    counts = files.select("name", (F.col("lines") - 1).alias("rows_parsed"))  # but for the name
     events = w.table("events").groupBy(F.concat_ws("-", "event_type", F.expr("event_id div 1000")).alias("name")).agg(F.count(F.lit(1)).alias("rows"))
     sums = files.select("name", F.when(F.col("name").startswith("view-"), F.sha2("name", 256)).otherwise(F.col("file_hash")).alias("sha256"))
     declared = events.select("name", (F.col("rows") + F.col("rows") % 2).alias("rows")).join(sums, "name", "left")

@@ -1,7 +1,7 @@
 """Landing of file drops: manifests, fingerprints, gates, typed scans, quarantine and promotion receipts.
 
 A drop is a folder with a JSON manifest and the delimited files it declares. Each file's verdict is a column of a
-DataFrame; a file that fails contributes no row. Everything stays distributed; only paths are driver-side.
+DataFrame; a file that fails contributes no row. Everything stays distributed, paths included.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scratch import written
+from . import files as streams
+from .delimited import headers, read_records
 from .schemas import entity_schema
 
 MANIFEST = T.StructType(
@@ -40,43 +41,46 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprint(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """folder (its last part), name, bytes, file_hash (SHA-256) and content of each file, empty ones (which scans pass over) included."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    # a folder's files may share their names with another's: told apart by folder and name
-    listed = spark.createDataFrame([("/".join(path.rsplit("/", 2)[-2:]),) for path in files.inputFiles()], "place string")
-    found = files.select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("place"), "content")
-    content = F.coalesce("content", F.lit(b""))
-    folder_of, name_of = F.regexp_extract("place", r"^([^/]+)/", 1), F.regexp_extract("place", r"([^/]+)$", 1)
-    return listed.join(found, "place", "left").select(
-        folder_of.alias("folder"), name_of.alias("name"), F.octet_length(content).cast("long").alias("bytes"), F.sha2(content, 256).alias("file_hash"), content.alias("content")
-    )
+    """path, folder (its last part), name, bytes, file_hash (SHA-256), lines and blank of each file, in bounded memory."""
+    listed = streams.list_files(spark, folder, pattern)
+    return listed.select("path", "folder", "name").join(streams.digests(listed), "path")
+
+
+#: What counts as white space around a cell.
+_SPACE = " \t\r\n\f\x0b"
 
 
 def read_raw(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8", columns: list[str] | None = None) -> DataFrame:
-    """All cells as trimmed strings (blank: null) by the file's header, with source_file and source_row_no (from 1).
+    """All cells as trimmed strings (blank: null) by each file's header, with source_path, source_file, source_row_no
+    (from 1, behind the header), n_fields (of the record; null: it isn't one) and n_expected (of the header).
 
-    The cells are written to the shared folder once, so that rows are numbered by the counts of a file's splits and
-    never meet in one task.
+    A file's own header says where its columns stand; of a name that it repeats, the last one counts. A cell that the
+    record or the header lacks is null. Without ``columns``, all names of all headers, in their order.
     """
-    raw = spark.read.csv(path, header=True, sep=delimiter, encoding=encoding, inferSchema=False, enforceSchema=False)
-    cells = raw.columns if columns is None else columns
-    have = [F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in cells]
-    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at")]
-    rows = written(raw.select(*have, *place), "drop-cells")
-    splits = rows.groupBy("_path", "_split").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = splits.select("_path", "_split", (F.coalesce(before, F.lit(0)) + 1 - F.col("_first")).alias("_offset"))
-    name = F.regexp_extract("_path", r"([^/]+)$", 1)
-    return rows.join(offsets, ["_path", "_split"]).select(*cells, name.alias("source_file"), (F.col("_at") + F.col("_offset")).alias("source_row_no"))
-
-
-def cells_of(files: DataFrame, columns: list[str], delimiter: str = ",") -> DataFrame:
-    """The cells of :func:`read_raw`, by place, of many small files whose content is at hand (name, content); no cell spans lines."""
-    lines = F.split(F.decode("content", "UTF-8"), "\r?\n")
-    lines = F.filter(F.slice(lines, 2, F.size(lines)), lambda x: F.trim(x) != "")
-    rows = files.select(F.col("name").alias("source_file"), F.posexplode(lines).alias("_at", "_line"))
-    row = F.from_csv("_line", ", ".join(f"`{c}` string" for c in columns), {"sep": delimiter})
-    return rows.withColumn("_row", row).select(*(F.nullif(F.trim(F.col("_row")[c]), F.lit("")).alias(c) for c in columns), "source_file", (F.col("_at") + 1).cast("long").alias("source_row_no"))
+    return raw_cells(read_records(spark, path, delimiter, encoding), columns)
+
+
+def raw_cells(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The rows of :func:`read_raw` from records that were read already."""
+    heads = headers(records)
+    if columns is None:
+        names = heads.select(F.posexplode("header").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at")).where("name <> ''").orderBy("at", "name").collect()
+        columns = [r["name"] for r in names]
+    rows = records.where("record > 0").join(heads, "source_path")
+    place = lambda c: F.array_position(F.reverse("header"), F.lit(c))
+    cell = lambda c: F.when(place(c) > 0, F.get("cells", (F.size("header") - place(c)).cast("int")))
+    return rows.select(
+        *(F.nullif(F.trim(cell(c), F.lit(_SPACE)), F.lit("")).alias(c) for c in columns),
+        "source_path", F.regexp_extract("source_path", r"([^/]+)$", 1).alias("source_file"), F.col("record").alias("source_row_no"),
+        F.when(F.col("cells").isNotNull(), F.size("cells")).alias("n_fields"), F.size("header").alias("n_expected"),
+    )
+
+
+def parsed_files(raw: DataFrame, entity: str, name: str = "source_file") -> DataFrame:
+    """Of each file (by ``name``): rows_parsed, bad_cells with their first messages, and bad_rows, of another width than its header."""
+    other = ~F.coalesce(F.col("n_fields") == F.col("n_expected"), F.lit(False))
+    counts = raw.groupBy(F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("rows_parsed"), F.count_if(other).alias("bad_rows"))
+    return counts.join(cast_errors(raw.withColumn("source_file", F.col(name)), entity).withColumnRenamed("source_file", "name"), "name", "left")
 
 
 def typed(cell: Column, kind: T.DataType) -> Column:
@@ -108,13 +112,6 @@ def header_drift(expected: Column, actual: Column, allow_additive: bool = False)
     return missing, extra, drift
 
 
-def header_of(content: Column, delimiter: Column, encoding: Column | None = None) -> Column:
-    """Column names in the first line of a file's content, which is in its declared encoding."""
-    text = F.call_function("decode", content, F.lit("UTF-8") if encoding is None else F.upper(encoding))
-    line = F.regexp_replace(F.split(text, "\n", 2)[0], "^\\uFEFF|\r$", "")
-    return F.transform(F.split(line, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E"))), F.trim)
-
-
 def cast_errors(raw: DataFrame, entity: str, examples: int = 5) -> DataFrame:
     """Per file: how many cells don't read as their type, and the first messages 'row N: column ...'."""
     schema = entity_schema(entity)
@@ -131,19 +128,25 @@ def cast_errors(raw: DataFrame, entity: str, examples: int = 5) -> DataFrame:
 def gate(manifest: DataFrame, files: DataFrame, parsed: DataFrame, drift: DataFrame) -> DataFrame:
     """The verdict on each declared file; the first failing gate names the reason, null means it may be promoted.
 
-    files: name, bytes, file_hash; parsed: name, rows_parsed, bad_cells, messages; drift: name, drift.
+    files: name, bytes, file_hash and, if known, blank; parsed: name, rows_parsed, bad_cells, messages and, if known,
+    bad_rows: rows of another width fail as cells do that don't read as their type. drift: name, drift.
     """
-    joined = manifest.join(files.select("name", "bytes", "file_hash"), "name", "left").join(parsed, "name", "left").join(drift.select("name", "drift"), "name", "left")
+    blank = (F.col("blank") if "blank" in files.columns else F.lit(False)) | (F.col("bytes") == 0)
+    ragged = F.coalesce("bad_rows", F.lit(0)) if "bad_rows" in parsed.columns else F.lit(0)
+    joined = manifest.join(files.select("name", "bytes", "file_hash", blank.alias("is_blank")), "name", "left").join(parsed, "name", "left").join(drift.select("name", "drift"), "name", "left")
     reason = (
-        F.when(F.col("file_hash").isNull(), REASONS[0]).when(F.col("bytes") == 0, REASONS[1]).when(F.col("file_hash") != F.col("sha256"), REASONS[2])
-        .when(F.coalesce("drift", F.lit(False)), REASONS[3]).when(F.coalesce("bad_cells", F.lit(0)) > 0, REASONS[4]).when(F.coalesce("rows_parsed", F.lit(0)) != F.col("rows"), REASONS[5])
+        F.when(F.col("file_hash").isNull(), REASONS[0]).when(F.col("is_blank"), REASONS[1]).when(F.col("file_hash") != F.col("sha256"), REASONS[2])
+        .when(F.coalesce("drift", F.lit(False)), REASONS[3]).when((F.coalesce("bad_cells", F.lit(0)) > 0) | (ragged > 0), REASONS[4]).when(F.coalesce("rows_parsed", F.lit(0)) != F.col("rows"), REASONS[5])
     )
-    return joined.withColumn("reason_code", reason).withColumn("detail", F.when(F.col("reason_code") == REASONS[4], F.array_join("messages", "; ")))
+    widths = F.when(ragged > 0, F.concat(ragged, F.lit(" row(s) of another width")))
+    detail = F.when(F.col("reason_code") == REASONS[4], F.concat_ws("; ", "messages", widths))
+    return joined.withColumn("reason_code", reason).withColumn("detail", detail).drop("is_blank")
 
 
 def quarantine(files: DataFrame, verdicts: DataFrame, path: str) -> None:
-    """Keeps the bytes of refused files with their reason, by batch."""
-    kept = files.join(verdicts.where("reason_code IS NOT NULL").select("name", "batch_id", "reason_code", "detail"), "name")
+    """Keeps the bytes of refused files with their reason, by batch: rows of parts (path, part, content), none of them large."""
+    refused = files.select("path", "name").join(verdicts.where("reason_code IS NOT NULL").select("name", "batch_id", "reason_code", "detail"), "name")
+    kept = refused.join(streams.contents(refused.distinct()), "path")
     kept.write.mode("append").partitionBy("batch_id").parquet(path)
 
 
@@ -193,8 +196,8 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def split_malformed(df: DataFrame, keys: list[str], width: Column | None = None, expected: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, malformed): malformed rows lack a key or have another number of fields than expected."""
+def split_malformed(df: DataFrame, keys: list[str], width: Column | None = None, expected: Column | int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, malformed): malformed rows lack a key, or have another number of fields than expected (or none)."""
     bad = F.lit(False)
     for k in keys:
         bad = bad | F.col(k).isNull()
