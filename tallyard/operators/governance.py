@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.canonical import canonical_json, json_string
+from . import claims
 
 FLOOR = 2.0**-10
 
@@ -21,9 +25,14 @@ FORBIDDEN = ["ALTER", "ATTACH", "CALL", "CHECKPOINT", "COPY", "CREATE", "DELETE"
 TABLE_FUNCTIONS = ["read_csv", "read_csv_auto", "read_parquet", "parquet_scan", "read_json", "read_json_auto", "read_blob", "glob", "sqlite_scan", "postgres_scan", "mysql_scan", "httpfs", "delta_scan", "iceberg_scan"]
 
 
-def signal_id(kind: Column, subject: Column, payload: Column) -> Column:
-    """The first 16 hex digits of the SHA-256 of the signal's canonical JSON."""
-    return F.substring(F.sha2(F.to_json(F.struct(kind.alias("kind"), payload.alias("payload"), subject.alias("subject"))), 256), 1, 16)
+def with_signal_id(signals: DataFrame, payload: str = "payload") -> DataFrame:
+    """Adds signal_id: the first 16 hex digits of the SHA-256 of the canonical JSON of kind, payload and subject.
+
+    The payload may be of any type that JSON has a form for, nested as it likes; without one it is the empty object.
+    """
+    body = F.when(F.col(payload).isNull(), "{}").otherwise(canonical_json(F.col(payload), signals.schema[payload].dataType))
+    text = F.concat(F.lit('{"kind":'), json_string(F.col("kind")), F.lit(',"payload":'), body, F.lit(',"subject":'), json_string(F.col("subject")), F.lit("}"))
+    return signals.withColumn("signal_id", F.substring(F.sha2(text, 256), 1, 16))
 
 
 def post(signals: DataFrame) -> DataFrame:
@@ -58,34 +67,21 @@ def swept(signals: DataFrame, now: Column) -> DataFrame:
     return signals.groupBy("kind").agg(F.count_if(alive).alias("kept"), F.count_if(~alive).alias("dropped"))
 
 
-def claim_states(opened: DataFrame, transitions: DataFrame) -> DataFrame:
-    """Current state of each claim (claim_id, opened_by), and the person that confirmed its lock, from its transitions in order."""
-    w = Window.partitionBy("claim_id").orderBy(F.desc("at"), F.desc("seq"))
-    last = transitions.withColumn("n", F.row_number().over(w)).where("n = 1").select("claim_id", "to_status", "confirmed_by", "at")
-    state = F.coalesce("to_status", F.lit("draft"))
-    return opened.join(last, "claim_id", "left").select("claim_id", "opened_by", state.alias("status"), F.when(state == "locked", F.col("confirmed_by")).alias("locked_by"), F.col("at").alias("changed_at"))
+def claim_states(opened: DataFrame, transitions: DataFrame, steps: list[tuple[str, str, str]] = STEPS) -> DataFrame:
+    """Current state of each claim (claim_id, opened_by), and the person that confirmed its lock: its moves replayed in
+    order, where one that breaks a rule leaves the claim as it was."""
+    return claims.states_of(opened, claims.replayed(opened, transitions, steps))
 
 
 def illegal_transitions(opened: DataFrame, transitions: DataFrame, steps: list[tuple[str, str, str]] = STEPS) -> DataFrame:
-    """Ledger lines that break a rule, with the first one broken.
+    """Ledger lines that break a rule, with the first one broken and the state that they met.
 
     UNKNOWN_CLAIM (none opened), ILLEGAL_STEP, UNNAMED_ACTOR, FOUR_EYES (who opened a claim approves or locks it),
     ANONYMOUS_LOCK (nobody confirms a lock), SELF_CONFIRMED (the actor does). Names are compared without regard to case
     and outer spaces. transitions: claim_id, seq, at, action, to_status, actor, confirmed_by.
     """
-    spark = transitions.sparkSession
-    legal = F.broadcast(spark.createDataFrame(steps, "before string, action string, to_status string").withColumn("legal", F.lit(True)))
-    w = Window.partitionBy("claim_id").orderBy("at", "seq")
-    claims = opened.select("claim_id", "opened_by", F.lit(True).alias("known"))
-    rows = transitions.withColumn("before", F.coalesce(F.lag("to_status").over(w), F.lit("draft"))).join(legal, ["before", "action", "to_status"], "left").join(claims, "claim_id", "left")
-    name = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
-    locks = F.col("action") == "lock"
-    rule = (
-        F.when(F.col("known").isNull(), "UNKNOWN_CLAIM").when(F.col("legal").isNull(), "ILLEGAL_STEP").when(name("actor") == "", "UNNAMED_ACTOR")
-        .when(F.col("action").isin("approve", "lock") & (name("actor") == name("opened_by")), "FOUR_EYES")
-        .when(locks & (name("confirmed_by") == ""), "ANONYMOUS_LOCK").when(locks & (name("confirmed_by") == name("actor")), "SELF_CONFIRMED")
-    )
-    return rows.withColumn("rule", rule).where("rule IS NOT NULL").select("claim_id", "seq", "before", "action", "to_status", "actor", "rule")
+    rows = claims.replayed(opened, transitions, steps).where("rule IS NOT NULL")
+    return rows.select("claim_id", "seq", "before", "action", "to_status", "actor", "rule")
 
 
 def lock_gate(states: DataFrame, requests: DataFrame) -> DataFrame:
@@ -127,8 +123,10 @@ def redemptions(events: DataFrame) -> DataFrame:
 
 
 def broken_entries(ledger: DataFrame) -> DataFrame:
-    """Entries whose body doesn't have the digest that they store."""
-    return ledger.where(~F.sha2("body", 256).eqNullSafe(F.col("body_sha256")))
+    """Entries whose body doesn't have the digest that they store; a body that isn't text counts by its canonical JSON."""
+    kind = ledger.schema["body"].dataType
+    body = F.col("body") if isinstance(kind, (T.StringType, T.BinaryType)) else canonical_json(F.col("body"), kind)
+    return ledger.where(~F.sha2(body, 256).eqNullSafe(F.col("body_sha256")))
 
 
 def sql_policy(log: DataFrame, column: str = "sql") -> DataFrame:

@@ -327,13 +327,18 @@ query("m11_answer_score", "SELECT event_id, s AS score, s >= CASE WHEN event_typ
 # ---- governance -------------------------------------------------------------------------------------------------
 
 _KIND = "CASE event_type WHEN 'click' THEN 'reconciliation_run' WHEN 'error' THEN 'tombstone_batch' WHEN 'view' THEN 'key_scan_missing' ELSE 'exception_disposition' END"
-_SIG = f"""SELECT substr(sha256('{{"kind":"' || kind || '","payload":"' || (user_id % 7) || '","subject":"' || user_id || '"}}'), 1, 16) AS signal_id, kind, cast(user_id AS varchar) AS subject,
+_PAYLOAD = """'{"batch":{"n":' || (user_id % 7) || ',"share":' || (user_id % 8 / 8) || '},"by":["Soci\\u00e9t\\u00e9 ' || (user_id % 3) || '",null]}'"""
+_SIG = f"""SELECT substr(sha256('{{"kind":"' || kind || '","payload":' || {_PAYLOAD} || ',"subject":"' || user_id || '"}}'), 1, 16) AS signal_id, kind, cast(user_id AS varchar) AS subject,
     CASE kind WHEN 'reconciliation_run' THEN 43200 WHEN 'tombstone_batch' THEN 21600 WHEN 'key_scan_missing' THEN 86400 ELSE 172800 END::double AS half_life_seconds, max(ts) AS emitted_at FROM (SELECT *, {_KIND} AS kind FROM events) GROUP BY ALL"""
 
 
 def _signals(w):
-    e = w.table("events").withColumns({"subject": F.col("user_id").cast("string"), "payload": (F.col("user_id") % 7).cast("string"), "kind": F.expr(_KIND)})
-    return governance.post(e.select(governance.signal_id(F.col("kind"), F.col("subject"), F.col("payload")).alias("signal_id"), "kind", "subject", governance.half_life(F.col("kind")).alias("half_life_seconds"), F.col("ts").alias("emitted_at")))
+    """Signals of a nested payload, whose fields aren't in the order of their names and whose text isn't ASCII."""
+    user = F.col("user_id")
+    by = F.array(F.concat(F.lit("Société "), user % 3), F.lit(None).cast("string"))
+    payload = F.struct(by.alias("by"), F.struct((user % 8 / 8).alias("share"), (user % 7).alias("n")).alias("batch"))
+    e = governance.with_signal_id(w.table("events").withColumns({"subject": user.cast("string"), "payload": payload, "kind": F.expr(_KIND)}))
+    return governance.post(e.select("signal_id", "kind", "subject", governance.half_life(F.col("kind")).alias("half_life_seconds"), F.col("ts").alias("emitted_at")))
 
 
 _NOW = "timestamp '{}'"
@@ -363,16 +368,23 @@ def _moves(w):
     return w.table("events").select(F.col("user_id").alias("claim_id"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), *(F.expr(e).alias(c) for c, e in text.items()))
 
 
-_STATES = f"SELECT claim_id, opened_by, to_status AS status, CASE WHEN to_status = 'locked' THEN confirmed_by END AS locked_by, moved_at AS changed_at FROM ({_OPEN}) JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY moved_at DESC, seq DESC) AS n FROM ({_MOVES})) USING (claim_id) WHERE n = 1"
-query("g5_claims", _STATES)(lambda w: governance.claim_states(_opened(w), _moves(w)))
-query(
-    "g6_illegal",
-    f"""SELECT claim_id, seq, before, action, to_status, actor, rule FROM (SELECT *, CASE WHEN opened_by IS NULL THEN 'UNKNOWN_CLAIM'
-        WHEN (before, action) NOT IN (('draft', 'submit'), ('draft', 'withdraw'), ('submitted', 'start_review'), ('submitted', 'withdraw'), ('under_review', 'approve'), ('under_review', 'reject'), ('under_review', 'withdraw'), ('approved', 'lock')) THEN 'ILLEGAL_STEP'
+def _rule(before: str) -> str:
+    """The rule that a move breaks in a state."""
+    return f"""CASE WHEN opened_by IS NULL THEN 'UNKNOWN_CLAIM'
+        WHEN ({before}, action) NOT IN (('draft', 'submit'), ('draft', 'withdraw'), ('submitted', 'start_review'), ('submitted', 'withdraw'), ('under_review', 'approve'), ('under_review', 'reject'), ('under_review', 'withdraw'), ('approved', 'lock')) THEN 'ILLEGAL_STEP'
         WHEN trim(actor) = '' THEN 'UNNAMED_ACTOR' WHEN action IN ('approve', 'lock') AND lower(trim(actor)) = lower(trim(opened_by)) THEN 'FOUR_EYES'
-        WHEN action = 'lock' AND trim(confirmed_by) = '' THEN 'ANONYMOUS_LOCK' WHEN action = 'lock' AND lower(trim(confirmed_by)) = lower(trim(actor)) THEN 'SELF_CONFIRMED' END AS rule
-    FROM (SELECT *, coalesce(lag(to_status) OVER (PARTITION BY claim_id ORDER BY moved_at, seq), 'draft') AS before FROM ({_MOVES})) LEFT JOIN ({_OPEN}) USING (claim_id)) WHERE rule IS NOT NULL""",
-)(lambda w: governance.illegal_transitions(_opened(w), _moves(w)))
+        WHEN action = 'lock' AND trim(confirmed_by) = '' THEN 'ANONYMOUS_LOCK' WHEN action = 'lock' AND lower(trim(confirmed_by)) = lower(trim(actor)) THEN 'SELF_CONFIRMED' END"""
+
+
+# move by move: each claim's next move meets the state that the one before left
+_REPLAY = f"""(WITH RECURSIVE m AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY moved_at, seq) AS n FROM ({_MOVES}) LEFT JOIN ({_OPEN}) USING (claim_id)),
+    walk AS (SELECT *, 'draft' AS before, {_rule("'draft'")} AS rule FROM m WHERE n = 1
+    UNION ALL SELECT *, {_rule("before")} AS rule FROM (SELECT m.*, CASE WHEN walk.rule IS NULL THEN walk.to_status ELSE walk.before END AS before FROM walk JOIN m ON m.claim_id = walk.claim_id AND m.n = walk.n + 1))
+    SELECT * FROM walk)"""
+_STATES = f"""SELECT o.claim_id, o.opened_by, coalesce(l.to_status, 'draft') AS status, CASE WHEN l.to_status = 'locked' THEN l.confirmed_by END AS locked_by, l.moved_at AS changed_at FROM ({_OPEN}) o
+    LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY n DESC) AS k FROM {_REPLAY} WHERE rule IS NULL) l ON l.claim_id = o.claim_id AND l.k = 1"""
+query("g5_claims", _STATES)(lambda w: governance.claim_states(_opened(w), _moves(w)))
+query("g6_illegal", f"SELECT claim_id, seq, before, action, to_status, actor, rule FROM {_REPLAY} WHERE rule IS NOT NULL")(lambda w: governance.illegal_transitions(_opened(w), _moves(w)))
 query(
     "g7_lock_gate",
     f"""SELECT claim_id // 5 AS export_id, bool_and(status = 'locked') AS granted, count(*) AS claims, CASE WHEN bool_and(status = 'locked') THEN sha256('[' || string_agg('{{"claim_id":' || claim_id || ',"status":"' || status || '"}}', ',' ORDER BY claim_id) || ']') END AS content_hash FROM ({_STATES}) GROUP BY 1""",

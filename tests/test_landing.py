@@ -11,7 +11,8 @@ import resource
 import pytest
 from pyspark.sql import functions as F
 
-from tallyard.operators import bi, governance, marts, metrics, model, quality, reconcile
+from tallyard.functions.canonical import canonical_json
+from tallyard.operators import bi, claims, governance, marts, metrics, model, quality, reconcile
 from tallyard.sources import databases, delimited, drops, extracts
 from tallyard.sources import files as streams
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
@@ -361,9 +362,66 @@ def test_claim_rules(spark):
     rows += [(2, 0, 0, "submit", "submitted", " ", None), (2, 1, 1, "approve", "approved", "bob", None), (2, 2, 2, "lock", "locked", "bob", ""), (3, 0, 0, "submit", "submitted", "bob", None)]
     moves = spark.createDataFrame(rows, "claim_id long, seq long, at long, action string, to_status string, actor string, confirmed_by string")
     found = {(r.claim_id, r.seq): r.rule for r in governance.illegal_transitions(opened, moves).collect()}
-    assert found == {(1, 2): "FOUR_EYES", (2, 0): "UNNAMED_ACTOR", (2, 1): "ILLEGAL_STEP", (2, 2): "ANONYMOUS_LOCK", (3, 0): "UNKNOWN_CLAIM"}
-    assert {(r.claim_id, r.status, r.locked_by) for r in governance.claim_states(opened, moves).collect()} == {(1, "locked", "cy"), (2, "locked", "")}
-    assert [r.rule for r in governance.illegal_transitions(opened, moves.where("claim_id = 1").withColumn("confirmed_by", F.lit("Bob "))).where("seq = 3").collect()] == ["SELF_CONFIRMED"]
+    assert found == {(1, 2): "FOUR_EYES", (1, 3): "ILLEGAL_STEP", (2, 0): "UNNAMED_ACTOR", (2, 1): "ILLEGAL_STEP", (2, 2): "ILLEGAL_STEP", (3, 0): "UNKNOWN_CLAIM"}
+    assert {(r.claim_id, r.status, r.locked_by) for r in governance.claim_states(opened, moves).collect()} == {(1, "under_review", None), (2, "draft", None)}
+    fair = moves.where("claim_id = 1").withColumn("actor", F.when(F.col("action") == "approve", "dee").otherwise(F.col("actor")))
+    assert [(r.status, r.locked_by) for r in governance.claim_states(opened.where("claim_id = 1"), fair).collect()] == [("locked", "cy")]
+    assert [r.rule for r in governance.illegal_transitions(opened, fair.withColumn("confirmed_by", F.lit("Bob "))).collect()] == ["SELF_CONFIRMED"]
+
+
+@pytest.mark.parametrize("pieces", [None, 1, 7])
+def test_claims_equal_a_plain_loop(spark, pieces):
+    """Random ledgers with refused moves, one of them of very many; cut into pieces anywhere. One more rule makes a circle."""
+    steps = [*governance.STEPS, ("rejected", "reopen", "draft")]
+    rng = random.Random(pieces)
+    rows = []
+    for claim in [*range(25), *[99] * 30]:
+        for _ in range(rng.randint(0, 12)):
+            _, action, to = rng.choice(steps)
+            rows.append((claim, len(rows), rng.randrange(500), action, rng.choice([to] * 9 + ["draft"]), rng.choice(["ann", " Bob", "cy", "", None]), rng.choice(["dee", "BOB ", None, " "])))
+    opened = [(c, rng.choice(["Ann", "bob "])) for c in [*range(23), 99, 200]]
+    want, state, lock = {}, dict.fromkeys([c for c, _ in opened], "draft"), {}
+    clean = lambda x: (x or "").strip().lower()
+    for claim, seq, _, action, to, actor, confirmed in sorted(rows, key=lambda r: (r[0], r[2], r[1])):
+        before, owner = state.get(claim, "draft"), dict(opened).get(claim)
+        if claim not in state:
+            rule = "UNKNOWN_CLAIM"
+        elif (before, action, to) not in steps:
+            rule = "ILLEGAL_STEP"
+        elif not clean(actor):
+            rule = "UNNAMED_ACTOR"
+        elif action in ("approve", "lock") and clean(actor) == clean(owner):
+            rule = "FOUR_EYES"
+        elif action == "lock" and not clean(confirmed):
+            rule = "ANONYMOUS_LOCK"
+        elif action == "lock" and clean(confirmed) == clean(actor):
+            rule = "SELF_CONFIRMED"
+        else:
+            rule, state[claim] = None, to
+            lock[claim] = confirmed if to == "locked" else lock.get(claim)
+        want[seq] = (before, rule)
+    o = spark.createDataFrame(opened, "claim_id long, opened_by string")
+    moves = claims.replayed(o, spark.createDataFrame(rows, "claim_id long, seq long, at long, action string, to_status string, actor string, confirmed_by string"), steps, pieces)
+    assert {r.seq: (r.before, r.rule) for r in moves.collect()} == want
+    assert {r.claim_id: (r.status, r.locked_by) for r in claims.states_of(o, moves).collect()} == {c: (s, lock.get(c) if s == "locked" else None) for c, s in state.items()}
+
+
+def test_canonical_json_equals_the_json_module(spark):
+    rng = random.Random(8)
+    floats = [0.0, -0.0, 1.0, 0.1, 1e-4, 1.5e-5, 123456789.125, 1e15, 1e16, 1.25e22, -2.5e-300, 9999999.0, 1e7, 0.001, 12345678.9] + [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 20) for _ in range(60)]
+    texts = ["", "é", "😀 a", 'q"\\ \n\t\r\f\b', "\x00\x1f\x7f", "/", "plain", None]
+    rows = [(rng.choice(texts), rng.choice([None, True, 5]) is True, rng.randrange(-(10**18), 10**18), f, {rng.choice(["b", "é", "a", "Z"]): [rng.choice(texts)] for _ in range(3)}, (2, (rng.choice(texts), None))) for f in floats]
+    df = spark.createDataFrame(rows, "t string, b boolean, n long, f double, m map<string, array<string>>, s struct<z: int, a: struct<y: string, x: double>>")
+    text = F.struct(*(c for c in ("t", "f", "n", "m", "b", "s")))
+    got = df.withColumn("x", text)
+    got = [r[0] for r in got.select(canonical_json(F.col("x"), got.schema["x"].dataType)).collect()]
+    want = [json.dumps({"t": t, "b": b, "n": n, "f": f, "m": m, "s": {"z": s[0], "a": {"y": s[1][0], "x": None}}}, sort_keys=True, separators=(",", ":")) for t, b, n, f, m, s in rows]
+    assert got == want
+    signals = spark.createDataFrame([("k", "sé", {"b": 1, "a": 2}), ("k", "x", None)], "kind string, subject string, payload map<string, int>")
+    ids = [hashlib.sha256(json.dumps(x, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16] for x in ({"kind": "k", "subject": "sé", "payload": {"b": 1, "a": 2}}, {"kind": "k", "subject": "x", "payload": {}})]
+    assert [r.signal_id for r in governance.with_signal_id(signals).collect()] == ids
+    with pytest.raises(TypeError):
+        canonical_json(F.lit(None), df.select(F.current_date().alias("d")).schema["d"].dataType)
 
 
 def test_signal_with_another_half_life_is_one(spark):
