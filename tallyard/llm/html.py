@@ -4,6 +4,10 @@ A page is a line of tokens: words score positive, tags negative, and the main co
 the highest total, found in one linear scan. The weights come from labelled pages, those with an article element:
 a word scores the share of labelled words of its context (enclosing block, its class, whether inside a link) that
 lie in an article; a tag costs more, the more rarely it stands in one.
+
+The region says which element holds the main text: the articles that it covers, or else the smallest container of nearly
+all of its words. Every block of that element is kept, on either side of the region too, so that lists, tables, captions
+and quotes at an article's ends stay, and what stands behind a notice or an advert inside of it.
 """
 
 from __future__ import annotations
@@ -39,20 +43,17 @@ DROPPED_NAMES = COMMENT_NAMES | frozenset(
 #: Of these, names that also stand on main text: in an article they drop only what merely groups, and never most of a page's words.
 AMBIGUOUS = frozenset("reply replies banner promotion sponsor sidebar menu navigation notice notices share sharing social related widget".split())
 GROUPS = frozenset("div section ul ol li".split())
+#: Parts of names (ad in ad-slot) that drop what merely groups, but never most of a page's words; and what only begins like one.
+DROPPED_PARTS = frozenset("ad ads advert adverts advertisement adslot newsletter cookie cookies consent promo sponsored breadcrumb breadcrumbs popup modal subscribe disqus".split())
+NOT_COMMENTS = frozenset("commentary commentaries commentator commentators commented".split())
+#: Elements that hold a region only as a part of the main text; and shares of its words: of a container, of an article.
+PARTS_OF_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption address header hgroup details summary math".split())
+MOST, HALF = 0.8, 0.5
+#: Cost of a tag that no labelled page has: less than a word scores.
+UNSEEN_TAG = 0.25
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _UNQUOTED = re.compile(r"[^>\"']*")
-_NAMES = frozenset("header masthead".split())
-COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
-DROPPED_NAMES = COMMENT_NAMES | frozenset(
-    "ad ads advert adverts advertisement adbox banner promo promotion sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
-    "notice notices cookie cookies consent popup modal newsletter subscribe share sharing social related widget".split()
-)
-#: Of these, names that also stand on main text: in an article they drop only what merely groups, and never most of a page's words.
-AMBIGUOUS = frozenset("reply replies banner promotion sponsor sidebar menu navigation notice notices share sharing social related widget".split())
-GROUPS = frozenset("div section ul ol li".split())
-
-_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S | re.I)
 _NAMES = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
@@ -74,6 +75,7 @@ class Token:
     block: int  # number of the block that a text belongs to
     dropped: bool
     article: bool
+    element: int = -1  # number of the innermost element that isn't inline
 
 
 def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
@@ -119,14 +121,35 @@ def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
             yield begin, at, name, bool(m[1]), page[m.end() : to]
 
 
+@dataclass
+class Page:
+    """Tokens, and of each element that isn't inline its parent's number (-1: none) and name."""
+
+    line: list[Token]
+    parents: list[int]
+    names: list[str]
+
+    def above(self, element: int) -> Iterator[int]:
+        """The element and all that hold it, inside out."""
+        while element >= 0:
+            yield element
+            element = self.parents[element]
+
+
 def tokens(page: str) -> list[Token]:
+    return read_page(page).line
+
+
+def read_page(page: str) -> Page:
     """Texts and tags of a page in order; broken markup is read as browsers mostly do, never refused.
 
     An element that holds an article or main element isn't dropped, whatever its names; comments after an article are,
     even where each is an article, and so are articles in a nav, an aside and the like.
     """
     out: list[Token] = []
-    stack: list[tuple[str, str, tuple[int, ...], bool]] = []  # name, context, numbers of the elements that drop it, article
+    stack: list[tuple[str, str, tuple[int, ...], bool, int]] = []  # name, context, numbers of the elements that drop it, article, number
+    parents: list[int] = []
+    element_names: list[str] = []
     kinds: list[str] = []  # of each element that drops: element, comment, name, wide (unless most of the page's words are in it)
     causes: list[tuple[int, ...]] = []  # of each token
     kept: set[int] = set()  # elements that turned out to hold main text
@@ -136,8 +159,8 @@ def tokens(page: str) -> list[Token]:
 
     def add(text: str) -> None:
         if text.strip():
-            _, context, dropped, article = stack[-1] if stack else ("", "", (), False)
-            out.append(Token(text, context + "/a" * (links > 0), block, False, article))
+            _, context, dropped, article, element = stack[-1] if stack else ("", "", (), False, -1)
+            out.append(Token(text, context + "/a" * (links > 0), block, False, article, element))
             causes.append(dropped)
         elif out and out[-1].text is not None and text:
             out[-1].text += " "
@@ -164,7 +187,7 @@ def tokens(page: str) -> list[Token]:
                     opened[stack.pop()[0]] -= 1
                 values = [(g[0] or g[1] or g[2]).lower() for g in _NAMES.findall(attributes)] if attributes else []
                 names = [p for v in values for p in _PART.findall(v)]
-                _, _, dropped, article = stack[-1] if stack else ("", "", (), False)
+                _, _, dropped, article, parent = stack[-1] if stack else ("", "", (), False, -1)
                 kind = _kind(name, {w for v in values for w in v.split()}, article)
                 if kind:
                     dropped = (*dropped, len(kinds))
@@ -173,7 +196,9 @@ def tokens(page: str) -> list[Token]:
                     kept.update(k for k in dropped if name == "main" or not (kinds[k] == "element" or (kinds[k] == "comment" and article_seen)))
                     article_seen |= name == "article"
                 opened[name] += 1
-                stack.append((name, name + ("." + names[0] if names else ""), dropped, article or name == "article"))
+                stack.append((name, name + ("." + names[0] if names else ""), dropped, article or name == "article", len(parents)))
+                parents.append(parent)
+                element_names.append(name)
             inside = bool(stack) and stack[-1][3]
             out.append(Token(None, name, block, False, inside))
             causes.append(())
@@ -192,7 +217,7 @@ def tokens(page: str) -> list[Token]:
         kept.update(k for k, kind in enumerate(kinds) if kind == "wide" and 2 * words[k] > total)
         for t, dropped in zip(out, causes, strict=True):
             t.dropped = not kept.issuperset(dropped)
-    return out
+    return Page(out, parents, element_names)
 
 
 def _kind(name: str, names: set[str], article: bool) -> str:
@@ -208,6 +233,10 @@ def _kind(name: str, names: set[str], article: bool) -> str:
         hit -= AMBIGUOUS
     if hit:
         return "wide" if hit <= AMBIGUOUS else "comment" if hit & COMMENT_NAMES else "name"
+    if name in GROUPS:
+        parts = {p for n in names for p in _PART.findall(n)}
+        if parts & DROPPED_PARTS or any(p.startswith("comment") and p not in NOT_COMMENTS for p in parts):
+            return "wide"
     return "name" if not article and (name == "header" or names & PAGE_NAMES) else ""
 
 
@@ -223,13 +252,59 @@ def region(line: list[Token], weights: Weights) -> tuple[int, int]:
     return span
 
 
+def main_element(page: Page, begin: int, end: int, weights: Weights) -> list[bool]:
+    """Of each token, whether it belongs to the main text that the region [begin, end) points at.
+
+    All of the articles that the region covers at least half of, and of the one it covers most, if these hold most of its
+    words; else all of the smallest container of nearly all of them (but lists of links and what labelled pages have
+    outside of articles); else the region as it is.
+    """
+    sizes = [len(t.text.split()) if t.text is not None and not t.dropped else 0 for t in page.line]
+    top: list[int] = []  # of each element, the outermost article that it is or lies in
+    for name, parent in zip(page.names, page.parents, strict=True):
+        above = top[parent] if parent >= 0 else -1
+        top.append(above if above >= 0 else len(top) if name == "article" else -1)
+    inside: Counter = Counter()
+    words: Counter = Counter()
+    whole: Counter = Counter()
+    for k, (t, n) in enumerate(zip(page.line, sizes, strict=True)):
+        if n:
+            article = top[t.element] if t.element >= 0 else -1
+            whole[article] += n
+            if begin <= k < end:
+                inside[article] += n
+                words[t.element] += n
+    total = inside.total()
+    covered = {a for a, n in inside.items() if a >= 0}
+    if sum(inside[a] for a in covered) >= HALF * total > 0:
+        first = max(covered, key=lambda a: (inside[a], -a))
+        chosen = {a for a in covered if a == first or inside[a] >= HALF * whole[a]}
+        return [t.element >= 0 and top[t.element] in chosen for t in page.line]
+    held = [words[e] for e in range(len(page.parents))]
+    for e in range(len(held) - 1, -1, -1):  # an element comes before those in it
+        if page.parents[e] >= 0:
+            held[page.parents[e]] += held[e]
+    # of the elements that hold nearly all words, each but one lies in another; the last one is the smallest
+    fit = [e for e, n in enumerate(held) if n >= MOST * total and page.names[e] not in PARTS_OF_TEXT]
+    if not fit or page.names[fit[-1]] in ("html", "body"):
+        return [begin <= k < end for k in range(len(page.line))]
+    within = [False] * len(page.parents)
+    for e, parent in enumerate(page.parents):
+        within[e] = e == fit[-1] or (parent >= 0 and within[parent])
+    linked = {t.block for t in page.line if t.text is not None} - {t.block for t in page.line if t.text is not None and t.text.strip() and not t.name.endswith("/a")}
+    fits = lambda t: t.element >= 0 and within[t.element] and t.block not in linked and weights.words.get(t.name, weights.word) > 0.1
+    return [(begin <= k < end and (t.element < 0 or within[t.element])) or fits(t) for k, t in enumerate(page.line)]
+
+
 def extract(page: str | None, weights: Weights) -> str:
     """The main text: blocks in page order joined by a line feed, white space inside a block as one space."""
-    line = tokens(page or "")
-    begin, end = region(line, weights)
+    read = read_page(page or "")
+    begin, end = region(read.line, weights)
+    if begin == end:
+        return ""
     blocks: dict[int, list[str]] = {}
-    for t in line[begin:end]:
-        if t.text is not None and not t.dropped:
+    for t, main in zip(read.line, main_element(read, begin, end, weights), strict=True):
+        if main and t.text is not None and not t.dropped:
             blocks.setdefault(t.block, []).append(t.text)
     texts = (" ".join(entities.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(t for t in texts if t)
@@ -266,6 +341,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", html_co
             weights.words[name] = max(share, 1e-4) if share > 0.1 else 1e-4
         else:
             weights.tags[name] = 0.05 + 4 * (1 - share)
+            weights.tag = UNSEEN_TAG
     return weights
 
 
