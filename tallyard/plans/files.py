@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..functions.scratch import scratch_path, written
 from ..operators import quality
 from ..sources import databases, drops, extracts
 from ..sources.schemas import entity_schema
+from ..sources.versions import Versions
 from ..streaming.landing import land_available
 from .registry import query
 
@@ -187,6 +189,53 @@ def _(w):
     return extracts.staged(w.spark, path, "one", "vendors", rows.schema)
 
 
+@query("i36_failed_replace", "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 <> 0")
+def _(w):
+    """A landing that breaks off half-way changes nothing: neither what is read, nor what a later one does."""
+    path = scratch_path(w.spark, "lake")
+    rows = w.table("supplier").select("s_suppkey", "s_name")
+    extracts.land_full(rows.where("s_suppkey % 3 <> 0"), f"{path}/one/vendors")
+    broken = rows.where(F.when(F.col("s_suppkey") > 3, F.raise_error(F.lit("the source went away")).cast("boolean")).otherwise(True))
+    try:
+        extracts.land_full(broken, f"{path}/one/vendors")
+    except PySparkException as e:
+        if "the source went away" not in str(e):
+            raise
+    return extracts.staged(w.spark, path, "one", "vendors", rows.schema)
+
+
+@query("i38_stored_merge", "SELECT l_orderkey, l_linenumber, max(l_partkey) FILTER (WHERE l_partkey % 3 = r) AS l_partkey FROM (SELECT *, max(l_partkey % 3) OVER (PARTITION BY l_orderkey, l_linenumber) AS r FROM lineitem) GROUP BY 1, 2")
+def _(w):
+    """Three merges, the last one decides for its keys; then they are folded into one."""
+    path = scratch_path(w.spark, "lake")
+    rows = w.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    for k in range(3):
+        extracts.land_merge(rows.where(f"l_partkey % 3 = {k}"), f"{path}/one/lines")
+    versions = Versions(w.spark, f"{path}/one/lines", rows.schema)
+    versions.compact(["l_orderkey", "l_linenumber"], ["l_partkey"])
+    versions.expire(1)
+    return versions.read()
+
+
+@query("i41_stored_state", "SELECT user_id, event_type, max(event_id) AS event_id FROM events GROUP BY 1, 2")
+def _(w):
+    """A control table as versions: each run lands the states that it saw, and the latest one of a key holds."""
+    path = scratch_path(w.spark, "control")
+    rows = w.table("events").select("user_id", "event_type", "event_id")
+    half = rows.agg(F.percentile_approx("event_id", 0.5)).first()[0] or 0
+    extracts.land_merge(rows.where(F.col("event_id") <= half), f"{path}/all/state")
+    extracts.land_merge(rows.where(F.col("event_id") > half), f"{path}/all/state")
+    return extracts.staged(w.spark, path, "all", "state", rows.schema, ["user_id", "event_type"], ["event_id"])
+
+
+@query("i27_strict_lines", "SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS item FROM lineitem")
+def _(w):
+    """Documents that all have their lines: nothing fails, and every line comes with its header."""
+    nested = w.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("lines"))
+    flat = extracts.flatten_lines(nested, "lines", {"order_no": "l_orderkey"}, {"line_no": "l_linenumber", "item": "l_partkey"}, "line_no", strict=True)
+    return extracts.with_header(w.table("orders").select(F.col("o_orderkey").alias("order_no")), flat, "order_no")
+
+
 @query("s1_landing_stream", "SELECT event_id, event_type, cast(event_id AS varchar) AS source_id FROM events")
 def _(w):
     """Two deliveries and three runs: each file is landed once."""

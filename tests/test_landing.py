@@ -7,13 +7,14 @@ import io
 import json
 import random
 import resource
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyard.functions.canonical import canonical_json
 from tallyard.operators import bi, claims, governance, marts, metrics, model, quality, reconcile
-from tallyard.sources import databases, delimited, drops, extracts
+from tallyard.sources import databases, delimited, drops, extracts, versions
 from tallyard.sources import files as streams
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
 from tallyard.streaming.landing import land_available
@@ -264,6 +265,64 @@ def test_sinks(spark, tmp_path):
     assert extracts.staged(spark, f"{tmp_path}/lake", "s", "items", df.schema).count() == 3
 
 
+def test_versions_of_an_entity(spark, tmp_path):
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "k long, v string")
+    got = lambda df: sorted(tuple(r) for r in df.collect())
+    v = versions.Versions(spark, f"{tmp_path}/e", rows((1, "a")).schema)
+    assert v.numbers() == [] and got(v.read()) == []
+    assert v.replace(rows((1, "a"), (2, "b"))) == 1 and v.append(rows((2, "b"))) == 2
+    assert got(v.read()) == [(1, "a"), (2, "b"), (2, "b")] and got(v.read(1)) == [(1, "a"), (2, "b")]
+    assert v.merge(rows((2, "A"), (3, "c"))) == 3
+    assert got(v.current(["k"], [])) == [(1, "a"), (2, "A"), (3, "c")]
+    assert v.compact(["k"], []) == 4 and got(v.read()) == [(1, "a"), (2, "A"), (3, "c")]
+    # a writer that breaks off leaves the rows as they were, and its folder alone
+    with pytest.raises(Exception, match="gone"):
+        v.replace(rows((9, "x")).where(F.raise_error(F.lit("gone")).cast("boolean")))
+    assert v.numbers()[-1] == 4 and got(v.read()) == [(1, "a"), (2, "A"), (3, "c")]
+    assert len(v.expire(1)) == 3 and v.numbers() == [4] and got(v.read()) == [(1, "a"), (2, "A"), (3, "c")]
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    """Writers that find their number taken take up what the other one wrote; a rewrite of what was replaced is refused."""
+    row = lambda k: spark.createDataFrame([(k, "x")], "k long, v string")
+    v = versions.Versions(spark, f"{tmp_path}/e", row(1).schema)
+    v.replace(row(0))
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda k: versions.Versions(spark, f"{tmp_path}/e", v.schema).append(row(k)), range(1, 13)))
+    assert sorted(numbers) == list(range(2, 14)) and sorted(r.k for r in v.read().collect()) == list(range(13))
+
+    class Slow(versions.Versions):
+        def _write(self, df):
+            out = super()._write(df)
+            v.merge(row(99)) if self.meanwhile == "merge" else v.replace(row(77))
+            return out
+
+    slow = Slow(spark, f"{tmp_path}/e", v.schema)
+    slow.meanwhile = "merge"
+    slow.compact(["k"], [])
+    assert sorted(r.k for r in v.current(["k"], []).collect()) == [*range(13), 99]
+    slow.meanwhile = "replace"
+    with pytest.raises(versions.Conflict):
+        slow.compact(["k"], [])
+    assert [r.k for r in v.read().collect()] == [77]
+    assert not v._put(v.numbers()[-1], {"runs": []})
+
+
+def test_flattening_fails_closed(spark):
+    docs = spark.sql("SELECT 1 AS id, array(named_struct('n', 1, 'x', 'a')) AS l UNION ALL SELECT 2, array()")
+    flat = lambda df: extracts.flatten_lines(df, "l", {"doc": "id"}, {"line": "n", "x": "x"}, "line", strict=True)
+    assert [tuple(r) for r in flat(docs).collect()] == [(1, 1, "a")]
+    for bad, said in (("SELECT 3 AS id, CAST(NULL AS array<struct<n: int, x: string>>) AS l", "l is missing: 3"), ("SELECT 4 AS id, array(named_struct('n', 1, 'x', 'a'), named_struct('n', NULL, 'x', 'b')) AS l", "a line has no number: 4")):
+        with pytest.raises(Exception, match=said):
+            flat(docs.unionByName(spark.sql(bad))).collect()
+    heads = spark.sql("SELECT 1 AS doc, 'h' AS h")
+    lines = flat(docs)
+    assert extracts.with_header(heads, lines, "doc").first().h == "h"
+    for doc in ("5", "NULL"):
+        with pytest.raises(Exception, match="a line has no header"):
+            extracts.with_header(heads, lines.withColumn("doc", F.expr(f"cast({doc} AS int)")), "doc").collect()
+
+
 def test_landing_stream_is_idempotent(spark, tmp_path):
     inbox = f"{tmp_path}/in"
     spark.range(5).write.parquet(f"{inbox}/one")
