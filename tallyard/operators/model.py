@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.intervals import valid_at
 from ..functions.keys import amount, sk
 
 
@@ -153,17 +154,23 @@ def fact_inventory_snapshot(snapshots: DataFrame, items: DataFrame, scoped: bool
     )
 
 
-def fact_gl_transaction(entries: DataFrame, coa: DataFrame, company: str) -> DataFrame:
+def fact_gl_transaction(entries: DataFrame, coa: DataFrame, company: str, by_bins: bool = False) -> DataFrame:
     """Ledger lines mapped to the group's accounts by the window that holds at the entry date.
 
     A join on the account, with the window as a residual; a company's chart of accounts has hundreds of rows, and
     the optimizer broadcasts it as long as it stays under the size limit. Lines that nothing maps stay, unmapped.
+    by_bins: for charts beyond that limit, lines and windows meet by account and bin of days, so that an account which
+    most lines share is cut by time.
     """
     m = coa.where((F.col("source_company_id") == company) & F.col("active_flag")).select(
         F.col("source_gl_account").alias("_account"), F.col("target_consolidated_account").alias("consolidated_account"), "mapping_rule_type", "effective_start_date", "effective_end_date"
     )
-    held = F.col("entry_date").between(F.col("effective_start_date"), F.col("effective_end_date"))
-    return entries.join(m, (F.col("account") == F.col("_account")) & held, "left").select(
+    if by_bins:
+        joined = valid_at(entries, m.withColumnRenamed("_account", "account"), "account", "entry_date", "effective_start_date", "effective_end_date")
+    else:
+        held = F.col("entry_date").between(F.col("effective_start_date"), F.col("effective_end_date"))
+        joined = entries.join(m, (F.col("account") == F.col("_account")) & held, "left")
+    return joined.select(
         sk("source_system", "journal_no", "line_no").alias("gl_transaction_key"), "source_system", "journal_no", "line_no", "entry_date", sk("branch_code").alias("location_key"), "account",
         "consolidated_account", "mapping_rule_type", "description", "debit_amt", "credit_amt", (F.col("debit_amt") - F.col("credit_amt")).cast("decimal(19,4)").alias("net_amount"),
     )

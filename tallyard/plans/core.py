@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.intervals import valid_at
 from ..operators import bi, marts, model
+from ..sources.shape import SOURCE
 from .oracle import SK
 from .registry import query
 
@@ -77,6 +79,26 @@ query("c15_fact_sales", "SELECT * FROM fact_sales")(lambda w: w.fact_sales)
 query("c16_fact_invoice", "SELECT * FROM fact_invoice")(lambda w: w.fact_invoice)
 query("c17_fact_purchase", "SELECT * FROM fact_purchase")(lambda w: w.fact_purchase)
 query("c18_fact_inventory", "SELECT * FROM fact_inventory")(lambda w: w.fact_inventory)
+query("c19_gl_bins", "SELECT * FROM fact_gl")(lambda w: model.fact_gl_transaction(w.gl_entries, model.ref_coa_mapping(w.coa), SOURCE, by_bins=True))
+
+
+@query(
+    "c14_price_at",
+    """SELECT l_orderkey, l_linenumber, cast(l_shipdate AS date) AS shipped_on, l_partkey, k, size FROM lineitem LEFT JOIN (SELECT p_partkey, k, p_size + k AS size, date '1992-01-01' + cast(k * 500 + p_partkey % 50 AS int) AS a,
+    date '1992-01-01' + cast(k * 500 + p_partkey % 50 + 399 + CASE WHEN p_partkey % 10 = 0 THEN 200 ELSE 0 END AS int) AS z FROM part, (SELECT unnest(range(6))::int AS k)) ON p_partkey = l_partkey AND cast(l_shipdate AS date) BETWEEN a AND z""",
+)
+def _(w):
+    """What was listed for an item on the day a line was shipped: windows with gaps, and for some items overlaps."""
+    spread = w.table("part").select("p_partkey", "p_size", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
+    first = F.col("k") * 500 + (F.col("p_partkey") % 50).cast("int")
+    windows = spread.select(
+        F.col("p_partkey").alias("l_partkey"), "k", (F.col("p_size") + F.col("k")).alias("size"), F.date_add(F.lit("1992-01-01").cast("date"), first).alias("a"),
+        F.date_add(F.lit("1992-01-01").cast("date"), first + F.when(F.col("p_partkey") % 10 == 0, 599).otherwise(399)).alias("z"),
+    )
+    lines = w.table("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("shipped_on"), "l_partkey")
+    return valid_at(lines, windows, "l_partkey", "shipped_on", "a", "z").drop("a", "z")
+
+
 query("c19_gl", "SELECT * FROM fact_gl")(lambda w: w.fact_gl)
 
 query("k1_window", "SELECT * FROM w")(lambda w: marts.kpi_window(w.fact_invoice))

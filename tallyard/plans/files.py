@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scratch import scratch_path, written
 from ..operators import quality
-from ..sources import databases, drops, extracts
+from ..sources import databases, drops, extracts, inventory
 from ..sources.schemas import entity_schema
 from ..sources.versions import Versions
 from ..streaming.landing import land_available
@@ -228,6 +230,22 @@ def _(w):
     return extracts.staged(w.spark, path, "all", "state", rows.schema, ["user_id", "event_type"], ["event_id"])
 
 
+@query(
+    "r3_kept_inventory",
+    """SELECT 1 AS delivery, 'C-' || c_custkey AS source_key, 'CAME' AS change FROM customer UNION ALL SELECT 2, 'C-' || c_custkey, 'WENT' FROM customer WHERE c_custkey % 17 = 0
+    UNION ALL SELECT 4, 'C-' || c_custkey, CASE WHEN c_custkey % 17 = 0 THEN 'CAME' ELSE 'WENT' END FROM customer WHERE (c_custkey % 17 = 0) <> (c_custkey % 5 = 0)""",
+)
+def _(w):
+    """Four deliveries against a kept inventory; the third is empty and takes nothing away. Each only writes its changes."""
+    keys = w.table("customer").select("c_custkey", F.concat(F.lit("C-"), "c_custkey").alias("source_key"))
+    kept = inventory.KeyInventory(w.spark, scratch_path(w.spark, "inventory"), int(w.spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    parts = []
+    for n, rows in enumerate((keys, keys.where("c_custkey % 17 <> 0"), keys.limit(0), keys.where("c_custkey % 5 <> 0")), 1):
+        parts.append(written(kept.take(rows).select(F.lit(n).alias("delivery"), "source_key", "change"), "changes"))
+    kept.close()
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("i27_strict_lines", "SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS item FROM lineitem")
 def _(w):
     """Documents that all have their lines: nothing fails, and every line comes with its header."""

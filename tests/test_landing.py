@@ -12,9 +12,10 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from tallyard.functions import intervals
 from tallyard.functions.canonical import canonical_json
 from tallyard.operators import bi, claims, governance, marts, metrics, model, quality, reconcile
-from tallyard.sources import databases, delimited, drops, extracts, versions
+from tallyard.sources import databases, delimited, drops, extracts, inventory, versions
 from tallyard.sources import files as streams
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
 from tallyard.streaming.landing import land_available
@@ -308,6 +309,44 @@ def test_two_writers_lose_nothing(spark, tmp_path):
     assert not v._put(v.numbers()[-1], {"runs": []})
 
 
+def test_kept_inventory_is_compared_where_it_lies(spark, tmp_path):
+    keys = lambda *ks: spark.createDataFrame([(k,) for k in ks], "source_key string")
+    inv = inventory.KeyInventory(spark, f"{tmp_path}/k", 3, 2)
+    changes = lambda df: sorted((r.source_key, r.change) for r in df.collect())
+    assert changes(inv.take(keys("a", "b", "b", "c", None))) == [("a", "CAME"), ("b", "CAME"), ("c", "CAME")]
+    assert changes(inv.take(keys("b", "d"))) == [("a", "WENT"), ("c", "WENT"), ("d", "CAME")]
+    other = inventory.KeyInventory(spark, f"{tmp_path}/k", 3, 2)  # opened anew, it goes on
+    assert sorted(r[0] for r in other.held().collect()) == ["b", "d"] and changes(other.compare(keys())) == []
+    assert changes(other.compare(keys("a", "d"))) == [("a", "CAME"), ("b", "WENT")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = other.compare(keys("a", "d"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the delivery was dealt when it was written; it is joined with base and run in their buckets
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") >= 4, plan
+    assert changes(other.take(keys("a"))) == [("a", "CAME"), ("b", "WENT"), ("d", "WENT")]
+    assert len(other._runs()) == 1 and [r[0] for r in other.held().collect()] == ["a"]
+    inv.close(), other.close()
+
+
+@pytest.mark.parametrize("task_lines", [5, 10**6])
+def test_windows_by_bins_equal_the_plain_join(spark, task_lines):
+    """Random windows (open-ended, inverted, touching, doubled) and lines, nine of ten on one key, with and without salts."""
+    rng = random.Random(task_lines)
+    day = lambda k: datetime.date(2020, 1, 1) + datetime.timedelta(k)
+    lines = [(k, rng.choice(["hot"] * 9 + ["a", "b", None, "none"]), rng.choice([day(rng.randrange(400)), day(rng.randrange(400)), None])) for k in range(400)]
+    windows = [(rng.choice(["hot", "a", "b"]), day(s := rng.randrange(-50, 400)), rng.choice([day(s + rng.randrange(-5, 200)), datetime.date(9999, 12, 31)]), k) for k in range(25)]
+    got = intervals.valid_at(spark.createDataFrame(lines, "id long, key string, at date"), spark.createDataFrame(windows, "key string, a date, z date, w long"), "key", "at", "a", "z", 20, task_lines)
+    want = []
+    for i, k, at in lines:
+        held = [w for key, a, z, w in windows if key == k and at and a <= at <= z]
+        want += [(i, w) for w in held] or [(i, -1)]
+    assert sorted((r.id, -1 if r.w is None else r.w) for r in got.collect()) == sorted(want)
+    with pytest.raises(ValueError):
+        intervals.valid_at(got, spark.createDataFrame(windows, "key string, a date, z date, w long"), "key", "at", "a", "z")
+
+
 def test_flattening_fails_closed(spark):
     docs = spark.sql("SELECT 1 AS id, array(named_struct('n', 1, 'x', 'a')) AS l UNION ALL SELECT 2, array()")
     flat = lambda df: extracts.flatten_lines(df, "l", {"doc": "id"}, {"line": "n", "x": "x"}, "line", strict=True)
