@@ -24,13 +24,11 @@ def monthly_revenue_by_region(invoices: DataFrame, locations: DataFrame) -> Data
 def inventory_position_latest(snapshots: DataFrame) -> DataFrame:
     """Positions at the last snapshot date, the most valuable item first.
 
-    Each item's sums at its own last date, of which those at the last date of all stay; both come of one exchange.
+    The date is looked up first (one value), from the narrow column; the rows of other dates then go where they are read.
     """
-    by_day = snapshots.groupBy("item_key", "snapshot_date").agg(F.sum("on_hand_qty").alias("on_hand_qty"), total("inventory_value").alias("inventory_value"))
-    by_item = by_day.groupBy("item_key").agg(F.max(F.struct("snapshot_date", "on_hand_qty", "inventory_value")).alias("x"))
-    last = by_item.agg(F.max("x.snapshot_date").alias("last"))
-    latest = by_item.crossJoin(F.broadcast(last)).where("x.snapshot_date = last")
-    return latest.select("item_key", "x.on_hand_qty", "x.inventory_value").orderBy(F.desc("inventory_value"), "item_key")
+    last = snapshots.agg(F.max("snapshot_date")).first()[0]
+    latest = snapshots.where(F.col("snapshot_date") == F.lit(last)).groupBy("item_key")
+    return latest.agg(F.sum("on_hand_qty").alias("on_hand_qty"), total("inventory_value").alias("inventory_value")).orderBy(F.desc("inventory_value"), "item_key")
 
 
 def invoice_branch(invoices: DataFrame, locations: DataFrame) -> DataFrame:
@@ -46,9 +44,9 @@ def margin_by_category(invoices: DataFrame, items: DataFrame) -> DataFrame:
 
 def inventory_by_category(snapshots: DataFrame, items: DataFrame) -> DataFrame:
     """Value by category of each item's latest snapshot at each location."""
-    w = Window.partitionBy("item_key", "location_key").orderBy(F.desc("snapshot_date"))
-    last = snapshots.withColumn("n", F.row_number().over(w)).where("n = 1")
-    return _with(last, items, "item_key", "category").groupBy("category").agg(total("inventory_value").alias("inventory_value"))
+    last = snapshots.groupBy("item_key", "location_key").agg(F.max(F.struct("snapshot_date", "inventory_value")).alias("x"))
+    by_item = last.groupBy("item_key").agg(total("x.inventory_value").alias("v"))
+    return _with(by_item, items, "item_key", "category").groupBy("category").agg(total("v").alias("inventory_value"))
 
 
 def _fill() -> Column:

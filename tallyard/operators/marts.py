@@ -94,8 +94,11 @@ def kpi_service(lines: DataFrame, rounded: bool = True) -> DataFrame:
 def _books(ledger: DataFrame, closes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Receivables and payables, and the mean days to close."""
     balance = lambda account: total(F.when(F.col("consolidated_account") == account, F.col("net_amount")))
-    close = closes.agg(ratio(F.sum(F.datediff("close_completed_on", "period_end_date")), F.count(F.lit(1))).alias("close_cycle_days"))
-    return ledger.agg(balance("GRP-1100").alias("ar"), balance("GRP-2000").alias("ap")), close
+    return ledger.agg(balance("GRP-1100").alias("ar"), balance("GRP-2000").alias("ap")), _close_cycle(closes)
+
+
+def _close_cycle(closes: DataFrame) -> DataFrame:
+    return closes.agg(ratio(F.sum(F.datediff("close_completed_on", "period_end_date")), F.count(F.lit(1))).alias("close_cycle_days"))
 
 
 def _finance() -> dict[str, Column]:
@@ -120,18 +123,21 @@ def kpi_growth(invoices: DataFrame, locations: DataFrame, rounded: bool = True)
 
     A customer's home is the branch of the highest revenue; of equal ones, the smallest key.
     """
+    parts = invoices.where("customer_key IS NOT NULL").groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
+    return _final(_growth(parts, kpi_window(invoices).select("window_start"), locations), rounded)
+
+
+def _growth(parts: DataFrame, window: DataFrame, locations: DataFrame) -> DataFrame:
+    """From revenue r by customer_key and location_key, which is all that the shares need; window: one row, window_start."""
     places = locations.select("location_key", "owned_since")
     owned = F.coalesce(F.col("owned_since") < F.col("window_start"), F.lit(False))
-    # one row for each customer and branch is all that the shares need
     order = F.row_number().over(Window.partitionBy("customer_key").orderBy(F.desc("r"), "location_key"))
-    parts = invoices.where("customer_key IS NOT NULL").groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
     parts = parts.withColumn("home", (order == 1) & F.col("location_key").isNotNull()).join(places, "location_key", "left")
-    parts = parts.crossJoin(F.broadcast(kpi_window(invoices).select("window_start")))
-    mart = parts.agg(
+    parts = parts.crossJoin(F.broadcast(window))
+    return parts.agg(
         ratio(F.sum(F.when(F.col("home"), F.col("r")).otherwise(0)), F.sum("r")).alias("same_branch_share"),
         ratio(F.sum(F.when(owned, F.col("r")).otherwise(0)), F.sum("r")).alias("organic_share"), ratio(F.sum(F.when(owned, F.lit(0)).otherwise(F.col("r"))), F.sum("r")).alias("acquired_share"),
     )
-    return _final(mart, rounded)
 
 
 def kpi_purchasing(purchases: DataFrame, rounded: bool = True) -> DataFrame:
@@ -160,18 +166,90 @@ def kpi_productivity(invoices: DataFrame, locations: DataFrame, rounded: bool =
     return _final(one_row(invoice_totals(invoices), *_activity(invoices, locations)).select(*_named(_productivity())), rounded)
 
 
-def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
-    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
+# ---- states: sums that can be added to and taken from, of which the headline is made -----------------------------
+
+#: Keys of each state's rows; all other columns are sums.
+STATE_KEYS = {
+    "invoices": ["g", "invoice_date", "customer_key", "location_key", "invoice_no"], "orders": ["order_no"], "inventory": ["snapshot_date"], "purchases": ["one"], "books": ["consolidated_account"],
+}
+#: Which keys a row of the invoices' state has: the day, the customer at a branch, the invoice.
+BY_DAY, BY_PLACE, BY_INVOICE = 0b0111, 0b1001, 0b1110
+
 
-    Each fact table is read once, and its aggregates are made once: the invoices' columns and the inventory values by
-    date are written, both at a time, and the KPIs are expressions over one row of all aggregates.
+def states_of(facts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The states of facts (invoices, sales, purchases, inventory, gl): one pass over each.
+
+    Every row has the number of its lines, so that sets (days, invoices, orders) are exact when lines are taken away again.
     """
-    by_date = facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"))
-    i, inventory = at_once(by_date.sparkSession, lambda: narrow(facts["invoices"]), lambda: written(by_date, "inventory-by-date"))
+    n = F.count(F.lit(1)).alias("lines")
+    money = [total(c).alias(c) for c in ("revenue_amount", "cogs_amount", "gross_margin_amount")]
+    key = ["invoice_date", "customer_key", "location_key", "invoice_no"]
+    sets = [["invoice_date"], ["customer_key", "location_key"], ["invoice_no"]]
+    count = lambda c: F.sum(F.col(c).cast("long"))
+    return {
+        "invoices": facts["invoices"].groupingSets(sets, *key).agg(F.grouping_id().alias("g"), *money, n),
+        "orders": active_lines(facts["sales"]).groupBy("order_no").agg(
+            F.count_if("is_line_complete").alias("complete"), F.count_if("is_on_time").alias("on_time"), F.count("shipped_date").alias("shipped"),
+            F.sum(F.least("filled_qty", "ordered_qty")).alias("filled"), count("ordered_qty").alias("ordered"), F.count_if("is_backordered").alias("backordered"), n,
+        ),
+        "inventory": facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"), n),
+        "purchases": facts["purchases"].groupBy(F.lit(1).alias("one")).agg(
+            count("received_qty").alias("received"), count("ordered_qty").alias("ordered"), total("ppv_amount").alias("ppv"), total("received_standard_amount").alias("standard"), n,
+        ),
+        "books": facts["gl"].groupBy("consolidated_account").agg(total("net_amount").alias("net"), n),
+    }
+
+
+def merged_states(states: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, removed: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """States with those of new lines added and those of lines that went taken away; rows without lines go."""
+    out = {}
+    for name, keys in STATE_KEYS.items():
+        sums = [c for c in states[name].columns if c not in keys]
+        rows = states[name]
+        if added:
+            rows = rows.unionByName(added[name])
+        if removed:
+            rows = rows.unionByName(removed[name].select(*keys, *((-F.col(c)).alias(c) for c in sums)))
+        kinds = {f.name: f.dataType for f in states[name].schema}
+        out[name] = rows.groupBy(*keys).agg(*(F.sum(c).cast(kinds[c]).alias(c) for c in sums)).where("lines > 0")
+    return out
+
+
+def headline_of(states: dict[str, DataFrame], locations: DataFrame, closes: DataFrame, rounded: bool = True) -> DataFrame:
+    """The headline row from states: facts aren't read any more."""
+    i = states["invoices"]
+    days = i.where(F.col("g") == BY_DAY)
+    # a line without a date or number counts for sums, but not as a day or an invoice
+    totals = invoice_totals(days)
+    parts = i.where(F.col("g") == BY_PLACE).where("customer_key IS NOT NULL").select("customer_key", "location_key", F.col("revenue_amount").alias("r"))
+    counts = i.agg(
+        F.count_if((F.col("g") == BY_INVOICE) & F.col("invoice_no").isNotNull()).alias("invoices"), F.count_if((F.col("g") == BY_DAY) & F.col("invoice_date").isNotNull()).alias("active_days")
+    )
+    every = lambda c: F.col(c) == F.col("lines")
+    service = states["orders"].agg(
+        ratio(F.sum("filled"), F.sum("ordered")).alias("line_fill_rate"), ratio(F.count_if(every("complete")), F.count(F.lit(1))).alias("order_fill_rate"),
+        ratio(F.count_if(every("shipped") & every("on_time")), F.count_if(every("shipped"))).alias("on_time_delivery_rate"),
+        ratio(F.count_if(every("shipped") & every("complete") & every("on_time")), F.count(F.lit(1))).alias("otif_rate"), ratio(F.sum("backordered"), F.sum("lines")).alias("backorder_rate"),
+    )
+    purchasing = states["purchases"].agg(ratio(F.sum("received"), F.sum("ordered")).alias("vendor_fill_rate"), ratio(F.sum("ppv"), F.sum("standard")).alias("ppv_pct"))
+    balance = lambda account: total(F.when(F.col("consolidated_account") == account, F.col("net")))
+    books = states["books"].agg(balance("GRP-1100").alias("ar"), balance("GRP-2000").alias("ap"))
+    stock = states["inventory"].agg((F.sum("inventory_value").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("avg_inventory"))
     row = one_row(
-        invoice_totals(i), average_inventory(inventory), *_books(facts["gl"], facts["closes"]), *_activity(i, facts["locations"]), kpi_service(facts["sales"], False),
-        kpi_growth(i, facts["locations"], False), kpi_purchasing(facts["purchases"], False),
+        totals, stock, books, _close_cycle(closes), counts, locations.agg(F.sum("fte_count").alias("fte")), service, _growth(parts, days.agg(F.min("invoice_date").alias("window_start")), locations), purchasing,
     )
     derived = {**_inventory(), **_finance(), **_productivity()}
     marts = row.select(*(derived.get(k, F.col(k)).alias(k) for k in KPIS), "window_start", "window_end", "window_days")
     return _final(marts, rounded)
+
+
+def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
+    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
+
+    Each fact table is read once, for its states; the invoices', which several KPIs share, is written, and the KPIs are
+    expressions over one row.
+    """
+    states = states_of(facts)
+    spark = facts["invoices"].sparkSession
+    states["invoices"], states["inventory"] = at_once(spark, lambda: written(states["invoices"], "invoice-states"), lambda: written(states["inventory"], "inventory-states"))
+    return headline_of(states, facts["locations"], facts["closes"], rounded)
