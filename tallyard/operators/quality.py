@@ -38,6 +38,59 @@ def relationship(child: DataFrame, column: str, parent: DataFrame, key: str, nam
     return _result(lost.agg(F.count(F.lit(1)).alias("failing_rows")), f"relationship:{name}")
 
 
+#: A declared check: not_null or unique of a table's columns, or relationship of one to a column of a parent.
+Check = tuple[str, str, str, str | None, str | None]
+
+#: What the dimensional model declares of its columns, as kind, table, column, parent, parent's column.
+DECLARED: list[Check] = [
+    *((kind, table, key, None, None) for kind in ("not_null", "unique") for table, key in (
+        ("dim_item", "item_key"), ("dim_item_category", "item_category_key"), ("dim_customer", "customer_key"), ("dim_ship_to", "ship_to_key"), ("dim_vendor", "vendor_key"), ("dim_location", "location_key"),
+        ("dim_salesperson", "salesperson_key"), ("fact_sales", "sales_order_line_key"), ("fact_invoice", "invoice_line_key"), ("fact_purchase", "purchase_order_line_key"), ("fact_inventory", "inventory_snapshot_key"), ("fact_gl", "gl_transaction_key"),
+    )),
+    ("not_null", "fact_invoice", "revenue_amount", None, None), ("not_null", "fact_gl", "consolidated_account", None, None), ("not_null", "coa", "target_consolidated_account", None, None),
+    ("relationship", "dim_item", "item_category_key", "dim_item_category", "item_category_key"), ("relationship", "dim_ship_to", "customer_key", "dim_customer", "customer_key"),
+    ("relationship", "fact_sales", "customer_key", "dim_customer", "customer_key"), ("relationship", "fact_sales", "item_key", "dim_item", "item_key"),
+    ("relationship", "fact_invoice", "customer_key", "dim_customer", "customer_key"), ("relationship", "fact_invoice", "item_key", "dim_item", "item_key"),
+    ("relationship", "fact_purchase", "vendor_key", "dim_vendor", "vendor_key"), ("relationship", "fact_purchase", "item_key", "dim_item", "item_key"),
+    ("relationship", "fact_inventory", "item_key", "dim_item", "item_key"),
+]
+
+
+def check_name(check: Check) -> str:
+    kind, table, column, parent, _ = check
+    return f"{kind}:{table}.{column}" + (f"->{parent}" if parent else "")
+
+
+def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity: str = "error") -> DataFrame:
+    """All declared checks from one pass over each table and one exchange, however many they are.
+
+    A row becomes (check, value) for each check that its table takes part in, as a child or as a parent, and is counted
+    where it is read; then one row for each value of each check is dealt, so a value that most rows share costs no more. Null
+    values fail not_null checks alone; a value that stands several times fails a unique check once; each child row
+    without a parent fails a relationship.
+    """
+    rows = []
+    for name, df in tables.items():
+        parts = []
+        for n, (_, table, column, parent, key) in enumerate(checks):
+            if table == name:
+                parts.append(F.struct(F.lit(n).alias("n"), F.col(column).cast("string").alias("v"), F.lit(True).alias("child")))
+            if parent == name:
+                parts.append(F.struct(F.lit(n).alias("n"), F.col(key).cast("string").alias("v"), F.lit(False).alias("child")))
+        if parts:
+            used = sorted({c for _, t, c, p, k in checks for x, c in ((t, c), (p, k)) if x == name})
+            rows.append(df.select(*used).select(F.inline(F.array(*parts))))
+    counts = reduce(DataFrame.unionByName, rows).groupBy("n", "v").agg(F.count_if("child").alias("children"), F.count_if(~F.col("child")).alias("parents"))
+    kind = F.array(*(F.lit(c[0]) for c in checks))[F.col("n")]
+    fails = (
+        F.when(kind == "not_null", F.when(F.col("v").isNull(), F.col("children"))).when(F.col("v").isNull(), 0)
+        .when(kind == "unique", (F.col("children") > 1).cast("long")).otherwise(F.when(F.col("parents") == 0, F.col("children")))
+    )
+    found = counts.groupBy("n").agg(F.sum(F.coalesce(fails, F.lit(0))).alias("failing"))
+    named = rows[0].sparkSession.createDataFrame([(n, check_name(c)) for n, c in enumerate(checks)], "n int, name string")
+    return _result(named.join(found, "n", "left").select("name", F.coalesce("failing", F.lit(0)).alias("failing_rows")), F.col("name"), severity)
+
+
 def unmapped_accounts(ledger: DataFrame) -> DataFrame:
     return ledger.where("consolidated_account IS NULL").groupBy("account").agg(F.count(F.lit(1)).alias("lines"))
 

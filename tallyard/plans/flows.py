@@ -196,6 +196,41 @@ query("q2_unique", f"SELECT 'unique:lineitem.l_orderkey+l_linenumber' AS check_n
 query("q3_relationship", f"SELECT 'relationship:sales.customer' AS check_name, {_OK} FROM (SELECT count(*) AS failing_rows FROM sales_order_lines WHERE cast(substr(customer_no, 3) AS bigint) % 17 = 0)")(
     lambda w: quality.relationship(w.sales_order_lines, "customer_no", w.customers.where(F.col("postal_code").cast("bigint") % 17 != 0), "customer_no", "sales.customer")
 )
+
+
+def _declared_sql(checks: list[quality.Check]) -> str:
+    parts = []
+    for c in checks:
+        kind, table, column, parent, key = c
+        count = {
+            "not_null": f"SELECT count(*) FROM {table} WHERE {column} IS NULL",
+            "unique": f"SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)",
+            "relationship": f"SELECT count(*) FROM {table} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)",
+        }[kind]
+        parts.append(f"SELECT '{quality.check_name(c)}' AS check_name, ({count}) AS failing_rows")
+    return f"SELECT check_name, {_OK} FROM ({' UNION ALL '.join(parts)})"
+
+
+@query("q1_declared", _declared_sql(quality.DECLARED))
+def _(w):
+    """Every check that the model declares, over all of its tables, in one exchange."""
+    w = w.kept()
+    return quality.declared_checks({t: getattr(w, t) for t in sorted({c[1] for c in quality.DECLARED} | {c[3] for c in quality.DECLARED if c[3]})}, quality.DECLARED)
+
+
+# tables with faults: lines that repeat their keys, shipping dates that are missing, and items and vendors that aren't there
+_FAULTY = [("not_null", "l", "shipped", None, None), ("unique", "l", "line", None, None), ("relationship", "l", "item", "p", "k"), ("relationship", "l", "vendor", "s", "k"), ("unique", "p", "k", None, None)]
+_FAULTY_TABLES = """WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS line, CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS shipped, l_partkey AS item, CASE WHEN l_linenumber <> 3 THEN l_suppkey END AS vendor FROM lineitem),
+    p AS (SELECT p_partkey // 2 AS k FROM part), s AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 4 <> 0)"""
+
+
+@query("q3_declared_faults", f"{_FAULTY_TABLES} {_declared_sql(_FAULTY)}")
+def _(w):
+    """The same over tables with faults of every kind."""
+    lines = w.table("lineitem").selectExpr("concat_ws('-', l_orderkey, l_linenumber) AS line", "CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS shipped", "l_partkey AS item", "CASE WHEN l_linenumber <> 3 THEN l_suppkey END AS vendor")
+    return quality.declared_checks({"l": lines, "p": w.table("part").selectExpr("p_partkey div 2 AS k"), "s": w.table("supplier").where("s_suppkey % 4 <> 0").selectExpr("s_suppkey AS k")}, _FAULTY)
+
+
 query("q4_unmapped", "SELECT account, count(*) AS lines FROM gl_entries WHERE account = '1010' OR (account = '1200' AND entry_date < date '1998-01-01') GROUP BY 1")(
     lambda w: quality.unmapped_accounts(model.fact_gl_transaction(w.gl_entries, model.ref_coa_mapping(w.coa).where("target_consolidated_account NOT IN ('GRP-1010', 'GRP-1200')"), SOURCE))
 )
