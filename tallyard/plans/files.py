@@ -14,6 +14,7 @@ from ..operators import quality
 from ..sources import databases, drops, extracts, inventory
 from ..sources.schemas import entity_schema
 from ..sources.versions import Versions
+from ..streaming.gate import DELIVERY, judge_available
 from ..streaming.landing import land_available
 from .registry import query
 
@@ -268,6 +269,30 @@ def _(w):
     return w.spark.read.parquet(f"{path}/lake").select("event_id", "event_type", "source_id")
 
 
+# delivery by delivery: a source's newest generation and the content of its batches, as far as promoted
+_GATE = """WITH RECURSIVE d AS (SELECT user_id AS s, event_type AS b, CASE WHEN event_id % 13 <> 0 THEN date_trunc('second', ts) END AS g, 'h' || (event_id % 3) AS h, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+    judged AS (SELECT d.*, CASE WHEN g IS NULL THEN 'UNREADABLE_GENERATION' ELSE 'PROMOTED' END AS verdict, g AS newest, CASE WHEN g IS NULL THEN [] ELSE [b || '|' || h] END AS known FROM d WHERE n = 1
+    UNION ALL SELECT s, b, g, h, event_id, n, verdict, CASE WHEN verdict = 'PROMOTED' THEN g ELSE newest END, CASE WHEN verdict = 'PROMOTED' THEN list_append(known, b || '|' || h) ELSE known END FROM (
+      SELECT d.*, j.newest, j.known, CASE WHEN list_contains(j.known, d.b || '|' || d.h) THEN 'SKIPPED_DUPLICATE' WHEN list_bool_or(list_transform(j.known, lambda x: starts_with(x, d.b || '|'))) THEN 'REGENERATED_BATCH'
+        WHEN d.g IS NULL THEN 'UNREADABLE_GENERATION' WHEN d.g <= j.newest THEN 'STALE_MANIFEST' ELSE 'PROMOTED' END AS verdict FROM judged j JOIN d ON d.s = j.s AND d.n = j.n + 1))
+    SELECT event_id AS arrival, verdict FROM judged"""
+
+
+@query("i13_gate_stream", _GATE)
+def _(w):
+    """Deliveries of every user in two parts, judged by two runs of a stream: the second one goes on from the first one's state."""
+    path = scratch_path(w.spark, "gate")
+    generated = F.when(F.col("event_id") % 13 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("soon")
+    rows = w.table("events").select(
+        F.col("user_id").cast("string").alias("source_id"), F.col("event_type").alias("batch_id"), generated.alias("generated_at"), F.concat(F.lit("h"), F.col("event_id") % 3).alias("content_hash"), F.col("event_id").cast("long").alias("arrival")
+    )
+    half = rows.agg(F.percentile_approx("arrival", 0.5)).first()[0] or 0
+    for n, part in enumerate((rows.where(F.col("arrival") <= half), rows.where(F.col("arrival") > half))):
+        part.write.parquet(f"{path}/in/{n}")
+        judge_available(w.spark, f"{path}/in/*", f"{path}/out", f"{path}/checkpoint")
+    return w.spark.read.schema(f"{DELIVERY}, verdict string").parquet(f"{path}/out").select("arrival", "verdict")
+
+
 @query("q12_manifest_check", f"SELECT event_type || '-' || (event_id // 1000) AS name FROM events {_GROUPS} HAVING event_type = 'view' OR count(*) % 2 = 1")
 def _(w):
     """Files with their own hashes: other bytes are declared of those of views, and another row of those of odd length."""

@@ -18,6 +18,7 @@ from tallyard.operators import bi, claims, governance, marts, metrics, model, qu
 from tallyard.sources import databases, delimited, drops, extracts, inventory, versions
 from tallyard.sources import files as streams
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
+from tallyard.streaming.gate import DELIVERY, judge_available
 from tallyard.streaming.landing import land_available
 
 VENDORS = "vendor_no,vendor_name,terms,lead_time_days\nV1, Ann ,NET30,7\nV2,Bob,,12\n"
@@ -570,3 +571,19 @@ def test_cash_cycle_carries_balances_over_months(spark):
     january, march = bi.cash_cycle_by_month(invoices, stock, ledger).collect()
     assert (january.dio, january.dso, january.dpo, january.cash_conversion_cycle) == (None, 0.4 * 31, 0.0, None)
     assert (march.dio, march.dso, march.dpo) == (0.5 * 31, 0.25 * 31, 0.2 * 31)
+
+
+def test_gate_of_deliveries_goes_on_after_a_restart(spark, tmp_path):
+    """Over three runs: re-delivered, regenerated, unreadable and stale batches; what was refused changes nothing."""
+    at = lambda d: f"2024-01-{d:02}T00:00:00Z"
+    runs = [
+        [("s", "b1", at(5), "x", 1, "PROMOTED"), ("s", "b1", at(5), "x", 2, "SKIPPED_DUPLICATE"), ("s", "b0", at(5), "y", 3, "STALE_MANIFEST"), ("t", "b1", "2024-01-02T03:00:00+03:00", "x", 4, "PROMOTED")],
+        [("s", "b1", at(9), "z", 5, "REGENERATED_BATCH"), ("s", "b2", at(6), "z", 6, "PROMOTED"), ("s", "b0", at(7), "y", 7, "PROMOTED"), ("t", "b2", at(2), "q", 8, "STALE_MANIFEST"), (None, "b", at(1), "x", 9, "MALFORMED")],
+        [("s", "b0", at(7), "y", 10, "SKIPPED_DUPLICATE"), ("t", "b3", "soon", "q", 11, "UNREADABLE_GENERATION"), ("u", "b", at(1), "x", 12, "PROMOTED")],
+    ]
+    for k, rows in enumerate(runs):
+        spark.createDataFrame([r[:5] for r in rows], DELIVERY).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        judge_available(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/cp")
+    judge_available(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = {r.arrival: r.verdict for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {r[4]: r[5] for rows in runs for r in rows}
