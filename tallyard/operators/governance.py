@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.canonical import canonical_json, json_string
 from . import claims
+from .nearest import nearest_granted
 
 FLOOR = 2.0**-10
 
@@ -169,31 +170,11 @@ def authorized_nearest(vectors: DataFrame, grants: DataFrame, queries: DataFrame
     """Per query the k most similar documents among those granted to its principal; ties to the smaller doc_id.
 
     vectors: doc_id, vector; grants: principal, doc_id; queries: query_id, principal, query. k lies in 1..50. Documents
-    that can't be scored (a null vector, or one of another length) are no hits. Every granted document is scored, in
-    blocks: a principal's documents and queries are dealt into blocks by hash, a row is a pair of blocks, and leaves with
-    the k best of its documents for each of its queries.
+    that can't be scored (a null vector, one with null or non-finite components, or of another length) are no hits. The
+    result is that of scoring every granted document, but cells of documents that can't hold a hit are left out (see
+    :mod:`.nearest`).
     """
-    k = max(1, min(50, k))
-    asked = queries.where("query IS NOT NULL")
-    held = vectors.where("vector IS NOT NULL").join(grants.join(asked.select("principal").distinct(), "principal", "left_semi"), "doc_id")
-    parts = lambda df, block, name: df.groupBy("principal").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
-    sizes = parts(grants, docs_block, "n_docs").join(parts(asked, queries_block, "n_queries"), "principal")
-    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    docs = (
-        held.join(sizes, "principal").withColumn("block", place("doc_id", "n_docs"))
-        .groupBy("principal", "block").agg(F.collect_list(F.struct("doc_id", F.col("vector").cast("array<double>").alias("vector"))).alias("docs"))
-    )
-    askers = (
-        asked.join(sizes, "principal").withColumn("part", place("query_id", "n_queries"))
-        .groupBy("principal", "part").agg(F.first("n_docs").alias("n_docs"), F.collect_list(F.struct("query_id", F.col("query").cast("array<double>").alias("query"))).alias("queries"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_docs") - 1)))
-    )
-    pair = askers.join(docs, ["principal", "block"]).select(F.explode("queries").alias("q"), "docs")
-    scored = F.transform("docs", lambda d: F.struct((-dot(d["vector"], F.col("q.query"))).alias("far"), d["doc_id"].alias("doc_id")))
-    best = F.slice(F.array_sort(F.filter(scored, lambda x: x["far"].isNotNull())), 1, k)
-    hits = pair.select("q.query_id", F.explode(best).alias("x")).select("query_id", "x.doc_id", (-F.col("x.far")).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k)
+    return nearest_granted(vectors, grants, queries, max(1, min(50, k)), docs_block, queries_block)[0]
 
 
 def post_verify(hits: DataFrame, queries: DataFrame, grants_now: DataFrame) -> DataFrame:

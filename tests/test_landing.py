@@ -9,12 +9,13 @@ import random
 import resource
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyard.functions import intervals
 from tallyard.functions.canonical import canonical_json
-from tallyard.operators import bi, claims, governance, marts, metrics, model, quality, reconcile
+from tallyard.operators import bi, claims, governance, marts, metrics, model, nearest, quality, reconcile
 from tallyard.sources import databases, delimited, drops, extracts, inventory, versions
 from tallyard.sources import files as streams
 from tallyard.sources.schemas import COLUMNS, NATURAL_KEYS, entity_schema
@@ -563,6 +564,28 @@ def test_authorized_nearest_in_any_blocks(spark):
     assert governance.authorized_nearest(frames[0], frames[1].limit(0), frames[2]).count() == 0
 
 
+def test_scored_share_shrinks_with_the_table(spark):
+    """Clustered vectors: the hits are those of scoring everything, and the share that is scored falls as the table grows."""
+    rng = np.random.default_rng(4)
+    shares = []
+    for n in (400, 6400):
+        centres = rng.normal(0, 1, (40, 8))
+        v = centres[rng.integers(0, 40, n)] + rng.normal(0, 0.05, (n, 8))
+        docs = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "doc_id long, vector array<double>")
+        asked = [(f"q{i}", "ann", v[i].tolist()) for i in range(20)]
+        hits, work = nearest.nearest_granted(docs, docs.select(F.lit("ann").alias("principal"), "doc_id"), spark.createDataFrame(asked, "query_id string, principal string, query array<double>"), 5, 500)
+        got = {}
+        for r in hits.collect():
+            got.setdefault(r.query_id, {})[r["rank"]] = r.doc_id
+        for name, _, q in asked:
+            score = [sum(a * b for a, b in zip(x, q, strict=True)) for x in v.tolist()]
+            assert [got[name][k] for k in range(1, 6)] == sorted(range(n), key=lambda i: (-score[i], i))[:5]
+        counts = work.agg(F.sum("scored"), F.sum("granted")).first()
+        assert counts[1] == 20 * n
+        shares.append(counts[0] / counts[1])
+    assert shares[1] < shares[0] < 0.6 and shares[1] < 0.2, shares
+
+
 def test_cash_cycle_carries_balances_over_months(spark):
     d = datetime.date
     invoices = spark.createDataFrame([(d(2024, 1, 9), 100, 50), (d(2024, 3, 2), 200, 80)], "invoice_date date, revenue_amount int, cogs_amount int").withColumns({c: F.col(c).cast("decimal(18,4)") for c in ("revenue_amount", "cogs_amount")})
