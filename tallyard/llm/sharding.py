@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Hash ranges, and sub-ranges of a large group: fixed, so the table of offsets is bounded whatever the input.
+#: Hash ranges, and the least number of sub-ranges of a large group, which has as many as its rows would fill ranges: at
+#: most twice as many in all, so the table of offsets is bounded whatever the input, and so is a task's share of a group.
 CELLS = 2048
 PARTS = 16
 #: A group of equal texts is kept whole if it is at most this part of a shard.
@@ -39,13 +40,14 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
         ),
         "shard-sizes",
     )
-    total = rows.agg(F.sum("size").alias("total"))
+    total = rows.agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("total_n"))
+    parts = F.greatest(F.lit(PARTS), F.ceil(F.col("n") * CELLS / F.col("total_n"))).cast("int")
     # at most shards * WHOLE groups can be over this size: a bounded table
     large = (
         rows.groupBy("h").agg(F.sum("size").alias("group_size"), F.count(F.lit(1)).alias("n"))
         .crossJoin(F.broadcast(total))
         .where((F.col("n") > 1) & (F.col("group_size") * shards * WHOLE > F.col("total")))
-        .select("h", F.lit(True).alias("large"))
+        .select("h", F.lit(True).alias("large"), parts.alias("parts"))
     )
     cut = F.shiftright(F.col("h"), 53) + 1024 if cells == 2048 else F.pmod(F.shiftright(F.col("h"), 32), F.lit(cells))
     placed = (
@@ -53,7 +55,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
         .withColumn("cell", cut.cast("int"))
         # within a cell: first the rows of small groups, then each large group, in parts
         .withColumn("hot", F.when(F.col("large"), F.col("h")))
-        .withColumn("part", F.when(F.col("large"), F.pmod(F.xxhash64("id"), F.lit(PARTS))).otherwise(0).cast("int"))
+        .withColumn("part", F.when(F.col("large"), F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0).cast("int")).drop("parts")
     )
     cell = ["cell", "hot", "part"]
     line = Window.orderBy(F.col("cell"), F.col("hot").asc_nulls_first(), F.col("part"))
@@ -64,7 +66,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", tex
         .withColumn("row_at", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .select(*cell, "byte_at", "row_at")
     )
-    # CELLS + shards * WHOLE * PARTS rows at most, so this table too may be broadcast
+    # 2 * CELLS + shards * WHOLE * PARTS rows at most, so this table too may be broadcast
     keyed = placed.join(
         F.broadcast(offsets.withColumnRenamed("cell", "c").withColumnRenamed("hot", "g").withColumnRenamed("part", "p")),
         (F.col("cell") == F.col("c")) & F.col("hot").eqNullSafe(F.col("g")) & (F.col("part") == F.col("p")),

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import Words, discard, gram_hashes, materialize, mix, numbered_rows, one_row_per_id, ranges, remove_path, scratch_path, single_spaced, text_slices
 
 WINDOW, GRAM = 20, 8
-#: Rows of a run in a bucket: more make more buckets than there are shuffle partitions.
-BUCKET_ROWS = 4_000_000
+#: What a bucket of a run is meant to hold: rows (of texts, words). More make more buckets than there are shuffle partitions.
+BUCKET = {"fps": 4_000_000, "windows": 4_000_000, "texts": 50_000_000}
 
 
 class FingerprintIndex:
@@ -56,24 +56,26 @@ class FingerprintIndex:
         self.tag = f"index_{uuid.uuid4().hex[:12]}"
         self.runs: dict[str, list[str]] = {k: [] for k in self.KINDS}
         self.buckets: dict[str, int] = {}
+        self.sizes: dict[str, int] = {}
         where = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
         done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/state-*/_SUCCESS"))
         self.state = max((int(f.getPath().getParent().getName()[6:]) for f in done or []), default=0)
         if self.state:
-            for kind, run, n in spark.read.parquet(f"{self.path}/state-{self.state}").orderBy("place").select("kind", "run", "buckets").collect():
+            for kind, run, n, size in spark.read.parquet(f"{self.path}/state-{self.state}").orderBy("place").select("kind", "run", "buckets", "size").collect():
                 first = self.KINDS[kind].split()[0]
                 spark.sql(f"CREATE TABLE {self.tag}_{run} ({self.KINDS[kind].replace('long', 'bigint')}) USING parquet CLUSTERED BY ({first}) SORTED BY ({first}) INTO {n} BUCKETS LOCATION '{self.path}/{run}'")
                 self.runs[kind].append(run)
-                self.buckets[run] = n
+                self.buckets[run], self.sizes[run] = n, size
 
     def tables(self, kind: str) -> list[DataFrame]:
         return [self.spark.table(f"{self.tag}_{run}") for run in self.runs[kind]]
 
-    def write(self, kind: str, rows: DataFrame, count: int = 0) -> str:
-        """Writes a run of about so many rows; it counts once :meth:`commit` has named it."""
+    def write(self, kind: str, rows: DataFrame, size: int) -> str:
+        """Writes a run of at most so many rows (of texts, words); it counts once :meth:`commit` has named it."""
         run, first = f"{kind}_{uuid.uuid4().hex[:12]}", self.KINDS[kind].split()[0]
-        n = self.buckets[run] = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-count // BUCKET_ROWS))
+        n = self.buckets[run] = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET[kind]))
+        self.sizes[run] = size
         rows.repartition(n, first).write.bucketBy(n, first).sortBy(first).option("path", f"{self.path}/{run}").format("parquet").saveAsTable(f"{self.tag}_{run}")
         return run
 
@@ -88,12 +90,12 @@ class FingerprintIndex:
                     every = every.groupBy("fp").agg(F.when(F.count("doc_id") == F.count(F.lit(1)), F.min("doc_id")).alias("doc_id"))
                 elif kind == "windows":
                     every = every.distinct()
-                merged = self.write(kind, every, every.count() if kind == "fps" else sum(self.buckets[r] for r in self.runs[kind]))
+                merged = self.write(kind, every, sum(self.sizes[r] for r in self.runs[kind]))
                 old += self.runs[kind]
                 self.runs[kind] = [merged]
-        rows = [(k, r, self.buckets[r]) for k, runs in self.runs.items() for r in runs]
+        rows = [(k, r, self.buckets[r], self.sizes[r]) for k, runs in self.runs.items() for r in runs]
         self.state += 1
-        named = self.spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "place int, kind string, run string, buckets int")
+        named = self.spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "place int, kind string, run string, buckets int, size long")
         named.coalesce(1).write.parquet(f"{self.path}/state-{self.state}")
         remove_path(self.spark, f"{self.path}/state-{self.state - 1}")
         for run in old:
@@ -241,7 +243,8 @@ def repeated_windows(index: FingerprintIndex, docs: DataFrame, window: int = WIN
     fps = read.select("doc_id", F.arrays_zip("fps", "twice").alias("fps")).join(firsts, "doc_id", "left_semi")
     flat = materialize(fps.select("doc_id", F.explode("fps").alias("x")).select("doc_id", F.col("x.fps").alias("fp"), F.col("x.twice").alias("twice")), "fingerprint-rows")
     old_texts = index.tables("texts")
-    new = {"texts": index.write("texts", docs.join(firsts, "doc_id", "left_semi"))}
+    n_words = known.where((F.col("doc_id") == F.col("rep")) & (F.col("n_words") >= window)).agg(F.sum("n_words")).first()[0] or 0
+    new = {"texts": index.write("texts", docs.join(firsts, "doc_id", "left_semi"), n_words)}
     texts = index.spark.table(f"{index.tag}_{new['texts']}")
 
     # merge-join with the runs: of each fingerprint, whether it is there, and its only holder
@@ -273,7 +276,8 @@ def repeated_windows(index: FingerprintIndex, docs: DataFrame, window: int = WIN
     if keep:
         fresh = found.where("NOT spread").select("fp", F.when(~(F.col("twice") | F.col("old")), F.col("doc_id")).alias("doc_id"))
         new["fps"] = index.write("fps", fresh, found.count())
-        new["windows"] = index.write("windows", judged.where("digest IS NOT NULL").select("digest"))
+        digests = judged.where("digest IS NOT NULL").select("digest")
+        new["windows"] = index.write("windows", digests, digests.count())
         discard(judged)
     discard(read, same, flat, found, hits)
     return known, texts.join(later, "doc_id"), new

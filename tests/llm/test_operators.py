@@ -344,6 +344,22 @@ def test_index_goes_on_with_later_batches(spark, tmp_path, max_runs):
     assert not spark.catalog.tableExists(f"{index.tag}_{index.runs['fps'][0]}")
 
 
+def test_buckets_follow_the_rows_of_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(substring, "BUCKET", {"fps": 10, "windows": 5, "texts": 100})
+    rows = corpus(3, 80)
+    index = substring.FingerprintIndex(spark, f"file://{tmp_path}/i", 1, 1)
+    for half in (rows[::2], rows[1::2]):
+        substring.dedup_batch(index, frame(spark, half))
+        for kind, runs in index.runs.items():
+            (run,) = runs
+            held = index.tables(kind)[0]
+            size = sum(len((r.text or "").split()) for r in held.collect()) if kind == "texts" else held.count()
+            assert index.buckets[run] == max(4, -(-index.sizes[run] // substring.BUCKET[kind])) and index.sizes[run] >= size > 0
+    again = substring.FingerprintIndex(spark, f"file://{tmp_path}/i", 1, 1)
+    assert {r: again.sizes[r] for runs in again.runs.values() for r in runs} == {r: index.sizes[r] for runs in index.runs.values() for r in runs}
+    index.close(), again.close()
+
+
 def test_failed_batch_leaves_the_index(spark, tmp_path, monkeypatch):
     index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
     first, second = [(1, "a " * 30)], [(2, "b " * 30)]
@@ -888,7 +904,7 @@ def test_shards_are_cut_at_equal_targets(spark, cells):
     rows = list(enumerate(texts + texts[:60] + [None, "", "big " * 900])) + [(9000 + k, "hot text " * 9) for k in range(150)] + [(None, "x"), (3, "again")]
     df, shards = frame(spark, rows), 5
     hashed = {r.text: r.h for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()}
-    part = {r.doc_id: r.p for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(sharding.PARTS)).alias("p")).distinct().collect()}
+    hash_of = {r.doc_id: r.p for r in df.select("doc_id", F.xxhash64("doc_id").alias("p")).distinct().collect()}
     size = lambda t: len((t or "").encode()) + 1
     total = sum(size(t) for _, t in rows)
     group = defaultdict(list)
@@ -901,7 +917,8 @@ def test_shards_are_cut_at_equal_targets(spark, cells):
     def place(row):
         i, t = row
         h = hashed[t]
-        return cell(h), h in large, h if h in large else 0, part[i] if h in large else 0, h, i is not None, i or 0, size(t), zlib.crc32((t or "").encode())
+        parts = max(sharding.PARTS, -(-len(group[h]) * sharding.CELLS // len(rows)))
+        return cell(h), h in large, h if h in large else 0, hash_of[i] % parts if h in large else 0, h, i is not None, i or 0, size(t), zlib.crc32((t or "").encode())
 
     want, at, span = [], 0, {}
     for i, t in sorted(rows, key=place):
