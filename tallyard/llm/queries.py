@@ -44,6 +44,38 @@ SELECT c.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::bi
 """
 
 
+def _xxh64_sql(hx: str, n: str, seed: int = 42) -> str:
+    """XXH64 of bytes given as lower-case hex digits, in 128-bit arithmetic modulo 2**64; ``n``: how many bytes."""
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261  # fixed values of the algorithm
+    m = "18446744073709551616::uhugeint"
+    num = lambda k: f"{k}::uhugeint"
+    times = lambda x, k: f"(({x}) * {num(k)}) % {m}"
+    let = lambda name, x, body: f"list_transform([{x}], lambda {name}: {body})[1]"
+    turn = lambda name, x, r: let(name, x, f"({name} * {num(1 << r)}) % {m} + {name} // {num(1 << (64 - r))}")
+    mix = lambda name, x, r: let(name, x, f"xor({name}, {name} // {num(1 << r)})")
+    byte = lambda at: f"substr({hx}, 2 * ({at}) + 1, 2)"
+    little = lambda at, size: "('0x' || " + " || ".join(byte(f"{at} + {k}") for k in range(size - 1, -1, -1)) + ")::ubigint::uhugeint"
+    step = lambda name, acc, lane: times(turn(name, f"({acc} + {times(lane, p2)}) % {m}", 31), p1)
+    stripes = f"range(0, {n} // 32)"
+    lane_of = lambda j: f"list_reduce(list_prepend({num((seed + (p1 + p2, p2, 0, -p1)[j]) % (1 << 64))}, list_transform({stripes}, lambda k: {little(f'32 * k + {8 * j}', 8)})), lambda v, lane: {step('t', 'v', 'lane')})"
+    merged = " + ".join(turn(f"r{j}", f"v[{j + 1}]", r) for j, r in enumerate((1, 7, 12, 18)))
+    fold = f"({merged}) % {m}"
+    for j in range(4):
+        fold = f"({times(f'xor({fold}, {step(chr(97 + j), num(0), f'v[{j + 1}]')})', p1)} + {num(p4)}) % {m}"
+    long = let("v", f"[{', '.join(lane_of(j) for j in range(4))}]", fold)
+    begin = f"(CASE WHEN {n} >= 32 THEN {long} ELSE {num((seed + p5) % (1 << 64))} END + {n}::uhugeint) % {m}"
+    # what is left behind the stripes: eights, a four, and bytes, each marked above its 64 bits
+    at = f"{n} // 32 * 32"
+    eights = f"list_transform(range({at}, {n} - 7, 8), lambda k: {num(8 << 64)} + {little('k', 8)})"
+    four = f"list_transform(CASE WHEN {n} % 8 >= 4 THEN [{n} // 8 * 8] ELSE [] END, lambda k: {num(4 << 64)} + {little('k', 4)})"
+    ones = f"list_transform(range({n} // 4 * 4, {n}), lambda k: {num(1 << 64)} + {little('k', 1)})"
+    eight = f"({times(turn('u', f'xor(h, {step('t', num(0), f's % {m}')})', 27), p1)} + {num(p4)}) % {m}"
+    quad = f"({times(turn('u', f'xor(h, {times(f's % {m}', p1)})', 23), p2)} + {num(p3)}) % {m}"
+    one = times(turn("u", f"xor(h, {times(f's % {m}', p5)})", 11), p1)
+    tail = f"list_reduce(list_prepend({begin}, list_concat({eights}, list_concat({four}, {ones}))), lambda h, s: CASE WHEN s >= {num(8 << 64)} THEN {eight} WHEN s >= {num(4 << 64)} THEN {quad} ELSE {one} END)"
+    return mix("z", times(mix("y", times(mix("x", tail, 33), p2), 29), p3), 32)
+
+
 SQL: dict[str, str] = {
     "op3_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -87,4 +119,17 @@ SELECT n.conv_id, n.depth::bigint AS depth, up.conv_id AS parent_conv_id, n.n_co
 FROM n LEFT JOIN n up ON up.k = n.up LEFT JOIN kids ON kids.up = n.k JOIN under ON under.a = n.k
 """,
     "op12_vector_codes": _codes_sql(),
+    # the hash of each shingle in 128-bit arithmetic, the bits of each document, and all pairs of fingerprints
+    "op13_simhash": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, array_to_string(ws[i:i + 2], ' ') AS t FROM (SELECT doc_id, ws, unnest(range(1, CASE WHEN len(ws) = 0 THEN 1 ELSE greatest(len(ws) - 1, 2) END)) AS i FROM d)),
+u AS MATERIALIZED (SELECT t, lower(hex(encode(t))) AS hx, octet_length(encode(t))::bigint AS n FROM (SELECT DISTINCT t FROM s)),
+h AS MATERIALIZED (SELECT t, ({_xxh64_sql("hx", "n")})::ubigint AS h FROM u),
+c AS (SELECT s.doc_id, count(*) AS n, {", ".join(f"sum((h.h >> {b}) & 1)::bigint AS c{b}" for b in range(64))} FROM s JOIN h ON s.t = h.t GROUP BY 1),
+f AS MATERIALIZED (SELECT d.doc_id, coalesce({" + ".join(f"(2 * c{b} > n)::uhugeint * {1 << b}" for b in range(64))}, 0)::uhugeint AS fp FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
+k AS MATERIALIZED (SELECT fp, min(doc_id) AS doc_id FROM f GROUP BY 1),
+l AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y ON x.doc_id <> y.doc_id AND bit_count(xor(x.fp, y.fp)::hugeint::bit) <= 2),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM k UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT f.doc_id, lower(lpad(hex(f.fp::ubigint), 16, '0')) AS fingerprint, m.component_id FROM f JOIN k ON k.fp = f.fp JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY 1) m ON m.a = k.doc_id
+""",
 }
