@@ -246,10 +246,16 @@ def headline_of(states: dict[str, DataFrame], locations: DataFrame, closes: Data
 def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
     """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
 
-    Each fact table is read once, for its states; the invoices', which several KPIs share, is written, and the KPIs are
-    expressions over one row.
+    Each fact table is read once, and its aggregates are made once: the invoices' columns and the inventory values by
+    date are written, both at a time, and the KPIs are expressions over one row of all aggregates. Where facts change,
+    :func:`headline_of` makes the same row of kept states, without the facts.
     """
-    states = states_of(facts)
-    spark = facts["invoices"].sparkSession
-    states["invoices"], states["inventory"] = at_once(spark, lambda: written(states["invoices"], "invoice-states"), lambda: written(states["inventory"], "inventory-states"))
-    return headline_of(states, facts["locations"], facts["closes"], rounded)
+    by_date = facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"))
+    i, inventory = at_once(by_date.sparkSession, lambda: narrow(facts["invoices"]), lambda: written(by_date, "inventory-by-date"))
+    row = one_row(
+        invoice_totals(i), average_inventory(inventory), *_books(facts["gl"], facts["closes"]), *_activity(i, facts["locations"]), kpi_service(facts["sales"], False),
+        kpi_growth(i, facts["locations"], False), kpi_purchasing(facts["purchases"], False),
+    )
+    derived = {**_inventory(), **_finance(), **_productivity()}
+    marts = row.select(*(derived.get(k, F.col(k)).alias(k) for k in KPIS), "window_start", "window_end", "window_days")
+    return _final(marts, rounded)
