@@ -478,7 +478,7 @@ query(
     "g17_hashed_bag",
     r"""WITH c AS (SELECT doc_id, cast(('0x' || substr(sha256(tok), 15, 2)) AS int) % 64 AS b FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+')) AS tok FROM documents) WHERE tok <> ''), s AS (SELECT doc_id, b, count(*) AS n FROM c GROUP BY 1, 2)
     SELECT doc_id, list(coalesce(n, 0) ORDER BY i) AS vector FROM (SELECT d.doc_id, i, n FROM documents d CROSS JOIN (SELECT unnest(range(64)) AS i) LEFT JOIN s ON s.doc_id = d.doc_id AND s.b = i) GROUP BY 1""",
-)(lambda w: governance.hashed_bag(w.table("documents")))
+)(lambda w: governance.hashed_bag(w.spread("documents", "doc_id")))
 query("g18_outcomes", f"SELECT query_id, CASE WHEN n IS NULL THEN 'NO_GRANTS' WHEN removed > 0 THEN 'POST_VERIFY_REMOVED' ELSE 'EXECUTED' END AS outcome, coalesce(removed, 0) AS removed FROM ({_ASK}) LEFT JOIN (SELECT query_id, count(*) AS n, cast(count(*) FILTER (WHERE doc_id % 5 = 0) AS bigint) AS removed FROM ({_HITS}) GROUP BY 1) USING (query_id)")(
     lambda w: governance.retrieval_outcomes(_asked(w), governance.post_verify(_hits(w), _asked(w), _grants(w).where("doc_id % 5 <> 0")))
 )

@@ -14,6 +14,8 @@ from ..functions.scratch import written
 SOURCE = "dealer_one"
 #: Size of a table's files up to which its keys are broadcast: some ten million rows, 100 MB in memory.
 BROADCAST_BYTES = 16 << 20
+#: Bytes of a small table's files for which one task is worth its start.
+TASK_BYTES = 1 << 20
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -36,9 +38,24 @@ class Lake:
 
         Otherwise the optimizer decides. Without it, small facts may be broadcast to a single task over the keys.
         """
+        return F.broadcast(df) if self.size(table) <= BROADCAST_BYTES else df
+
+    def size(self, table: str) -> int:
+        """Bytes of a table's files."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.dir}/{table}.parquet")
-        size = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-        return F.broadcast(df) if size <= BROADCAST_BYTES else df
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def spread(self, table: str, key: str) -> DataFrame:
+        """A table to be worked on at length, its rows dealt by ``key`` over all cores if its files can't occupy them.
+
+        A file is read by as many tasks as it has row groups, so a small table in one group is worked on by one core.
+        Tables of which each core gets a full split (``spark.sql.files.maxPartitionBytes``) are read as they are: no
+        exchange is added where it would cost.
+        """
+        rows, cores, size = self.table(table), self.spark.sparkContext.defaultParallelism, self.size(table)
+        split = self.spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        n = min(cores, size // TASK_BYTES)
+        return rows.repartition(n, key) if n > 1 and size < cores * split else rows
 
     def kept(self, numbered: bool = True) -> Lake:
         """The same lake with its joined lines written once: for queries that make several entities of them.
@@ -100,13 +117,16 @@ def _salespeople(lake: Lake) -> DataFrame:
 
 
 def _lines(lake: Lake) -> DataFrame:
-    """Line items with order, nations and item prices; the base of order, invoice and purchase lines."""
+    """Line items with order, nations and item prices; the base of order, invoice and purchase lines.
+
+    Lines are spread by order, which numbering them asks for too.
+    """
     orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customers = lake.table("customer").select("c_custkey", "c_nationkey")
     suppliers = lake.table("supplier").select("s_suppkey", "s_nationkey")
     items = lake.items.select("p_partkey", "item_no", "unit_cost", "list_price")
     return (
-        lake.table("lineitem")
+        lake.spread("lineitem", "l_orderkey")
         .withColumn("line_no", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))

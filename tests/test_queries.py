@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from tallyard.plans import ORACLES, QUERIES
+from tallyard.sources import shape
+from tallyard.sources.shape import Lake
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
@@ -46,6 +48,28 @@ def test_same_as_sql(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["c15_fact_sales", "c19_gl", "b5_inventory_cat", "k8_headline", "g17_hashed_bag"])
+def test_spread_tables_give_the_same(spark, duck, name, monkeypatch):
+    """Small tables, dealt over the cores."""
+    monkeypatch.setattr(shape, "TASK_BYTES", 1 << 10)
+    test_same_as_sql(spark, duck, name)
+
+
+def test_only_small_tables_are_spread(spark, monkeypatch):
+    assert Lake(spark, str(DATA)).spread("lineitem", "l_orderkey").rdd.getNumPartitions() == 1  # not worth a task more
+    monkeypatch.setattr(shape, "TASK_BYTES", 1 << 10)
+    lines = Lake(spark, str(DATA)).spread("lineitem", "l_orderkey")
+    assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    numbered = Lake(spark, str(DATA)).lines.select("l_orderkey", "line_no")._jdf.queryExecution().executedPlan().toString()
+    assert numbered.count("Exchange hashpartitioning(l_orderkey") == 1  # numbering uses the same exchange
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:  # each core has splits enough
+        plan = Lake(spark, str(DATA)).spread("lineitem", "l_orderkey")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
