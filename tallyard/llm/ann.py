@@ -3,12 +3,17 @@
 Smallest Euclidean distance is turned into maximum inner product: a vector x becomes (x, -|x|^2 / 2), a query q
 becomes (q, 1). Pairs of components are quantised to 16 centres each; codes and centres are fitted to a loss that
 weighs the residual's part along the vector more than the part across it, since that is what changes high inner
-products. A search adds up table entries of the codes, two four-bit codes a byte, and reranks the best by their
-exact distances. Equal vectors are one entry of the index, with the smallest of their ids; every row is indexed.
+products. Entries of the index lie in cells around coarse centres, which are coded apart: codes are of what is left. A query looks into its nearest cells, as many as
+hold the given share of the neighbours of the fitted sample: in the whole table neighbours are nearer than in a
+sample of it, so that the share is met there too. A search adds up table entries of the codes, two four-bit codes a
+byte; codes and numbers alone travel to it, and the best of all cells are then joined to their vectors once and
+reranked by their exact distances. Equal vectors are one entry of the index, with the smallest of their ids, and ask
+once; every row is indexed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,10 +26,13 @@ from .common import materialize
 
 #: Bound of the sample that the centres are fitted on, chosen by a hash of the id.
 SAMPLE = 8192
-#: Entries of the index, and queries, that meet in a task; entries of a block that are reranked exactly.
-BLOCK, QUERIES, RERANK = 16384, 1024, 384
+#: Entries of the index, and queries, that meet in a task; entries that are reranked exactly for each query.
+BLOCK, QUERIES, RERANK = 16384, 2048, 384
+#: Share of the sample's neighbours that the cells looked into must hold; vectors of the sample for each cell.
+COVERAGE, CELL_SAMPLE = 0.995, 16
 PAIR = 2
 FOUND = "query_id long, vec_id long, score double"
+ROUGH = "q long, entry long, rough float"
 
 
 @dataclass
@@ -44,10 +52,10 @@ class Codebook:
         out = np.concatenate([q - self.mean, np.full((len(q), 1), self.scale)], axis=1)
         return np.pad(out, ((0, 0), (0, -out.shape[1] % PAIR)))
 
-    def encode(self, x: np.ndarray, sweeps: int = 2) -> np.ndarray:
-        """Four-bit codes (rows, parts) of augmented vectors: coordinate descent on the score-aware loss."""
-        parts = x.reshape(len(x), -1, PAIR)
-        along = parts / np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None, None]
+    def encode(self, x: np.ndarray, sweeps: int = 2, base: np.ndarray | float = 0.0) -> np.ndarray:
+        """Four-bit codes (rows, parts) of augmented vectors less their base: coordinate descent on the score-aware loss."""
+        parts = (x - base).reshape(len(x), -1, PAIR)
+        along = x.reshape(parts.shape) / np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None, None]
         codes = np.stack([((parts[:, m, None, :] - self.centres[m]) ** 2).sum(axis=2).argmin(axis=1) for m in range(parts.shape[1])], axis=1)
         residual = parts - self.centres[np.arange(parts.shape[1]), codes]
         parallel = (residual * along).sum(axis=2)
@@ -64,8 +72,11 @@ class Codebook:
         return codes.astype(np.uint8)
 
 
-def fit_codebook(sample: np.ndarray, threshold: float = 0.2, rounds: int = 6, seed: int = 3) -> Codebook:
-    """Centres for vectors (rows, dim); threshold: the cosine from which inner products count (sets the weight)."""
+def fit_codebook(sample: np.ndarray, threshold: float = 0.2, rounds: int = 6, seed: int = 3, near: np.ndarray | None = None) -> Codebook:
+    """Centres for vectors (rows, dim); threshold: the cosine from which inner products count (sets the weight).
+
+    near: of each vector the centre of its cell; what is left of the augmented vector without it is coded.
+    """
     rng = np.random.default_rng(seed)
     sample = np.asarray(sample, np.float64)
     dim = sample.shape[1]
@@ -74,20 +85,21 @@ def fit_codebook(sample: np.ndarray, threshold: float = 0.2, rounds: int = 6, se
     scale = max(float(half.std()), 1e-9) / max(float(sample.std()), 1e-9)
     book = Codebook(mean, scale, np.zeros((-(-(dim + 1) // PAIR), 16, PAIR)), max(1.0, dim * threshold**2 / (1 - threshold**2)))
     x = book.augment(sample)
-    parts = x.reshape(len(x), -1, PAIR)
+    base = 0.0 if near is None else book.augment(near)
+    parts = (x - base).reshape(len(x), -1, PAIR)
     for m in range(parts.shape[1]):  # plain k-means to begin with
         centres = parts[rng.choice(len(x), 16, replace=len(x) < 16), m]
         for _ in range(8):
-            near = ((parts[:, m, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
-            n = np.bincount(near, minlength=16)
+            own = ((parts[:, m, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
+            n = np.bincount(own, minlength=16)
             for a in range(PAIR):
-                total = np.bincount(near, weights=parts[:, m, a], minlength=16)
+                total = np.bincount(own, weights=parts[:, m, a], minlength=16)
                 centres[:, a] = np.where(n > 0, total / np.maximum(n, 1), centres[:, a])
         book.centres[m] = centres
-    along = parts / np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None, None]
+    along = x.reshape(parts.shape) / np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None, None]
     extra = book.eta - 1
     for _ in range(rounds):
-        codes = book.encode(x, sweeps=1)
+        codes = book.encode(x, sweeps=1, base=base)
         parallel = ((parts - book.centres[np.arange(parts.shape[1]), codes]) * along).sum(axis=2)
         total = parallel.sum(axis=1)
         for m in range(parts.shape[1]):  # each centre: weighted least squares, the other parts being fixed
@@ -135,15 +147,57 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & v.isNotNull() & fine).dropDuplicates(["id", "v"])
 
 
-def index_vectors(vectors: DataFrame, k: int) -> DataFrame:
-    """Distinct vectors: v, and ids, the k + 1 smallest that share it (a search for k can need no others)."""
+@dataclass
+class Cells:
+    """Coarse centres, near ones beside each other, and how many of them a query looks into."""
+
+    centres: np.ndarray  # (cells, dim)
+    probes: int
+
+    def ranked(self, x: np.ndarray) -> np.ndarray:
+        """The cells (rows, probes) nearest to each vector, nearest first."""
+        d = (self.centres * self.centres).sum(axis=1) - 2 * x @ self.centres.T
+        return np.argsort(d, axis=1, kind="stable")[:, : self.probes].astype(np.int32)
+
+    def own(self, x: np.ndarray) -> np.ndarray:
+        return ((self.centres * self.centres).sum(axis=1) - 2 * x @ self.centres.T).argmin(axis=1).astype(np.int32)
+
+
+def fit_cells(sample: np.ndarray, n: int, k: int, coverage: float = COVERAGE, rounds: int = 8, seed: int = 5) -> Cells:
+    """Cells for an index of n vectors: half the root of n, as long as the sample has CELL_SAMPLE vectors for each."""
+    rng = np.random.default_rng(seed)
+    count = int(max(1, min(len(sample) // CELL_SAMPLE, np.ceil(np.sqrt(n) / 2))))
+    cells = Cells(sample[rng.choice(len(sample), count, replace=False)].copy(), count)
+    for _ in range(rounds if count > 1 else 0):
+        near = cells.own(sample)
+        size = np.bincount(near, minlength=count)
+        sums = np.stack([np.bincount(near, weights=sample[:, j], minlength=count) for j in range(sample.shape[1])], axis=1)
+        cells.centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], cells.centres)
+    spread = cells.centres - cells.centres.mean(axis=0)
+    axis = np.linalg.svd(spread, full_matrices=False)[2][0]
+    cells.centres = cells.centres[np.argsort(spread @ axis, kind="stable")]
+    asked = sample[rng.choice(len(sample), min(len(sample), 1024), replace=False)]
+    d = (sample * sample).sum(axis=1) - 2 * asked @ sample.T
+    k = min(k, len(sample) - 1)
+    near = np.argpartition(d, k, axis=1)[:, : k + 1]  # itself is among them, in its nearest cell, and counts for nothing
+    place = np.argsort(cells.ranked(asked), axis=1)  # of each cell in the query's order
+    needed = np.sort(np.take_along_axis(place, cells.own(sample)[near], axis=1), axis=1)[:, 1:].ravel()
+    if len(needed):
+        cells.probes = int(np.quantile(needed, coverage, method="higher")) + 1
+    return cells
+
+
+def index_vectors(vectors: DataFrame, k: int, query_where) -> DataFrame:
+    """Distinct vectors: v, ids, the k + 1 smallest that share it (a search for k can need no others), asked (is any a query)."""
     part = F.pmod(F.xxhash64("id"), F.lit(64))
     some = vectors.withColumn("r", F.row_number().over(Window.partitionBy("v", part).orderBy("id"))).where(F.col("r") <= k + 1)
     some = some.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
-    return some.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    asked = vectors.where(query_where).select("v", F.lit(None).cast("long").alias("id"), F.lit(True).alias("asked")).distinct()
+    both = some.select("v", "id", F.lit(False).alias("asked")).unionByName(asked)
+    return both.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.max("asked").alias("asked"))
 
 
-def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK) -> DataFrame:
+def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK, coverage: float = COVERAGE) -> DataFrame:
     """The k nearest rows of each row for which the condition ``query_where`` on column ``id`` holds, itself left out.
 
     Returns query_id, rank (from 1), vec_id and score (Euclidean distance in double precision), nearest first, ties
@@ -157,59 +211,101 @@ def nearest(vectors: DataFrame, query_where, k: int = 10, id_col: str = "vec_id"
         part = rows.where(F.size("v") == length)
         queries = part.where(query_where)
         if not queries.isEmpty():
-            found = found.unionByName(_search(part, queries, k, rerank))
+            found = found.unionByName(_search(part, query_where, k, max(rerank, k + 1), coverage))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, queries: DataFrame, k: int, rerank: int) -> DataFrame:
-    """Candidates (query_id, vec_id, score) among vectors of one length: the k best of each block of the index."""
-    index = materialize(index_vectors(rows, k), "distinct-vectors")
-    n = index.count()
-    n_queries = queries.count()
-    sample = index.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
-    book = fit_codebook(np.array(sample))
-    blocks, chunks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
+def _wide(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        wide = lambda t: t["v"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
-        x, q = wide(left), wide(right)
-        packed = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(x), -1)
-        lists = left["ids"].combine_chunks()
-        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        names = right["id"].to_numpy()
-        out_q, out_v, out_s = [], [], []
-        for a in range(0, len(q), 64):
-            rough = scan(book, packed, q[a : a + 64])
-            best = np.argpartition(-rough, rerank, axis=1)[:, :rerank] if len(x) > rerank else np.tile(np.arange(len(x)), (len(rough), 1))
-            for k_, rows_ in enumerate(best):
-                d = np.sqrt(np.cumsum((x[rows_] - q[a + k_]) ** 2, axis=1)[:, -1])  # summed from left to right
-                sizes = at[rows_ + 1] - at[rows_]
-                ids = np.concatenate([flat[at[r] : at[r + 1]] for r in rows_])
-                score = np.repeat(d, sizes)
-                other = ids != names[a + k_]
-                ids, score = ids[other], score[other]
-                order = np.lexsort((ids, score))[:k]
-                out_q.append(np.full(len(order), names[a + k_]))
-                out_v.append(ids[order])
-                out_s.append(score[order])
-        return pa.table({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
+
+def _deal(sizes: dict[int, int], count: int) -> tuple[list[int], list[int]]:
+    """First block and number of blocks of each cell: neighbouring cells share a block, cells above BLOCK have several."""
+    first, many, block, filled = [0] * count, [0] * count, 0, 0
+    for cell in range(count):
+        n = sizes.get(cell, 0)
+        if filled and filled + n > BLOCK:
+            block, filled = block + 1, 0
+        first[cell], many[cell] = block, -(-n // BLOCK)
+        filled += n
+        if many[cell] > 1:
+            block, filled = block + many[cell], 0
+    return first, many
+
+
+def _search(rows: DataFrame, query_where, k: int, rerank: int, coverage: float) -> DataFrame:
+    """Candidates (query_id, vec_id, score) among vectors of one length: at least the k best that were found."""
+    # numbers of a written table stay as they are when a task is run again
+    index = materialize(index_vectors(rows, k, query_where), "distinct-vectors").withColumn("entry", F.monotonically_increasing_id())
+    sample = index.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(SAMPLE).select("v").toArrow()
+    sample = _wide(sample["v"], sample.num_rows)
+    n = index.count()
+    cells = fit_cells(sample, n, k, coverage)
+    book = fit_codebook(sample, near=cells.centres[cells.own(sample)])
+    rerank = math.ceil(rerank * math.sqrt(max(1, -(-n // BLOCK))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = b.column("v").flatten().to_numpy().reshape(b.num_rows, -1)
-            codes = pack_codes(book.encode(book.augment(x)))
-            yield pa.RecordBatch.from_arrays([b.column("v"), b.column("ids"), pa.array([c.tobytes() for c in codes], pa.binary())], names=["v", "ids", "code"])
+            x = _wide(b.column("v"), b.num_rows)
+            near = cells.ranked(x)
+            codes = pack_codes(book.encode(book.augment(x), base=book.augment(cells.centres[near[:, 0]])))
+            probed = pa.array([p if a else None for p, a in zip(near.tolist(), b.column("asked").to_pylist(), strict=True)], pa.list_(pa.int32()))
+            columns = [b.column("entry"), b.column("v"), b.column("ids"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(near[:, 0]), probed]
+            yield pa.RecordBatch.from_arrays(columns, names=["entry", "v", "ids", "code", "cell", "probed"])
+
+    schema = "entry long, v array<double>, ids array<long>, code binary, cell int, probed array<int>"
+    coded = materialize(index.select("entry", "v", "ids", "asked").mapInArrow(encode, schema), "coded-vectors")
+    asked = coded.where("probed IS NOT NULL")
+    sizes = {r["cell"]: r["count"] for r in coded.groupBy("cell").count().collect()}  # a row a cell
+    first, many = _deal(sizes, len(cells.centres))
+    at = lambda table, cell: F.array(*map(F.lit, table))[cell]
+    chunks = max(1, -(-asked.count() // QUERIES))
+    block = at(first, F.col("cell")) + F.pmod(F.xxhash64("entry"), at(many, F.col("cell")).cast("long")).cast("int")
+    left = coded.select("entry", "cell", "code", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    blocks = F.flatten(F.transform(F.filter("probed", lambda c: at(many, c) > 0), lambda c: F.sequence(at(first, c), at(first, c) + at(many, c) - 1)))
+    right = asked.select(F.col("entry").alias("q"), "v", "probed", F.pmod(F.xxhash64("entry"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(F.array_distinct(blocks)).alias("block"))
+
+    def scan_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"q": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "rough": pa.array([], pa.float32())})
+        queries, entries, cell = _wide(right["v"], right.num_rows), left["entry"].to_numpy(), left["cell"].to_numpy()
+        packed = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(entries), -1)
+        looked = np.zeros((len(queries), len(first)), bool)
+        np.put_along_axis(looked, _wide(right["probed"], right.num_rows), True, axis=1)
+        names, out = right["q"].to_numpy(), []
+        for a in range(0, len(queries), 64):
+            rough = scan(book, packed, queries[a : a + 64])
+            rough += (book.augment_queries(queries[a : a + 64]) @ book.augment(cells.centres).T).astype(np.float32)[:, cell]
+            rough[~looked[a : a + 64][:, cell]] = -np.inf
+            best = np.argpartition(-rough, rerank, axis=1)[:, :rerank] if len(entries) > rerank else np.tile(np.arange(len(entries)), (len(rough), 1))
+            score = np.take_along_axis(rough, best, axis=1)
+            row, col = np.nonzero(score > -np.inf)
+            out.append((names[a + row], entries[best[row, col]], score[row, col]))
+        q, entry, score = map(np.concatenate, zip(*out, strict=True))
+        return pa.table({"q": q, "entry": entry, "rough": score})
+
+    rough = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(scan_block, ROUGH)
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("rough"), "entry"))
+    best = rough.withColumn("r", place).where(F.col("r") <= rerank).select("q", "entry")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                d = (_wide(b.column("v"), b.num_rows) - _wide(b.column("qv"), b.num_rows)) ** 2
+                d = np.sqrt(np.cumsum(d, axis=1)[:, -1])  # summed from left to right
+                yield pa.RecordBatch.from_arrays([b.column("q"), b.column("ids"), pa.array(d)], names=["q", "ids", "score"])
 
-    coded = materialize(index.mapInArrow(encode, "v array<double>, ids array<long>, code binary"), "coded-vectors")
-    left = coded.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    right = queries.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(search, FOUND)
+    pairs = best.join(coded.select("entry", "v", "ids"), "entry").join(asked.select(F.col("entry").alias("q"), F.col("v").alias("qv")), "q").select("q", "v", "qv", "ids")
+    exact = pairs.mapInArrow(measure, "q long, ids array<long>, score double").select("q", F.explode("ids").alias("vec_id"), "score")
+    # the rows up to the (k + 1)th id: enough for any query of this vector, which leaves out its own id
+    order = Window.partitionBy("q").orderBy("score", "vec_id")
+    again = F.row_number().over(Window.partitionBy("q", "vec_id").orderBy("score"))
+    near = exact.withColumn("first", (again == 1).cast("int")).withColumn("seen", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("seen") <= k + 1)
+    named = rows.where(query_where).join(asked.select(F.col("entry").alias("q"), "v"), "v").select(F.col("id").alias("query_id"), "q")
+    return named.join(near, "q").where(F.col("query_id") != F.col("vec_id")).select("query_id", "vec_id", "score")
 
 
 def op4_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0)
-
-
