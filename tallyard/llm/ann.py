@@ -265,30 +265,55 @@ def _search(rows: DataFrame, query_where, k: int, rerank: int, coverage: float)
     block = at(first, F.col("cell")) + F.pmod(F.xxhash64("entry"), at(many, F.col("cell")).cast("long")).cast("int")
     left = coded.select("entry", "cell", "code", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     blocks = F.flatten(F.transform(F.filter("probed", lambda c: at(many, c) > 0), lambda c: F.sequence(at(first, c), at(first, c) + at(many, c) - 1)))
-    right = asked.select(F.col("entry").alias("q"), "v", "probed", F.pmod(F.xxhash64("entry"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(F.array_distinct(blocks)).alias("block"))
+    # a score that about ``rerank`` entries of all reach, from the sample's: no block returns what can't be among them
+    share = rerank * len(sample) / n
+    place = math.ceil(share + 3 * math.sqrt(share))
+    sample_cell = cells.own(sample)
+    sample_code = pack_codes(book.encode(book.augment(sample), base=book.augment(cells.centres[sample_cell])))
+
+    def scores(packed: np.ndarray, cell: np.ndarray, queries: np.ndarray, looked: np.ndarray) -> np.ndarray:
+        rough = scan(book, packed, queries)
+        rough += (book.augment_queries(queries) @ book.augment(cells.centres).T).astype(np.float32)[:, cell]
+        rough[~looked[:, cell]] = -np.inf
+        return rough
+
+    def cells_of(probed, rows: int) -> np.ndarray:
+        looked = np.zeros((rows, len(first)), bool)
+        np.put_along_axis(looked, _wide(probed, rows), True, axis=1)
+        return looked
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            least = np.full(b.num_rows, -np.inf, np.float32)
+            if b.num_rows and place <= len(sample):
+                queries, looked = _wide(b.column("v"), b.num_rows), cells_of(b.column("probed"), b.num_rows)
+                for a in range(0, b.num_rows, 64):
+                    rough = scores(sample_code, sample_cell, queries[a : a + 64], looked[a : a + 64])
+                    least[a : a + 64] = -np.partition(-rough, place - 1, axis=1)[:, place - 1]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(least)], names=[*b.schema.names, "least"])
+
+    bounded = asked.select("entry", "v", "probed").mapInArrow(bound, "entry long, v array<double>, probed array<int>, least float")
+    right = bounded.select(F.col("entry").alias("q"), "v", "probed", "least", F.pmod(F.xxhash64("entry"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(F.array_distinct(blocks)).alias("block"))
 
     def scan_block(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"q": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "rough": pa.array([], pa.float32())})
         queries, entries, cell = _wide(right["v"], right.num_rows), left["entry"].to_numpy(), left["cell"].to_numpy()
         packed = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(entries), -1)
-        looked = np.zeros((len(queries), len(first)), bool)
-        np.put_along_axis(looked, _wide(right["probed"], right.num_rows), True, axis=1)
+        looked, least = cells_of(right["probed"], right.num_rows), right["least"].to_numpy()
         names, out = right["q"].to_numpy(), []
         for a in range(0, len(queries), 64):
-            rough = scan(book, packed, queries[a : a + 64])
-            rough += (book.augment_queries(queries[a : a + 64]) @ book.augment(cells.centres).T).astype(np.float32)[:, cell]
-            rough[~looked[a : a + 64][:, cell]] = -np.inf
+            rough = scores(packed, cell, queries[a : a + 64], looked[a : a + 64])
             best = np.argpartition(-rough, rerank, axis=1)[:, :rerank] if len(entries) > rerank else np.tile(np.arange(len(entries)), (len(rough), 1))
             score = np.take_along_axis(rough, best, axis=1)
-            row, col = np.nonzero(score > -np.inf)
+            row, col = np.nonzero((score > -np.inf) & (score >= least[a : a + 64, None]))
             out.append((names[a + row], entries[best[row, col]], score[row, col]))
         q, entry, score = map(np.concatenate, zip(*out, strict=True))
         return pa.table({"q": q, "entry": entry, "rough": score})
 
     rough = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(scan_block, ROUGH)
-    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("rough"), "entry"))
-    best = rough.withColumn("r", place).where(F.col("r") <= rerank).select("q", "entry")
+    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("rough"), "entry"))
+    best = rough.withColumn("r", nth).where(F.col("r") <= rerank).select("q", "entry")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
