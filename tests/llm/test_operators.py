@@ -513,44 +513,6 @@ def test_nearest_of_each_length(spark, monkeypatch):
     assert hit >= 0.95 * 10 * len(asked)
 
 
-def test_nearest_of_many_in_cells(spark):
-    """50,000 vectors near a surface of six dimensions: a rerank of 64 (twice that for four blocks), from a tenth of the cells."""
-    rng = np.random.default_rng(8)
-    x = (np.tanh(rng.standard_normal((50_000, 6)) @ rng.standard_normal((6, 24)) / 2) + rng.standard_normal((50_000, 24)) * 0.02).astype(np.float32)
-    df = spark.createDataFrame(pa.table({"vec_id": np.arange(50_000), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 24).cast(pa.list_(pa.float32()))}))
-    got = ann.nearest(df, F.col("id") % 500 == 0, rerank=64).toPandas()
-    x = x.astype(np.float64)
-    hit = 0
-    for q in range(0, 50_000, 500):
-        d = ((x - x[q]) ** 2).sum(axis=1)
-        d[q] = np.inf
-        hit += len(set(np.argsort(d)[:10]) & set(got.loc[got["query_id"] == q, "vec_id"]))
-    assert len(got) == 1000 and hit >= 0.9 * 1000
-    few, many = (ann.fit_cells(x[:8192], n, 10) for n in (5_000, 50_000))
-    assert many.probes < len(many.centres) / 4 and many.probes / len(many.centres) <= few.probes / len(few.centres)
-
-
-def test_nearest_by_ids_that_repeat(spark, monkeypatch):
-    """Ids with several vectors, and a vector that half of all queries share, in cells cut into several blocks."""
-    monkeypatch.setattr(ann, "BLOCK", 40)
-    rng = np.random.default_rng(9)
-    x = rng.standard_normal((300, 6)).round(3)
-    rows = [(i % 280, v.tolist()) for i, v in enumerate(x)] + [(i, x[0].tolist()) for i in range(1000, 1200)]
-    got = defaultdict(list)
-    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 4 == 0, rerank=400, coverage=1.0).collect():
-        got[r.query_id].append((r.score, r.vec_id))
-    assert set(got) == {i for i, _ in rows if i % 4 == 0}
-    for q in got:
-        best = sorted((float(np.sqrt(np.cumsum((np.array(v) - np.array(w)) ** 2)[-1])), j) for i, v in rows if i == q for j, w in rows if j != q)[:10]
-        assert sorted(got[q]) == best
-
-
-def test_cells_dealt_to_blocks(monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 10)
-    first, many = ann._deal({0: 4, 1: 5, 2: 3, 4: 25, 5: 10, 6: 1}, 7)
-    assert many == [1, 1, 1, 0, 3, 1, 1] and first[0] == first[1] == 0 and first[2] == 1 and first[4] == 2 and first[5] == 5 and first[6] == 6
-
-
 def test_nearest_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert not ann.nearest(spark.createDataFrame([], schema), F.col("id") >= 0).collect()
