@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import ratio, total
+from ..functions.scratch import written
 
 
 def _result(counted: DataFrame, name: str | Column, severity: str = "error", detail: Column | None = None) -> DataFrame:
@@ -61,6 +63,12 @@ def check_name(check: Check) -> str:
     return f"{kind}:{table}.{column}" + (f"->{parent}" if parent else "")
 
 
+def _packed(v: Column) -> Column:
+    """Bytes of a string, other ones for another string: hexadecimal digests of 32 digits as their 16 bytes, which nothing else is packed to."""
+    raw = v.cast("binary")
+    return F.when(F.octet_length(v) < 16, raw).when((F.octet_length(v) == 32) & (F.lower(F.hex(F.unhex(v))) == v), F.unhex(v)).otherwise(F.concat(raw, F.unhex(F.lit("00"))))
+
+
 def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity: str = "error") -> DataFrame:
     """All declared checks from one pass over each table and one exchange, however many they are.
 
@@ -68,27 +76,48 @@ def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity:
     where it is read; then one row for each value of each check is dealt, so a value that most rows share costs no more. Null
     values fail not_null checks alone; a value that stands several times fails a unique check once; each child row
     without a parent fails a relationship.
+
+    Only what can fail is dealt, in few bytes: of not_null checks the nulls, of others what isn't null. Values of unique
+    checks travel as hashes of 64 bits; where a hash stands several times, which is rare, a second pass over the tables of
+    such checks deals these values themselves.
     """
-    rows = []
-    for name, df in tables.items():
-        parts = []
-        for n, (_, table, column, parent, key) in enumerate(checks):
-            if table == name:
-                parts.append(F.struct(F.lit(n).alias("n"), F.col(column).cast("string").alias("v"), F.lit(True).alias("child")))
-            if parent == name:
-                parts.append(F.struct(F.lit(n).alias("n"), F.col(key).cast("string").alias("v"), F.lit(False).alias("child")))
-        if parts:
-            used = sorted({c for _, t, c, p, k in checks for x, c in ((t, c), (p, k)) if x == name})
-            rows.append(df.select(*used).select(F.inline(F.array(*parts))))
-    counts = reduce(DataFrame.unionByName, rows).groupBy("n", "v").agg(F.count_if("child").alias("children"), F.count_if(~F.col("child")).alias("parents"))
-    kind = F.array(*(F.lit(c[0]) for c in checks))[F.col("n")]
-    fails = (
-        F.when(kind == "not_null", F.when(F.col("v").isNull(), F.col("children"))).when(F.col("v").isNull(), 0)
-        .when(kind == "unique", (F.col("children") > 1).cast("long")).otherwise(F.when(F.col("parents") == 0, F.col("children")))
-    )
-    found = counts.groupBy("n").agg(F.sum(F.coalesce(fails, F.lit(0))).alias("failing"))
-    named = rows[0].sparkSession.createDataFrame([(n, check_name(c)) for n, c in enumerate(checks)], "n int, name string")
-    return _result(named.join(found, "n", "left").select("name", F.coalesce("failing", F.lit(0)).alias("failing_rows")), F.col("name"), severity)
+    kinds = [c[0] for c in checks]
+
+    def rows(wanted: Callable[[int, Column, bool], Column | None]) -> DataFrame:
+        """(n, v, child) of all tables as ``wanted`` makes them of a check's number, a value, and whether it is the child's."""
+        out = []
+        for name, df in tables.items():
+            parts = []
+            for n, (_, table, column, parent, key) in enumerate(checks):
+                for c, child in ((column, True),) * (table == name) + ((key, False),) * (parent == name):
+                    if (row := wanted(n, F.col(c).cast("string"), child)) is not None:
+                        parts.append(row)
+            if parts:
+                used = sorted({c for _, t, c, p, k in checks for x, c in ((t, c), (p, k)) if x == name})
+                out.append(df.select(*used).select(F.inline(F.array_compact(F.array(*parts)))))
+        return reduce(DataFrame.unionByName, out)
+
+    row = lambda n, v, child: F.struct(F.lit(n).alias("n"), v.alias("v"), F.lit(child).alias("child"))
+
+    def first(n: int, v: Column, child: bool) -> Column:
+        if kinds[n] == "not_null":
+            return F.when(v.isNull(), row(n, F.lit(None).cast("binary"), child))
+        return F.when(v.isNotNull(), row(n, F.unhex(F.hex(F.xxhash64(v))) if kinds[n] == "unique" else _packed(v), child))
+
+    kind = F.array(*map(F.lit, kinds))[F.col("n")]
+    counts = rows(first).groupBy("n", "v").agg(F.count_if("child").alias("children"), F.count_if(~F.col("child")).alias("parents"))
+    lost = F.when(kind == "not_null", F.col("children")).when((kind != "unique") & (F.col("parents") == 0), F.col("children")).otherwise(0)
+    # of a unique check only what may stand several times is kept, beside the sums of all others
+    twice = (kind == "unique") & (F.col("children") > 1)
+    found = written(counts.groupBy("n", F.when(twice, F.col("v")).alias("v")).agg(F.sum(lost).alias("failing")).where("v IS NOT NULL OR failing > 0"), "failing")
+    failing = found.where("v IS NULL").select("n", "failing")
+    again = found.where("v IS NOT NULL").select("n", F.col("v").alias("h"))
+    if not again.isEmpty():
+        values = rows(lambda n, v, child: F.when(v.isNotNull(), row(n, v, child)) if kinds[n] == "unique" else None)
+        values = values.withColumn("h", F.unhex(F.hex(F.xxhash64("v")))).join(again, ["n", "h"], "left_semi")
+        failing = failing.unionByName(values.groupBy("n", "v").count().where("count > 1").groupBy("n").agg(F.count(F.lit(1)).alias("failing")))
+    named = found.sparkSession.createDataFrame([(n, check_name(c)) for n, c in enumerate(checks)], "n int, name string")
+    return _result(named.join(failing, "n", "left").select("name", F.coalesce("failing", F.lit(0)).alias("failing_rows")), F.col("name"), severity)
 
 
 def unmapped_accounts(ledger: DataFrame) -> DataFrame:
