@@ -16,6 +16,8 @@ SOURCE = "dealer_one"
 BROADCAST_BYTES = 16 << 20
 #: Bytes of a small table's files for which one task is worth its start.
 TASK_BYTES = 1 << 20
+#: Bytes of such a table's files that one task gets at most: some 200,000 order lines.
+DEALT_BYTES = 4 << 20
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -49,12 +51,13 @@ class Lake:
         """A table to be worked on at length, its rows dealt by ``key`` over all cores if its files can't occupy them.
 
         A file is read by as many tasks as it has row groups, so a small table in one group is worked on by one core.
-        Tables of which each core gets a full split (``spark.sql.files.maxPartitionBytes``) are read as they are: no
-        exchange is added where it would cost.
+        Tasks are as many as the cores, and more where a core's share would exceed DEALT_BYTES, so that a task's memory
+        doesn't grow with the table. Tables of which each core gets a full split (``spark.sql.files.maxPartitionBytes``)
+        are read as they are: no exchange is added where it would cost.
         """
         rows, cores, size = self.table(table), self.spark.sparkContext.defaultParallelism, self.size(table)
         split = self.spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-        n = min(cores, size // TASK_BYTES)
+        n = max(min(cores, size // TASK_BYTES), -(-size // DEALT_BYTES))
         return rows.repartition(n, key) if n > 1 and size < cores * split else rows
 
     def kept(self, numbered: bool = True) -> Lake:

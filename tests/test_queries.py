@@ -70,6 +70,16 @@ def test_only_small_tables_are_spread(spark, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_dealt_tasks_stay_small(spark, monkeypatch):
+    """A task's share of a table that is dealt doesn't grow with the table: more tasks than cores."""
+    monkeypatch.setattr(shape, "TASK_BYTES", 1 << 10)
+    monkeypatch.setattr(shape, "DEALT_BYTES", 8 << 10)
+    lake = Lake(spark, str(DATA))
+    tasks = lake.spread("lineitem", "l_orderkey").rdd.getNumPartitions()
+    assert tasks > spark.sparkContext.defaultParallelism
+    assert (tasks - 1) * (8 << 10) < lake.size("lineitem") <= tasks * (8 << 10)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
