@@ -2,7 +2,8 @@
 
 A window is spread over the bins that it touches (of those its key has lines in), a line has one bin, and both meet by
 (key, bin): a line meets each window once, so nothing is doubled, and a key that most lines share is cut by time. A bin of
-a key that still holds more lines than a task should is dealt over salts, to which only its windows are copied.
+a key that still holds more lines than a task should is dealt over salts, to which only its windows are copied. Where
+the windows are few, all of their bins are broadcast, and lines stay where they are.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from .scratch import written
 BIN_DAYS = 32
 #: Lines of one key and bin that meet in a task.
 TASK_LINES = 1_000_000
+#: Bins of windows that are broadcast at most: some 10 MB.
+FEW_WINDOWS = 100_000
 
 
 def _bin(day: Column, days: int) -> Column:
     return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days).cast("int")
 
 
-def valid_at(lines: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, days: int = BIN_DAYS, task_lines: int = TASK_LINES) -> DataFrame:
+def valid_at(lines: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, days: int = BIN_DAYS, task_lines: int = TASK_LINES, few_windows: int = FEW_WINDOWS) -> DataFrame:
     """All lines (key, at, ...) with the columns of the windows (key, start, end, ...) of their key that hold ``at``.
 
     Both ends belong to a window. A line that no window holds stays, with nulls; one that several hold comes once for each;
@@ -31,15 +34,19 @@ def valid_at(lines: DataFrame, windows: DataFrame, key: str, at: str, start: str
         raise ValueError(f"columns of both tables: {sorted(both)}")
     counts = lines.where(F.col(key).isNotNull() & F.col(at).isNotNull()).groupBy(key, _bin(F.col(at), days).alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
     counts = written(counts, "bin-counts")  # lines are read twice in all: to be counted, and to be joined
-    salts = F.ceil(F.col("_n") / task_lines).cast("int")
-    hot = counts.where(F.col("_n") > task_lines).select(key, "_bin", salts.alias("_salts"))  # at most a row for each task_lines lines
     span = counts.groupBy(key).agg(F.min("_bin").alias("_from"), F.max("_bin").alias("_to"))
     spread = windows.join(span, key).withColumn("_a", F.greatest(_bin(F.col(start), days), "_from")).withColumn("_z", F.least(_bin(F.col(end), days), "_to")).where("_a <= _z AND " + f"`{start}` <= `{end}`")
     spread = spread.withColumn("_bin", F.explode(F.sequence("_a", "_z"))).drop("_a", "_z", "_from", "_to")
+    held = F.col(at).between(F.col(start), F.col(end))
+    if all(df.limit(few_windows + 1).count() <= few_windows for df in (windows, spread)):
+        w = F.broadcast(spread.withColumnsRenamed({key: "_key", "_bin": "_wbin"}))
+        return lines.join(w, (F.col(key) == F.col("_key")) & (_bin(F.col(at), days) == F.col("_wbin")) & held, "left").drop("_key", "_wbin")
+    salts = F.ceil(F.col("_n") / task_lines).cast("int")
+    hot = counts.where(F.col("_n") > task_lines).select(key, "_bin", salts.alias("_salts"))  # at most a row for each task_lines lines
     spread = spread.join(hot, [key, "_bin"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     dealt = lines.withColumn("_bin", _bin(F.col(at), days)).join(hot, [key, "_bin"], "left")
     # by the line itself, so that a task that is run again deals alike
     dealt = dealt.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*lines.columns), F.col("_salts"))).cast("int")).drop("_salts")
     w = spread.withColumnsRenamed({key: "_key", "_bin": "_wbin", "_salt": "_wsalt"})
-    met = (F.col(key) == F.col("_key")) & (F.col("_bin") == F.col("_wbin")) & (F.col("_salt") == F.col("_wsalt")) & F.col(at).between(F.col(start), F.col(end))
+    met = (F.col(key) == F.col("_key")) & (F.col("_bin") == F.col("_wbin")) & (F.col("_salt") == F.col("_wsalt")) & held
     return dealt.join(w, met, "left").drop("_bin", "_salt", "_key", "_wbin", "_wsalt")

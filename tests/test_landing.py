@@ -657,3 +657,16 @@ def test_gate_asks_its_state_once_a_source_and_batch():
     (second,) = gate.handleInputRows((0,), iter([later]), None)
     assert set(second["verdict"]) == {"REGENERATED_BATCH"}
     assert (gate.newest.asked, gate.hashes.asked) == (40, 60)
+
+
+@pytest.mark.parametrize("task_lines", [5, 10**6])
+def test_windows_that_are_many_meet_by_exchange(spark, task_lines):
+    lines = spark.range(300).selectExpr("id", "IF(id % 10 = 0, 'a', 'hot') AS key", "date_add(date '2020-01-01', cast(id % 200 AS int)) AS at")
+    windows = spark.range(12).selectExpr("IF(id % 3 = 0, 'a', 'hot') AS key", "date_add(date '2020-01-01', cast(id * 15 AS int)) AS a", "date_add(date '2020-01-01', cast(id * 15 + 40 AS int)) AS z", "id AS w")
+    got = intervals.valid_at(lines, windows, "key", "at", "a", "z", 20, task_lines, few_windows=11)
+    few = intervals.valid_at(lines, windows, "key", "at", "a", "z", 20, task_lines)
+    plain = lines.join(windows, (lines.key == windows.key) & F.col("at").between(F.col("a"), F.col("z")), "left").select("id", "w")
+    rows = lambda df: sorted((r.id, -1 if r.w is None else r.w) for r in df.select("id", "w").collect())
+    assert rows(got) == rows(few) == rows(plain)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(key" not in plan.split("BroadcastExchange")[0]  # lines stay where they are
