@@ -76,9 +76,9 @@ def _planned(queries: DataFrame, pivots: dict[int, np.ndarray], k: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             first, rest, bounds = [], [], []
-            for q, cells in zip(b.column("query").to_pylist(), b.column("cells").to_pylist(), strict=True):
-                q = np.array(q, float)
-                ids, n, far = (np.array([c[x] for c in cells]) for x in ("cell", "n", "far"))
+            for query, cells in zip(b.column("query"), b.column("cells"), strict=True):  # one at a time: as Python objects, the cells of a batch would fill gigabytes
+                q = query.values.to_numpy(zero_copy_only=False)
+                ids, n, far = (cells.values.field(x).to_numpy(zero_copy_only=False) for x in ("cell", "n", "far"))
                 size = float(np.sqrt((q * q).sum()))
                 centre, away = np.zeros(len(ids)), np.zeros(len(ids))
                 at = ids >= 0
@@ -88,9 +88,9 @@ def _planned(queries: DataFrame, pivots: dict[int, np.ndarray], k: int) -> DataF
                 bound = centre + size * far + 1e-9 * size * (away + far)  # what rounding may take away
                 order = np.lexsort((ids, -bound))
                 needed = int(np.searchsorted(np.cumsum(n[order]), k)) + 1
-                first.append(ids[order[:needed]].tolist())
-                rest.append(ids[order[needed:]].tolist())
-                bounds.append(bound[order[needed:]].tolist())
+                first.append(ids[order[:needed]])
+                rest.append(ids[order[needed:]])
+                bounds.append(bound[order[needed:]])
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("query_id", "principal", "query")), pa.array(first, pa.list_(pa.int32())), pa.array(rest, pa.list_(pa.int32())), pa.array(bounds, pa.list_(pa.float64()))],
                 names=["query_id", "principal", "query", "first", "rest", "bounds"],

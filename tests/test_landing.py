@@ -670,3 +670,24 @@ def test_windows_that_are_many_meet_by_exchange(spark, task_lines):
     assert rows(got) == rows(few) == rows(plain)
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(key" not in plan.split("BroadcastExchange")[0]  # lines stay where they are
+
+
+def test_search_plan_of_many_cells_stays_small(spark):
+    """Queries with many cells each are planned one at a time: no Python object for each cell."""
+    import tracemalloc
+
+    cells = "array<struct<cell: int, n: bigint, far: double>>"
+    asked = spark.range(4000).selectExpr("cast(id AS string) AS query_id", "'p' AS principal", "array(1D, cast(id AS double)) AS query", f"cast(transform(sequence(0, 255), c -> struct(c, 3L, 0.5D)) AS {cells}) AS cells")
+    pivots = {2: np.arange(512, dtype=float).reshape(256, 2)}
+    planned = nearest._planned(asked, pivots, 10)
+    row = planned.where("query_id = '7'").first()
+    assert row["first"][:2] == [255, 254] and len(row["first"]) == 4 and len(row["rest"]) == len(row["bounds"]) == 252
+    run = []
+    frame = type("Frame", (), {"schema": asked.schema, "mapInArrow": lambda self, f, fields: run.append(f)})()
+    nearest._planned(frame, pivots, 10)
+    batches = asked.toArrow().combine_chunks().to_batches()
+    tracemalloc.start()
+    (out,) = run[0](iter(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == 4000 and peak < 60 << 20  # 4,000 x 256 cells as objects: over 300 MB
