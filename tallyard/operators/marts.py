@@ -176,32 +176,37 @@ STATE_KEYS = {
 BY_DAY, BY_PLACE, BY_INVOICE = 0b0111, 0b1001, 0b1110
 
 
-def states_of(facts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def states_of(facts: dict[str, DataFrame], by: str | None = None) -> dict[str, DataFrame]:
     """The states of facts (invoices, sales, purchases, inventory, gl): one pass over each.
 
     Every row has the number of its lines, so that sets (days, invoices, orders) are exact when lines are taken away again.
+    ``by``: a column of all facts, whose values' states are made in the same pass; it stays in front of the keys.
     """
+    by = [by] if by else []
     n = F.count(F.lit(1)).alias("lines")
     money = [total(c).alias(c) for c in ("revenue_amount", "cogs_amount", "gross_margin_amount")]
     key = ["invoice_date", "customer_key", "location_key", "invoice_no"]
-    sets = [["invoice_date"], ["customer_key", "location_key"], ["invoice_no"]]
+    sets = [[*by, "invoice_date"], [*by, "customer_key", "location_key"], [*by, "invoice_no"]]
     count = lambda c: F.sum(F.col(c).cast("long"))
     return {
-        "invoices": facts["invoices"].groupingSets(sets, *key).agg(F.grouping_id().alias("g"), *money, n),
-        "orders": active_lines(facts["sales"]).groupBy("order_no").agg(
+        "invoices": facts["invoices"].groupingSets(sets, *by, *key).agg(F.grouping_id().alias("g"), *money, n),
+        "orders": active_lines(facts["sales"]).groupBy(*by, "order_no").agg(
             F.count_if("is_line_complete").alias("complete"), F.count_if("is_on_time").alias("on_time"), F.count("shipped_date").alias("shipped"),
             F.sum(F.least("filled_qty", "ordered_qty")).alias("filled"), count("ordered_qty").alias("ordered"), F.count_if("is_backordered").alias("backordered"), n,
         ),
-        "inventory": facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"), n),
-        "purchases": facts["purchases"].groupBy(F.lit(1).alias("one")).agg(
+        "inventory": facts["inventory"].groupBy(*by, "snapshot_date").agg(total("inventory_value").alias("inventory_value"), n),
+        "purchases": facts["purchases"].groupBy(*by, F.lit(1).alias("one")).agg(
             count("received_qty").alias("received"), count("ordered_qty").alias("ordered"), total("ppv_amount").alias("ppv"), total("received_standard_amount").alias("standard"), n,
         ),
-        "books": facts["gl"].groupBy("consolidated_account").agg(total("net_amount").alias("net"), n),
+        "books": facts["gl"].groupBy(*by, "consolidated_account").agg(total("net_amount").alias("net"), n),
     }
 
 
 def merged_states(states: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, removed: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """States with those of new lines added and those of lines that went taken away; rows without lines go."""
+    """States with those of new lines added and those of lines that went taken away; rows without lines go.
+
+    The rows of a key may be several in each of them, as where they come from several states: they are summed.
+    """
     out = {}
     for name, keys in STATE_KEYS.items():
         sums = [c for c in states[name].columns if c not in keys]

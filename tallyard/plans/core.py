@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.intervals import valid_at
-from ..functions.scratch import written
+from ..functions.scratch import at_once, written
 from ..operators import bi, marts, model
 from ..sources.shape import SOURCE
 from .oracle import SK
@@ -120,9 +120,13 @@ def _(w):
     """The headline from states: those of two thirds of all lines, the other third added; a part is added twice and taken away again."""
     f = w.facts
     line = {"invoices": "invoice_no", "sales": "order_no", "purchases": "po_no", "inventory": "item_key", "gl": "journal_no"}
-    third = lambda k: marts.states_of({n: f[n].where(F.pmod(F.xxhash64(c), F.lit(3)).isin(k)) for n, c in line.items()})
+    # each line is read once; its third tells to which states it belongs
+    thirds = marts.states_of({n: f[n].withColumn("third", F.pmod(F.xxhash64(c), F.lit(3))) for n, c in line.items()}, by="third")
+    names = list(thirds)
+    kept = dict(zip(names, at_once(w.spark, *(lambda n=n: written(thirds[n], f"thirds-{n}") for n in names)), strict=True))
+    third = lambda k: {n: df.where(F.col("third").isin(k)).drop("third") for n, df in kept.items()}
     states = marts.merged_states(third([0, 1]), added=third([1, 2]), removed=third([1]))
-    states = {n: written(df, f"state-{n}") for n, df in states.items()}
+    states = dict(zip(names, at_once(w.spark, *(lambda n=n: written(states[n], f"state-{n}") for n in names)), strict=True))
     return marts.headline_of(states, f["locations"], f["closes"], rounded=False)
 
 

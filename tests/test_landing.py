@@ -691,3 +691,29 @@ def test_search_plan_of_many_cells_stays_small(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert out.num_rows == 4000 and peak < 60 << 20  # 4,000 x 256 cells as objects: over 300 MB
+
+
+def test_states_by_a_column_are_those_of_its_values(spark):
+    """One pass makes the states of each part; together they are the states of all lines."""
+    lines = spark.range(60).selectExpr("id % 3 AS part", "date_add(date '2020-01-01', cast(id % 5 AS int)) AS invoice_date", "IF(id % 4 = 0, NULL, concat('c', id % 4)) AS customer_key", "concat('l', id % 2) AS location_key", "concat('i', id div 6) AS invoice_no",
+        "concat('o', id div 6) AS order_no", "id % 4 AS filled_qty", "3L AS ordered_qty", "0L AS cancelled_qty", "id % 4 >= 3 AS is_line_complete", "id % 2 = 0 AS is_on_time", "id % 4 < 3 AS is_backordered", "IF(id % 5 = 0, NULL, date '2020-01-02') AS shipped_date", "2L AS received_qty",
+        "last_day(date_add(date '2020-01-01', cast(id AS int))) AS snapshot_date", "IF(id % 2 = 0, 'a', 'b') AS consolidated_account", *(f"cast(id * 1.5 AS decimal(18,4)) AS {c}" for c in ("revenue_amount", "cogs_amount", "gross_margin_amount", "inventory_value", "ppv_amount", "received_standard_amount", "net_amount")))
+    facts = {n: lines for n in ("invoices", "sales", "inventory", "purchases", "gl")}
+    rows = lambda df: sorted(map(repr, df.collect()))
+    kept, whole = marts.states_of(facts, by="part"), marts.states_of(facts)
+    parts = {n: df.drop("part") for n, df in kept.items()}
+    empty = {n: df.where("false") for n, df in parts.items()}
+    for name, merged in marts.merged_states(parts, added=empty).items():
+        assert rows(merged.select(*sorted(merged.columns))) == rows(whole[name].select(*sorted(merged.columns))), name
+        one = marts.states_of({n: df.where("part = 1") for n, df in facts.items()})[name]
+        assert rows(kept[name].where("part = 1").select(*one.columns)) == rows(one), name
+
+
+def test_entries_are_counted_before_they_meet_the_chart(spark):
+    """No join or sort takes the entries of an account into one task."""
+    from tallyard.plans import QUERIES
+
+    plan = QUERIES["c13_coa_usage"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line and "source_gl_account" in line)
+    below = plan[plan.index(join) :]
+    assert "Aggregate [account" in below
