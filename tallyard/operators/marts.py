@@ -123,8 +123,11 @@ def kpi_growth(invoices: DataFrame, locations: DataFrame, rounded: bool = True)
 
     A customer's home is the branch of the highest revenue; of equal ones, the smallest key.
     """
-    parts = invoices.where("customer_key IS NOT NULL").groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
-    return _final(_growth(parts, kpi_window(invoices).select("window_start"), locations), rounded)
+    return _final(_growth(_places(invoices), kpi_window(invoices).select("window_start"), locations), rounded)
+
+
+def _places(invoices: DataFrame) -> DataFrame:
+    return invoices.where("customer_key IS NOT NULL").groupBy("customer_key", "location_key").agg(total("revenue_amount").alias("r"))
 
 
 def _growth(parts: DataFrame, window: DataFrame, locations: DataFrame) -> DataFrame:
@@ -148,10 +151,13 @@ def kpi_purchasing(purchases: DataFrame, rounded: bool = True) -> DataFrame:
     return _final(mart, rounded)
 
 
-def _activity(invoices: DataFrame, locations: DataFrame) -> tuple[DataFrame, ...]:
-    """Numbers of invoices and of days with any, each by a distinct of its own, so that lines aren't expanded; and of people."""
-    many = lambda c, name: invoices.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias(name))
-    return many("invoice_no", "invoices"), many("invoice_date", "active_days"), locations.agg(F.sum("fte_count").alias("fte"))
+def _activity(invoices: DataFrame, locations: DataFrame, days: DataFrame | None = None) -> tuple[DataFrame, ...]:
+    """Numbers of invoices and of days with any, each by a distinct of its own, so that lines aren't expanded; and of people.
+
+    ``days``: a frame with all invoice dates, where there is one shorter than the invoices.
+    """
+    many = lambda df, c, name: df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias(name))
+    return many(invoices, "invoice_no", "invoices"), many(invoices if days is None else days, "invoice_date", "active_days"), locations.agg(F.sum("fte_count").alias("fte"))
 
 
 def _productivity() -> dict[str, Column]:
@@ -249,17 +255,21 @@ def headline_of(states: dict[str, DataFrame], locations: DataFrame, closes: Data
 
 
 def kpi_headline(facts: dict[str, DataFrame], rounded: bool = True) -> DataFrame:
-    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes.
+    """One row of all 21 KPIs and the window. facts: invoices, sales, purchases, inventory, gl, locations, closes; and, where it
+    is at hand, places: the invoices' revenue by customer and location, one row each.
 
-    Each fact table is read once, and its aggregates are made once: the invoices' columns and the inventory values by
-    date are written, both at a time, and the KPIs are expressions over one row of all aggregates. Where facts change,
-    :func:`headline_of` makes the same row of kept states, without the facts.
+    The sums of invoices by day, which three marts share, and the inventory values by date are written, both at a time; numbers of
+    invoices and places are aggregates of their own, and the KPIs are expressions over one row of all aggregates. Where facts
+    change, :func:`headline_of` makes the same row of kept states, without the facts.
     """
+    i, places = facts["invoices"], facts.get("places")
+    by_day = i.groupBy("invoice_date").agg(*(total(c).alias(c) for c in ("revenue_amount", "cogs_amount", "gross_margin_amount")))
     by_date = facts["inventory"].groupBy("snapshot_date").agg(total("inventory_value").alias("inventory_value"))
-    i, inventory = at_once(by_date.sparkSession, lambda: narrow(facts["invoices"]), lambda: written(by_date, "inventory-by-date"))
+    days, inventory = at_once(by_date.sparkSession, lambda: written(by_day, "invoices-by-day"), lambda: written(by_date, "inventory-by-date"))
+    parts = _places(i) if places is None else places.where("customer_key IS NOT NULL").withColumnRenamed("revenue_amount", "r")
     row = one_row(
-        invoice_totals(i), average_inventory(inventory), *_books(facts["gl"], facts["closes"]), *_activity(i, facts["locations"]), kpi_service(facts["sales"], False),
-        kpi_growth(i, facts["locations"], False), kpi_purchasing(facts["purchases"], False),
+        invoice_totals(days), average_inventory(inventory), *_books(facts["gl"], facts["closes"]), *_activity(i, facts["locations"], days), kpi_service(facts["sales"], False),
+        _growth(parts, kpi_window(days).select("window_start"), facts["locations"]), kpi_purchasing(facts["purchases"], False),
     )
     derived = {**_inventory(), **_finance(), **_productivity()}
     marts = row.select(*(derived.get(k, F.col(k)).alias(k) for k in KPIS), "window_start", "window_end", "window_days")

@@ -36,7 +36,22 @@ def crosswalk_location(branches: DataFrame, as_of: Column) -> DataFrame:
     return branches.select(F.lit("group").alias("source_system"), F.col("branch_code").alias("source_key"), sk("branch_code").alias("canonical_location_key"), as_of.alias("loaded_at"))
 
 
-def _keyed(df: DataFrame, xwalk: DataFrame, key: str, canonical: str, name: str) -> DataFrame:
+def matched(df: DataFrame, key: Column, xwalk: DataFrame, company: str, name: str) -> DataFrame:
+    """``df`` with the number of rows that a crosswalk has for ``key``: lines that meet ``df`` need not meet the crosswalk."""
+    n = xwalk.where(F.col("source_system") == company).groupBy(F.col("source_key").alias("_key")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    return df.withColumn("_key", key).join(n, "_key", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_key", "_n")
+
+
+def repeated(lines: DataFrame, *counts: str) -> DataFrame:
+    """Lines as often as joins with the crosswalks of these counts (:func:`matched`) would give them: once, as a rule."""
+    times = reduce(lambda a, b: a * b, (F.col(c) for c in counts))
+    return lines.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("_time")).drop("_time")
+
+
+def _keyed(df: DataFrame, xwalk: DataFrame | None, key: str, canonical: str, name: str) -> DataFrame:
+    """``df`` with the key that the crosswalk gives; without a crosswalk, ``df`` has it already."""
+    if xwalk is None:
+        return df
     x = xwalk.select(F.col("source_system"), F.col("source_key").alias(key), F.col(canonical).alias(name))
     return df.join(x, ["source_system", key])
 
@@ -110,7 +125,7 @@ def ref_price_list(items: DataFrame, xwalk: DataFrame, loaded_at: Column) -> Dat
     return keyed.select("item_key", "item_no", "uom", "list_price", loaded_at.cast("date").alias("effective_start_date"), F.lit("9999-12-31").cast("date").alias("effective_end_date"))
 
 
-def fact_sales_order_line(lines: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+def fact_sales_order_line(lines: DataFrame, customers: DataFrame | None, items: DataFrame | None) -> DataFrame:
     """Order lines; customers and items are the crosswalks."""
     keyed = _keyed(_keyed(lines, customers, "customer_no", "canonical_customer_key", "customer_key"), items, "item_no", "canonical_item_key", "item_key")
     filled = F.least("filled_qty", "ordered_qty")
@@ -123,7 +138,7 @@ def fact_sales_order_line(lines: DataFrame, customers: DataFrame, items: DataFra
     )
 
 
-def fact_invoice_line(lines: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+def fact_invoice_line(lines: DataFrame, customers: DataFrame | None, items: DataFrame | None) -> DataFrame:
     keyed = _keyed(_keyed(lines, customers, "customer_no", "canonical_customer_key", "customer_key"), items, "item_no", "canonical_item_key", "item_key")
     return keyed.select(
         sk("source_system", "invoice_no", "line_no").alias("invoice_line_key"), "source_system", "invoice_no", "line_no", "invoice_date", "order_no", "customer_key", "item_key",
@@ -133,7 +148,7 @@ def fact_invoice_line(lines: DataFrame, customers: DataFrame, items: DataFrame)
     )
 
 
-def fact_purchase_order_line(lines: DataFrame, vendors: DataFrame, items: DataFrame) -> DataFrame:
+def fact_purchase_order_line(lines: DataFrame, vendors: DataFrame | None, items: DataFrame | None) -> DataFrame:
     keyed = _keyed(_keyed(lines, vendors, "vendor_no", "canonical_vendor_key", "vendor_key"), items, "item_no", "canonical_item_key", "item_key")
     return keyed.select(
         sk("source_system", "po_no", "line_no").alias("purchase_order_line_key"), "source_system", "po_no", "line_no", "po_date", "vendor_key", "item_key", sk("branch_code").alias("location_key"),

@@ -60,17 +60,22 @@ class Lake:
         n = max(min(cores, size // TASK_BYTES), -(-size // DEALT_BYTES))
         return rows.repartition(n, key) if n > 1 and size < cores * split else rows
 
-    def kept(self, numbered: bool = True) -> Lake:
+    def having(self, **frames: DataFrame) -> Lake:
+        """A lake of the same tables with these frames in place of its own of that name."""
+        out = type(self)(self.spark, self.dir)
+        out._tables = self._tables
+        out._built.update(frames)
+        return out
+
+    def kept(self, numbered: bool = True, more: tuple[str, ...] = ()) -> Lake:
         """The same lake with its joined lines written once: for queries that make several entities of them.
 
         Without ``numbered``, lines have no numbers, which cost a sort of each order's lines: for queries that only sum.
+        ``more``: columns of the lines beyond those that the entities are made of.
         """
-        out = type(self)(self.spark, self.dir)
-        out._tables = self._tables
         columns = [c for c in _LINE_COLUMNS if numbered or c != "line_no"]
-        lines = written(self.lines.select(*columns), "lines")
-        out._built["lines"] = lines if numbered else lines.withColumn("line_no", F.lit(None).cast("int"))
-        return out
+        lines = written(self.lines.select(*columns, *more), "lines").selectExpr("*", *_LINE_CODES)
+        return self.having(lines=lines if numbered else lines.withColumn("line_no", F.lit(None).cast("int")))
 
     def __getattr__(self, name: str) -> DataFrame:
         make = _RULES.get(name)
@@ -122,29 +127,28 @@ def _salespeople(lake: Lake) -> DataFrame:
 def _lines(lake: Lake) -> DataFrame:
     """Line items with order, nations and item prices; the base of order, invoice and purchase lines.
 
-    Lines are spread by order, which numbering them asks for too.
+    Lines are spread by order, which numbering them asks for too. Orders meet their customers before they meet lines, which
+    are several times as many.
     """
-    orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    customers = lake.table("customer").select("c_custkey", "c_nationkey")
-    suppliers = lake.table("supplier").select("s_suppkey", "s_nationkey")
-    items = lake.items.select("p_partkey", "item_no", "unit_cost", "list_price")
+    orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").join(lake.line_customers, F.col("o_custkey") == F.col("c_custkey"))
     return (
         lake.spread("lineitem", "l_orderkey")
         .withColumn("line_no", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(items, F.col("l_partkey") == F.col("p_partkey"))
+        .join(lake.line_vendors, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(lake.line_items, F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr(
-            "*", "cast(o_orderdate as date) AS od", "cast(l_quantity as int) AS qty", "cast(l_discount as decimal(4,2)) AS disc", "cast(l_tax as decimal(4,2)) AS tax",
-            "concat('BR-', lpad(cast(s_nationkey as string), 2, '0')) AS supplier_branch",
-            "concat('BR-', lpad(cast(CASE WHEN l_orderkey % 4 = 0 THEN s_nationkey ELSE c_nationkey END as string), 2, '0')) AS branch_code",
+            "*", "cast(o_orderdate as date) AS od", "cast(l_quantity as int) AS qty", "cast(l_discount as decimal(4,2)) AS disc", "cast(l_tax as decimal(4,2)) AS tax", *_LINE_CODES
         )
     )
 
 
-#: Columns of the lines that the entities are made of.
-_LINE_COLUMNS = ["l_orderkey", "line_no", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "o_custkey", "o_orderstatus", "od", "qty", "disc", "tax", "item_no", "unit_cost", "list_price", "supplier_branch", "branch_code"]
+#: Columns of the lines that the entities are made of, but for codes, which are made of keys where lines are read.
+_LINE_COLUMNS = ["l_orderkey", "line_no", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "o_custkey", "o_orderstatus", "od", "qty", "disc", "tax", "unit_cost", "list_price", "s_nationkey", "c_nationkey"]
+_LINE_CODES = [
+    "concat('I-', l_partkey) AS item_no", "concat('BR-', lpad(cast(s_nationkey as string), 2, '0')) AS supplier_branch",
+    "concat('BR-', lpad(cast(CASE WHEN l_orderkey % 4 = 0 THEN s_nationkey ELSE c_nationkey END as string), 2, '0')) AS branch_code",
+]
 
 
 def _sales_order_lines(lake: Lake) -> DataFrame:
@@ -158,7 +162,7 @@ def _sales_order_lines(lake: Lake) -> DataFrame:
             "concat('S-', l_orderkey % 40) AS salesperson_code", "item_no", "'EA' AS uom", "ordered_qty", "filled_qty", "cancelled_qty",
             "cast(list_price * (1 - disc) as decimal(18,4)) AS unit_price", "unit_cost", "date_add(od, 7) AS promised_date", "shipped_date",
             "CASE WHEN cancelled_qty > 0 THEN 'CANCELLED' WHEN shipped_date IS NULL THEN 'OPEN' WHEN filled_qty < ordered_qty THEN 'PARTIAL' ELSE 'SHIPPED' END AS order_status",
-            "l_orderkey", "tax",
+            "l_orderkey", "o_custkey", "tax",
         )
     )
 
@@ -167,7 +171,7 @@ def _invoice_lines(lake: Lake) -> DataFrame:
     return lake.sales_order_lines.where("shipped_date IS NOT NULL AND filled_qty > 0 AND cancelled_qty = 0").selectExpr(
         "source_system", "concat('INV-', l_orderkey) AS invoice_no", "line_no", "shipped_date AS invoice_date", "order_no", "customer_no", "branch_code", "item_no", "uom",
         "filled_qty AS invoiced_qty", "unit_price", "unit_cost", "cast(cast(filled_qty as int) * cast(0.05 as decimal(4,2)) as decimal(18,4)) AS freight_amt",
-        "cast(cast(filled_qty as int) * unit_price * tax as decimal(18,4)) AS tax_amt", "l_orderkey",
+        "cast(cast(filled_qty as int) * unit_price * tax as decimal(18,4)) AS tax_amt", "l_orderkey", "o_custkey",
     )
 
 
@@ -194,7 +198,8 @@ def _inventory_snapshots(lake: Lake) -> DataFrame:
     )
 
 
-def _gl_entries(lake: Lake) -> DataFrame:
+def _gl_entries(lake: Lake, by_day: bool = False) -> DataFrame:
+    """Entries of invoices and bills; ``by_day``: their sums of each day and account, without journals and branches."""
     sales = lake.invoice_lines.groupBy("l_orderkey").agg(
         F.min("invoice_date").alias("d"), F.min("branch_code").alias("branch_code"), F.sum(F.expr("cast(invoiced_qty as int) * unit_price")).cast("decimal(18,2)").cast("decimal(18,4)").alias("x")
     )
@@ -202,6 +207,10 @@ def _gl_entries(lake: Lake) -> DataFrame:
         F.sum(F.expr("cast(received_qty as int) * unit_cost_actual")).cast("decimal(18,2)").cast("decimal(18,4)").alias("x")
     )
 
+    if by_day:  # of the keys no more stays than what decides which entries there are
+        days = lambda df, key: df.groupBy("d", (F.col(key) % 5).alias(key), F.lit(None).cast("string").alias("branch_code")).agg(F.sum("x").alias("x"))
+        sales, bills = days(sales, "l_orderkey"), days(bills, "l_suppkey")
+
     def entries(df: DataFrame, number: str, legs: list[tuple[str, str, int, str, str, str]]) -> DataFrame:
         """Two lines of each leg (prefix, condition, days after d, debit, credit, description), from one pass over df."""
         line = "struct('{0}' AS prefix, date_add(d, {2}) AS entry_date, '{5}' AS description, cast(%d as bigint) AS line_no, '{%d}' AS account, %s AS debit_amt, %s AS credit_amt)"
@@ -240,6 +249,8 @@ def _close_calendar(lake: Lake) -> DataFrame:
 
 
 _RULES = {
+    "line_customers": lambda lake: lake.table("customer").select("c_custkey", "c_nationkey"), "line_vendors": lambda lake: lake.table("supplier").select("s_suppkey", "s_nationkey"),
+    "line_items": lambda lake: lake.items.select("p_partkey", "unit_cost", "list_price"), "gl_days": lambda lake: _gl_entries(lake, by_day=True),
     "branches": _branches, "items": _items, "customers": _customers, "vendors": _vendors, "salespeople": _salespeople, "lines": _lines,
     "sales_order_lines": _sales_order_lines, "invoice_lines": _invoice_lines, "purchase_order_lines": _purchase_order_lines,
     "inventory_snapshots": _inventory_snapshots, "gl_entries": _gl_entries, "coa": _coa, "close_calendar": _close_calendar,
