@@ -717,3 +717,14 @@ def test_entries_are_counted_before_they_meet_the_chart(spark):
     join = next(line for line in plan.splitlines() if "Join LeftOuter" in line and "source_gl_account" in line)
     below = plan[plan.index(join) :]
     assert "Aggregate [account" in below
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,1024]", "spark://host:7077", "yarn"])
+def test_jdbc_scan_refuses_executors_of_their_own(master):
+    """Before anything is written: each executor would have an embedded database of its own."""
+    from types import SimpleNamespace
+
+    from tallyard.plans import QUERIES
+
+    with pytest.raises(ValueError, match="local master only"):
+        QUERIES["i16_jdbc_scan"](SimpleNamespace(sparkContext=SimpleNamespace(master=master)), "/root/testdata/sf0.001")
