@@ -672,6 +672,23 @@ def test_windows_that_are_many_meet_by_exchange(spark, task_lines):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(key" not in plan.split("BroadcastExchange")[0]  # lines stay where they are
 
 
+@pytest.mark.parametrize(("task_lines", "least"), [(10**6, 1_000), (10**6, 50), (10, 1_000)])
+def test_many_windows_made_of_few_rows_are_never_broadcast(spark, monkeypatch, task_lines, least):
+    """A small table that becomes many windows: keys uncut, cut and dealt over salts give the same lines, those without a key or date too."""
+    monkeypatch.setattr(intervals, "BIN_LINES", least, raising=False)
+    lines = spark.range(400).selectExpr("id", "CASE WHEN id % 9 = 0 THEN NULL WHEN id % 5 = 0 THEN 'hot' ELSE concat('k', id % 20) END AS key", "IF(id % 7 = 0, NULL, date_add(date '1969-11-01', cast(id % 200 AS int))) AS at")
+    table = spark.range(21).selectExpr("IF(id = 20, 'hot', concat('k', id)) AS key", "explode(sequence(0, 9)) AS w")
+    windows = table.selectExpr("w", "key", "date_add(date '1969-11-01', w * 20) AS a", "date_add(date '1969-11-01', w * 20 + 25 - 50 * int(w = 4)) AS z")
+    got = intervals.valid_at(lines, windows, "key", "at", "a", "z", 20, task_lines, few_windows=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # broadcast are crowded keys, and full bins to lines and windows, alone
+    assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastHashJoin") == (3 if task_lines == 10 else int(least == 50))
+    assert got.columns == ["id", "key", "at", "w", "a", "z"]
+    plain = lines.join(windows.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("at").between(F.col("a"), F.col("z")), "left").select("id", "w")
+    rows = lambda df: sorted((r.id, -1 if r.w is None else r.w) for r in df.select("id", "w").collect())
+    assert rows(got) == rows(plain)
+
+
 def test_search_plan_of_many_cells_stays_small(spark):
     """Queries with many cells each are planned one at a time: no Python object for each cell."""
     import tracemalloc
