@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import valid_at
@@ -48,6 +48,15 @@ def repeated(lines: DataFrame, *counts: str) -> DataFrame:
     return lines.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("_time")).drop("_time")
 
 
+def key_counts(fact: DataFrame, key: str, xwalk: DataFrame, canonical: str, company: str) -> DataFrame:
+    """(v, n): how many rows of a fact have each canonical key, of a fact that holds source keys as ``key`` and its rows as often
+    as the crosswalk has them (:func:`repeated`). Rows are counted before they meet the crosswalk, where both are dealt by key."""
+    n = fact.groupBy(F.col(key).alias("source_key")).agg(F.count(F.lit(1)).alias("n"))
+    times = F.count(F.lit(1)).over(Window.partitionBy("source_key"))
+    x = xwalk.where(F.col("source_system") == company).select("source_key", F.col(canonical).alias("v"), times.alias("_times"))
+    return n.join(x.hint("merge"), "source_key").select("v", F.expr("n div _times").alias("n"))
+
+
 def _keyed(df: DataFrame, xwalk: DataFrame | None, key: str, canonical: str, name: str) -> DataFrame:
     """``df`` with the key that the crosswalk gives; without a crosswalk, ``df`` has it already."""
     if xwalk is None:
@@ -113,8 +122,6 @@ def ref_coa_mapping(coa: DataFrame) -> DataFrame:
 
 def coa_overlaps(coa: DataFrame) -> DataFrame:
     """Active windows of one account that overlap the next one, which would repeat ledger lines."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("source_company_id", "source_gl_account").orderBy("effective_start_date", "effective_end_date")
     return coa.where("active_flag").withColumn("next_start", F.lead("effective_start_date").over(w)).where("next_start <= effective_end_date")
 
@@ -159,7 +166,7 @@ def fact_purchase_order_line(lines: DataFrame, vendors: DataFrame | None, items:
     )
 
 
-def fact_inventory_snapshot(snapshots: DataFrame, items: DataFrame, scoped: bool = False) -> DataFrame:
+def fact_inventory_snapshot(snapshots: DataFrame, items: DataFrame | None, scoped: bool = False) -> DataFrame:
     """Month-end positions; the key has no source system unless ``scoped``."""
     keyed = _keyed(snapshots, items, "item_no", "canonical_item_key", "item_key")
     parts = [*(["source_system"] if scoped else []), "snapshot_date", "branch_code", "item_no"]

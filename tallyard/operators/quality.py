@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import ratio, total
-from ..functions.scratch import written
+from ..functions.scratch import written_apart
 
 
 def _result(counted: DataFrame, name: str | Column, severity: str = "error", detail: Column | None = None) -> DataFrame:
@@ -69,7 +69,7 @@ def _packed(v: Column) -> Column:
     return F.when(F.octet_length(v) < 16, raw).when((F.octet_length(v) == 32) & (F.lower(F.hex(F.unhex(v))) == v), F.unhex(v)).otherwise(F.concat(raw, F.unhex(F.lit("00"))))
 
 
-def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity: str = "error") -> DataFrame:
+def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity: str = "error", counted: dict[tuple[str, str], DataFrame] | None = None, apart: tuple[str, ...] = ()) -> DataFrame:
     """All declared checks from one pass over each table and one exchange, however many they are.
 
     A row becomes (check, value) for each check that its table takes part in, as a child or as a parent, and is counted
@@ -80,24 +80,29 @@ def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity:
     Only what can fail is dealt, in few bytes: of not_null checks the nulls, of others what isn't null. Values of unique
     checks travel as hashes of 64 bits; where a hash stands several times, which is rare, a second pass over the tables of
     such checks deals these values themselves.
+
+    ``counted``: (v, n), the values of a table's column and how many rows have them, which take the place of its rows as children
+    of relationships. ``apart``: tables that are each checked by themselves, one after the other; what one took of the disk
+    is free before the next, and parents are read again for each of them.
     """
-    kinds = [c[0] for c in checks]
+    kinds, counted = [c[0] for c in checks], counted or {}
 
-    def rows(wanted: Callable[[int, Column, bool], Column | None]) -> DataFrame:
-        """(n, v, child) of all tables as ``wanted`` makes them of a check's number, a value, and whether it is the child's."""
+    def rows(numbers: list[int], wanted: Callable[[int, Column, bool], Column]) -> DataFrame:
+        """(n, v, children, parents) of these checks as ``wanted`` makes them of a check's number, a value, and whether it is the child's."""
         out = []
         for name, df in tables.items():
-            parts = []
-            for n, (_, table, column, parent, key) in enumerate(checks):
-                for c, child in ((column, True),) * (table == name) + ((key, False),) * (parent == name):
-                    if (row := wanted(n, F.col(c).cast("string"), child)) is not None:
-                        parts.append(row)
+            parts, used = [], set()
+            for n in numbers:
+                kind, table, column, parent, key = checks[n]
+                rowwise = table == name and not (kind == "relationship" and (table, column) in counted)
+                for c, child in ((column, True),) * rowwise + ((key, False),) * (parent == name):
+                    parts.append(wanted(n, F.col(c).cast("string"), child))
+                    used.add(c)
             if parts:
-                used = sorted({c for _, t, c, p, k in checks for x, c in ((t, c), (p, k)) if x == name})
-                out.append(df.select(*used).select(F.inline(F.array_compact(F.array(*parts)))))
+                out.append(df.select(*sorted(used)).select(F.inline(F.array_compact(F.array(*parts)))))
         return reduce(DataFrame.unionByName, out)
 
-    row = lambda n, v, child: F.struct(F.lit(n).alias("n"), v.alias("v"), F.lit(child).alias("child"))
+    row = lambda n, v, child: F.struct(F.lit(n).alias("n"), v.alias("v"), F.lit(int(child)).cast("long").alias("children"), F.lit(int(not child)).cast("long").alias("parents"))
 
     def first(n: int, v: Column, child: bool) -> Column:
         if kinds[n] == "not_null":
@@ -105,15 +110,26 @@ def declared_checks(tables: dict[str, DataFrame], checks: list[Check], severity:
         return F.when(v.isNotNull(), row(n, F.unhex(F.hex(F.xxhash64(v))) if kinds[n] == "unique" else _packed(v), child))
 
     kind = F.array(*map(F.lit, kinds))[F.col("n")]
-    counts = rows(first).groupBy("n", "v").agg(F.count_if("child").alias("children"), F.count_if(~F.col("child")).alias("parents"))
-    lost = F.when(kind == "not_null", F.col("children")).when((kind != "unique") & (F.col("parents") == 0), F.col("children")).otherwise(0)
-    # of a unique check only what may stand several times is kept, beside the sums of all others
-    twice = (kind == "unique") & (F.col("children") > 1)
-    found = written(counts.groupBy("n", F.when(twice, F.col("v")).alias("v")).agg(F.sum(lost).alias("failing")).where("v IS NOT NULL OR failing > 0"), "failing")
+
+    def failing_of(numbers: list[int]) -> DataFrame:
+        """(n, v, failing): what fails of each check, where v is null, and hashes of a unique check that stand several times."""
+        dealt = rows(numbers, first)
+        for n in numbers:
+            if kinds[n] == "relationship" and (values := counted.get(checks[n][1:3])) is not None:
+                dealt = dealt.unionByName(values.where("v IS NOT NULL").select(F.lit(n).alias("n"), _packed(F.col("v").cast("string")).alias("v"), F.col("n").cast("long").alias("children"), F.lit(0).cast("long").alias("parents")))
+        counts = dealt.groupBy("n", "v").agg(F.sum("children").alias("children"), F.sum("parents").alias("parents"))
+        lost = F.when(kind == "not_null", F.col("children")).when((kind != "unique") & (F.col("parents") == 0), F.col("children")).otherwise(0)
+        # of a unique check only what may stand several times is kept, beside the sums of all others
+        twice = (kind == "unique") & (F.col("children") > 1)
+        found = counts.groupBy("n", F.when(twice, F.col("v")).alias("v")).agg(F.sum(lost).alias("failing")).where("v IS NOT NULL OR failing > 0")
+        return written_apart(found, "failing")
+
+    groups = [[n for n, c in enumerate(checks) if c[1] not in apart], *([n for n, c in enumerate(checks) if c[1] == name] for name in apart)]
+    found = reduce(DataFrame.unionByName, [failing_of(numbers) for numbers in groups if numbers])
     failing = found.where("v IS NULL").select("n", "failing")
     again = found.where("v IS NOT NULL").select("n", F.col("v").alias("h"))
-    if not again.isEmpty():
-        values = rows(lambda n, v, child: F.when(v.isNotNull(), row(n, v, child)) if kinds[n] == "unique" else None)
+    if hit := sorted(r.n for r in again.select("n").distinct().collect()):  # at most the checks
+        values = rows(hit, lambda n, v, child: F.when(v.isNotNull(), row(n, v, child)))
         values = values.withColumn("h", F.unhex(F.hex(F.xxhash64("v")))).join(again, ["n", "h"], "left_semi")
         failing = failing.unionByName(values.groupBy("n", "v").count().where("count > 1").groupBy("n").agg(F.count(F.lit(1)).alias("failing")))
     named = found.sparkSession.createDataFrame([(n, check_name(c)) for n, c in enumerate(checks)], "n int, name string")

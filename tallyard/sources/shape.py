@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scratch import written
+from ..functions.scratch import written, written_apart
 
 SOURCE = "dealer_one"
 #: Size of a table's files up to which its keys are broadcast: some ten million rows, 100 MB in memory.
 BROADCAST_BYTES = 16 << 20
 #: Bytes of a small table's files for which one task is worth its start.
 TASK_BYTES = 1 << 20
+#: Bytes of files of order lines from which on they are written in slices, and the slices.
+SLICED_BYTES, SLICES = 64 << 20, 4
 #: Bytes of such a table's files that one task gets at most: some 200,000 order lines.
 DEALT_BYTES = 4 << 20
 
@@ -67,14 +69,17 @@ class Lake:
         out._built.update(frames)
         return out
 
-    def kept(self, numbered: bool = True, more: tuple[str, ...] = ()) -> Lake:
+    def kept(self, numbered: bool = True, more: tuple[str, ...] = (), apart: bool = False) -> Lake:
         """The same lake with its joined lines written once: for queries that make several entities of them.
 
         Without ``numbered``, lines have no numbers, which cost a sort of each order's lines: for queries that only sum.
-        ``more``: columns of the lines beyond those that the entities are made of.
+        ``more``: columns of the lines beyond those that the entities are made of. ``apart``: the disk that exchanges take is free
+        afterwards, and of large tables only a share of the lines is dealt at a time (:func:`written_apart`).
         """
         columns = [c for c in _LINE_COLUMNS if numbered or c != "line_no"]
-        lines = written(self.lines.select(*columns, *more), "lines").selectExpr("*", *_LINE_CODES)
+        lines = self.lines.select(*columns, *more)
+        lines = written_apart(lines, "lines", "l_orderkey", SLICES if self.size("lineitem") > SLICED_BYTES else 1) if apart else written(lines, "lines")
+        lines = lines.selectExpr("*", *_LINE_CODES)
         return self.having(lines=lines if numbered else lines.withColumn("line_no", F.lit(None).cast("int")))
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -184,16 +189,17 @@ def _purchase_order_lines(lake: Lake) -> DataFrame:
     )
 
 
-def _inventory_snapshots(lake: Lake) -> DataFrame:
+def _inventory_snapshots(lake: Lake, *more: str) -> DataFrame:
+    """Month-end positions; ``more``: columns that an item's lines share."""
     return (
-        lake.lines.groupBy(F.last_day(F.col("l_shipdate").cast("date")).alias("snapshot_date"), F.col("supplier_branch").alias("branch_code"), "item_no", "unit_cost")
+        lake.lines.groupBy(F.last_day(F.col("l_shipdate").cast("date")).alias("snapshot_date"), F.col("supplier_branch").alias("branch_code"), "item_no", "unit_cost", *more)
         .agg(
             F.sum("qty").alias("on_hand_qty"), F.sum(F.expr("CASE WHEN l_returnflag = 'R' THEN qty ELSE 0 END")).alias("allocated_qty"),
             F.sum(F.expr("CASE WHEN l_linestatus = 'O' THEN qty ELSE 0 END")).alias("on_order_qty"), F.sum(F.expr("CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END")).alias("backorder_qty"),
         )
         .selectExpr(
             f"'{SOURCE}' AS source_system", "snapshot_date", "branch_code", "item_no", "on_hand_qty", "allocated_qty", "on_order_qty", "backorder_qty", "unit_cost",
-            "cast(cast(on_hand_qty as int) * unit_cost as decimal(18,4)) AS inventory_value",
+            "cast(cast(on_hand_qty as int) * unit_cost as decimal(18,4)) AS inventory_value", *more,
         )
     )
 
@@ -253,5 +259,5 @@ _RULES = {
     "line_items": lambda lake: lake.items.select("p_partkey", "unit_cost", "list_price"), "gl_days": lambda lake: _gl_entries(lake, by_day=True),
     "branches": _branches, "items": _items, "customers": _customers, "vendors": _vendors, "salespeople": _salespeople, "lines": _lines,
     "sales_order_lines": _sales_order_lines, "invoice_lines": _invoice_lines, "purchase_order_lines": _purchase_order_lines,
-    "inventory_snapshots": _inventory_snapshots, "gl_entries": _gl_entries, "coa": _coa, "close_calendar": _close_calendar,
+    "inventory_snapshots": _inventory_snapshots, "positions": lambda lake: _inventory_snapshots(lake, "part_keys"), "gl_entries": _gl_entries, "coa": _coa, "close_calendar": _close_calendar,
 }

@@ -632,6 +632,59 @@ def test_declared_checks_deal_only_what_can_fail(spark):
     assert (len(shorter), len(longer)) == (16, 32)
 
 
+@pytest.mark.parametrize("apart", [(), ("t", "u")])
+def test_declared_checks_take_tables_apart_and_counted_values(spark, apart):
+    """One job for each table, or children that were counted before, and the same results."""
+    t = spark.range(60).selectExpr("IF(id % 20 = 0, NULL, concat('k', id % 50)) AS k", "IF(id % 6 = 0, NULL, concat('p', id % 7)) AS p")
+    u = spark.range(30).selectExpr("concat('k', id) AS k", "concat('p', id % 9) AS p")
+    tables = {"t": t, "u": u, "q": spark.range(5).selectExpr("concat('p', id) AS p")}
+    checks = [(kind, n, "k", None, None) for n in "tu" for kind in ("not_null", "unique")] + [("relationship", n, "p", "q", "p") for n in "tu"] + [("unique", "q", "p", None, None)]
+    results = lambda **more: {r.check_name: r.failing_rows for r in quality.declared_checks(tables, checks, **more).collect()}
+    want = {"not_null:t.k": 3, "unique:t.k": 9, "not_null:u.k": 0, "unique:u.k": 0, "relationship:t.p->q": 12, "relationship:u.p->q": 12, "unique:q.p": 0}
+    counted = {(n, "p"): tables[n].groupBy(F.col("p").alias("v")).agg(F.count(F.lit(1)).alias("n")) for n in "tu"}
+    assert results(apart=apart) == results(apart=apart, counted=counted) == want
+
+
+def test_written_apart_frees_the_disk(spark):
+    """Exchanges of what was written leave nothing behind; slices are all rows, and the setting is as it was."""
+    import glob
+    import os
+
+    from tallyard.functions.scratch import _FREED, written_apart
+
+    left = lambda: {f for f in glob.glob(spark.conf.get("spark.local.dir") + "/**/shuffle_*.data", recursive=True) if os.path.getsize(f)}
+    before, setting = left(), spark.conf.get(_FREED)
+    counts = spark.range(40_000).groupBy((F.col("id") % 20_000).alias("k")).count()
+    for slices in (1, 3):
+        rows = written_apart(counts, "counts", "k", slices)
+        assert not left() - before
+        assert (rows.count(), rows.selectExpr("count(DISTINCT k)").first()[0], rows.where("count <> 2").isEmpty()) == (20_000, 20_000, True)
+        before |= left()
+    assert spark.conf.get(_FREED) == setting
+
+
+def test_declared_tables_fail_as_the_joined_facts_do(spark, monkeypatch):
+    """Crosswalks that lack keys or repeat them, a dimension that lacks rows: facts of source keys fail the checks as often as joined ones."""
+    from tallyard.plans import flows
+    from tallyard.plans.registry import Warehouse
+    from tallyard.sources import shape
+
+    monkeypatch.setattr(shape, "SLICED_BYTES", 0)
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    for name, key in (("item", "I-"), ("customer", "C-"), ("vendor", "V-")):
+        x = getattr(w, f"xwalk_{name}").withColumn("number", F.expr(f"cast(replace(source_key, '{key}') AS int)"))
+        again = x.where("number % 5 = 0").withColumn(f"canonical_{name}_key", F.concat(F.lit("again-"), F.col(f"canonical_{name}_key")))
+        w._built[f"xwalk_{name}"] = x.where("number % 7 <> 0").unionByName(again).drop("number")
+        w._built[f"dim_{name}"] = getattr(w, f"dim_{name}").where(F.col(f"{name}_key") > "8")
+    tables, counted = flows.declared_tables(w)
+    got = quality.declared_checks(tables, quality.DECLARED, counted=counted, apart=("fact_sales", "fact_inventory"))
+    want = quality.declared_checks({t: getattr(w, t) for t in tables}, quality.DECLARED)
+    rows = lambda df: {r.check_name: r.failing_rows for r in df.collect()}
+    failing = rows(got)
+    assert failing == rows(want)
+    assert all(failing[f"{kind}:{c}"] for kind, c in (("unique", "fact_sales.sales_order_line_key"), ("unique", "fact_inventory.inventory_snapshot_key"), ("relationship", "fact_sales.customer_key->dim_customer"), ("relationship", "fact_inventory.item_key->dim_item"), ("relationship", "fact_purchase.vendor_key->dim_vendor")))
+
+
 def test_gate_asks_its_state_once_a_source_and_batch():
     """A bucket of many sources and deliveries: one answer for each source and batch, whatever the number of deliveries."""
 
